@@ -19,8 +19,8 @@ BUCKETS = 1 << 16
 #: Added to each bucket's count.
 SMOOTHING = 1.0
 SEED = 7
-#: Labelled rows of good quality that are the target text.
-TARGET_ROWS = 20_000
+#: Labelled rows of good quality that are taken as target text: half to fit the model, half to set its bound.
+TARGET_ROWS = 40_000
 #: Share of the target rows that may weigh less than what counts as target text.
 MISSED = 0.002
 #: Words that a worker remembers the hash of.
@@ -136,9 +136,12 @@ def target_sample(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
 
 
 def mark_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs and a column is_target. The sample is broadcast: it has at most TARGET_ROWS ids."""
-    sample = F.broadcast(target_sample(labels))
-    return docs.drop("is_target").join(sample, F.col(id_col) == F.col("target_id"), "left").withColumn("is_target", F.col("target_id").isNotNull()).drop("target_id")
+    """docs and a column target_part: 1 for rows of the sample that the model is fitted to, 2 for those that its bound is set by, else 0.
+    The sample is broadcast: it has at most TARGET_ROWS ids."""
+    part = (1 + F.pmod(F.xxhash64(F.lit(SEED), "target_id"), F.lit(2))).cast("int").alias("sample_part")
+    sample = F.broadcast(target_sample(labels).select("target_id", part))
+    joined = docs.drop("target_part").join(sample, F.col(id_col) == F.col("target_id"), "left")
+    return joined.withColumn("target_part", F.coalesce("sample_part", F.lit(0))).drop("target_id", "sample_part")
 
 
 def select_target(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
@@ -146,16 +149,17 @@ def select_target(docs: DataFrame, labels: DataFrame, text_col: str = "text", id
     many rows as look like target text.
 
     Those are the rows with at least the weight that all but MISSED of the labelled target rows reach (0 if that is more, or if there
-    are none). Rows without words have weight 0 and look like the target. Noise follows id and text, so that equal rows tie, and rows that
-    tie with the last one selected are selected too. Two passes over the texts; weights are written to the shared folder.
+    are none); these rows are not among those that the target model is fitted to, so they weigh what unlabelled ones do. Rows without words
+    have weight 0 and look like the target. Noise follows id and text, so that equal rows tie, and rows that tie with the last one
+    selected are selected too. Two passes over the texts; weights are written to the shared folder.
     """
     marked = mark_target(docs, labels, id_col)
-    ratios = fit(marked, F.col("is_target"), text_col)
+    ratios = fit(marked, F.col("target_part") == 1, text_col)
     weighted = importance(marked, ratios, text_col)
     ln10 = 2.302585092994046
     keyed = write_table(weighted.withColumn("gumbel_key", gumbel_key(F.col("log_weight") * ln10, F.col(id_col), F.col(text_col), seed=seed)), "weighted")
-    target = keyed.where("is_target").select("log_weight")
+    target = keyed.where("target_part = 2").select("log_weight")
     least = kth_largest(target, "log_weight", math.ceil(target.count() * (1 - MISSED)))
     enough = keyed.where(F.col("log_weight") >= min(0.0, least if least is not None else 0.0)).count()
     bound = kth_largest(keyed, "gumbel_key", enough)
-    return keyed.withColumn("selected", F.col("gumbel_key") >= F.lit(bound) if bound is not None else F.lit(False)).drop("is_target")
+    return keyed.withColumn("selected", F.col("gumbel_key") >= F.lit(bound) if bound is not None else F.lit(False)).drop("target_part")
