@@ -1,15 +1,862 @@
-"""All queries of the library's own operators, with their SQL."""
+"""All queries of the library's own operators over the bridge views, with equivalent SQL for DuckDB."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType
+
+from .bridge import view, with_views
+from .functions import alignments
+from .operators import calls, history, intervals, reads, reports, sequences, stats, variants
+
+Views = Callable[[str], DataFrame]
+CATALOG: dict[str, tuple[Callable[[Views], DataFrame], str]] = {}
+
+
+def tidy(df: DataFrame) -> DataFrame:
+    """Doubles rounded to six places and integers as longs, as the SQL has them."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            c = F.round(c, 6)
+        elif isinstance(f.dataType, (IntegerType, ShortType)):
+            c = c.cast("long")
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def query(name: str, sql: str):
+    def put(f: Callable[[Views], DataFrame]):
+        CATALOG[name] = (f, sql)
+        return f
+
+    return put
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: (lambda spark, sf_dir, f=f: tidy(f(lambda v: view(spark, sf_dir, v)))) for name, (f, _) in CATALOG.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: with_views(sql) for name, (_, sql) in CATALOG.items() if sql}
+
+
+B = "CAST({} AS BIGINT)".format
+
+# Reads
+
+_INSERT = "SELECT rg, isize AS bin, count(*) AS freq FROM br_reads WHERE flag & 2 <> 0 AND mapq > 0 AND isize > 0 GROUP BY rg, isize"
+
+
+def _median(hist: str, name: str) -> str:
+    return f"""SELECT rg, min(CASE WHEN cum >= round_even(total / 2.0, 0) THEN bin END) AS {name} FROM (
+      SELECT rg, bin, sum(freq) OVER (PARTITION BY rg ORDER BY bin) AS cum, sum(freq) OVER (PARTITION BY rg) AS total FROM {hist}) GROUP BY rg"""
+
+
+@query(
+    "A1_readgroup_stats",
+    f"""WITH hist AS ({_INSERT}), med AS ({_median("hist", "m")}),
+dev AS (SELECT h.rg, abs(bin - m) AS bin, sum(freq) AS freq FROM hist h JOIN med USING (rg) GROUP BY h.rg, abs(bin - m)), mad AS ({_median("dev", "d")}),
+ins AS (SELECT rg, sum(bin * freq) / sum(freq) AS mean, sqrt(sum(bin * bin * freq) / sum(freq) - (sum(bin * freq) / sum(freq)) * (sum(bin * freq) / sum(freq))) AS sd FROM hist GROUP BY rg),
+base AS (SELECT rg, count(*) AS total_reads, sum(seq_len) AS total_bases, count(*) FILTER (flag & 4 = 0) AS mapped_reads, sum(seq_len) FILTER (flag & 4 = 0) AS mapped_bases,
+  count(*) FILTER (flag & 4 = 0 AND flag & 1 <> 0) AS paired_reads, count(*) FILTER (flag & 4 = 0 AND flag & 2 <> 0) AS proper_reads, count(*) FILTER (flag & 1024 <> 0) AS dup_reads,
+  100.0 * sum(nm) FILTER (flag & 4 = 0) / sum(seq_len) FILTER (flag & 4 = 0) AS pct FROM br_reads GROUP BY rg)
+SELECT rg, {B("total_reads")} AS total_reads, {B("total_bases")} AS total_bases, {B("mapped_reads")} AS mapped_reads, {B("mapped_bases")} AS mapped_bases, {B("paired_reads")} AS paired_reads,
+  {B("proper_reads")} AS proper_reads, {B("dup_reads")} AS dup_reads, round(CAST(pct AS DOUBLE), 6) AS pct_mismatch, round(mean, 6) AS mean_isize, round(sd, 6) AS isize_sd, {B("m")} AS median_isize, {B("d")} AS isize_mad
+FROM base LEFT JOIN ins USING (rg) LEFT JOIN med USING (rg) LEFT JOIN mad USING (rg)""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.readgroup_stats(v("br_reads"))
+
+
+@query(
+    "A2_alignment_summary",
+    f"""SELECT {B("count(*)")} AS sequences, {B("count(*) FILTER (flag & 64 <> 0)")} AS first_fragments, {B("count(*) FILTER (flag & 128 <> 0)")} AS last_fragments,
+ {B("count(*) FILTER (flag & 4 = 0)")} AS reads_mapped, {B("count(*) FILTER (flag & 4 <> 0)")} AS reads_unmapped, {B("count(*) FILTER (flag & 4 = 0 AND mapq = 0)")} AS reads_mq0,
+ {B("count(*) FILTER (flag & 1024 <> 0)")} AS reads_duplicated, {B("sum(seq_len)")} AS total_length, {B("sum(seq_len) FILTER (flag & 4 = 0)")} AS bases_mapped,
+ {B("sum(seq_len) FILTER (flag & 1024 <> 0)")} AS bases_duplicated, {B("sum(nm) FILTER (flag & 4 = 0)")} AS mismatches,
+ round(CAST(sum(nm) FILTER (flag & 4 = 0) AS DOUBLE) / sum(seq_len) FILTER (flag & 4 = 0), 6) AS error_rate, round(avg(seq_len), 6) AS average_length, max(seq_len) AS maximum_length FROM br_reads""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.alignment_summary(v("br_reads"))
+
+
+@query(
+    "A3_insert_size_histogram",
+    f"""WITH h AS (SELECT least(isize, 400) AS bin, count(*) AS pairs, count(*) FILTER (flag & 16 <> 0) AS outward, count(*) FILTER (flag & 16 = 0) AS inward
+  FROM br_reads WHERE flag & 64 <> 0 AND flag & 2 <> 0 AND isize > 0 GROUP BY 1),
+x AS (SELECT *, sum(pairs) OVER (ORDER BY bin) - pairs AS before, sum(pairs) OVER () AS total FROM h),
+m AS (SELECT sum(bin * pairs) / sum(pairs) AS mean, sum(bin * bin * pairs) / sum(pairs) AS sq FROM x WHERE CAST(before AS DOUBLE) / total <= 0.99)
+SELECT bin, {B("pairs")} AS pairs, {B("outward")} AS outward, {B("inward")} AS inward, round(mean, 6) AS mean_isize, round(sqrt(sq - mean * mean), 6) AS isize_sd FROM h CROSS JOIN m""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.insert_size_histogram(v("br_reads"), 400)
+
+
+@query(
+    "A4_histogram_stats",
+    f"""WITH h AS (SELECT mate, qual AS bin, count(*) AS freq FROM br_quality GROUP BY mate, qual),
+x AS (SELECT *, sum(freq) OVER (PARTITION BY mate ORDER BY bin) AS cum, sum(freq) OVER (PARTITION BY mate) AS total FROM h)
+SELECT mate, {B("max(total)")} AS total, round(sum(bin * freq) / sum(freq), 6) AS mean, round(sqrt(sum(bin * bin * freq) / sum(freq) - (sum(bin * freq) / sum(freq)) * (sum(bin * freq) / sum(freq))), 6) AS sd,
+ min(bin) FILTER (cum >= round_even(total / 2.0, 0)) AS median, min(bin) FILTER (cum >= total * 0.25) AS q1, min(bin) FILTER (cum >= total * 0.75) AS q3 FROM x GROUP BY mate""",
+)
+def _(v: Views) -> DataFrame:
+    return stats.histogram_stats(v("br_quality").groupBy("mate", F.col("qual").alias("bin")).agg(F.count("*").alias("freq")), ["mate"])
+
+
+_EVENTS = """ev AS (SELECT chrom, p, sum(d) AS d FROM (SELECT chrom, pos AS p, 1 AS d FROM br_reads WHERE flag & 4 = 0
+  UNION ALL SELECT chrom, pos + seq_len, -1 FROM br_reads WHERE flag & 4 = 0) GROUP BY chrom, p),
+seg AS (SELECT * FROM (SELECT chrom, p AS start_pos, lead(p) OVER (PARTITION BY chrom ORDER BY p) - 1 AS end_pos, sum(d) OVER (PARTITION BY chrom ORDER BY p) AS depth FROM ev) WHERE depth > 0)"""
+
+
+@query("W5_depth_segments", f"WITH {_EVENTS} SELECT chrom, start_pos, end_pos, {B('depth')} AS depth FROM seg")
+def _(v: Views) -> DataFrame:
+    return reads.depth_segments(v("br_reads"))
+
+
+@query(
+    "A11_coverage_histogram",
+    f"WITH {_EVENTS} SELECT {B('CASE WHEN depth < 2 THEN 1 WHEN depth > 30 THEN 31 ELSE 2 + floor((depth - 2) / 4.0) * 4 END')} AS depth_bin, {B('sum(end_pos - start_pos + 1)')} AS bases FROM seg GROUP BY 1",
+)
+def _(v: Views) -> DataFrame:
+    return reads.coverage_histogram(reads.depth_segments(v("br_reads")), 2, 30, 4)
+
+
+@query(
+    "A12_bases_at_depth",
+    f"WITH {_EVENTS} SELECT {B('t')} AS threshold, {B('coalesce(sum(end_pos - start_pos + 1) FILTER (depth >= t), 0)')} AS bases FROM seg CROSS JOIN (VALUES (1), (5), (10), (3)) x(t) GROUP BY t",
+)
+def _(v: Views) -> DataFrame:
+    return reads.bases_at_depth(reads.depth_segments(v("br_reads")), [1, 5, 10, 3])
+
+
+@query(
+    "A13_coverage_depth",
+    f"""WITH {_EVENTS}, s AS (SELECT sum(end_pos - start_pos + 1) AS c, sum((end_pos - start_pos + 1) * depth) AS d, sum((end_pos - start_pos + 1) * depth * depth) AS q FROM seg)
+SELECT {B("c")} AS covered, round(d / 1000000.0, 6) AS mean_depth, round(sqrt(q / 1000000.0 - (d / 1000000.0) * (d / 1000000.0)), 6) AS sd_depth FROM s""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.coverage_depth(reads.depth_segments(v("br_reads")), 1_000_000)
+
+
+_MERGED = """iv0 AS (SELECT DISTINCT chrom, start_pos, end_pos FROM br_intervals),
+iv1 AS (SELECT *, max(end_pos) OVER (PARTITION BY chrom ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM iv0),
+iv2 AS (SELECT *, sum(CASE WHEN reached IS NULL OR reached < start_pos - 1 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY start_pos, end_pos) AS grp FROM iv1),
+merged AS (SELECT chrom, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM iv2 GROUP BY chrom, grp)"""
+
+
+@query(
+    "A14_target_coverage",
+    f"""WITH {_EVENTS}, {_MERGED}
+SELECT m.chrom, m.start_pos, m.end_pos, {B("coalesce(sum(least(m.end_pos, s.end_pos) - greatest(m.start_pos, s.start_pos) + 1), 0)")} AS covered,
+ round(coalesce(sum((least(m.end_pos, s.end_pos) - greatest(m.start_pos, s.start_pos) + 1) * depth), 0) / CAST(m.end_pos - m.start_pos + 1 AS DOUBLE), 6) AS mean_coverage
+FROM merged m LEFT JOIN seg s ON m.chrom = s.chrom AND m.start_pos <= s.end_pos AND m.end_pos >= s.start_pos GROUP BY m.chrom, m.start_pos, m.end_pos""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.target_coverage(reads.depth_segments(v("br_reads")), intervals.merge_intervals(v("br_intervals")))
+
+
+@query(
+    "A27_gene_expression",
+    f"""WITH m AS (SELECT *, CASE WHEN flag & 16 <> 0 THEN -1 ELSE 1 END AS rs FROM br_reads WHERE flag & 4 = 0), n AS (SELECT count(*) AS n FROM m),
+h AS (SELECT iv_id, count(*) FILTER (rs = strand) AS s, count(*) FILTER (rs <> strand) AS a FROM br_intervals i JOIN m ON i.chrom = m.chrom AND m.pos <= end_pos AND m.pos + seq_len - 1 >= start_pos WHERE mapq > 10 GROUP BY iv_id)
+SELECT i.iv_id, {B("coalesce(s, 0)")} AS sense, {B("coalesce(a, 0)")} AS antisense, round(coalesce(s, 0) / CAST(end_pos - start_pos + 1 AS DOUBLE) * 1e9 / n, 6) AS rpkm_sense,
+ round(coalesce(a, 0) / CAST(end_pos - start_pos + 1 AS DOUBLE) * 1e9 / n, 6) AS rpkm_antisense FROM br_intervals i LEFT JOIN h USING (iv_id) CROSS JOIN n""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.gene_expression(v("br_reads"), v("br_intervals"), 10)
+
+
+@query(
+    "A28_insert_sites",
+    f"""SELECT chrom, CASE WHEN flag & 16 <> 0 THEN pos + seq_len - 1 ELSE pos END AS pos, {B("CASE WHEN flag & 16 <> 0 THEN -1 ELSE 1 END")} AS strand, {B("count(*)")} AS n FROM br_reads WHERE flag & 4 = 0 GROUP BY 1, 2, 3""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.insert_sites(v("br_reads"))
+
+
+@query(
+    "A46_library_insert_config",
+    f"""WITH hist AS ({_INSERT}), s AS (SELECT rg, sum(bin * freq) / sum(freq) AS mean, sqrt(sum(bin * bin * freq) / sum(freq) - (sum(bin * freq) / sum(freq)) * (sum(bin * freq) / sum(freq))) AS sd FROM hist GROUP BY rg),
+cut AS (SELECT hist.* FROM hist JOIN s USING (rg) WHERE bin <= mean + 10 * sd), m AS (SELECT rg, sum(bin * freq) / sum(freq) AS mean, sum(freq) AS pairs FROM cut GROUP BY rg)
+SELECT rg, round(mean, 6) AS mean_isize, {B("pairs")} AS pairs, round(sqrt(sum((bin - mean) * (bin - mean) * freq) FILTER (bin > mean) / sum(freq) FILTER (bin > mean)), 6) AS upper_sd,
+ round(sqrt(sum((bin - mean) * (bin - mean) * freq) FILTER (bin <= mean) / sum(freq) FILTER (bin <= mean)), 6) AS lower_sd FROM cut JOIN m USING (rg) GROUP BY rg, mean, pairs""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.library_insert_config(v("br_reads"))
+
+
+@query(
+    "A51_flagstat",
+    f"""SELECT {B("count(*)")} AS total, {B("count(*) FILTER (flag & 512 <> 0)")} AS qc_failed, {B("count(*) FILTER (flag & 1024 <> 0)")} AS duplicates, {B("count(*) FILTER (flag & 4 = 0)")} AS mapped,
+ {B("count(*) FILTER (flag & 1 <> 0)")} AS paired, {B("count(*) FILTER (flag & 64 <> 0)")} AS read1, {B("count(*) FILTER (flag & 128 <> 0)")} AS read2,
+ {B("count(*) FILTER (flag & 2 <> 0 AND flag & 4 = 0)")} AS properly_paired, {B("count(*) FILTER (flag & 4 = 0 AND flag & 8 <> 0)")} AS singletons FROM br_reads""",
+)
+def _(v: Views) -> DataFrame:
+    return reads.flagstat(v("br_reads"))
+
+
+@query("A52_chromosome_distribution", f"SELECT rg, chrom, {B('count(*)')} AS n FROM br_reads WHERE flag & 4 = 0 GROUP BY GROUPING SETS ((rg, chrom), (chrom))")
+def _(v: Views) -> DataFrame:
+    return reads.chromosome_distribution(v("br_reads"))
+
+
+@query(
+    "A45_chromosome_deviation",
+    "WITH c AS (SELECT chrom, count(*) AS n FROM br_reads WHERE flag & 4 = 0 GROUP BY chrom) SELECT round(sqrt(avg(power((n - t) / CAST(t AS DOUBLE), 2))), 6) AS deviation FROM c CROSS JOIN (SELECT max(n) AS t FROM c)",
+)
+def _(v: Views) -> DataFrame:
+    return stats.chromosome_deviation(reads.flag_filter(v("br_reads"), exclude=reads.UNMAPPED).groupBy("chrom").agg(F.count("*").alias("n")))
+
+
+@query("P13_readgroup_filter", "SELECT * FROM br_reads WHERE rg IN ('rg1', 'rg2', 'rg3') AND rg <> 'rg2'")
+def _(v: Views) -> DataFrame:
+    groups = v("br_reads").select("rg").distinct()
+    return reads.readgroup_filter(v("br_reads"), groups, F.col("rg").isin("rg1", "rg2", "rg3"), F.col("rg") == "rg2").select(*v("br_reads").columns)
+
+
+@query("P14_flag_filter", "SELECT * FROM br_reads WHERE flag & 3 = 3 AND flag & 1040 = 0")
+def _(v: Views) -> DataFrame:
+    return reads.flag_filter(v("br_reads"), 3, 1040)
+
+
+@query("P22_unmapped_reads", "SELECT * FROM br_reads WHERE flag & 4 <> 0")
+def _(v: Views) -> DataFrame:
+    return reads.unmapped_reads(v("br_reads"))
+
+
+@query("P23_fix_flags", "SELECT * REPLACE (CASE WHEN flag & 130 = 130 AND flag & 4 = 0 THEN xor(flag & ~1024, 16) ELSE flag & ~1024 END AS flag) FROM br_reads")
+def _(v: Views) -> DataFrame:
+    return reads.fix_flags(v("br_reads"))
+
+
+@query(
+    "W12_previous_row_fill",
+    "WITH x AS (SELECT read_id, min(CASE WHEN read_id % 3 = 0 THEN rg END) AS rg FROM br_reads GROUP BY read_id) SELECT read_id, coalesce(last_value(rg IGNORE NULLS) OVER (ORDER BY read_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'unknown_readgroup') AS rg FROM x",
+)
+def _(v: Views) -> DataFrame:
+    some = v("br_reads").groupBy("read_id").agg(F.min(F.when(F.col("read_id") % 3 == 0, F.col("rg"))).alias("rg"))
+    return reads.previous_row_fill(some, "read_id", "rg", block=1 << 14)
+
+
+@query("X7_explain_flags", "SELECT read_id, concat_ws(',', 'paired', CASE WHEN flag & 2 <> 0 THEN 'proper' END, CASE WHEN flag & 4 <> 0 THEN 'unmapped' END, CASE WHEN flag & 16 <> 0 THEN 'reverse' END, CASE WHEN flag & 64 <> 0 THEN 'first' END, CASE WHEN flag & 128 <> 0 THEN 'second' END, CASE WHEN flag & 1024 <> 0 THEN 'duplicate' END) AS names FROM br_reads")
+def _(v: Views) -> DataFrame:
+    return v("br_reads").select("read_id", alignments.explain_flags(F.col("flag")).alias("names"))
+
+
+@query(
+    "X6_cigar_stats",
+    "SELECT read_id, seq_len AS read_span, CASE WHEN nm > 0 THEN seq_len - 10 + nm ELSE seq_len END AS ref_span FROM br_reads",
+)
+def _(v: Views) -> DataFrame:
+    cigar = F.when(F.col("nm") > 0, F.concat(F.col("seq_len") - 10, F.lit("M"), F.col("nm"), F.lit("D10S"))).otherwise(F.concat("seq_len", F.lit("M")))
+    return v("br_reads").select("read_id", alignments.cigar_span(cigar, "MIS=X").alias("read_span"), alignments.cigar_span(cigar, "MDN").alias("ref_span"))
+
+
+# Intervals
+
+
+@query("I1_merge_intervals", f"WITH {_MERGED} SELECT * FROM merged")
+def _(v: Views) -> DataFrame:
+    return intervals.merge_intervals(v("br_intervals"))
+
+
+@query(
+    "I2_complement_intervals",
+    f"""WITH {_MERGED}, inner_gaps AS (SELECT chrom, coalesce(lag(end_pos) OVER (PARTITION BY chrom ORDER BY start_pos) + 50, 0) + 1 AS s, start_pos - 51 AS e FROM merged),
+tail AS (SELECT chrom, max(end_pos) + 51 AS s, 60000 AS e FROM merged GROUP BY chrom)
+SELECT chrom, {B("s")} AS start_pos, {B("e")} AS end_pos FROM (SELECT * FROM inner_gaps UNION ALL SELECT * FROM tail) WHERE e - s + 1 > 10""",
+)
+def _(v: Views) -> DataFrame:
+    lengths = v("br_intervals").select("chrom").distinct().withColumn("length", F.lit(60_000).cast("long"))
+    return intervals.complement_intervals(v("br_intervals"), lengths)
+
+
+@query(
+    "I3_mask_from_sites",
+    """WITH w AS (SELECT DISTINCT chrom, greatest(0, pos - 5) AS s, pos + 5 AS e FROM br_variants), a AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM w),
+b AS (SELECT *, sum(CASE WHEN r IS NULL OR r < s - 1 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e) AS g FROM a) SELECT chrom, min(s) AS start_pos, max(e) AS end_pos FROM b GROUP BY chrom, g""",
+)
+def _(v: Views) -> DataFrame:
+    return intervals.mask_from_sites(v("br_variants"), 5)
+
+
+@query(
+    "I4_disjoin",
+    f"""WITH p AS (SELECT chrom, start_pos AS p FROM br_intervals UNION SELECT chrom, end_pos + 1 FROM br_intervals), s AS (SELECT chrom, p AS start_pos, lead(p) OVER (PARTITION BY chrom ORDER BY p) - 1 AS end_pos FROM p)
+SELECT s.chrom, s.start_pos, s.end_pos, {B("count(*)")} AS n FROM s JOIN br_intervals i ON s.chrom = i.chrom AND s.start_pos <= i.end_pos AND s.end_pos >= i.start_pos GROUP BY ALL""",
+)
+def _(v: Views) -> DataFrame:
+    return intervals.disjoin(v("br_intervals"))
+
+
+@query(
+    "I6_chunk_contigs",
+    f"""WITH c AS (SELECT chrom, max(pos) AS length FROM br_reads GROUP BY chrom), n AS (SELECT *, greatest(1, CAST(ceil((length - 700.0) / 7000) AS BIGINT)) AS n FROM c), k AS (SELECT *, unnest(range(n)) AS k FROM n)
+SELECT chrom, {B("k * 7000 + 1")} AS start_pos, {B("CASE WHEN k = n - 1 THEN length ELSE (k + 1) * 7000 END")} AS end_pos FROM k""",
+)
+def _(v: Views) -> DataFrame:
+    return intervals.chunk_contigs(v("br_reads").groupBy("chrom").agg(F.max("pos").alias("length")), 7000)
+
+
+@query("J2_reads_in_intervals", "SELECT r.* FROM br_reads r WHERE EXISTS (SELECT 1 FROM br_intervals i WHERE i.chrom = r.chrom AND r.pos <= i.end_pos AND r.pos + r.seq_len - 1 >= i.start_pos)")
+def _(v: Views) -> DataFrame:
+    return intervals.reads_in_intervals(v("br_reads"), v("br_intervals"))
+
+
+@query("J3_positions_in_intervals", "SELECT var_id, iv_id FROM br_variants v JOIN br_intervals i ON v.chrom = i.chrom AND v.pos BETWEEN i.start_pos AND i.end_pos")
+def _(v: Views) -> DataFrame:
+    return intervals.positions_in_intervals(v("br_variants"), v("br_intervals")).select("var_id", "iv_id")
+
+
+# Variants
+
+_INDEL = "length(ref) <> length(alt)"
+_TS = "concat(ref, alt) IN ('AG', 'GA', 'CT', 'TC')"
+
+
+@query("P2_region_filter", "SELECT * FROM br_variants WHERE chrom = 'chr2' AND pos >= 1000 AND pos <= 3000")
+def _(v: Views) -> DataFrame:
+    return variants.region_filter(v("br_variants"), "chr2", 1000, 3000)
+
+
+@query("P4_pass_filter", "SELECT * FROM (SELECT * REPLACE (CASE WHEN filt = 'Brand#1' THEN 'PASS' ELSE filt END AS filt) FROM br_variants) WHERE filt IN ('PASS', '.') OR filt IS NULL")
+def _(v: Views) -> DataFrame:
+    return variants.pass_filter(v("br_variants").withColumn("filt", F.when(F.col("filt") == "Brand#1", "PASS").otherwise(F.col("filt"))))
+
+
+@query(
+    "P5_rule_filter",
+    f"""SELECT var_id, coalesce(nullif(concat_ws(';', CASE WHEN NOT {_INDEL} AND qual < 30 THEN 'LowQual' END, CASE WHEN {_INDEL} AND qual < 50 THEN 'LowIndel' END, CASE WHEN dp < 5 THEN 'MinDP' END, CASE WHEN dp > 45 THEN 'MaxDP' END), ''), 'PASS') AS filters FROM br_variants""",
+)
+def _(v: Views) -> DataFrame:
+    rules = [variants.Rule("LowQual", "snp", F.col("qual") >= 30), variants.Rule("LowIndel", "indel", F.col("qual") >= 50), variants.Rule("MinDP", "all", F.col("dp") >= 5), variants.Rule("MaxDP", "all", F.col("dp") <= 45)]
+    return variants.rule_filter(v("br_variants"), rules).select("var_id", "filters")
+
+
+@query("P8_set_filter", "SELECT var_id, CASE WHEN filt = 'Brand#11' THEN 'Checked' WHEN filt < 'Checked' THEN filt || ';Checked' ELSE 'Checked;' || filt END AS filters FROM br_variants")
+def _(v: Views) -> DataFrame:
+    return v("br_variants").select("var_id", variants.set_filter(F.col("filt"), ["Checked"], ["Brand#11"]).alias("filters"))
+
+
+@query("P12_subset_positions", "SELECT * FROM br_variants WHERE (chrom, pos) IN (SELECT (chrom, pos) FROM br_calls WHERE src = 2)")
+def _(v: Views) -> DataFrame:
+    return variants.subset_positions(v("br_variants"), v("br_calls").where("src = 2")).select(*v("br_variants").columns)
+
+
+@query("P12_subset_positions_complement", "SELECT * FROM br_variants WHERE (chrom, pos) NOT IN (SELECT (chrom, pos) FROM br_calls WHERE src = 2)")
+def _(v: Views) -> DataFrame:
+    return variants.subset_positions(v("br_variants"), v("br_calls").where("src = 2"), complement=True).select(*v("br_variants").columns)
+
+
+_GROUPS = """pl AS (SELECT DISTINCT chrom, pos FROM br_calls), g0 AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) <= 2 THEN 0 ELSE 1 END AS f FROM pl),
+g1 AS (SELECT chrom, pos, CAST(sum(f) OVER (PARTITION BY chrom ORDER BY pos) AS BIGINT) AS grp FROM g0),
+comb AS (SELECT chrom, grp, string_agg(DISTINCT CAST(src AS VARCHAR), ',' ORDER BY CAST(src AS VARCHAR)) AS combination, count(DISTINCT src) AS n_src, count(*) AS n_calls, min(pos) AS pos FROM br_calls JOIN g1 USING (chrom, pos) GROUP BY chrom, grp)"""
+
+
+@query("W1_cluster_by_distance", f"WITH {_GROUPS} SELECT c.*, grp FROM br_calls c JOIN g1 USING (chrom, pos)")
+def _(v: Views) -> DataFrame:
+    return variants.cluster_by_distance(v("br_calls"), 2)
+
+
+@query(
+    "W2_snp_gap_filter",
+    f"""SELECT s.var_id, EXISTS (SELECT 1 FROM br_variants i WHERE length(i.ref) <> length(i.alt) AND length(s.ref) = length(s.alt) AND i.chrom = s.chrom AND s.pos BETWEEN i.pos + 1 - 10 AND i.pos + length(i.ref) + 9) AS near_indel FROM br_variants s""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.snp_gap_filter(v("br_variants"), 10).select("var_id", "near_indel")
+
+
+@query(
+    "W3_indel_gap_filter",
+    f"""WITH i AS (SELECT *, pos + 1 AS s, pos + abs(length(alt) - length(ref)) AS e FROM br_variants WHERE {_INDEL}),
+a AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, var_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM i),
+b AS (SELECT *, sum(CASE WHEN r IS NULL OR r < s - 40 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, var_id) AS g FROM a)
+SELECT var_id, row_number() OVER (PARTITION BY chrom, g ORDER BY dp DESC, pos, var_id) > 1 AS loses FROM b""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.indel_gap_filter(v("br_variants"), 40, "dp").select("var_id", "loses")
+
+
+@query(
+    "W4_snp_cluster_filter",
+    f"""WITH s AS (SELECT * FROM br_variants WHERE NOT {_INDEL}), c AS (SELECT *, count(*) OVER (PARTITION BY chrom ORDER BY pos RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING) AS n FROM s)
+SELECT var_id, max(CASE WHEN n >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY pos RANGE BETWEEN 49 PRECEDING AND CURRENT ROW) = 1 AS clustered FROM c""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.snp_cluster_filter(v("br_variants").where(~variants.is_indel()), 5, 50).select("var_id", "clustered")
+
+
+@query("W10_dedupe_by_depth", "SELECT chrom, pos, var_id, dp FROM br_variants QUALIFY row_number() OVER (PARTITION BY chrom, pos ORDER BY CASE WHEN dp > 0 THEN dp ELSE 0 END DESC, var_id) = 1")
+def _(v: Views) -> DataFrame:
+    return variants.dedupe_by_depth(v("br_variants"), "dp", "var_id").select("chrom", "pos", "var_id", "dp")
+
+
+@query("W16_consistency", f"SELECT chrom, pos, {B('count(*)')} AS n FROM br_calls GROUP BY chrom, pos HAVING count(*) > 1")
+def _(v: Views) -> DataFrame:
+    return variants.consistency(v("br_calls"), "pos")
+
+
+@query(
+    "X1_classify_variants",
+    f"SELECT var_id, CASE WHEN ref = alt THEN 'r' WHEN NOT {_INDEL} THEN 's' ELSE 'i' END AS kind, {B(f'CASE WHEN {_INDEL} THEN length(alt) - length(ref) WHEN ref = alt THEN 0 ELSE 1 END')} AS size FROM br_variants",
+)
+def _(v: Views) -> DataFrame:
+    return variants.classify(v("br_variants")).select("var_id", "kind", "size")
+
+
+@query("X2_compact_alleles", "SELECT var_id, ref, alt FROM br_variants")
+def _(v: Views) -> DataFrame:
+    longer = v("br_variants").withColumns({"ref": F.concat("ref", F.lit("GA")), "alt": F.concat("alt", F.lit("GA"))})
+    return variants.compact_alleles(longer).select("var_id", "ref", "alt")
+
+
+@query("J4_annotate", "SELECT v.var_id, string_agg(DISTINCT CAST(iv_id AS VARCHAR), ',' ORDER BY CAST(iv_id AS VARCHAR)) AS annotation FROM br_variants v LEFT JOIN br_intervals i ON v.chrom = i.chrom AND v.pos BETWEEN start_pos AND end_pos GROUP BY v.var_id")
+def _(v: Views) -> DataFrame:
+    named = v("br_intervals").withColumn("iv_id", F.col("iv_id").cast("string"))
+    return variants.annotate(v("br_variants"), named, "iv_id").select("var_id", "annotation")
+
+
+@query(
+    "J5_fill_ids",
+    """WITH k AS (SELECT chrom, pos, min({'known_id': 'rs' || lpad(CAST(var_id AS VARCHAR), 9, '0'), 'known_ref': ref, 'known_alt': alt}) AS k FROM br_variants WHERE var_id % 3 = 0 GROUP BY chrom, pos)
+SELECT var_id, k.known_id AS known_id, k.known_ref = ref AS ref_match, k.known_alt = alt AS alt_match FROM br_variants LEFT JOIN k USING (chrom, pos)""",
+)
+def _(v: Views) -> DataFrame:
+    known = v("br_variants").where("var_id % 3 = 0").select("chrom", "pos", F.concat(F.lit("rs"), F.lpad(F.col("var_id").cast("string"), 9, "0")).alias("known_id"), F.col("ref").alias("known_ref"), F.col("alt").alias("known_alt"))
+    return variants.fill_ids(v("br_variants"), known).select("var_id", "known_id", "ref_match", "alt_match")
+
+
+@query("J8_liftover", "SELECT var_id, 'new' || chrom AS chrom, pos + 100 AS pos FROM br_variants WHERE pos % 7 <> 0 AND (chrom, pos) IN (SELECT (chrom, pos) FROM br_calls)")
+def _(v: Views) -> DataFrame:
+    mapping = v("br_calls").select("chrom", "pos").distinct().withColumns({"new_chrom": F.when(F.col("pos") % 7 == 0, "skip").otherwise(F.concat(F.lit("new"), "chrom")), "new_pos": F.col("pos") + 100})
+    return variants.liftover(v("br_variants"), mapping).select("var_id", "chrom", "pos")
+
+
+@query(
+    "A15_variant_counts",
+    f"""WITH x AS (SELECT *, 'all' AS grp, '' AS val FROM br_variants UNION ALL SELECT *, 'filter', filt FROM br_variants UNION ALL SELECT *, 'qual', CAST({B("floor(qual / 20.0)")} * 20 AS VARCHAR) FROM br_variants)
+SELECT grp, val, {B("count(*)")} AS n, {B(f"count(*) FILTER (NOT {_INDEL})")} AS snps, {B(f"count(*) FILTER ({_INDEL})")} AS indels, {B(f"count(*) FILTER ({_TS})")} AS transitions FROM x GROUP BY grp, val""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.variant_counts(v("br_variants"), "filt", 20)
+
+
+@query(
+    "A17_ts_tv",
+    f"""WITH x AS (SELECT *, length(ref) = 1 AND length(alt) = 1 AND ref <> alt AS snp FROM br_variants), s AS (SELECT count(*) AS total, count(*) FILTER (snp AND {_TS}) AS ts, count(*) FILTER (snp AND NOT {_TS}) AS tv, count(*) FILTER (NOT snp) AS skipped FROM x)
+SELECT {B("total")} AS total, {B("ts")} AS ts, {B("tv")} AS tv, {B("skipped")} AS skipped, round(ts / CAST(nullif(tv, 0) AS DOUBLE), 6) AS ratio FROM s""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.ts_tv(v("br_variants"))
+
+
+@query(
+    "A18_qual_tstv_curve",
+    f"""WITH q AS (SELECT qual, count(*) AS n, count(*) FILTER (NOT {_INDEL}) AS snps, count(*) FILTER ({_TS}) AS ts FROM br_variants GROUP BY qual)
+SELECT qual, {B("sum(n) OVER w")} AS cum_n, {B("sum(snps) OVER w")} AS cum_snps, {B("sum(ts) OVER w")} AS cum_ts FROM q WINDOW w AS (ORDER BY qual DESC)""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.qual_tstv_curve(v("br_variants"))
+
+
+@query("A19_indel_spectrum", f"SELECT {B('length(alt) - length(ref)')} AS size, {B('count(*)')} AS n, (length(alt) - length(ref)) % 3 = 0 AS inframe FROM br_variants WHERE {_INDEL} GROUP BY 1, 3")
+def _(v: Views) -> DataFrame:
+    return variants.indel_spectrum(v("br_variants"))
+
+
+@query(
+    "A41_neighbour_intervals",
+    f"""WITH p AS (SELECT chrom, pos, max(qual) AS v FROM br_variants GROUP BY chrom, pos), b AS (SELECT *, pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) AS gap FROM p)
+SELECT {B("count(*)")} AS n, {B("count(*) FILTER (v > 50)")} AS n_high, {B("sum(gap) FILTER (v > 50)")} AS length_high FROM b WHERE gap IS NOT NULL""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.neighbour_intervals(v("br_variants"), 50, "qual")
+
+
+@query(
+    "A56_joint_distribution",
+    f"""WITH c AS (SELECT least(9, {B("floor((greatest(5, least(95, qual)) - 5) * 10 / 90.0)")}) AS i, least(9, {B("floor((greatest(2, least(48, dp)) - 2) * 10 / 46.0)")}) AS j FROM br_variants)
+SELECT {B("i")} AS i, {B("j")} AS j, {B("count(*)")} AS n, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share FROM c GROUP BY 1, 2""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.joint_distribution(v("br_variants"), "qual", "dp", 10, (5, 2), (95, 48))
+
+
+@query("A58_scale_features", "SELECT var_id, round((greatest(10, least(90, qual)) - 10) / 80.0, 6) AS qual, round((greatest(5, least(45, dp)) - 5) / 40.0, 6) AS dp FROM br_variants")
+def _(v: Views) -> DataFrame:
+    return variants.scale_features(v("br_variants").select("var_id", "qual", "dp"), {"qual": (10.0, 90.0), "dp": (5.0, 45.0)})
+
+
+@query("X15_class_label", "SELECT var_id, CASE WHEN qual >= 70 AND dp >= 20 THEN 'good' WHEN qual < 20 THEN 'bad' ELSE 'unclassified' END AS label FROM br_variants")
+def _(v: Views) -> DataFrame:
+    return variants.class_label(v("br_variants")).select("var_id", "label")
+
+
+@query(
+    "C8_parameter_grid",
+    f"""WITH g AS (SELECT {B("t")} AS threshold, count(*) FILTER (qual >= t) / CAST(count(*) AS DOUBLE) AS share,
+  count(*) FILTER (qual >= t AND NOT {_INDEL} AND {_TS}) / CAST(nullif(count(*) FILTER (qual >= t AND NOT {_INDEL} AND NOT {_TS}), 0) AS DOUBLE) AS ratio FROM br_variants CROSS JOIN (VALUES (0), (20), (40), (60), (80)) x(t) GROUP BY t)
+SELECT threshold, round(share, 6) AS share, round(ratio, 6) AS ratio, threshold = (SELECT threshold FROM g WHERE share >= 0.3 ORDER BY ratio DESC NULLS LAST, threshold LIMIT 1) AS best FROM g""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.parameter_grid(v("br_variants"), "qual", [0, 20, 40, 60, 80], 0.3)
+
+
+# Call sets and genotypes
+
+
+@query("A24_venn_counts", f"WITH {_GROUPS} SELECT combination, {B('count(*)')} AS sites, {B('sum(n_calls - n_src)')} AS lost FROM comb GROUP BY combination")
+def _(v: Views) -> DataFrame:
+    return calls.venn_counts(v("br_calls"), 2)
+
+
+@query("U1_isec_at_least_two", f"WITH {_GROUPS} SELECT chrom, pos, combination FROM comb WHERE n_src >= 2")
+def _(v: Views) -> DataFrame:
+    return calls.isec(v("br_calls"), 2, "+", 2)
+
+
+@query("U1_complement", f"WITH {_GROUPS} SELECT chrom, pos FROM comb WHERE combination = '0'")
+def _(v: Views) -> DataFrame:
+    return calls.complement(v("br_calls"), 0, 2)
+
+
+@query(
+    "U4_merge_sets",
+    """WITH w AS (SELECT *, CASE src WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS w FROM br_calls)
+SELECT chrom, pos, allele, string_agg(DISTINCT CAST(src AS VARCHAR), ',' ORDER BY CAST(src AS VARCHAR)) AS sf, round(sum(qual * w) FILTER (qual > 0) / sum(w) FILTER (qual > 0), 6) AS qual FROM w GROUP BY chrom, pos, allele""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.merge_sets(v("br_calls"), {0: 3, 1: 2})
+
+
+@query(
+    "U5_list_status",
+    f"""WITH a AS (SELECT concat(chrom, ':', pos) AS k, count(*) AS n FROM br_calls WHERE src = 0 GROUP BY 1), b AS (SELECT concat(chrom, ':', pos) AS k, count(*) AS n FROM br_calls WHERE src = 1 GROUP BY 1)
+SELECT k, {B("coalesce(a.n, 0)")} AS n1, {B("coalesce(b.n, 0)")} AS n2, CASE WHEN b.n IS NULL THEN 'UNIQ1' WHEN a.n IS NULL THEN 'UNIQ2' ELSE 'ISECT' END AS status FROM a FULL JOIN b USING (k)""",
+)
+def _(v: Views) -> DataFrame:
+    keyed = v("br_calls").withColumn("k", F.concat("chrom", F.lit(":"), "pos"))
+    return calls.list_status(keyed.where("src = 0"), keyed.where("src = 1"), "k")
+
+
+@query("A20_allele_counts", f"SELECT site, {B('count(a1) + count(a2)')} AS an, {B('coalesce(sum(a1) + sum(a2), 0)')} AS ac FROM br_genotypes GROUP BY site")
+def _(v: Views) -> DataFrame:
+    return calls.allele_counts(v("br_genotypes"))
+
+
+@query(
+    "A21_inbreeding",
+    f"""WITH c AS (SELECT site, 2 * count(*) AS n, count(*) FILTER (a1 <> a2) AS het, sum(a1 + a2) AS ac FROM br_genotypes WHERE a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY site), p AS (SELECT *, CAST(ac AS DOUBLE) / n AS p FROM c)
+SELECT site, {B("n")} AS n, {B("het")} AS het, round(CASE WHEN p > 0 AND p < 1 THEN 1 - (2.0 * het / n) / (2 * p * (1 - p)) END, 6) AS icf FROM p""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.inbreeding(v("br_genotypes"))
+
+
+@query(
+    "A22_cohort_summary",
+    f"""SELECT site, cohort, {B("count(a1) + count(a2)")} AS an, {B("coalesce(sum(a1 + a2), 0)")} AS ac, {B("least(coalesce(sum(a1 + a2), 0), count(a1) + count(a2) - coalesce(sum(a1 + a2), 0))")} AS mac,
+ {B("count(*) FILTER (a1 + a2 = 0)")} AS hom_ref, {B("count(*) FILTER (a1 + a2 = 1)")} AS het, {B("count(*) FILTER (a1 + a2 = 2)")} AS hom_alt, round(avg(dp), 6) AS mean_dp FROM br_genotypes GROUP BY GROUPING SETS ((site, cohort), (site))""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.cohort_summary(v("br_genotypes"))
+
+
+@query(
+    "A16_sample_stats",
+    f"""WITH s AS (SELECT site, count(*) FILTER (a1 + a2 > 0) AS n_alt FROM br_genotypes GROUP BY site)
+SELECT sample, {B("count(*) FILTER (a1 + a2 = 0)")} AS hom_rr, {B("count(*) FILTER (a1 + a2 = 1)")} AS het_ra, {B("count(*) FILTER (a1 + a2 = 2)")} AS hom_aa, {B("count(*) FILTER (a1 + a2 IS NULL)")} AS missing, {B("sum(phased)")} AS phased,
+ {B("count(*) FILTER (a1 + a2 > 0 AND n_alt = 1)")} AS private FROM br_genotypes JOIN s USING (site) GROUP BY sample""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.sample_stats(v("br_genotypes"))
+
+
+@query(
+    "A23_concordance",
+    f"""WITH a AS (SELECT site, sample, concat(least(a1, a2), '/', greatest(a1, a2)) AS g1 FROM br_genotypes WHERE a1 IS NOT NULL AND dp < 40),
+b AS (SELECT site, sample, concat(least(b1, b2), '/', greatest(b1, b2)) AS g2 FROM (SELECT site, sample, CASE WHEN dp % 5 = 0 THEN 1 - a1 ELSE a1 END AS b1, a2 AS b2, dp FROM br_genotypes WHERE a1 IS NOT NULL AND dp > 10))
+SELECT sample, {B("count(*) FILTER (g1 = g2)")} AS match, {B("count(*) FILTER (g1 <> g2)")} AS mismatch, {B("count(*) FILTER (g2 IS NULL)")} AS lost, {B("count(*) FILTER (g1 IS NULL)")} AS gained FROM a FULL JOIN b USING (site, sample) GROUP BY sample""",
+)
+def _(v: Views) -> DataFrame:
+    g = v("br_genotypes")
+    return calls.concordance(g.where("dp < 40"), g.where("dp > 10").withColumn("a1", F.when(F.col("dp") % 5 == 0, 1 - F.col("a1")).otherwise(F.col("a1"))))
+
+
+@query(
+    "A25_genotype_identity",
+    f"SELECT a.sample, b.sample AS candidate, {B('count(*)')} AS compared, {B('count(*) FILTER (a.a1 + a.a2 = b.a1 + b.a2)')} AS matching FROM br_genotypes a JOIN br_genotypes b USING (site) WHERE a.a1 IS NOT NULL AND b.a1 IS NOT NULL GROUP BY a.sample, b.sample",
+)
+def _(v: Views) -> DataFrame:
+    return calls.genotype_identity(v("br_genotypes"), v("br_genotypes"))
+
+
+@query(
+    "C1_sample_contrast",
+    f"""WITH x AS (SELECT site, bool_or(sample = 'S1' AND coalesce(a1 + a2 > 0, false)) AS novel, bool_or(sample <> 'S1' AND coalesce(a1 + a2 > 0, false)) AS known, count(*) FILTER (sample <> 'S1' AND dp >= 5 AND a1 IS NOT NULL) AS nb, min(dp) FILTER (sample <> 'S1') AS md
+ FROM br_genotypes WHERE sample IN ('S1', 'S2', 'S3') GROUP BY site) SELECT site, {B("nb")} AS n_background, {B("md")} AS min_background_dp FROM x WHERE novel AND NOT known AND nb >= 1""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.sample_contrast(v("br_genotypes"), "S1", ["S2", "S3"], 5)
+
+
+@query("P11_variant_subset", f"SELECT site, {B('''count(*) FILTER (a1 + a2 > 0 AND sample IN ('S1', 'S4'))''')} AS inside, {B('''count(*) FILTER (a1 + a2 > 0 AND sample NOT IN ('S1', 'S4'))''')} AS outside FROM br_genotypes GROUP BY site HAVING count(*) FILTER (a1 + a2 > 0 AND sample IN ('S1', 'S4')) > 0")
+def _(v: Views) -> DataFrame:
+    return calls.variant_subset(v("br_genotypes"), ["S1", "S4"])
+
+
+@query("A48_recurrence", f"SELECT site, {B('count(DISTINCT sample)')} AS n_samples FROM br_genotypes WHERE a1 + a2 > 0 GROUP BY site")
+def _(v: Views) -> DataFrame:
+    return calls.recurrence(v("br_genotypes"))
+
+
+@query("X4_decode_genotypes", "SELECT site, sample, CASE WHEN a1 IS NULL OR a2 IS NULL THEN './.' ELSE concat(a1, CASE WHEN phased = 1 THEN '|' ELSE '/' END, a2) END AS gt FROM br_genotypes")
+def _(v: Views) -> DataFrame:
+    return calls.decode_genotypes(v("br_genotypes")).select("site", "sample", "gt")
+
+
+# Versioned tables
+
+_LATEST = "latest AS (SELECT * FROM br_history QUALIFY row_number() OVER (PARTITION BY obj_id ORDER BY changed DESC, row_id DESC) = 1)"
+_NOON = "TIMESTAMP '2024-01-10 00:00:00'"
+
+
+def _when():
+    return F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+
+
+@query("M1_latest", f"WITH {_LATEST} SELECT obj_id, row_id, state, processed FROM latest")
+def _(v: Views) -> DataFrame:
+    return history.latest(v("br_history")).select("obj_id", "row_id", "state", "processed")
+
+
+@query("M2_as_of", f"SELECT obj_id, row_id, state FROM br_history WHERE changed < {_NOON} QUALIFY row_number() OVER (PARTITION BY obj_id ORDER BY changed DESC, row_id DESC) = 1")
+def _(v: Views) -> DataFrame:
+    return history.as_of(v("br_history"), _when()).select("obj_id", "row_id", "state")
+
+
+@query("M3_append_versions", f"WITH {_LATEST} SELECT obj_id, row_id, state FROM br_history UNION ALL SELECT obj_id, row_id + 10000000, 'click' FROM latest WHERE obj_id % 2 = 0 AND state IS DISTINCT FROM 'click'")
+def _(v: Views) -> DataFrame:
+    now = history.latest(v("br_history"))
+    updates = now.select("obj_id", F.when(F.col("obj_id") % 2 == 0, F.col("row_id")).otherwise(-1).alias("based_on"), F.lit("click").alias("state"), (F.col("row_id") + 10_000_000).alias("row_id"), "changed")
+    return history.append_versions(v("br_history"), updates).select("obj_id", "row_id", "state")
+
+
+@query("M4_versions", f"SELECT obj_id, row_id, {B('row_number() OVER (PARTITION BY obj_id ORDER BY changed, row_id)')} AS version FROM br_history")
+def _(v: Views) -> DataFrame:
+    return history.versions(v("br_history")).select("obj_id", "row_id", "version")
+
+
+@query("M5_changed_since", f"WITH {_LATEST}, old AS (SELECT obj_id, state FROM br_history WHERE changed < {_NOON} QUALIFY row_number() OVER (PARTITION BY obj_id ORDER BY changed DESC, row_id DESC) = 1) SELECT obj_id, latest.state AS now, old.state AS before FROM latest LEFT JOIN old USING (obj_id) WHERE latest.state IS DISTINCT FROM old.state")
+def _(v: Views) -> DataFrame:
+    return history.changed_since(v("br_history"), _when())
+
+
+@query("M7_ambiguous_values", f"SELECT state, {B('count(DISTINCT obj_id)')} AS n_keys FROM br_history GROUP BY state HAVING count(DISTINCT obj_id) > 1")
+def _(v: Views) -> DataFrame:
+    return history.ambiguous_values(v("br_history"), "state", "obj_id")
+
+
+@query("M8_flagged", f"WITH {_LATEST} SELECT obj_id, row_id, processed FROM latest WHERE processed & 5 = 5")
+def _(v: Views) -> DataFrame:
+    return history.flagged(v("br_history"), 5).select("obj_id", "row_id", "processed")
+
+
+@query("W7_state_change", f"WITH {_LATEST} SELECT obj_id, l.state AS current, max(h.changed) FILTER (h.state IS DISTINCT FROM l.state) AS last_other FROM br_history h JOIN latest l USING (obj_id) GROUP BY obj_id, l.state")
+def _(v: Views) -> DataFrame:
+    return history.state_change(v("br_history"))
+
+
+@query("W7_was_processed", "WITH o AS (SELECT obj_id, max({'changed': changed, 'row_id': row_id}) FILTER (processed & 4 = 0) AS f FROM br_history GROUP BY obj_id) SELECT obj_id, min(changed) AS since FROM br_history JOIN o USING (obj_id) WHERE f IS NULL OR {'changed': changed, 'row_id': row_id} > f GROUP BY obj_id")
+def _(v: Views) -> DataFrame:
+    return history.was_processed(v("br_history"), 4)
+
+
+@query("W8_first_seen", "SELECT obj_id, min(changed) AS first_seen FROM br_history GROUP BY obj_id")
+def _(v: Views) -> DataFrame:
+    return history.first_seen(v("br_history"))
+
+
+# Hierarchy and reports
+
+
+@query("J1_hierarchy_join", "SELECT lane_id, library_id, sample, project, raw_reads, raw_bases FROM br_lanes")
+def _(v: Views) -> DataFrame:
+    return reports.hierarchy_join(v("lineitem"), v("supplier"), v("nation"), v("region"))
+
+
+@query("J10_missing_children", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def _(v: Views) -> DataFrame:
+    return reports.missing_children(v("customer").select("c_custkey"), v("orders"), "c_custkey", "o_custkey")
+
+
+@query("A33_coverage_by_level", f"SELECT project, sample, library_id, {B('sum(raw_bases)')} AS raw_bases, round(sum(raw_bases) / 100000.0, 6) AS coverage FROM br_lanes WHERE qc_status <> 'failed' GROUP BY ROLLUP (project, sample, library_id)")
+def _(v: Views) -> DataFrame:
+    return reports.coverage_by_level(v("br_lanes"), 100_000)
+
+
+@query("A34_status_matrix", "SELECT project, sample, " + ", ".join(f"CAST(count(*) FILTER (qc_status = '{s}') AS BIGINT) AS n_{s}, CAST(coalesce(sum(raw_bases) FILTER (qc_status = '{s}'), 0) AS BIGINT) AS bases_{s}" for s in ("passed", "failed", "pending", "no_qc")) + " FROM br_lanes GROUP BY project, sample")
+def _(v: Views) -> DataFrame:
+    return reports.status_matrix(v("br_lanes"))
+
+
+@query("A35_yield_by_month", f"SELECT {B('year(run_date) * 100 + month(run_date)')} AS month, {B('count(*)')} AS n_lanes, {B('sum(raw_bases)')} AS bases FROM br_lanes GROUP BY 1")
+def _(v: Views) -> DataFrame:
+    return reports.yield_by_month(v("br_lanes"))
+
+
+@query("A36_finished_samples", f"SELECT sample, {B('sum(raw_bases)')} AS bases FROM br_lanes GROUP BY sample HAVING sum(raw_bases) >= 50000")
+def _(v: Views) -> DataFrame:
+    return reports.finished_samples(v("br_lanes"), 50_000)
+
+
+@query("A37_auto_qc", "SELECT lane_id, raw_reads >= 50 AS enough, raw_bases / CAST(raw_reads AS DOUBLE) >= 25 AS long_enough, qc_status <> 'failed' AS not_failed, raw_reads >= 50 AND raw_bases / CAST(raw_reads AS DOUBLE) >= 25 AND qc_status <> 'failed' AS verdict FROM br_lanes")
+def _(v: Views) -> DataFrame:
+    return reports.auto_qc(v("br_lanes"), 50, 25.0)
+
+
+@query("A38_mapping_report", f"SELECT rg, {B('count(*)')} AS n, round(100.0 * count(*) FILTER (flag & 4 = 0) / count(*), 6) AS pct_mapped, round(100.0 * count(*) FILTER (flag & 2 <> 0) / count(*), 6) AS pct_proper, round(100.0 * count(*) FILTER (flag & 1024 <> 0) / count(*), 6) AS pct_dup FROM br_reads GROUP BY rg")
+def _(v: Views) -> DataFrame:
+    return reports.mapping_report(v("br_reads"))
+
+
+@query("A40_usage_rollup", f"WITH x AS (SELECT project, qc_status, sum(raw_bases) AS bases, count(*) AS n FROM br_lanes GROUP BY ROLLUP (project, qc_status)) SELECT project, qc_status, {B('bases')} AS bases, {B('n')} AS n, round(bases / CAST(max(bases) OVER () AS DOUBLE), 6) AS share FROM x")
+def _(v: Views) -> DataFrame:
+    return reports.usage_rollup(v("br_lanes"))
+
+
+@query("A47_most_common_value", f"SELECT sample, {B('n')} AS n, qc_status FROM (SELECT sample, qc_status, count(*) AS n FROM br_lanes GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY sample ORDER BY n DESC, qc_status) = 1")
+def _(v: Views) -> DataFrame:
+    return reports.most_common_value(v("br_lanes"), "sample", "qc_status")
+
+
+@query("C9_release_selection", "SELECT lane_id, sample FROM br_lanes l WHERE qc_status = 'passed' AND NOT EXISTS (SELECT 1 FROM br_lanes f WHERE f.project = l.project AND f.sample = l.sample AND f.qc_status = 'failed' AND f.raw_bases < 1800)")
+def _(v: Views) -> DataFrame:
+    lanes = v("br_lanes").withColumn("qc_status", F.when((F.col("qc_status") == "failed") & (F.col("raw_bases") >= 1800), "pending").otherwise(F.col("qc_status")))
+    return reports.release_selection(lanes).select("lane_id", "sample")
+
+
+@query("M6_descendants", "SELECT 'sample' AS level, sample AS id FROM br_lanes WHERE project = 'ASIA' UNION SELECT 'library', CAST(library_id AS VARCHAR) FROM br_lanes WHERE project = 'ASIA' UNION SELECT 'lane', CAST(lane_id AS VARCHAR) FROM br_lanes WHERE project = 'ASIA'")
+def _(v: Views) -> DataFrame:
+    return reports.descendants(v("br_lanes"), "ASIA")
+
+
+@query("M9_paths", "SELECT lane_id, concat_ws('/', project, translate(sample, ' ', '_'), library_id, lane_id) AS path FROM br_lanes")
+def _(v: Views) -> DataFrame:
+    return reports.paths(v("br_lanes"))
+
+
+@query("U6_sync_tables", "SELECT o_custkey AS k, 'insert' AS action FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0) GROUP BY 1 UNION ALL SELECT c_custkey, 'delete' FROM customer WHERE c_custkey % 4 <> 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def _(v: Views) -> DataFrame:
+    return reports.sync_tables(v("orders").select(F.col("o_custkey").alias("k")), v("customer").where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query("J19_imported_counts", f"WITH a AS (SELECT rg, count(*) AS n, sum(seq_len) AS b FROM br_reads GROUP BY rg), c AS (SELECT rg, count(*) AS n, sum(seq_len) AS b FROM br_reads WHERE rg <> 'rg3' OR flag & 4 = 0 GROUP BY rg) SELECT rg, {B('a.n')} AS n_reads, {B('a.b')} AS n_bases, {B('c.n')} AS new_reads, {B('c.b')} AS new_bases, a.n IS NOT DISTINCT FROM c.n AND a.b IS NOT DISTINCT FROM c.b AS agree FROM a FULL JOIN c USING (rg)")
+def _(v: Views) -> DataFrame:
+    r = v("br_reads")
+    count = lambda df, n, b: df.groupBy("rg").agg(F.count("*").alias(n), F.sum("seq_len").alias(b))
+    return reports.imported_counts(count(r, "n_reads", "n_bases"), count(r.where("rg <> 'rg3' OR flag & 4 = 0"), "new_reads", "new_bases"), "rg")
+
+
+@query("O6_page", "SELECT var_id, chrom, pos FROM br_variants WHERE chrom = 'chr3' ORDER BY pos, var_id LIMIT 25 OFFSET 50")
+def _(v: Views) -> DataFrame:
+    return reports.page(v("br_variants").where("chrom = 'chr3'").select("var_id", "chrom", "pos"), ["pos", "var_id"], 50, 25)
+
+
+@query("O1_natural_order", "SELECT * FROM br_variants")
+def _(v: Views) -> DataFrame:
+    return reports.natural_order(v("br_variants"))
+
+
+# Sequences, qualities, ranks
+
+_COUNT = "length(seq) - length(translate(seq, '{}', ''))"
+
+
+@query("A7_gc_histogram", f"SELECT {B(_COUNT.format('GC'))} AS gc, {B('count(*)')} AS n FROM br_fastq GROUP BY 1")
+def _(v: Views) -> DataFrame:
+    return sequences.gc_histogram(v("br_fastq"))
+
+
+@query("P15_length_filter", "SELECT rec_no, name FROM br_fastq WHERE length(seq) >= 1000")
+def _(v: Views) -> DataFrame:
+    return sequences.length_filter(v("br_fastq"), 1000).select("rec_no", "name")
+
+
+@query("P16_id_list_filter", "SELECT rec_no, name FROM br_fastq WHERE name NOT IN (SELECT concat('d', l_orderkey) FROM lineitem WHERE l_quantity > 25)")
+def _(v: Views) -> DataFrame:
+    ids = v("lineitem").where("l_quantity > 25").select(F.concat(F.lit("d"), "l_orderkey").alias("name"))
+    return sequences.id_list_filter(v("br_fastq"), ids, keep=False).select("rec_no", "name")
+
+
+@query("A29_tag_fraction", f"SELECT tag, round(100.0 * n / total, 6) AS percent FROM (SELECT substr(seq, 1, 3) AS tag, count(*) AS n, sum(count(*)) OVER () AS total FROM br_fastq GROUP BY 1) ORDER BY n DESC, tag LIMIT 1")
+def _(v: Views) -> DataFrame:
+    return sequences.tag_fraction(v("br_fastq"), 3)
+
+
+@query(
+    "A31_assembly_stats",
+    f"""WITH o AS (SELECT length(seq) AS len, row_number() OVER (ORDER BY length(seq) DESC, rec_no) AS l, sum(length(seq)) OVER (ORDER BY length(seq) DESC, rec_no) AS cum, sum(length(seq)) OVER () AS total FROM br_fastq)
+SELECT {B("p")} AS percent, {B("max(len) FILTER (cum * 100 >= total * p)")} AS n_len, {B("min(l) FILTER (cum * 100 >= total * p)")} AS l_count FROM o CROSS JOIN (VALUES (50), (75), (90)) x(p) GROUP BY p""",
+)
+def _(v: Views) -> DataFrame:
+    return sequences.assembly_stats(v("br_fastq"), [50, 75, 90])
+
+
+@query("A32_gc_windows", f"WITH w AS (SELECT substr(seq, k * 60 + 1, 60) AS seq FROM (SELECT seq, unnest(range(CAST(floor(length(seq) / 60.0) AS BIGINT))) AS k FROM br_fastq)) SELECT {B(_COUNT.format('GC'))} AS gc, {B('count(*)')} AS n FROM w GROUP BY 1")
+def _(v: Views) -> DataFrame:
+    return sequences.gc_windows(v("br_fastq"), 60)
+
+
+@query(
+    "A44_clip_point",
+    """WITH s AS (SELECT regexp_replace(seq, '[^ACGT]', 'N', 'gs') AS s FROM br_fastq), f AS (SELECT s, strpos(s, 'N') AS a FROM s), p AS (SELECT CASE WHEN a > 0 AND strpos(substr(s, a + 1), 'N') > 0 THEN a + strpos(substr(s, a + 1), 'N') ELSE 0 END AS p FROM f),
+c AS (SELECT p, count(*) AS n FROM p GROUP BY p), r AS (SELECT p, sum(n) OVER (ORDER BY p) AS cum FROM c WHERE p > 0) SELECT CAST(coalesce(min(p) - 1, -1) AS BIGINT) AS clip FROM r WHERE cum > 0.9 * (SELECT sum(n) FROM c)""",
+)
+def _(v: Views) -> DataFrame:
+    return sequences.clip_point(v("br_fastq"))
+
+
+@query("W17_chunk_by_bases", f"SELECT rec_no, {B('floor(coalesce(sum(length(seq)) OVER (ORDER BY rec_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100000.0)')} AS chunk FROM br_fastq")
+def _(v: Views) -> DataFrame:
+    return sequences.chunk_by_bases(v("br_fastq"), 100_000).select("rec_no", "chunk")
+
+
+@query("X8_reverse_complement", "SELECT rec_no, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM br_fastq")
+def _(v: Views) -> DataFrame:
+    return v("br_fastq").select("rec_no", sequences.reverse_complement(F.col("seq")).alias("rc"))
+
+
+@query("P18_evenly_spaced", "WITH n AS (SELECT greatest(1, count(*) // 100) AS k FROM br_fastq) SELECT rec_no, name FROM br_fastq CROSS JOIN n WHERE rec_no % k = 0 AND rec_no > 0")
+def _(v: Views) -> DataFrame:
+    return variants.evenly_spaced(v("br_fastq"), "rec_no", 100).select("rec_no", "name")
+
+
+@query("A42_position_quality", f"SELECT mate, cycle, {B('count(*)')} AS n, round(avg(qual), 6) AS mean_qual FROM br_quality GROUP BY mate, cycle")
+def _(v: Views) -> DataFrame:
+    return sequences.position_quality(v("br_quality"))
+
+
+@query("A53_quality_map", f"WITH x AS (SELECT cycle, qual, count(*) AS n, count(*) * pow(10.0, -qual / 10.0) AS errors FROM br_quality GROUP BY cycle, qual) SELECT cycle, qual, {B('n')} AS n, round(errors, 6) AS errors, {B('floor(-10 * log10(errors / n) + 0.5)')} AS new_qual FROM x")
+def _(v: Views) -> DataFrame:
+    return sequences.quality_map(v("br_quality"))
+
+
+@query("W9_rank_average", "SELECT var_id, qual, round(rank() OVER (ORDER BY qual) + (count(*) OVER (PARTITION BY qual) - 1) / 2.0, 6) AS rank_avg FROM br_variants")
+def _(v: Views) -> DataFrame:
+    return stats.rank_average(v("br_variants").select("var_id", "qual"), "qual").select("var_id", "qual", "rank_avg")
+
+
+@query("A50_mann_whitney", f"WITH r AS (SELECT {_INDEL} AS a, rank() OVER (ORDER BY qual) + (count(*) OVER (PARTITION BY qual) - 1) / 2.0 AS r FROM br_variants), s AS (SELECT count(*) FILTER (a) AS na, count(*) FILTER (NOT a) AS nb, sum(r) FILTER (a) AS ra FROM r) SELECT {B('na')} AS n_a, {B('nb')} AS n_b, round(ra - na * (na + 1) / 2.0, 6) AS u_a, round(na * nb - (ra - na * (na + 1) / 2.0), 6) AS u_b FROM s")
+def _(v: Views) -> DataFrame:
+    return stats.mann_whitney(v("br_variants").withColumn("a", variants.is_indel()), "qual", "a")
+
+
+@query("W6_peak_window", f"WITH h AS (SELECT mapq AS bin, count(*) AS freq FROM br_reads GROUP BY mapq), m AS (SELECT bin AS mode FROM h ORDER BY freq DESC, bin LIMIT 1) SELECT mode, {B('sum(freq)')} AS total, round(coalesce(sum(freq) FILTER (bin >= mode * 0.75 AND bin <= mode * 1.25), 0) / CAST(sum(freq) AS DOUBLE), 6) AS share FROM h CROSS JOIN m GROUP BY mode")
+def _(v: Views) -> DataFrame:
+    return stats.peak_window(v("br_reads").groupBy(F.col("mapq").alias("bin")).agg(F.count("*").alias("freq")), 0.25)
