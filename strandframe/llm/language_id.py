@@ -9,7 +9,6 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Labelled texts in a language's dictionary, the longest that is taken (characters), and the dictionary's bytes.
 SAMPLE_TEXTS = 400
@@ -38,15 +37,22 @@ def train_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: st
     texts count once; without usable rows there are no languages."""
     rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0) & (F.length(text_col) <= SAMPLE_CHARS))
     keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"))
-    most = keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    langs = [r["lang"] for r in most.collect()]
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = keyed.where(F.col("lang").isin(langs)).distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_TEXTS).collect()
-    keys = sorted({r["h"] for r in chosen})
+    most = {r["lang"]: r["count"] for r in keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    langs = sorted(most)
+    if not langs:
+        return {}
+    # Hashes spread evenly, so a bound on them keeps about twice the texts wanted; the smallest hashes of these are taken.
+    bounds = {x: min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, 2 * SAMPLE_TEXTS / n))) for x, n in most.items()}
+    bound = F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair))[F.col("lang")]
+    found: dict[str, list[int]] = {x: [] for x in langs}
+    for r in keyed.where(F.col("h") <= bound).distinct().collect():
+        found[r["lang"]].append(r["h"])
+    chosen = {x: sorted(h)[:SAMPLE_TEXTS] for x, h in found.items()}
+    keys = sorted({h for some in chosen.values() for h in some})
     texts = rows.where(F.xxhash64(text_col).isin(keys)).groupBy(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h")).agg(F.min(text_col).alias("text")).collect() if keys else []
     out: dict[str, bytes] = {}
-    for lang in sorted(langs):
-        mine = sorted((r["h"], r["text"]) for r in texts if r["lang"] == lang)
+    for lang in langs:
+        mine = sorted((r["h"], r["text"]) for r in texts if r["lang"] == lang and r["h"] in set(chosen[lang]))
         joined = b"".join(words_of(text) for _, text in mine)
         if joined.strip():
             out[lang] = joined[-DICTIONARY_BYTES:]
