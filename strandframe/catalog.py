@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType
 from .bridge import view, with_views
 from .functions import alignments
 from .operators import calls, history, intervals, reads, reports, sequences, stats, variants
+from .streaming import tracking
 
 Views = Callable[[str], DataFrame]
 CATALOG: dict[str, tuple[Callable[[Views], DataFrame], str]] = {}
@@ -860,3 +861,30 @@ def _(v: Views) -> DataFrame:
 @query("W6_peak_window", f"WITH h AS (SELECT mapq AS bin, count(*) AS freq FROM br_reads GROUP BY mapq), m AS (SELECT bin AS mode FROM h ORDER BY freq DESC, bin LIMIT 1) SELECT mode, {B('sum(freq)')} AS total, round(coalesce(sum(freq) FILTER (bin >= mode * 0.75 AND bin <= mode * 1.25), 0) / CAST(sum(freq) AS DOUBLE), 6) AS share FROM h CROSS JOIN m GROUP BY mode")
 def _(v: Views) -> DataFrame:
     return stats.peak_window(v("br_reads").groupBy(F.col("mapq").alias("bin")).agg(F.count("*").alias("freq")), 0.25)
+
+
+# Streams, in their batch form (tests run them as streams)
+
+
+def _changes(v: Views) -> DataFrame:
+    return v("br_history").withColumn("changed", F.col("changed").cast("timestamp"))
+
+
+@query("T1_new_items_per_window", f"WITH f AS (SELECT obj_id, min(changed) AS c FROM br_history GROUP BY obj_id) SELECT CAST(time_bucket(INTERVAL 7 DAY, c, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS window_start, {B('count(*)')} AS n FROM f GROUP BY 1")
+def _(v: Views) -> DataFrame:
+    return tracking.new_items_per_window(_changes(v)).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("T2_latest_state", f"WITH {_LATEST} SELECT obj_id, state, changed FROM latest")
+def _(v: Views) -> DataFrame:
+    return tracking.latest_state(_changes(v)).withColumn("changed", F.col("changed").cast("timestamp_ntz"))
+
+
+@query(
+    "T3_activity_sessions",
+    f"""WITH a AS (SELECT obj_id, changed, CASE WHEN changed - lag(changed) OVER (PARTITION BY obj_id ORDER BY changed) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS f FROM br_history), b AS (SELECT *, sum(f) OVER (PARTITION BY obj_id ORDER BY changed ROWS UNBOUNDED PRECEDING) AS g FROM a)
+SELECT obj_id, min(changed) AS session_start, max(changed) + INTERVAL 12 HOUR AS session_end, {B("count(*)")} AS n FROM b GROUP BY obj_id, g""",
+)
+def _(v: Views) -> DataFrame:
+    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
+    return tracking.activity_sessions(_changes(v), "12 hours").withColumns(ntz)
