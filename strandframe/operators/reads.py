@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..plans.prefix import running
+from ..plans.prefix import block_of, running
 from ..plans.ranges import overlap_join
 from .stats import histogram_stats
 
@@ -103,13 +103,18 @@ def insert_size_histogram(reads: DataFrame, cap: int, bulk: float = 0.99) -> Dat
 
 
 def depth_segments(reads: DataFrame) -> DataFrame:
-    """Stretches of equal depth (chrom, start_pos, end_pos, depth > 0) of mapped reads, by a two-level running sum of starts and ends."""
+    """Stretches of equal depth (chrom, start_pos, end_pos, depth > 0) of mapped reads, by a running sum of starts and ends in blocks
+    of positions; blocks' sums and first positions, few, run along the chromosome."""
     mapped = reads.where(~has(UNMAPPED))
     events = mapped.select("chrom", F.col("pos").alias("p"), F.lit(1).alias("d")).union(mapped.select("chrom", (F.col("pos") + F.col("seq_len")).alias("p"), F.lit(-1).alias("d")))
-    steps = events.groupBy("chrom", "p").agg(F.sum("d").alias("d"))
-    depth = running(steps, ["chrom"], "p", ["p"], F.col("d"), "depth", "sum")
-    later = running(depth.withColumn("np", -F.col("p")), ["chrom"], "np", ["np"], F.col("p"), "next_p", "min", inclusive=False)
-    return later.where("depth > 0").select("chrom", F.col("p").alias("start_pos"), (F.col("next_p") - 1).alias("end_pos"), "depth")
+    steps = events.groupBy("chrom", "p").agg(F.sum("d").alias("d")).withColumn("_block", block_of(F.col("p")))
+    along = Window.partitionBy("chrom").orderBy("_block")
+    blocks = steps.groupBy("chrom", "_block").agg(F.sum("d").alias("_sum"), F.min("p").alias("_first"))
+    blocks = blocks.select("chrom", "_block", F.coalesce(F.sum("_sum").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lead("_first").over(along).alias("_next"))
+    inside = Window.partitionBy("chrom", "_block").orderBy("p")
+    depth = steps.withColumns({"_depth": F.sum("d").over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_lead": F.lead("p").over(inside)}).join(blocks, ["chrom", "_block"])
+    segments = depth.select("chrom", F.col("p").alias("start_pos"), (F.coalesce("_lead", "_next") - 1).alias("end_pos"), (F.col("_before") + F.col("_depth")).alias("depth"))
+    return segments.where("depth > 0")
 
 
 def coverage_histogram(segments: DataFrame, low: int, high: int, step: int) -> DataFrame:
