@@ -888,3 +888,112 @@ SELECT obj_id, min(changed) AS session_start, max(changed) + INTERVAL 12 HOUR AS
 def _(v: Views) -> DataFrame:
     ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
     return tracking.activity_sessions(_changes(v), "12 hours").withColumns(ntz)
+
+
+# Further operators
+
+
+@query("O4_top_rows", f"SELECT var_id, chrom, qual, {B('place')} AS place FROM (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY qual DESC, var_id) AS place FROM br_variants) WHERE place <= 10")
+def _(v: Views) -> DataFrame:
+    return variants.top_rows(v("br_variants"), "chrom", [F.desc("qual"), "var_id"], 10).select("var_id", "chrom", "qual", "place")
+
+
+@query("W11_top_hits_per_read", f"SELECT qname, read_id, {B('place')} AS place FROM (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY read_id, pos, chrom) AS place FROM br_reads) WHERE place <= 2")
+def _(v: Views) -> DataFrame:
+    return variants.top_rows(v("br_reads"), "qname", ["read_id", "pos", "chrom"], 2).select("qname", "read_id", "place")
+
+
+@query("X3_unify_ref", "WITH x AS (SELECT *, CASE WHEN var_id % 4 = 0 THEN 'ACGT' ELSE 'AC' END AS r, CASE WHEN var_id % 3 = 0 THEN '<DEL>' ELSE alt END AS a FROM br_variants), m AS (SELECT chrom, pos, max(r) AS l FROM x GROUP BY chrom, pos) SELECT var_id, l AS ref, CASE WHEN a = '<DEL>' THEN a ELSE concat(a, substr(l, length(r) + 1)) END AS alt FROM x JOIN m USING (chrom, pos)")
+def _(v: Views) -> DataFrame:
+    made = v("br_variants").withColumn("ref", F.when(F.col("var_id") % 4 == 0, "ACGT").otherwise("AC")).withColumn("alt", F.when(F.col("var_id") % 3 == 0, "<DEL>").otherwise(F.col("alt")))
+    return variants.unify_ref(made).select("var_id", "ref", "alt")
+
+
+@query("P20_dbsnp_export", f"SELECT *, {B(f'CASE WHEN {_INDEL} THEN 2 ELSE 1 END')} AS vrt FROM br_variants WHERE length(ref) <= 50 AND length(alt) <= 50")
+def _(v: Views) -> DataFrame:
+    return variants.dbsnp_export(v("br_variants"))
+
+
+@query("A55_annotation_distribution", f"WITH c AS (SELECT qual AS value, count(*) AS n FROM br_variants GROUP BY qual) SELECT value, {B('n')} AS n, round(CAST(sum(n) OVER (ORDER BY value) AS DOUBLE) / sum(n) OVER (), 6) AS cum_share FROM c")
+def _(v: Views) -> DataFrame:
+    return variants.annotation_distribution(v("br_variants"), "qual")
+
+
+@query("A57_tstv_by_bin", f"SELECT filt, {B('floor(qual / 25.0) * 25')} AS bin, {B(f'count(*) FILTER (NOT {_INDEL} AND ref <> alt AND {_TS})')} AS ts, {B(f'count(*) FILTER (NOT {_INDEL} AND ref <> alt AND NOT {_TS})')} AS tv FROM br_variants GROUP BY 1, 2")
+def _(v: Views) -> DataFrame:
+    return variants.tstv_by_bin(v("br_variants"), "filt", "qual", 25)
+
+
+@query("X14_validate", f"WITH x AS (SELECT *, count(*) OVER (PARTITION BY chrom, pos) AS n FROM br_variants) SELECT var_id, 'quality' AS problem FROM x WHERE qual < 1 UNION ALL SELECT var_id, 'repeated_position' FROM x WHERE n > 1 UNION ALL SELECT var_id, 'equal_alleles' FROM x WHERE ref = alt")
+def _(v: Views) -> DataFrame:
+    return variants.validate(v("br_variants"))
+
+
+@query("P3_sample_subset", "SELECT * FROM br_genotypes WHERE sample NOT IN ('S1', 'S2')")
+def _(v: Views) -> DataFrame:
+    return calls.sample_subset(v("br_genotypes"), ["S1", "S2"], exclude=True)
+
+
+_CELL = "coalesce(max(CASE WHEN sample = '{0}' THEN CASE WHEN a1 IS NULL OR a2 IS NULL THEN 'NN' ELSE concat(a1, a2) END END), 'NN') AS {0}"
+
+
+@query("K6_wide_genotypes", "SELECT site, " + ", ".join(_CELL.format(f"S{i}") for i in range(12)) + " FROM br_genotypes GROUP BY site")
+def _(v: Views) -> DataFrame:
+    return calls.wide_genotypes(v("br_genotypes"), [f"S{i}" for i in range(12)])
+
+
+@query(
+    "A26_genotype_status",
+    """WITH i AS (SELECT a.sample, b.sample AS candidate, CAST(count(*) FILTER (a.a1 + a.a2 = b.a1 + b.a2) AS DOUBLE) / count(*) AS share FROM br_genotypes a JOIN br_genotypes b USING (site) WHERE a.a1 IS NOT NULL AND b.a1 IS NOT NULL GROUP BY a.sample, b.sample),
+p AS (SELECT sample, max(share) AS best, max(share) FILTER (candidate = sample) AS own, list_reverse_sort(list(share))[2] AS second FROM i GROUP BY sample)
+SELECT sample, round(best, 6) AS best, CASE WHEN own = best THEN 'confirmed' WHEN best < 1.1 * second THEN 'unconfirmed' ELSE 'wrong' END AS status FROM p""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.genotype_status(calls.genotype_identity(v("br_genotypes"), v("br_genotypes")), 1.1)
+
+
+@query("W18_single_hits", "SELECT * FROM br_reads WHERE qname IN (SELECT qname FROM br_reads GROUP BY qname HAVING count(*) = 1)")
+def _(v: Views) -> DataFrame:
+    return reads.single_hits(v("br_reads"))
+
+
+@query("J15_unaligned", "SELECT rec_no, name FROM br_fastq WHERE name NOT IN (SELECT replace(qname, 'q', 'd') FROM br_reads)")
+def _(v: Views) -> DataFrame:
+    return reads.unaligned(v("br_fastq"), v("br_reads").withColumn("qname", F.translate("qname", "q", "d"))).select("rec_no", "name")
+
+
+@query("J16_similar_alignments", "WITH a AS (SELECT qname, chrom, pos FROM br_reads WHERE mapq > 0), b AS (SELECT qname, chrom, CASE WHEN nm = 0 THEN pos + 1 ELSE pos END AS pos FROM br_reads WHERE mapq > 0) SELECT *, 'a' AS side FROM (FROM a EXCEPT ALL FROM b) UNION ALL SELECT *, 'b' FROM (FROM b EXCEPT ALL FROM a)")
+def _(v: Views) -> DataFrame:
+    moved = v("br_reads").withColumn("pos", F.when(F.col("nm") == 0, F.col("pos") + 1).otherwise(F.col("pos")))
+    return reads.similar_alignments(v("br_reads"), moved)
+
+
+@query("C11_merge_up", f"SELECT rg, {B('count(*)')} AS n, {B('sum(seq_len)')} AS bases FROM br_reads WHERE flag & 1024 = 0 GROUP BY ROLLUP (rg)")
+def _(v: Views) -> DataFrame:
+    return reads.merge_up(v("br_reads"))
+
+
+@query("U7_distinct_ids", "SELECT DISTINCT obj_id FROM br_history")
+def _(v: Views) -> DataFrame:
+    return reports.distinct_ids(v("br_history"), "obj_id")
+
+
+@query("A54_pending", f"SELECT state, {B('count(*)')} AS n FROM br_history WHERE state IN ('click', 'view') GROUP BY state")
+def _(v: Views) -> DataFrame:
+    return reports.pending(v("br_history"), ["click", "view"])
+
+
+@query("A39_runtime_stats", f"WITH {_LATEST} SELECT state, {B('count(*)')} AS n, round(min(value), 6) AS least, round(max(value), 6) AS most, round(avg(value), 6) AS mean FROM latest GROUP BY state")
+def _(v: Views) -> DataFrame:
+    return reports.runtime_stats(v("br_history"))
+
+
+@query("A61_merge_reports", f"WITH h AS (SELECT qual, count(*) AS n FROM br_quality GROUP BY qual) SELECT qual, {B('n')} AS n, round(CAST(n AS DOUBLE) / sum(n) OVER (), 6) AS share FROM h")
+def _(v: Views) -> DataFrame:
+    parts = [v("br_quality").where(F.col("mate") == m).groupBy("qual").agg(F.count("*").alias("n")) for m in (1, 2)]
+    return reports.merge_reports(parts, ["qual"])
+
+
+@query("J18_sample_names", "SELECT DISTINCT r_name, coalesce(n_name, 'N/A') AS n_name, coalesce(CAST(c_nationkey AS VARCHAR), 'N/A') AS used FROM region LEFT JOIN nation ON r_regionkey = n_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey")
+def _(v: Views) -> DataFrame:
+    return reports.sample_names(v("region"), v("nation"), v("customer"))

@@ -116,3 +116,25 @@ def recurrence(gt: DataFrame) -> DataFrame:
 def decode_genotypes(gt: DataFrame) -> DataFrame:
     """Genotypes as text: indexes with / or | between, ./. where missing."""
     return gt.withColumn("gt", F.when(F.col("a1").isNull() | F.col("a2").isNull(), "./.").otherwise(F.concat("a1", F.when(F.col("phased") == 1, "|").otherwise("/"), "a2")))
+
+
+def sample_subset(gt: DataFrame, samples: list[str], exclude: bool = False) -> DataFrame:
+    """Genotypes of given samples, or of all others."""
+    mine = F.col("sample").isin(samples)
+    return gt.where(~mine if exclude else mine)
+
+
+def wide_genotypes(gt: DataFrame, samples: list[str]) -> DataFrame:
+    """K6: one row of each site with a column for each sample, NN where it has none. The samples are given, so the pivot needs no extra job."""
+    text = F.when(F.col("a1").isNull() | F.col("a2").isNull(), "NN").otherwise(F.concat(F.col("a1").cast("string"), F.col("a2").cast("string")))
+    return gt.withColumn("g", text).groupBy("site").pivot("sample", samples).agg(F.max("g")).fillna("NN")
+
+
+def genotype_status(identity: DataFrame, min_ratio: float) -> DataFrame:
+    """For each sample, whether it is itself the candidate that matches best: confirmed if it ties with the best; unconfirmed if the best is
+    too near the second best; else wrong."""
+    x = identity.withColumn("share", F.col("matching") / F.col("compared"))
+    per = x.groupBy("sample").agg(F.max("share").alias("best"), F.max(F.when(F.col("candidate") == F.col("sample"), F.col("share"))).alias("own"), F.array_sort(F.collect_list("share"), lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)).alias("all"))
+    second = F.get("all", F.lit(1))
+    status = F.when(F.col("own") == F.col("best"), "confirmed").when(F.col("best") < min_ratio * second, "unconfirmed").otherwise("wrong")
+    return per.select("sample", "best", status.alias("status"))

@@ -190,3 +190,27 @@ def previous_row_fill(reads: DataFrame, order: str, column: str, block: int = 1
     known = F.when(F.col(column).isNotNull(), F.struct(F.col(order).alias("at"), F.col(column).alias("v")))
     out = running(reads, [], order, [order], known, "_last", "max", block=block)
     return out.withColumn(column, F.coalesce("_last.v", F.lit(first))).drop("_last")
+
+
+def single_hits(reads: DataFrame, name: str = "qname") -> DataFrame:
+    """Rows whose name has one row only. Counting and the row itself are one aggregate, so names with many rows aren't gathered."""
+    rest = [c for c in reads.columns if c != name]
+    one = reads.groupBy(name).agg(F.count("*").alias("_n"), F.min(F.struct(*rest)).alias("_r")).where("_n = 1")
+    return one.select(name, "_r.*").select(*reads.columns)
+
+
+def unaligned(fastq: DataFrame, reads: DataFrame) -> DataFrame:
+    """Records whose name no alignment has."""
+    return fastq.join(reads.select(F.col("qname").alias("name")).distinct(), "name", "left_anti")
+
+
+def similar_alignments(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of either set, by name, reference and position among those with mapping quality, that the other lacks."""
+    key = ["qname", "chrom", "pos"]
+    x, y = a.where("mapq > 0").select(*key), b.where("mapq > 0").select(*key)
+    return x.exceptAll(y).withColumn("side", F.lit("a")).unionAll(y.exceptAll(x).withColumn("side", F.lit("b")))
+
+
+def merge_up(reads: DataFrame) -> DataFrame:
+    """C11: reads and bases of each library (read group) without flagged duplicates, and of all."""
+    return reads.where(~has(DUPLICATE)).rollup("rg").agg(F.count("*").alias("n"), F.sum("seq_len").alias("bases"))

@@ -108,3 +108,34 @@ def natural_order(df: DataFrame) -> DataFrame:
 def page(df: DataFrame, order: list, offset: int, limit: int) -> DataFrame:
     """One page of an ordered result."""
     return df.orderBy(*order).offset(offset).limit(limit)
+
+
+def distinct_ids(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column."""
+    return df.select(column).distinct()
+
+
+def pending(hist: DataFrame, states: list[str]) -> DataFrame:
+    """Rows in given states, by state."""
+    return hist.where(F.col("state").isin(states)).groupBy("state").agg(F.count("*").alias("n"))
+
+
+def runtime_stats(hist: DataFrame) -> DataFrame:
+    """Least, largest and mean value by state, of each object's newest row only."""
+    last = hist.groupBy("obj_id").agg(F.max(F.struct("changed", "row_id", "state", "value")).alias("v")).select("v.*")
+    return last.groupBy("state").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"), F.avg("value").alias("mean"))
+
+
+def merge_reports(reports: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Counts of several histograms added by key, and each key's share of the total."""
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out.groupBy(*keys).agg(F.sum("n").alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
+def sample_names(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFrame:
+    """Distinct names along the hierarchy, N/A where there is none below."""
+    used = customer.select("c_nationkey").distinct()
+    x = region.join(nation, F.col("r_regionkey") == F.col("n_regionkey"), "left").join(used, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return x.select("r_name", F.coalesce("n_name", F.lit("N/A")).alias("n_name"), F.coalesce(F.col("c_nationkey").cast("string"), F.lit("N/A")).alias("used")).distinct()

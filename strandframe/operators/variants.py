@@ -234,3 +234,42 @@ def parameter_grid(df: DataFrame, column: str, thresholds: list[int], lowest_sha
     x = one.select(F.explode(rows).alias("r")).select("r.*")
     top = F.max(F.when(F.col("share") >= lowest_share, F.struct("ratio", -F.col("threshold")))).over(Window.partitionBy())
     return x.withColumn("best", F.coalesce(-top["col2"] == F.col("threshold"), F.lit(False)))
+
+
+def top_rows(df: DataFrame, key: str, order: list, k: int) -> DataFrame:
+    """The first k rows of each key in a total order; Spark limits each partition before it shuffles."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("place") <= k)
+
+
+def unify_ref(df: DataFrame) -> DataFrame:
+    """At each (chrom, pos) the longest ref becomes the ref of all rows, whose alts get the bases that theirs lacks."""
+    longest = df.groupBy("chrom", "pos").agg(F.max_by("ref", F.struct(F.length("ref"), F.col("ref"))).alias("_ref"))
+    rest = F.substring(F.col("_ref"), F.length("ref") + 1, F.length("_ref"))
+    joined = df.join(longest, ["chrom", "pos"]).withColumn("_alt", F.when(F.col("alt").startswith("<"), F.col("alt")).otherwise(F.concat("alt", rest)))
+    return joined.withColumn("ref", F.col("_ref")).withColumn("alt", F.col("_alt")).drop("_ref", "_alt")
+
+
+def dbsnp_export(df: DataFrame, longest: int = 50) -> DataFrame:
+    """P20: rows whose alleles are short enough, with a class: 1 substitution, 2 insertion or deletion."""
+    return df.where((F.length("ref") <= longest) & (F.length("alt") <= longest)).withColumn("vrt", F.when(is_indel(), 2).otherwise(1))
+
+
+def annotation_distribution(df: DataFrame, column: str) -> DataFrame:
+    """Rows and cumulative share at each value of a column. Values are counted first, so the running sum is over distinct values."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    run = running(counts, [], "value", ["value"], F.col("n"), "cum", "sum")
+    return run.select("value", "n", (F.col("cum") / F.sum("n").over(Window.partitionBy())).alias("cum_share"))
+
+
+def tstv_by_bin(df: DataFrame, group: str, column: str, size: int) -> DataFrame:
+    """Transitions and transversions of each group and bin of a column."""
+    snp = ~is_indel() & (F.col("ref") != F.col("alt"))
+    return df.groupBy(group, (F.floor(F.col(column) / size) * size).alias("bin")).agg(F.count_if(snp & is_transition()).alias("ts"), F.count_if(snp & ~is_transition()).alias("tv"))
+
+
+def validate(df: DataFrame) -> DataFrame:
+    """A row of each problem of a variant: alleles with other letters, equal alleles, a quality or position out of range, a position used twice."""
+    used = df.groupBy("chrom", "pos").agg(F.count("*").alias("_n"))
+    checks = {"ref_letters": ~F.col("ref").rlike("^[ACGTN]+$"), "alt_letters": ~F.col("alt").rlike("^[ACGTN]+$"), "equal_alleles": F.col("ref") == F.col("alt"), "quality": F.col("qual") < 1, "position": F.col("pos") < 1, "repeated_position": F.col("_n") > 1}
+    found = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in checks.items())))
+    return df.join(used, ["chrom", "pos"]).select("var_id", F.explode(found).alias("problem"))
