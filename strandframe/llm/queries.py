@@ -86,5 +86,23 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (n)"""
 
 
+def _op5_sql() -> str:
+    """The table is filled by a recursive query, one claim a step."""
+    n, m = len(SHARDS), sharding.SLOTS
+    return f"""
+WITH RECURSIVE shards AS (
+  SELECT i, name, CAST('0x' || substr(md5(name || '#offset'), 1, 8) AS BIGINT) % {m} AS first, CAST('0x' || substr(md5(name || '#skip'), 1, 8) AS BIGINT) % {m - 1} + 1 AS skip
+  FROM (SELECT i, 'shard-' || lpad(CAST(i AS VARCHAR), 2, '0') AS name FROM range({n}) t(i))),
+fill AS (
+  SELECT 0 AS k, list_transform(range({m}), lambda x: -1) AS owner
+  UNION ALL
+  SELECT k + 1, list_concat(owner[:slot], [CAST(i AS BIGINT)], owner[slot + 2:]) FROM (
+    SELECT k, owner, i, list_filter(list_transform(range({m}), lambda j: (first + j * skip) % {m}), lambda s: owner[s + 1] = -1)[1] AS slot
+    FROM fill JOIN shards ON i = k % {n} WHERE k < {m})),
+claims AS (SELECT unnest(owner) AS i, generate_subscripts(owner, 1) - 1 AS slot FROM fill WHERE k = {m}),
+placed AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % {m} AS slot FROM documents)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, name AS shard FROM placed JOIN claims USING (slot) JOIN shards USING (i)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1_sql()}
+    return {"op1_url_filter": _op1_sql(), "op5_sharding": _op5_sql()}
