@@ -997,3 +997,6 @@ def _(v: Views) -> DataFrame:
 @query("J18_sample_names", "SELECT DISTINCT r_name, coalesce(n_name, 'N/A') AS n_name, coalesce(CAST(c_nationkey AS VARCHAR), 'N/A') AS used FROM region LEFT JOIN nation ON r_regionkey = n_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey")
 def _(v: Views) -> DataFrame:
     return reports.sample_names(v("region"), v("nation"), v("customer"))
+
+
+from . import catalog_records  # noqa: E402, F401  (adds its queries)
