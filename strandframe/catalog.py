@@ -999,4 +999,4 @@ def _(v: Views) -> DataFrame:
     return reports.sample_names(v("region"), v("nation"), v("customer"))
 
 
-from . import catalog_genotypes, catalog_records  # noqa: E402, F401  (they add their queries)
+from . import catalog_genotypes, catalog_records, catalog_reference  # noqa: E402, F401  (they add their queries)
