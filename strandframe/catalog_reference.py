@@ -137,3 +137,24 @@ def _(v: Views) -> DataFrame:
 def _(v: Views) -> DataFrame:
     old = _sites(v).withColumn("alt", F.expr("CASE WHEN var_id % 2 = 1 THEN 'D3' ELSE concat('I', alt) END"))
     return reference.upgrade_alleles(old, _chunks(v), SIZE, "var_id")
+
+
+_DEEP = "WITH x AS (SELECT chrom, pos, CASE WHEN dp < 8 THEN 'n' WHEN var_id % 3 = 0 THEN ref ELSE alt END AS base, 33 + least(qual, 93) AS q FROM (SELECT var_id, chrom, pos, ref, substr(alt, 1, 1) AS alt, dp, qual FROM br_variants QUALIFY row_number() OVER (PARTITION BY chrom, pos ORDER BY var_id) = 1)),"
+_SPOTS = "p AS (SELECT c.chrom, p FROM (SELECT DISTINCT chrom FROM br_variants) c, (SELECT unnest(range(1, 5003)) AS p))"
+
+
+@query("C6_consensus_fastq", f"{_DEEP} {_SPOTS} SELECT p.chrom, CAST((p - 1) // 500 AS BIGINT) AS chunk_no, string_agg(CASE WHEN x.pos IS NULL THEN 'N' WHEN x.pos BETWEEN 1001 AND 2000 THEN lower(base) ELSE base END, '' ORDER BY p) AS seq, string_agg(CASE WHEN x.pos IS NULL THEN 'N' ELSE chr(q::INTEGER) END, '' ORDER BY p) AS quals FROM p LEFT JOIN x ON x.chrom = p.chrom AND x.pos = p.p GROUP BY ALL")
+def _(v: Views) -> DataFrame:
+    first = v("br_variants").groupBy("chrom", "pos").agg(F.min_by(F.struct("var_id", "ref", "alt", "dp", "qual"), "var_id").alias("r")).select("chrom", "pos", "r.*")
+    sites = first.selectExpr("chrom", "pos", "ref", "CASE WHEN var_id % 3 <> 0 THEN substr(alt, 1, 1) END AS alt", "false AS het", "dp AS depth", "60 AS mq", "qual")
+    contigs = v("br_variants").select("chrom").distinct().withColumn("length", F.lit(5002))
+    gaps = contigs.selectExpr("chrom", "1001L AS start_pos", "2000L AS end_pos")
+    seqs, quals = reference.consensus_fastq(sites, gaps, contigs, SIZE, 8, 10)
+    return seqs.join(quals.withColumnRenamed("seq", "quals"), ["chrom", "chunk_no"])
+
+
+@query("J14_sequence_match", "")
+def _(v: Views) -> DataFrame:
+    a = _sites(v).select(F.lit(0).alias("src"), "chrom", "pos", "ref", "alt")
+    b = _sites(v).selectExpr("1 AS src", "chrom", "pos", "ref", "CASE WHEN var_id % 5 = 0 THEN 'C' ELSE alt END AS alt")
+    return reference.sequence_match(a.union(b), _chunks(v), SIZE, 5)

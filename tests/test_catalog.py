@@ -26,7 +26,7 @@ def plain(x):
     return x
 
 
-@pytest.mark.parametrize("name", sorted(catalog.CATALOG))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_equals_sql(spark, duck, name):
     found = catalog.queries()[name](spark, SF)
     columns = sorted(found.columns)
