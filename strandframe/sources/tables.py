@@ -79,8 +79,8 @@ def read_job_logs(spark: SparkSession, path: str) -> DataFrame:
 def read_array_report(spark: SparkSession, report: str, panel: DataFrame) -> DataFrame:
     """Genotypes of a genotyping array's long report (name, sample, two alleles, allele frequency and log ratio; tab-separated after a line [Data] and
     its header), at the places of a panel (name, chrom, pos, flip), complemented where flip holds."""
-    rows = _split(spark, report).where((F.size("f") >= 6) & _at(4).cast("double").isNotNull())
-    x = rows.select(_at(0).alias("name"), _at(1).alias("sample"), F.translate(F.concat(_at(2), _at(3)), "-", "N").alias("gt"), _at(4).cast("double").alias("baf"), _at(5).cast("double").alias("lrr"))
+    rows = _split(spark, report).where((F.size("f") >= 6) & _at(4).try_cast("double").isNotNull())
+    x = rows.select(_at(0).alias("name"), _at(1).alias("sample"), F.translate(F.concat(_at(2), _at(3)), "-", "N").alias("gt"), _at(4).try_cast("double").alias("baf"), _at(5).try_cast("double").alias("lrr"))
     return x.join(panel, "name").withColumn("gt", F.when(F.col("flip"), F.translate("gt", "ACGT", "TGCA")).otherwise(F.col("gt"))).drop("flip")
 
 
