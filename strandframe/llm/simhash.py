@@ -23,25 +23,58 @@ BYTES = 8
 CHUNK = 2048
 #: Shingles whose bits are counted at once.
 AT_ONCE = 1 << 16
-
-
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """The text's SimHash: a bit is 1 if it is set in over half of its shingles' XXH64."""
+#: Near-copies: words of a shingle, 64-bit words of a wide fingerprint, bits in which two may differ, and bytes that they must share.
+#: Texts whose sets of shingles have Jaccard similarity 0.8 differ in 15 % of the bits (78 of 512, give or take 8) and share 17 bytes of 64.
+COPY_WORDS = 5
+WIDE = 8
+WIDE_BITS = 86
+WIDE_SHARED = 5
+#: A wide fingerprint's first byte positions (from 0) of the pairs of neighbours that it is posted under.
+WIDE_PAIRS = [k for k in range(8 * WIDE) if k % 4 != 3]
+
+
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of each shingle, in order; a text with fewer words is one shingle, one without words has none."""
     tokens = (text or "").encode().lower().split()
-    if not tokens:
-        return 0
     if len(tokens) <= words:
-        return xxhash.xxh64_intdigest(b" ".join(tokens), SEED)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(tokens), SEED)] if tokens else [], np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens])
     starts = [0, *ends[:-words].tolist()]
     h = xxhash.xxh64_intdigest
-    hashes = np.array([h(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)], np.uint64)
-    ones = np.zeros(64, np.int64)
+    return np.array([h(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)], np.uint64)
+
+
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits that are set in over half of the rows of hashes, as one row."""
+    ones = np.zeros(64 * hashes.shape[1], np.int64)
     for k in range(0, len(hashes), AT_ONCE):
-        bits = np.unpackbits(hashes[k : k + AT_ONCE].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+        some = np.ascontiguousarray(hashes[k : k + AT_ONCE], "<u8")
+        bits = np.unpackbits(some.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
+        for j in range(0, len(bits), 255):  # sums of 255 bits fit a byte
+            ones += bits[j : j + 255].sum(axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")
+
+
+def wide_fingerprint(text: str | None, words: int = COPY_WORDS) -> np.ndarray:
+    """A SimHash of 64 * WIDE bits over the text's distinct shingles; zeros without words. Its first word comes from the shingles' XXH64,
+    the others from that number mixed anew."""
+    first = np.unique(shingle_hashes(text, words))
+    if not len(first):
+        return np.zeros(WIDE, np.uint64)
+    columns = [first]
+    for k in range(1, WIDE):
+        x = first + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        columns.append(x ^ (x >> np.uint64(31)))
+    return _majority(np.stack(columns, axis=1))
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """The text's SimHash: a bit is 1 if it is set in over half of its shingles' XXH64."""
+    hashes = shingle_hashes(text, words)
+    return int(_majority(hashes.reshape(-1, 1))[0]) if len(hashes) else 0
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,17 +221,122 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     return made.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, with all columns of docs: the one with the smallest id.
+def wide_fingerprints(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and wide (the wide fingerprint's bytes) of each row with an id."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(x.as_py(), words).tobytes() for x in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.binary())], ["doc_id", "wide"])
+
+    named = docs.where(F.col(id_col).isNotNull())
+    return named.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(rows, "doc_id long, wide binary")
+
+
+def _near(x: np.ndarray) -> np.ndarray:
+    """Which rows of a XOR of wide fingerprints share enough bytes in their places and differ in few enough bits."""
+    out = np.flatnonzero((x.view(np.uint8).reshape(len(x), -1) == 0).sum(axis=1, dtype=np.uint8) >= WIDE_SHARED)
+    return out[np.bitwise_count(x[out]).sum(axis=1, dtype=np.uint16) <= WIDE_BITS]
+
+
+def _wide_spanning(fps: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Places of links that connect what the near pairs of a posting list connect, by a breadth-first search. In a list made of two
+    chunks, pairs within one chunk are left to that chunk's own list."""
+    links, left = [], np.arange(len(fps))
+    two = len(np.unique(side)) > 1
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            at = queue.pop()
+            near = _near(fps[left] ^ fps[at])
+            if two:
+                near = near[side[left[near]] != side[at]]
+            links += [(at, k) for k in left[near]]
+            queue += left[near].tolist()
+            left = np.delete(left, near)
+    return links
+
+
+def _wide_links(lists: pd.DataFrame) -> pd.DataFrame:
+    """Links within whole posting lists, which lie one after another: short lists pair by pair, all lists at once; long ones by search."""
+    keys, nodes, side = (lists[c].to_numpy() for c in ("list_key", "node", "side"))
+    fps = np.frombuffer(b"".join(lists["wide"]), "<u8").reshape(-1, WIDE)
+    begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.r_[begins, len(keys)])
+    short = np.flatnonzero(np.repeat(sizes <= SHORT, sizes))
+    a, b = [nodes[:0]], [nodes[:0]]
+    for k in range(1, SHORT):
+        same = np.flatnonzero(keys[short[k:]] == keys[short[:-k]]) if len(short) > k else short[:0]
+        if not len(same):
+            break
+        for j in range(0, len(same), AT_ONCE):
+            x, y = short[same[j : j + AT_ONCE]], short[same[j : j + AT_ONCE] + k]
+            near = _near(fps[x] ^ fps[y])
+            a.append(nodes[x[near]])
+            b.append(nodes[y[near]])
+    for k in np.flatnonzero(sizes > SHORT):
+        part = slice(begins[k], begins[k] + sizes[k])
+        found = np.array(_wide_spanning(fps[part], side[part]), np.int64).reshape(-1, 2)
+        a.append(nodes[part][found[:, 0]])
+        b.append(nodes[part][found[:, 1]])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def _wide_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rest = None
+    for frame in frames:
+        rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        keys = rest["list_key"].to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last list may go on in the next batch
+        if cut:
+            yield _wide_links(rest.iloc[:cut])
+            rest = rest.iloc[cut:].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield _wide_links(rest)
+
+
+def wide_links(distinct: DataFrame) -> DataFrame:
+    """Links (a, b) between rows (node, wide) whose wide fingerprints differ in at most WIDE_BITS bits, found among those that share a
+    pair of neighbouring bytes in its place, and counted by the bytes they share before bits are compared.
+
+    No number of shared bytes is sure at this distance, so the index is one of chance: a pair at similarity 0.8 shares one of the posted
+    pairs of bytes with probability 0.95, one at 0.85 with 0.99. Long lists are cut into pairs of chunks as in fingerprint_links.
+    """
+    keys = [F.xxhash64(F.lit(k), F.expr(f"substring(wide, {k + 1}, 2)")) for k in WIDE_PAIRS]
+    keyed = distinct.select("node", "wide", F.array(*keys).alias("keys"))
+    hot = distinct.select(F.explode(F.array(*keys)).alias("key")).groupBy("key").count().where(F.col("count") > CHUNK)
+    hot = write_table(hot.select("key", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), "hot-keys")
+    dealt = keyed.select("node", "wide", F.explode("keys").alias("key")).join(hot, "key", "left")
+    dealt = dealt.withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    pairs = dealt.select("node", "wide", "key", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
+    lists = pairs.select("node", "wide", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("list_key"), side)
+    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_wide_rows, "a long, b long").distinct()
+
+
+def near_copies(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and component_id, the smallest doc_id reachable over links of wide fingerprints (similarity of shingles of about 0.8 or more).
+
+    Rows with equal fingerprints are linked, those without words among them; rows with a null id are left out. Only distinct
+    fingerprints are indexed. Repeated rows stay; an empty table gives an empty one.
+    """
+    made = write_table(wide_fingerprints(docs, words, id_col, text_col), "wide")
+    least = write_table(made.groupBy("wide").agg(F.min("doc_id").alias("node")), "distinct")
+    roots = connected_components(wide_links(least)).where("node != root")
+    named = least.join(write_table(roots, "roots"), "node", "left").select("wide", F.coalesce("root", "node").alias("component_id"))
+    return made.join(named, "wide").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-copies, with all columns of docs: the one with the smallest id.
 
     Ids should be unique: of rows that share a kept id, the one with the smallest text (then the smallest other columns) stays. Rows with
-    a null id name no component: they stay if there is a component that has no ids at all, and else go.
+    a null id, which no group is named by, all stay.
     """
-    found = near_duplicates(docs, words, max_bits, id_col, text_col)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
+    found = near_copies(docs, words, id_col, text_col)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     kept = docs.join(keep, F.col(id_col) == F.col("kept_id"), "left_semi")
     order = [text_col, *(c for c in docs.columns if c not in (id_col, text_col))]
     one = kept.groupBy(id_col).agg(F.min(F.struct(*order)).alias("kept_row")).select(*(id_col if c == id_col else f"kept_row.{c}" for c in docs.columns))
-    if found.where(F.col("component_id").isNull()).isEmpty():
-        return one
     return one.unionByName(docs.where(F.col(id_col).isNull()))

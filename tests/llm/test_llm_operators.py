@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import re
 import wave
 import zlib
 from collections import Counter
@@ -301,9 +302,89 @@ def test_near_duplicates(docs, empty):
             least[group[f]] = min(i, least.get(group[f], i))
     assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in found) == Counter((i, f"{f:016x}", least.get(group[f])) for i, f in prints)
     assert simhash.near_duplicates(empty).count() == 0
-    kept = simhash.keep_one(docs.withColumn("fp", F.lit("clash"))).collect()
+
+
+def brute_wide(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    shingles = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    out = 0
+    for word in range(8):
+        ones = [0] * 64
+        for x in (xxhash.xxh64_intdigest(s, 42) for s in shingles):
+            if word:
+                x = (x + word * 0x9E3779B97F4A7C15) % 2**64
+                x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+                x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+                x ^= x >> 31
+            for b in range(64):
+                ones[b] += x >> b & 1
+        out |= sum(1 << 64 * word + b for b in range(64) if ones[b] * 2 > len(shingles))
+    return out
+
+
+def brute_near(a, b):
+    same = [not (a ^ b) >> 8 * k & 255 for k in range(64)]
+    return (a ^ b).bit_count() <= 86 and sum(same) >= 5 and any(same[4 * k + j] and same[4 * k + j + 1] for k in range(16) for j in range(3))
+
+
+def test_keep_one(docs, empty):
+    prints = [(r[0], brute_wide(r[1])) for r in documents()]
+    group = brute_components({f for i, f in prints if i is not None}, brute_near)
+    least = {}
+    for i, f in prints:
+        if i is not None:
+            least[group[f]] = min(i, least.get(group[f], i))
+    found = simhash.near_copies(docs).collect()
+    assert Counter((r.doc_id, r.component_id) for r in found) == Counter((i, least[group[f]]) for i, f in prints if i is not None)
+    kept = simhash.keep_one(docs.withColumns({"fp": F.lit("clash"), "wide": F.lit("clash"), "node": F.lit("clash")})).collect()
     ids = Counter(r.doc_id for r in kept)
-    assert set(ids) - {None} == set(least.values()) and max(ids.values()) == 1
+    assert set(ids) - {None} == set(least.values()) and max((n for i, n in ids.items() if i is not None), default=1) == 1
+    assert ids[None] == sum(i is None for i, _ in prints)
+    assert simhash.keep_one(empty).count() == 0 and simhash.near_copies(empty).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [40, 2048])
+def test_wide_links_of_clusters(spark, chunk, monkeypatch):
+    """Dense clusters, whose posting lists are searched, or cut into chunks, and chains of near fingerprints."""
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rnd = random.Random(chunk)
+    centre, chain = rnd.getrandbits(512), rnd.getrandbits(512)
+    flip = lambda x, n: x ^ sum(1 << b for b in rnd.sample(range(512), n))
+    fps = {flip(centre, rnd.randint(0, 70)) for _ in range(250)} | {rnd.getrandbits(512) for _ in range(60)} | {0, 2**512 - 1}
+    for _ in range(12):
+        fps.add(chain)
+        chain = flip(chain, 80)
+    fps = list(fps)
+    df = spark.createDataFrame([(k, bytearray(f.to_bytes(64, "little"))) for k, f in enumerate(fps)], "node long, wide binary")
+    links = [(r.a, r.b) for r in simhash.wide_links(df).collect()]
+    assert all(brute_near(fps[a], fps[b]) for a, b in links)
+    want = brute_components(set(range(len(fps))), lambda a, b: brute_near(fps[a], fps[b]))
+    joined = set(links) | {(b, a) for a, b in links}
+    assert brute_components(set(range(len(fps))), lambda a, b: (a, b) in joined) == want
+
+
+def test_near_copies_by_similarity(spark):
+    """Copies of Jaccard similarity 0.85 or more are found, those under 0.6 and unrelated texts are left alone."""
+    rnd = random.Random(5)
+    vocabulary = [f"word{k}" for k in range(2000)]
+    shingles = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    rows, want, clean = [], [], []
+    for k in range(120):
+        base = rnd.choices(vocabulary, k=rnd.randint(60, 900))
+        copy = list(base)
+        for at in rnd.sample(range(len(copy)), max(1, int(len(copy) * rnd.choice([0.004, 0.01, 0.03, 0.15])))):
+            copy[at] = rnd.choice(vocabulary)
+        a, b = shingles(base), shingles(copy)
+        similar = len(a & b) / len(a | b)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+        if similar >= 0.85:
+            want.append(2 * k + 1)
+        elif similar < 0.6:
+            clean.append(2 * k + 1)
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 20 and len(clean) > 20
+    assert sum(found[i] == i - 1 for i in want) >= 0.97 * len(want)
+    assert all(found[i] == i for i in clean) and all(found[2 * k] == 2 * k for k in range(120))
 
 
 @pytest.mark.parametrize("bits", [1, 3, 4, 5, 6])

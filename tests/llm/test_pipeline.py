@@ -12,6 +12,13 @@ from strandframe.llm.common import load, write_table
 SF = "/root/testdata/sf0.001"
 
 
+def linked(a, b):
+    """Whether two wide fingerprints are near and share a posted pair of bytes."""
+    same = (a ^ b).view("u1") == 0
+    bits = sum(int(x).bit_count() for x in a ^ b)
+    return bits <= simhash.WIDE_BITS and same.sum() >= simhash.WIDE_SHARED and any(same[k] and same[k + 1] for k in simhash.WIDE_PAIRS)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
 def test_stages(spark):
     docs = load(spark, SF, "documents")
@@ -23,13 +30,13 @@ def test_stages(spark):
     classify = language_id.Classifier(language_id.train_dictionaries(good))
     assert {r.doc_id for r in known.collect()} == {r.doc_id for r in good.collect() if not classify(r.text)[2]}
     one = write_table(stages[2](spark, known, SF), "t")
-    prints = {r.doc_id: simhash.fingerprint(r.text, corpus_pipeline.SHINGLE_WORDS) for r in known.collect()}
+    prints = {r.doc_id: simhash.wide_fingerprint(r.text) for r in known.collect()}
     left, kept = set(prints), set()
     while left:
         group, queue = set(), [min(left)]
         while queue:
             i = queue.pop()
-            near = {j for j in left if (prints[i] ^ prints[j]).bit_count() <= corpus_pipeline.MAX_BITS}
+            near = {j for j in left if linked(prints[i], prints[j])}
             left -= near
             group |= near | {i}
             queue += near
