@@ -31,6 +31,13 @@ WIDE_BITS = 86
 WIDE_SHARED = 5
 #: A wide fingerprint's first byte positions (from 0) of the pairs of neighbours that it is posted under.
 WIDE_PAIRS = [k for k in range(8 * WIDE) if k % 4 != 3]
+#: Candidates for near-copies: bits in which two may differ (three standard deviations above the mean at similarity 0.8), posted under all
+#: pairs of neighbouring bytes. Those that aren't near by the narrower bound are verified: Jaccard similarity of the sets of shingles of at least 4 / 5.
+LOOSE_BITS = 104
+LOOSE_PAIRS = list(range(8 * WIDE - 1))
+#: Members up to which a group of candidates is compared in one go, and bytes of shingles in a chunk of a larger group.
+GROUP = 256
+GROUP_BYTES = 1 << 25
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -233,13 +240,13 @@ def wide_fingerprints(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "d
     return named.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(rows, "doc_id long, wide binary")
 
 
-def _near(x: np.ndarray) -> np.ndarray:
+def _near(x: np.ndarray, most: int = WIDE_BITS) -> np.ndarray:
     """Which rows of a XOR of wide fingerprints share enough bytes in their places and differ in few enough bits."""
     out = np.flatnonzero((x.view(np.uint8).reshape(len(x), -1) == 0).sum(axis=1, dtype=np.uint8) >= WIDE_SHARED)
-    return out[np.bitwise_count(x[out]).sum(axis=1, dtype=np.uint16) <= WIDE_BITS]
+    return out[np.bitwise_count(x[out]).sum(axis=1, dtype=np.uint16) <= most]
 
 
-def _wide_spanning(fps: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+def _wide_spanning(fps: np.ndarray, side: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Places of links that connect what the near pairs of a posting list connect, by a breadth-first search. In a list made of two
     chunks, pairs within one chunk are left to that chunk's own list."""
     links, left = [], np.arange(len(fps))
@@ -248,7 +255,7 @@ def _wide_spanning(fps: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            near = _near(fps[left] ^ fps[at])
+            near = _near(fps[left] ^ fps[at], most)
             if two:
                 near = near[side[left[near]] != side[at]]
             links += [(at, k) for k in left[near]]
@@ -257,7 +264,7 @@ def _wide_spanning(fps: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def _wide_links(lists: pd.DataFrame) -> pd.DataFrame:
+def _wide_links(lists: pd.DataFrame, most: int) -> pd.DataFrame:
     """Links within whole posting lists, which lie one after another: short lists pair by pair, all lists at once; long ones by search."""
     keys, nodes, side = (lists[c].to_numpy() for c in ("list_key", "node", "side"))
     fps = np.frombuffer(b"".join(lists["wide"]), "<u8").reshape(-1, WIDE)
@@ -271,39 +278,44 @@ def _wide_links(lists: pd.DataFrame) -> pd.DataFrame:
             break
         for j in range(0, len(same), AT_ONCE):
             x, y = short[same[j : j + AT_ONCE]], short[same[j : j + AT_ONCE] + k]
-            near = _near(fps[x] ^ fps[y])
+            near = _near(fps[x] ^ fps[y], most)
             a.append(nodes[x[near]])
             b.append(nodes[y[near]])
     for k in np.flatnonzero(sizes > SHORT):
         part = slice(begins[k], begins[k] + sizes[k])
-        found = np.array(_wide_spanning(fps[part], side[part]), np.int64).reshape(-1, 2)
+        found = np.array(_wide_spanning(fps[part], side[part], most), np.int64).reshape(-1, 2)
         a.append(nodes[part][found[:, 0]])
         b.append(nodes[part][found[:, 1]])
     a, b = np.concatenate(a), np.concatenate(b)
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
-def _wide_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rest = None
-    for frame in frames:
-        rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        keys = rest["list_key"].to_numpy()
-        cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last list may go on in the next batch
-        if cut:
-            yield _wide_links(rest.iloc[:cut])
-            rest = rest.iloc[cut:].reset_index(drop=True)
-    if rest is not None and len(rest):
-        yield _wide_links(rest)
+def _by_lists(links_of):
+    """Links within posting lists that come sorted, by a function of frames of whole lists."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            keys = rest["list_key"].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last list may go on in the next batch
+            if cut:
+                yield links_of(rest.iloc[:cut])
+                rest = rest.iloc[cut:].reset_index(drop=True)
+        if rest is not None and len(rest):
+            yield links_of(rest)
+
+    return rows
 
 
-def wide_links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) between rows (node, wide) whose wide fingerprints differ in at most WIDE_BITS bits, found among those that share a
+def wide_links(distinct: DataFrame, places: list[int] = WIDE_PAIRS, most: int = WIDE_BITS) -> DataFrame:
+    """Links (a, b) between rows (node, wide) whose wide fingerprints differ in at most `most` bits, found among those that share a
     pair of neighbouring bytes in its place, and counted by the bytes they share before bits are compared.
 
-    No number of shared bytes is sure at this distance, so the index is one of chance: a pair at similarity 0.8 shares one of the posted
-    pairs of bytes with probability 0.95, one at 0.85 with 0.99. Long lists are cut into pairs of chunks as in fingerprint_links.
+    No number of shared bytes is sure at this distance, so the index is one of chance: a pair at similarity 0.8 shares one of WIDE_PAIRS
+    with probability 0.96 and one of LOOSE_PAIRS with 0.98, one at 0.85 with 0.99 and 0.997. Long lists are cut into pairs of chunks as in fingerprint_links.
     """
-    keys = [F.xxhash64(F.lit(k), F.expr(f"substring(wide, {k + 1}, 2)")) for k in WIDE_PAIRS]
+    keys = [F.xxhash64(F.lit(k), F.expr(f"substring(wide, {k + 1}, 2)")) for k in places]
     keyed = distinct.select("node", "wide", F.array(*keys).alias("keys"))
     hot = distinct.select(F.explode(F.array(*keys)).alias("key")).groupBy("key").count().where(F.col("count") > CHUNK)
     hot = write_table(hot.select("key", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), "hot-keys")
@@ -312,18 +324,98 @@ def wide_links(distinct: DataFrame) -> DataFrame:
     pairs = dealt.select("node", "wide", "key", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
     lists = pairs.select("node", "wide", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("list_key"), side)
-    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_wide_rows, "a long, b long").distinct()
+    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_by_lists(lambda x: _wide_links(x, most)), "a long, b long").distinct()
+
+
+def _similar(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the other sets (sorted, not empty) have Jaccard similarity 0.8 or more with this one."""
+    sizes = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    met = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+    both = np.add.reduceat(met.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 5 * both >= 4 * (len(one) + sizes - both)
+
+
+def _posted(x: np.ndarray) -> np.ndarray:
+    """Which rows of a XOR of wide fingerprints differ in at most WIDE_BITS bits and share one of WIDE_PAIRS."""
+    same = x.view(np.uint8).reshape(len(x), -1) == 0
+    return (np.bitwise_count(x).sum(axis=1, dtype=np.uint16) <= WIDE_BITS) & (same[:, :-1] & same[:, 1:])[:, WIDE_PAIRS].any(axis=1)
+
+
+def _copy_links(lists: pd.DataFrame) -> pd.DataFrame:
+    """Links that connect what the near-copies within whole lists connect, by a breadth-first search as in _wide_spanning."""
+    keys, nodes, side = (lists[c].to_numpy() for c in ("list_key", "node", "side"))
+    fps = np.frombuffer(b"".join(lists["wide"]), "<u8").reshape(-1, WIDE)
+    sets = [np.frombuffer(x, "<u8") for x in lists["shingles"]]
+    edges = np.r_[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]), len(keys)]
+    found: list[tuple[int, int]] = []
+    for begin, end in zip(edges[:-1], edges[1:], strict=True):
+        left = np.arange(begin, end)
+        two = len(np.unique(side[begin:end])) > 1
+        while len(left):
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                at = queue.pop()
+                near = _near(fps[left] ^ fps[at], LOOSE_BITS)
+                if two:
+                    near = near[side[left[near]] != side[at]]
+                if len(near):
+                    is_copy = _posted(fps[left[near]] ^ fps[at])
+                    rest = np.flatnonzero(~is_copy)
+                    if len(rest):
+                        is_copy[rest] = _similar(sets[at], [sets[k] for k in left[near[rest]]])
+                    near = near[is_copy]
+                found += [(nodes[at], nodes[k]) for k in left[near]]
+                queue += left[near].tolist()
+                left = np.delete(left, near)
+    out = np.array(found, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": out.min(axis=1, initial=2**63 - 1), "b": out.max(axis=1, initial=-(2**63))}).drop_duplicates()
+
+
+def copy_links(texts: DataFrame, loose: DataFrame, words: int = COPY_WORDS) -> DataFrame:
+    """Links (a, b) that connect what the near-copies within groups of candidates connect: rows (node, wide, root) of loose, whose sets of
+    shingles are made anew from their texts (node, text). Near-copies have Jaccard similarity 0.8 or more, or are links of wide_links.
+
+    Each set goes to its group once. A group of over GROUP members or GROUP_BYTES of shingles is cut into chunks, about a quarter of the
+    root of its members, and each pair of chunks is a list of its own: no task has a whole large group, and no pair is missed.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 256):
+                some = batch.slice(k, 256)
+                found = [x.as_py() for x in some["text"]]
+                wide = pa.array([wide_fingerprint(x, words).tobytes() for x in found], pa.binary())
+                sets = pa.array([np.unique(shingle_hashes(x, words)).astype("<u8").tobytes() for x in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([some["node"], wide, sets], ["node", "wide", "shingles"])
+
+    wanted = texts.join(loose.select("node").distinct(), "node", "left_semi").select("node", "text")
+    made = wanted.mapInArrow(rows, "node long, wide binary, shingles binary").where("length(shingles) > 0").dropDuplicates(["node", "wide"])
+    sets = write_table(made.join(loose, ["node", "wide"]), "shingles")
+    n, size = F.count("*"), F.sum(F.length("shingles").cast("long"))
+    large = sets.groupBy("root").agg(n.alias("n"), size.alias("size")).where((F.col("n") > GROUP) | (F.col("size") > GROUP_BYTES))
+    large = large.select("root", F.greatest(F.ceil(F.sqrt("n") / 4), F.ceil(F.col("size") / GROUP_BYTES)).cast("int").alias("chunks"))
+    dealt = sets.join(write_table(large, "large"), "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    pairs = dealt.select("node", "wide", "shingles", "root", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
+    lists = pairs.select("node", "wide", "shingles", F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("list_key"), side)
+    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_by_lists(_copy_links), "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and component_id, the smallest doc_id reachable over links of wide fingerprints (similarity of shingles of about 0.8 or more).
+    """doc_id and component_id, the smallest doc_id reachable over pairs whose sets of shingles have Jaccard similarity 0.8 or more, or whose
+    wide fingerprints differ in at most WIDE_BITS bits and share one of WIDE_PAIRS (that alone takes in some pairs at 0.7 to 0.8).
 
+    Candidates are groups linked by wide fingerprints that differ in at most LOOSE_BITS bits; within a group, sets of shingles are compared.
     Rows with equal fingerprints are linked, those without words among them; rows with a null id are left out. Only distinct
     fingerprints are indexed. Repeated rows stay; an empty table gives an empty one.
     """
     made = write_table(wide_fingerprints(docs, words, id_col, text_col), "wide")
     least = write_table(made.groupBy("wide").agg(F.min("doc_id").alias("node")), "distinct")
-    roots = connected_components(wide_links(least)).where("node != root")
+    loose = write_table(connected_components(wide_links(least, LOOSE_PAIRS, LOOSE_BITS)), "loose")
+    texts = docs.selectExpr(f"cast(`{id_col}` as bigint) as node", f"`{text_col}` as text")
+    roots = connected_components(copy_links(texts, least.join(loose, "node"), words)).where("node != root")
     named = least.join(write_table(roots, "roots"), "node", "left").select("wide", F.coalesce("root", "node").alias("component_id"))
     return made.join(named, "wide").select("doc_id", "component_id")
 
