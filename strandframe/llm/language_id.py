@@ -18,6 +18,8 @@ DICTIONARY_BYTES = 262_144
 MAX_LANGUAGES = 256
 #: Below this margin a text is encoded again with each dictionary in so many parts, whose sizes are added: ties get rarer.
 NARROW, PARTS = 0.03, 8
+#: Longest piece of a text that is encoded in one go, in bytes: a dictionary helps with the first bytes only, so each piece gets it afresh.
+BLOCK_BYTES = 16_384
 #: A text is rejected if the best encoding is smaller than the second best by less than this share of it.
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
@@ -31,6 +33,12 @@ def words_of(text: str) -> bytes:
     return f" {_others.sub(' ', text.lower()).strip()} ".encode()
 
 
+def blocks_of(data: bytes) -> list[bytes]:
+    """The data in pieces of about the same size, at most BLOCK_BYTES."""
+    size = -(-len(data) // -(-len(data) // BLOCK_BYTES))
+    return [data[k : k + size] for k in range(0, len(data), size)]
+
+
 def train_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language out of labelled rows: a sample of at most SAMPLE_TEXTS texts of at most SAMPLE_CHARS characters,
     chosen by the text's hash, so the driver gets a bounded number of rows. Rows with null text or language are left out, repeated
@@ -86,10 +94,10 @@ class Classifier:
         """Language, margin (share by which the second best is larger, 0 to 1), whether the margin is too narrow."""
         if not text or not self.langs or not _letter.search(text):
             return UNKNOWN, 0.0, True
-        data = words_of(text)
-        best, margin = self._best([len(x.compress(data)) for x in self.encoders])
+        blocks = blocks_of(words_of(text))
+        best, margin = self._best([sum(len(x.compress(b)) for b in blocks) for x in self.encoders])
         if margin < NARROW:
-            best, margin = self._best([sum(len(x.compress(data)) for x in parts) / len(parts) for parts in self.parts])
+            best, margin = self._best([sum(len(x.compress(b)) for x in parts for b in blocks) / len(parts) for parts in self.parts])
         return self.langs[best], margin, margin < MIN_MARGIN
 
 
@@ -97,7 +105,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     """Predicted language, score and rejection of each whole text.
 
     lang_pred is a language of the dictionaries, or und (and rejected) if the text is null or has no letter. score is the margin by
-    which the best encoding beats the second best; rejected is true where it is narrower than MIN_MARGIN. Repeated rows stay. The
+    which the best encoding beats the second best, both added up over pieces of at most BLOCK_BYTES, so that it doesn't shrink as texts
+    get longer; rejected is true where it is narrower than MIN_MARGIN. Repeated rows stay. The
     dictionaries (at most MAX_LANGUAGES of DICTIONARY_BYTES) are broadcast; one pass, no shuffle.
     """
     model = docs.sparkSession.sparkContext.broadcast(dictionaries)
