@@ -34,7 +34,7 @@ def id_list_filter(fastq: DataFrame, ids: DataFrame, keep: bool = True) -> DataF
 
 
 def base_content(fastq: DataFrame, cycles: int) -> DataFrame:
-    """Counts of each base at each of the first `cycles` positions."""
+    """A6, in part: counts of each base at each of the first `cycles` positions."""
     base = fastq.select(F.posexplode(F.split(F.substring(clean_base(F.col("seq")), 1, cycles), "")).alias("cycle", "base")).where("base <> ''")
     return base.groupBy((F.col("cycle") + 1).cast("long").alias("cycle")).agg(*(F.count_if(F.col("base") == b).alias(f"n_{b.lower()}") for b in "ACGTN"))
 
@@ -91,7 +91,7 @@ def reverse_complement(seq: Column) -> Column:
 
 
 def position_quality(q: DataFrame) -> DataFrame:
-    """Records and mean quality of each mate and cycle."""
+    """A42, in part: records and mean quality of each mate and cycle."""
     return q.groupBy("mate", "cycle").agg(F.count("*").alias("n"), F.avg("qual").alias("mean_qual"))
 
 
