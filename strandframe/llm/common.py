@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +19,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset (tests), a new local folder."""
+    """The folder that driver and executors share, spark.checkpoint.dir. Where it is unset, a session on this machine alone (tests) gets a
+    new local folder; on a cluster such a folder would lose the rows that other machines write, so there it is a ValueError."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -46,3 +51,30 @@ def crc32_mod(doc_id: Column, n: int) -> Column:
 def input_partitions(df: DataFrame) -> int:
     """Partitions that a scan of df has: a measure of its size that needs no job."""
     return max(1, df.rdd.getNumPartitions())
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, which may hold dots and backticks."""
+    return F.col(f"`{column.replace('`', '``')}`")
+
+
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """name, or name with underscores before it, such that no column in `taken` has it (in either case of letters)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
+def shielded(df: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, str]]:
+    """df with all columns but `kept` under names that no operator here uses, and the names that they had before: for operators that
+    add columns of their own."""
+    names = {free_name(f"column_{k}_of_input", kept): c for k, c in enumerate(df.columns) if c not in kept}
+    back = {c: n for n, c in names.items()}
+    return df.toDF(*(back.get(c, c) for c in df.columns)), names
+
+
+def unshielded(df: DataFrame, names: dict[str, str], columns: list[str]) -> DataFrame:
+    """The columns that shielded() got, as they were."""
+    back = {c: n for n, c in names.items()}
+    return df.select(*(named(back.get(c, c)).alias(c) for c in columns))

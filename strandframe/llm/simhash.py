@@ -11,8 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import write_table
+from .common import free_name, named, write_table
 from .components import connected_components
 
 SHINGLE_WORDS = 4
@@ -35,8 +36,10 @@ WIDE_PAIRS = [k for k in range(8 * WIDE) if k % 4 != 3]
 #: pairs of neighbouring bytes. Those that aren't near by the narrower bound are verified: Jaccard similarity of the sets of shingles of at least 4 / 5.
 LOOSE_BITS = 104
 LOOSE_PAIRS = list(range(8 * WIDE - 1))
+#: Postings up to which a list of wide fingerprints is compared pair by pair, all such lists at once.
+WIDE_SHORT = 8
 #: Members up to which a group of candidates is compared in one go, and bytes of shingles in a chunk of a larger group.
-GROUP = 256
+GROUP = 1024
 GROUP_BYTES = 1 << 25
 
 
@@ -247,18 +250,19 @@ def _near(x: np.ndarray, most: int = WIDE_BITS) -> np.ndarray:
 
 
 def _wide_spanning(fps: np.ndarray, side: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Places of links that connect what the near pairs of a posting list connect, by a breadth-first search. In a list made of two
-    chunks, pairs within one chunk are left to that chunk's own list."""
+    """Places of links that connect what the near pairs of a posting list connect, by a breadth-first search: each place with the first
+    one of those connected with it. In a list made of two chunks, pairs within one chunk are left to that chunk's own list."""
     links, left = [], np.arange(len(fps))
     two = len(np.unique(side)) > 1
     while len(left):
-        queue, left = [left[0]], left[1:]
+        first, left = left[0], left[1:]
+        queue = [first]
         while queue and len(left):
             at = queue.pop()
             near = _near(fps[left] ^ fps[at], most)
             if two:
                 near = near[side[left[near]] != side[at]]
-            links += [(at, k) for k in left[near]]
+            links += [(first, k) for k in left[near]]
             queue += left[near].tolist()
             left = np.delete(left, near)
     return links
@@ -270,9 +274,9 @@ def _wide_links(lists: pd.DataFrame, most: int) -> pd.DataFrame:
     fps = np.frombuffer(b"".join(lists["wide"]), "<u8").reshape(-1, WIDE)
     begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sizes = np.diff(np.r_[begins, len(keys)])
-    short = np.flatnonzero(np.repeat(sizes <= SHORT, sizes))
+    short = np.flatnonzero(np.repeat(sizes <= WIDE_SHORT, sizes))
     a, b = [nodes[:0]], [nodes[:0]]
-    for k in range(1, SHORT):
+    for k in range(1, WIDE_SHORT):
         same = np.flatnonzero(keys[short[k:]] == keys[short[:-k]]) if len(short) > k else short[:0]
         if not len(same):
             break
@@ -281,7 +285,7 @@ def _wide_links(lists: pd.DataFrame, most: int) -> pd.DataFrame:
             near = _near(fps[x] ^ fps[y], most)
             a.append(nodes[x[near]])
             b.append(nodes[y[near]])
-    for k in np.flatnonzero(sizes > SHORT):
+    for k in np.flatnonzero(sizes > WIDE_SHORT):
         part = slice(begins[k], begins[k] + sizes[k])
         found = np.array(_wide_spanning(fps[part], side[part], most), np.int64).reshape(-1, 2)
         a.append(nodes[part][found[:, 0]])
@@ -342,7 +346,33 @@ def _posted(x: np.ndarray) -> np.ndarray:
     return (np.bitwise_count(x).sum(axis=1, dtype=np.uint16) <= WIDE_BITS) & (same[:, :-1] & same[:, 1:])[:, WIDE_PAIRS].any(axis=1)
 
 
-def _copy_links(lists: pd.DataFrame) -> pd.DataFrame:
+def rare_links(docs: DataFrame, distinct: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) that connect at least all nodes (of rows node, wide) whose sets of shingles have Jaccard similarity 0.8 or more.
+
+    Of two such sets, ordered by how many texts have a shingle, the first n - ceil(4 n / 5) + 1 shingles share one. So each node is posted
+    under these, and all nodes of a posting list are linked with its smallest: rows are counted, never gathered.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 64):
+                some = batch.slice(k, 64)
+                found = [np.unique(shingle_hashes(x.as_py(), words)).view(np.int64) for x in some["text"]]
+                sizes = np.array([len(x) for x in found])
+                columns = [np.repeat(np.array(some["node"]), sizes), np.repeat(sizes, sizes), np.concatenate(found)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "n", "shingle"])
+
+    texts = docs.selectExpr(f"cast(`{id_col}` as bigint) as node", f"`{text_col}` as text").join(distinct.select("node"), "node", "left_semi")
+    posted = write_table(texts.mapInArrow(rows, "node long, n long, shingle long"), "postings")
+    often = posted.groupBy("shingle").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
+    prefix = posted.join(often, "shingle").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 0.8) + 1)
+    prefix = write_table(prefix.where("often > 1").select("node", "shingle"), "prefixes")
+    least = write_table(prefix.groupBy("shingle").agg(F.min("node").alias("a")), "least")
+    return prefix.join(least, "shingle").select("a", F.col("node").alias("b")).where("a != b").distinct()
+
+
+def _copy_links(lists: pd.DataFrame, most: int = LOOSE_BITS) -> pd.DataFrame:
     """Links that connect what the near-copies within whole lists connect, by a breadth-first search as in _wide_spanning."""
     keys, nodes, side = (lists[c].to_numpy() for c in ("list_key", "node", "side"))
     fps = np.frombuffer(b"".join(lists["wide"]), "<u8").reshape(-1, WIDE)
@@ -356,7 +386,7 @@ def _copy_links(lists: pd.DataFrame) -> pd.DataFrame:
             queue, left = [left[0]], left[1:]
             while queue and len(left):
                 at = queue.pop()
-                near = _near(fps[left] ^ fps[at], LOOSE_BITS)
+                near = _near(fps[left] ^ fps[at], most) if most < 64 * WIDE else np.arange(len(left))
                 if two:
                     near = near[side[left[near]] != side[at]]
                 if len(near):
@@ -372,12 +402,13 @@ def _copy_links(lists: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": out.min(axis=1, initial=2**63 - 1), "b": out.max(axis=1, initial=-(2**63))}).drop_duplicates()
 
 
-def copy_links(texts: DataFrame, loose: DataFrame, words: int = COPY_WORDS) -> DataFrame:
+def copy_links(texts: DataFrame, loose: DataFrame, words: int = COPY_WORDS, most: int = LOOSE_BITS) -> DataFrame:
     """Links (a, b) that connect what the near-copies within groups of candidates connect: rows (node, wide, root) of loose, whose sets of
     shingles are made anew from their texts (node, text). Near-copies have Jaccard similarity 0.8 or more, or are links of wide_links.
 
-    Each set goes to its group once. A group of over GROUP members or GROUP_BYTES of shingles is cut into chunks, about a quarter of the
-    root of its members, and each pair of chunks is a list of its own: no task has a whole large group, and no pair is missed.
+    Each set goes to its group once. A group of over GROUP members or GROUP_BYTES of shingles is cut into chunks of about GROUP members, but
+    no more than a quarter of the root of its members, and each pair of chunks is a list of its own: no task has a whole large group, and no
+    pair is missed.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,41 +425,51 @@ def copy_links(texts: DataFrame, loose: DataFrame, words: int = COPY_WORDS) -> D
     sets = write_table(made.join(loose, ["node", "wide"]), "shingles")
     n, size = F.count("*"), F.sum(F.length("shingles").cast("long"))
     large = sets.groupBy("root").agg(n.alias("n"), size.alias("size")).where((F.col("n") > GROUP) | (F.col("size") > GROUP_BYTES))
-    large = large.select("root", F.greatest(F.ceil(F.sqrt("n") / 4), F.ceil(F.col("size") / GROUP_BYTES)).cast("int").alias("chunks"))
+    large = large.select("root", F.greatest(F.least(F.ceil(F.sqrt("n") / 4), F.ceil(F.col("n") / GROUP)), F.ceil(F.col("size") / GROUP_BYTES)).cast("int").alias("chunks"))
     dealt = sets.join(write_table(large, "large"), "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     pairs = dealt.select("node", "wide", "shingles", "root", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
     lists = pairs.select("node", "wide", "shingles", F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("list_key"), side)
-    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_by_lists(_copy_links), "a long, b long").distinct()
+    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_by_lists(lambda x: _copy_links(x, most)), "a long, b long").distinct()
 
 
-def near_copies(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
     """doc_id and component_id, the smallest doc_id reachable over pairs whose sets of shingles have Jaccard similarity 0.8 or more, or whose
     wide fingerprints differ in at most WIDE_BITS bits and share one of WIDE_PAIRS (that alone takes in some pairs at 0.7 to 0.8).
 
     Candidates are groups linked by wide fingerprints that differ in at most LOOSE_BITS bits; within a group, sets of shingles are compared.
+    That index is one of chance (see wide_links). With `exact`, rare shingles are posted too and all pairs of a group are compared: no
+    pair at 0.8 or more is lost, but texts that share rare passages then make groups whose work grows with their square.
+
     Rows with equal fingerprints are linked, those without words among them; rows with a null id are left out. Only distinct
     fingerprints are indexed. Repeated rows stay; an empty table gives an empty one.
     """
     made = write_table(wide_fingerprints(docs, words, id_col, text_col), "wide")
     least = write_table(made.groupBy("wide").agg(F.min("doc_id").alias("node")), "distinct")
-    loose = write_table(connected_components(wide_links(least, LOOSE_PAIRS, LOOSE_BITS)), "loose")
+    links = wide_links(least, LOOSE_PAIRS, LOOSE_BITS)
+    if exact:
+        links = links.union(rare_links(docs, least, words, id_col, text_col))
+    loose = write_table(connected_components(links), "loose")
     texts = docs.selectExpr(f"cast(`{id_col}` as bigint) as node", f"`{text_col}` as text")
-    roots = connected_components(copy_links(texts, least.join(loose, "node"), words)).where("node != root")
-    named = least.join(write_table(roots, "roots"), "node", "left").select("wide", F.coalesce("root", "node").alias("component_id"))
-    return made.join(named, "wide").select("doc_id", "component_id")
+    roots = connected_components(copy_links(texts, least.join(loose, "node"), words, 64 * WIDE if exact else LOOSE_BITS)).where("node != root")
+    named_by = least.join(write_table(roots, "roots"), "node", "left").select("wide", F.coalesce("root", "node").alias("component_id"))
+    return made.join(named_by, "wide").select("doc_id", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near-copies, with all columns of docs: the one with the smallest id.
+def keep_one(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
+    """One row of each group of near-copies, with all columns of docs, whatever their names and types: the one with the smallest id.
 
-    Ids should be unique: of rows that share a kept id, the one with the smallest text (then the smallest other columns) stays. Rows with
-    a null id, which no group is named by, all stay.
+    Ids should be unique: of rows that share a kept id, the first one by its text and then by its other columns as JSON stays. Rows with a
+    null id, which no group is named by, all stay. Null and empty texts are copies of each other, repeated rows too; an empty table stays so.
     """
-    found = near_copies(docs, words, id_col, text_col)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(keep, F.col(id_col) == F.col("kept_id"), "left_semi")
-    order = [text_col, *(c for c in docs.columns if c not in (id_col, text_col))]
-    one = kept.groupBy(id_col).agg(F.min(F.struct(*order)).alias("kept_row")).select(*(id_col if c == id_col else f"kept_row.{c}" for c in docs.columns))
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    found = near_copies(docs, words, id_col, text_col, exact)
+    kept_id, copies, place = (free_name(x, docs.columns) for x in ("kept_id", "copies", "place"))
+    ids = docs.groupBy(named(id_col).cast("long").alias(kept_id)).agg(F.count("*").alias(copies))
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(kept_id)).distinct().join(ids, kept_id)
+    keep = write_table(keep, "kept")
+    match = named(id_col).cast("long") == F.col(kept_id)
+    single = docs.join(keep.where(F.col(copies) == 1), match, "left_semi")
+    order = Window.partitionBy(named(id_col)).orderBy(named(text_col), F.to_json(F.struct(*(named(c) for c in docs.columns))))
+    repeated = docs.join(keep.where(F.col(copies) > 1), match, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return single.union(repeated).union(docs.where(named(id_col).isNull()))

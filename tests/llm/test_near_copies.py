@@ -1,8 +1,12 @@
 """Near-copies against plain Jaccard similarity of five-word shingles."""
 
+import os
 import random
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandframe.llm import simhash
 
@@ -69,3 +73,51 @@ def test_groups_of_candidates(spark, group, monkeypatch):
     df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()} == dict(enumerate(want))
     assert 3 < len(set(want)) < len(texts) - 20
+
+
+def test_recall_on_tables(spark):
+    """Of all pairs of sf0.1 at 0.8 or more, found by brute force over shared shingles, at least 95 % end up in one group."""
+    path = "/root/testdata/sf0.1"
+    if not os.path.isdir(path):
+        pytest.skip("no test tables here")
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    sets, posted = {}, defaultdict(list)
+    for r in docs.dropDuplicates(["text"]).collect():
+        sets[r.doc_id] = shingles((r.text or "").encode().lower().split())
+        for x in sets[r.doc_id]:
+            posted[x].append(r.doc_id)
+    shared = Counter(pair for ids in posted.values() if 1 < len(ids) for pair in combinations(sorted(ids), 2))
+    near = [(a, b) for (a, b), n in shared.items() if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n)]
+    group = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    assert len(near) > 30 and sum(group[a] == group[b] for a, b in near) >= 0.95 * len(near)
+
+
+def test_exact_way(spark):
+    """With rare shingles posted, every pair at 0.8 or more is found, and groups are those of brute force."""
+    rnd = random.Random(29)
+    vocabulary = [f"word{k}" for k in range(3000)]
+    texts = []
+    for k in range(60):
+        base = rnd.choices(vocabulary, k=rnd.randint(6, 200))
+        texts += [base, edited(rnd, base, vocabulary, 0.8, 0.9)] if len(base) > 80 else [base, base + base[:1]]
+        texts.append(["a", "common", "line", "in", "all", "of", "them", str(k % 7)])
+    sets = [shingles(t) for t in texts]
+    want = list(range(len(texts)))
+    for i in want[:]:
+        for j in range(i):
+            if want[i] != want[j] and (jaccard(sets[i], sets[j]) >= 0.8 or posted(texts[i], texts[j])):
+                least, other = sorted((want[i], want[j]))
+                want = [least if x == other else x for x in want]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(df, exact=True).collect()} == dict(enumerate(want))
+
+
+def test_rows_kept(spark):
+    """Repeated ids and rows, null ids and texts, and columns of any name and type."""
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(1, text, {"a": 1}, 5), (1, text, {"a": 1}, 5), (2, text, None, 6), (None, text, None, 7), (None, None, None, 8), (3, None, None, 9), (4, "", None, 10), (5, "other", None, 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.map` map<string,int>, kept_id int").withColumns({x: F.lit("mine") for x in ("copies", "place", "node", "wide", "root", "component_id", "list_key", "side", "shingles", "fp")})
+    found = simhash.keep_one(df)
+    assert found.columns == df.columns
+    assert sorted((r.kept_id, r.doc_id, r["a.map"], r.copies, r.node) for r in found.collect()) == [(5, 1, {"a": 1}, "mine", "mine"), (7, None, None, "mine", "mine"), (8, None, None, "mine", "mine"), (9, 3, None, "mine", "mine"), (11, 5, None, "mine", "mine")]
+    assert simhash.keep_one(df.limit(0)).count() == 0
