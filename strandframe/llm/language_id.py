@@ -10,10 +10,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import named, shielded, unshielded
+
 #: Labelled texts in a language's dictionary, the longest that is taken (characters), and the dictionary's bytes.
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 32_768
 DICTIONARY_BYTES = 262_144
+#: Characters that are fetched for a dictionary, as a multiple of its bytes: marks and digits of texts don't go in.
+FILL = 1.5
 #: Most languages that are told apart: the most frequent ones.
 MAX_LANGUAGES = 256
 #: Below this margin a text is encoded again with each dictionary in so many parts, whose sizes are added: ties get rarer.
@@ -23,7 +27,6 @@ BLOCK_BYTES = 16_384
 #: A text is rejected if the best encoding is smaller than the second best by less than this share of it.
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
-_letter = re.compile(r"[^\W\d_]")
 _others = re.compile(r"[\W\d_]+")
 SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
@@ -40,11 +43,12 @@ def blocks_of(data: bytes) -> list[bytes]:
 
 
 def train_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """A dictionary for each language out of labelled rows: a sample of at most SAMPLE_TEXTS texts of at most SAMPLE_CHARS characters,
-    chosen by the text's hash, so the driver gets a bounded number of rows. Rows with null text or language are left out, repeated
-    texts count once; without usable rows there are no languages."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0) & (F.length(text_col) <= SAMPLE_CHARS))
-    keyed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"))
+    """A dictionary for each language out of labelled rows: a sample of at most SAMPLE_TEXTS texts (the first SAMPLE_CHARS characters of
+    each), chosen by the text's hash, and of these no more than fill DICTIONARY_BYTES: the driver gets a bounded number of characters.
+    Rows with null or empty text or null language are left out, repeated texts count once; without usable rows there are no languages."""
+    text = F.substring(named(text_col), 1, SAMPLE_CHARS)
+    rows = labelled.where(named(lang_col).isNotNull() & (F.length(named(text_col)) > 0)).select(named(lang_col).alias("lang"), text.alias("text"))
+    keyed = rows.select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
     most = {r["lang"]: r["count"] for r in keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
     langs = sorted(most)
     if not langs:
@@ -52,15 +56,20 @@ def train_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: st
     # Hashes spread evenly, so a bound on them keeps about twice the texts wanted; the smallest hashes of these are taken.
     bounds = {x: min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, 2 * SAMPLE_TEXTS / n))) for x, n in most.items()}
     bound = F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair))[F.col("lang")]
-    found: dict[str, list[int]] = {x: [] for x in langs}
+    found: dict[str, dict[int, int]] = {x: {} for x in langs}
     for r in keyed.where(F.col("h") <= bound).distinct().collect():
-        found[r["lang"]].append(r["h"])
-    chosen = {x: sorted(h)[:SAMPLE_TEXTS] for x, h in found.items()}
+        found[r["lang"]][r["h"]] = r["n"]
+    chosen: dict[str, list[int]] = {}
+    for lang, sizes in found.items():
+        some, filled = sorted(sizes)[:SAMPLE_TEXTS], 0
+        while some and filled < FILL * DICTIONARY_BYTES:
+            chosen.setdefault(lang, []).append(h := some.pop())
+            filled += sizes[h]
     keys = sorted({h for some in chosen.values() for h in some})
-    texts = rows.where(F.xxhash64(text_col).isin(keys)).groupBy(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h")).agg(F.min(text_col).alias("text")).collect() if keys else []
+    texts = rows.where(F.xxhash64("text").isin(keys)).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text")).collect() if keys else []
     out: dict[str, bytes] = {}
     for lang in langs:
-        mine = sorted((r["h"], r["text"]) for r in texts if r["lang"] == lang and r["h"] in set(chosen[lang]))
+        mine = sorted((r["h"], r["text"]) for r in texts if r["lang"] == lang and r["h"] in set(chosen.get(lang, [])))
         joined = b"".join(words_of(text) for _, text in mine)
         if joined.strip():
             out[lang] = joined[-DICTIONARY_BYTES:]
@@ -92,7 +101,9 @@ class Classifier:
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """Language, margin (share by which the second best is larger, 0 to 1), whether the margin is too narrow."""
-        if not text or not self.langs or not _letter.search(text):
+        if not self.langs:
+            return UNKNOWN, 0.0, False
+        if not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
         blocks = blocks_of(words_of(text))
         best, margin = self._best([sum(len(x.compress(b)) for b in blocks) for x in self.encoders])
@@ -104,10 +115,12 @@ class Classifier:
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Predicted language, score and rejection of each whole text.
 
-    lang_pred is a language of the dictionaries, or und (and rejected) if the text is null or has no letter. score is the margin by
-    which the best encoding beats the second best, both added up over pieces of at most BLOCK_BYTES, so that it doesn't shrink as texts
-    get longer; rejected is true where it is narrower than MIN_MARGIN. Repeated rows stay. The
-    dictionaries (at most MAX_LANGUAGES of DICTIONARY_BYTES) are broadcast; one pass, no shuffle.
+    lang_pred is a language of the dictionaries, or und (and rejected) if the text is null or has no letter (Unicode category L). score is
+    the margin by which the best encoding beats the second best, both added up over pieces of at most BLOCK_BYTES, so that it doesn't
+    shrink as texts get longer; where it is below NARROW, it is told by encodings with parts of the dictionaries, averaged. rejected is
+    true where it is narrower than MIN_MARGIN. Without dictionaries all are und, score 0, and none is rejected, as nothing was compared.
+    Equal texts get equal results; repeated rows and null ids stay, other columns go, an empty table stays so. The dictionaries (at most
+    MAX_LANGUAGES, the most frequent ones, of DICTIONARY_BYTES) are broadcast; one pass, no shuffle.
     """
     model = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
@@ -122,7 +135,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
-    """The rows of docs that identify() doesn't reject, with all their columns."""
+    """The rows of docs that identify() doesn't reject, with all their columns, whatever their names. Null texts and texts without a letter
+    go (unless there are no dictionaries: then all rows stay); null ids and repeated rows stay; an empty table stays so."""
     model = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +144,8 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
         for batch in batches:
             yield batch.filter(pa.array([not classify(x.as_py())[2] for x in batch[text_col]], pa.bool_()))
 
-    return docs.mapInArrow(rows, docs.schema)
+    plain, names = shielded(docs, text_col)
+    return unshielded(plain.mapInArrow(rows, plain.schema), names, docs.columns)
 
 
 def is_training(doc_id: Column) -> Column:

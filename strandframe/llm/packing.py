@@ -23,6 +23,8 @@ END_ID = 2
 REMEMBERED = 500_000
 #: Letters and marks that make up most parts.
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?*#$%&|]*)")
+#: Marks that normalising may join with the letter before, which tells capitals from small letters; it comes before lower-casing.
+JOINING = re.compile("[\u0300-\u036f]")
 TOKENS = "part int, before long, doc_id long, n_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -58,7 +60,7 @@ class TextEncoder(dict):
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "<|" not in text:  # special tokens are told by case
+        if "<|" not in text and (text.isascii() or not JOINING.search(text)):  # special tokens are told by case, too
             text = text.encode().lower().decode()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 

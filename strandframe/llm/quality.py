@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import write_table
+from .common import free_name, named, shielded, unshielded, write_table
 
 BUCKETS = 1 << 16
 #: Added to each bucket's count.
@@ -75,7 +75,7 @@ def _counts(texts: DataFrame, buckets: int) -> DataFrame:
 def fit(docs: DataFrame, is_target: Column, text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
     """log10 of target probability over raw probability of each bucket. All rows are raw text, those where is_target holds the target;
     the driver gets one count of each bucket. Without any text, or without any in the target, all ratios are 0."""
-    texts = docs.select(F.col(text_col).alias("text"), F.coalesce(is_target, F.lit(False)).alias("is_target"))
+    texts = docs.select(named(text_col).alias("text"), F.coalesce(is_target, F.lit(False)).alias("is_target"))
     target, raw = np.zeros(buckets), np.zeros(buckets)
     for r in _counts(texts, buckets).collect():
         target[r["bucket"]], raw[r["bucket"]] = r["target"], r["raw"]
@@ -135,13 +135,20 @@ def target_sample(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
     return good.orderBy(F.xxhash64("target_id"), "target_id").limit(rows)
 
 
-def mark_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs and a column target_part: 1 for rows of the sample that the model is fitted to, 2 for those that its bound is set by, else 0.
-    The sample is broadcast: it has at most TARGET_ROWS ids."""
-    part = (1 + F.pmod(F.xxhash64(F.lit(SEED), "target_id"), F.lit(2))).cast("int").alias("sample_part")
-    sample = F.broadcast(target_sample(labels).select("target_id", part))
-    joined = docs.drop("target_part").join(sample, F.col(id_col) == F.col("target_id"), "left")
-    return joined.withColumn("target_part", F.coalesce("sample_part", F.lit(0))).drop("target_id", "sample_part")
+def mark_target(docs: DataFrame, labels: DataFrame, part_col: str = "target_part", id_col: str = "doc_id") -> DataFrame:
+    """docs and a column part_col (a name that docs doesn't have): 1 for rows of the sample that the model is fitted to, 2 for those that
+    its bound is set by, else 0. The sample is broadcast: it has at most TARGET_ROWS ids."""
+    target_id, sample_part = free_name("target_id", docs.columns), free_name("sample_part", docs.columns)
+    part = (1 + F.pmod(F.xxhash64(F.lit(SEED), "target_id"), F.lit(2))).cast("int")
+    sample = F.broadcast(target_sample(labels).select(F.col("target_id").alias(target_id), part.alias(sample_part)))
+    joined = docs.join(sample, named(id_col) == F.col(target_id), "left")
+    return joined.withColumn(part_col, F.coalesce(sample_part, F.lit(0))).drop(target_id, sample_part)
+
+
+def keep_selected(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
+    """The rows of docs that select_target() selects, with their own columns only, whatever these are called."""
+    plain, names = shielded(docs, id_col, text_col)
+    return unshielded(select_target(plain, labels, text_col, id_col, seed).where("selected"), names, docs.columns)
 
 
 def select_target(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
@@ -151,15 +158,19 @@ def select_target(docs: DataFrame, labels: DataFrame, text_col: str = "text", id
     Those are the rows with at least the weight that all but MISSED of the labelled target rows reach (0 if that is more, or if there
     are none); these rows are not among those that the target model is fitted to, so they weigh what unlabelled ones do. Rows without words
     have weight 0 and look like the target. Noise follows id and text, so that equal rows tie, and rows that tie with the last one
-    selected are selected too. Two passes over the texts; weights are written to the shared folder.
+    selected are selected too. Null texts count as empty; null ids are no target; repeated rows and other columns stay, but columns of the
+    input that are called as the four added ones are replaced (see keep_selected). An empty table stays so; without labels all ratios
+    are 0 and all rows selected. Two passes over the texts; weights are written to the shared folder.
     """
-    marked = mark_target(docs, labels, id_col)
-    ratios = fit(marked, F.col("target_part") == 1, text_col)
+    docs = docs.drop("log_weight", "n_features", "gumbel_key", "selected")
+    part = free_name("target_part", docs.columns)
+    marked = mark_target(docs, labels, part, id_col)
+    ratios = fit(marked, F.col(part) == 1, text_col)
     weighted = importance(marked, ratios, text_col)
     ln10 = 2.302585092994046
-    keyed = write_table(weighted.withColumn("gumbel_key", gumbel_key(F.col("log_weight") * ln10, F.col(id_col), F.col(text_col), seed=seed)), "weighted")
-    target = keyed.where("target_part = 2").select("log_weight")
+    keyed = write_table(weighted.withColumn("gumbel_key", gumbel_key(F.col("log_weight") * ln10, named(id_col), named(text_col), seed=seed)), "weighted")
+    target = keyed.where(F.col(part) == 2).select("log_weight")
     least = kth_largest(target, "log_weight", math.ceil(target.count() * (1 - MISSED)))
     enough = keyed.where(F.col("log_weight") >= min(0.0, least if least is not None else 0.0)).count()
     bound = kth_largest(keyed, "gumbel_key", enough)
-    return keyed.withColumn("selected", F.col("gumbel_key") >= F.lit(bound) if bound is not None else F.lit(False)).drop("target_part")
+    return keyed.withColumn("selected", F.col("gumbel_key") >= F.lit(bound) if bound is not None else F.lit(False)).drop(part)

@@ -7,6 +7,8 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free_name, named
+
 #: Slots of the table: a prime, about 100 times the usual number of shards. It bounds what is broadcast.
 SLOTS = 4099
 #: Slots that a caller may ask for; the broadcast table has at most so many rows of a few bytes.
@@ -55,10 +57,14 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS) -> Dat
     """Adds slot and shard to each row: the key's hash gives a slot, the broadcast table (at most MAX_SLOTS rows) its owner.
 
     No shuffle: rows stay where they are, so a key that holds many rows costs nothing more. Null keys go to the slot of the empty
-    text. Columns slot and shard of the input are replaced; repeated rows and other columns stay.
+    text. Columns slot and shard of the input are replaced (after the key is read, if it is one of them); repeated rows and other columns
+    stay whatever their names, and an empty table stays so.
     """
     if "\n" in "".join(shards):
         raise ValueError("a shard's name must not hold a line break")
-    table = lookup_table(df.sparkSession, shards, slots).select(F.col("slot").alias("t_slot"), F.col("shard").alias("t_shard"))
-    kept = df.drop("shard").withColumn("slot", slot_of(F.col(key), slots))
-    return kept.join(F.broadcast(table), F.col("slot") == F.col("t_slot")).withColumn("shard", F.col("t_shard")).drop("t_slot", "t_shard")
+    table = lookup_table(df.sparkSession, shards, slots)
+    own = [c for c in df.columns if c.lower() not in ("slot", "shard")]
+    at, owner = free_name("slot_of_row", df.columns), free_name("shard_of_row", df.columns)
+    rows = df.withColumn(at, slot_of(named(key), slots)).select(*map(named, own), at)
+    placed = rows.join(F.broadcast(table.toDF("slot", owner)), F.col(at) == F.col("slot"))
+    return placed.select(*map(named, own), F.col(at).alias("slot"), F.col(owner).alias("shard"))

@@ -249,9 +249,10 @@ def _near(x: np.ndarray, most: int = WIDE_BITS) -> np.ndarray:
     return out[np.bitwise_count(x[out]).sum(axis=1, dtype=np.uint16) <= most]
 
 
-def _wide_spanning(fps: np.ndarray, side: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Places of links that connect what the near pairs of a posting list connect, by a breadth-first search: each place with the first
-    one of those connected with it. In a list made of two chunks, pairs within one chunk are left to that chunk's own list."""
+def _wide_spanning(fps: np.ndarray, side: np.ndarray, most: int, stars: bool) -> list[tuple[int, int]]:
+    """Places of links that connect what the near pairs of a posting list connect, by a breadth-first search: each place with the one it is
+    reached from or, for stars, with the first of those connected. In a list made of two chunks, pairs within one chunk are left to that
+    chunk's own list."""
     links, left = [], np.arange(len(fps))
     two = len(np.unique(side)) > 1
     while len(left):
@@ -262,13 +263,13 @@ def _wide_spanning(fps: np.ndarray, side: np.ndarray, most: int) -> list[tuple[i
             near = _near(fps[left] ^ fps[at], most)
             if two:
                 near = near[side[left[near]] != side[at]]
-            links += [(first, k) for k in left[near]]
+            links += [(first if stars else at, k) for k in left[near]]
             queue += left[near].tolist()
             left = np.delete(left, near)
     return links
 
 
-def _wide_links(lists: pd.DataFrame, most: int) -> pd.DataFrame:
+def _wide_links(lists: pd.DataFrame, most: int, stars: bool) -> pd.DataFrame:
     """Links within whole posting lists, which lie one after another: short lists pair by pair, all lists at once; long ones by search."""
     keys, nodes, side = (lists[c].to_numpy() for c in ("list_key", "node", "side"))
     fps = np.frombuffer(b"".join(lists["wide"]), "<u8").reshape(-1, WIDE)
@@ -287,7 +288,7 @@ def _wide_links(lists: pd.DataFrame, most: int) -> pd.DataFrame:
             b.append(nodes[y[near]])
     for k in np.flatnonzero(sizes > WIDE_SHORT):
         part = slice(begins[k], begins[k] + sizes[k])
-        found = np.array(_wide_spanning(fps[part], side[part], most), np.int64).reshape(-1, 2)
+        found = np.array(_wide_spanning(fps[part], side[part], most, stars), np.int64).reshape(-1, 2)
         a.append(nodes[part][found[:, 0]])
         b.append(nodes[part][found[:, 1]])
     a, b = np.concatenate(a), np.concatenate(b)
@@ -312,9 +313,10 @@ def _by_lists(links_of):
     return rows
 
 
-def wide_links(distinct: DataFrame, places: list[int] = WIDE_PAIRS, most: int = WIDE_BITS) -> DataFrame:
+def wide_links(distinct: DataFrame, places: list[int] = WIDE_PAIRS, most: int = WIDE_BITS, stars: bool = False) -> DataFrame:
     """Links (a, b) between rows (node, wide) whose wide fingerprints differ in at most `most` bits, found among those that share a
-    pair of neighbouring bytes in its place, and counted by the bytes they share before bits are compared.
+    pair of neighbouring bytes in its place, and counted by the bytes they share before bits are compared. With `stars`, what a list
+    connects is linked with its smallest node, near or not: the same components by fewer different links.
 
     No number of shared bytes is sure at this distance, so the index is one of chance: a pair at similarity 0.8 shares one of WIDE_PAIRS
     with probability 0.96 and one of LOOSE_PAIRS with 0.98, one at 0.85 with 0.99 and 0.997. Long lists are cut into pairs of chunks as in fingerprint_links.
@@ -328,7 +330,7 @@ def wide_links(distinct: DataFrame, places: list[int] = WIDE_PAIRS, most: int =
     pairs = dealt.select("node", "wide", "key", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     side = F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")
     lists = pairs.select("node", "wide", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("list_key"), side)
-    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_by_lists(lambda x: _wide_links(x, most)), "a long, b long").distinct()
+    return lists.repartition("list_key").sortWithinPartitions("list_key", "node").mapInPandas(_by_lists(lambda x: _wide_links(x, most, stars)), "a long, b long").distinct()
 
 
 def _similar(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -447,7 +449,7 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, id_col: str = "doc_id"
     """
     made = write_table(wide_fingerprints(docs, words, id_col, text_col), "wide")
     least = write_table(made.groupBy("wide").agg(F.min("doc_id").alias("node")), "distinct")
-    links = wide_links(least, LOOSE_PAIRS, LOOSE_BITS)
+    links = wide_links(least, LOOSE_PAIRS, LOOSE_BITS, stars=True)
     if exact:
         links = links.union(rare_links(docs, least, words, id_col, text_col))
     loose = write_table(connected_components(links), "loose")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, free_name, named
 
 #: Hex digits of a digest on which the join is made; the rest is confirmed afterwards.
 PREFIX_DIGITS = 8
@@ -55,8 +55,10 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
 
     A rule (host, path, action) fits its host and all subdomains if the URL's path starts with the rule's path; of several that fit,
     the longest (host and path together, then host) decides. Where none fits, rule is null and the verdict is `default`. Null URLs
-    and URLs without :// have an empty host and path, and no rule fits them. Repeated rows stay; other columns stay, except that
-    host, path, rule and verdict of the input are replaced. Empty tables give empty results, and without rules all get `default`.
+    and URLs without :// have an empty host and path, and no rule fits them. Repeated rows stay; other columns stay whatever their
+    names, except that host, path, rule and verdict of the input are replaced (a URL column with such a name is read first). URLs of any
+    length are taken whole: how many expressions a URL has depends on the rules. Empty tables give empty results, and without rules all
+    get `default`.
 
     Each distinct URL is expanded into host suffixes (no more labels than a rule has) times path prefixes (lengths that rules have),
     the expressions are joined with the rules on the first digits of their SHA-256, and then the whole digest is confirmed.
@@ -66,10 +68,11 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
     n_rules, labels, longest, lengths = stats[0], stats[1] or 0, stats[2] or 0, sorted(stats[3])
     if longest > MAX_RULE_PATH:
         raise ValueError(f"a rule's path has {longest} characters; {MAX_RULE_PATH} are allowed")
-    host, path = _split(F.col(url_col))
-    base = df.withColumns({"host": host, "path": path})
+    u_url, u_best = (free_name(x, [*df.columns, "host", "path", "rule", "verdict"]) for x in ("u_url", "u_best"))
+    host, path = _split(named(url_col))
+    base = df.withColumn(u_url, named(url_col)).withColumns({"host": host, "path": path})
     if not n_rules:
-        return base.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return base.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)}).drop(u_url)
 
     parts = F.split("u_host", "\\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(labels))), lambda k: F.array_join(F.slice(parts, -k, k), "."))
@@ -77,8 +80,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
     prefixes = F.transform(fitting, lambda n: F.substring(F.col("u_path"), F.lit(1), n))
     u_host, u_path = _split(F.col("u_url"))
     expressions = (
-        df.where(F.col(url_col).contains("://"))
-        .select(F.col(url_col).alias("u_url"))
+        df.where(named(url_col).contains("://"))
+        .select(named(url_col).alias("u_url"))
         .distinct()
         .select("u_url", u_host.alias("u_host"), u_path.alias("u_path"))
         .select("u_url", F.explode(suffixes).alias("e_host"), prefixes.alias("e_paths"))
@@ -91,10 +94,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
         expressions.join(lookup, F.substring("e_digest", 1, PREFIX_DIGITS) == F.col("r_key"))
         .where(F.col("e_digest") == F.col("r_digest"))
         .groupBy("u_url")
-        .agg(best.alias("u_best"))
-    )
-    return (
-        base.join(verdicts, F.col(url_col) == F.col("u_url"), "left")
-        .withColumns({"rule": F.col("u_best.r_rule"), "verdict": F.coalesce("u_best.r_action", F.lit(default))})
-        .drop("u_url", "u_best")
+        .agg(best.alias(u_best))
+        .withColumnRenamed("u_url", u_url)
     )
+    judged = base.join(verdicts, u_url, "left").withColumns({"rule": F.col(u_best)["r_rule"], "verdict": F.coalesce(F.col(u_best)["r_action"], F.lit(default))})
+    return judged.drop(u_url, u_best)
