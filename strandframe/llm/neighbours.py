@@ -3,35 +3,62 @@
 from __future__ import annotations
 
 import math
-import pickle
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Vectors in a shard's tree, queries in a block, vectors in a leaf: together they bound a task's memory.
-SHARD_ROWS = 8192
-BLOCK_ROWS = 4096
-LEAF = 256
-#: A subtree is skipped if its least possible distance times this factor is over the distance of the k-th found; 1 is exact.
-RELAX = 1.15
+from .common import named, write_table
+
+#: Most vectors in a shard's tree, most bytes of their components, and vectors from which there are several shards, up to FEW.
+SHARD_ROWS = 65_536
+SHARD_BYTES = 1 << 26
+SPLIT_ROWS, FEW = 2048, 8
+#: Queries that a task answers about its shard; with more queries there are several tasks for a shard.
+TASK_QUERIES = 1 << 18
+#: Queries that go down a tree together, and vectors in a leaf.
+AT_ONCE = 4096
+LEAF = 64
+#: A subtree is skipped if its least possible distance times a factor is over the distance of the k-th found; 1 is exact. How much a factor
+#: loses depends on the vectors, so None takes the largest of FACTORS that keeps RECALL of the neighbours of a sample: at most
+#: SAMPLE_ROWS vectors (and SAMPLE_BYTES of components) of the most frequent length, and SAMPLE_QUERIES of these as queries.
+RELAX: float | None = None
+FACTORS = (1.0, 1.25, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 10.0, 12.0, 16.0)
+RECALL = 0.95
+SAMPLE_ROWS, SAMPLE_QUERIES, SAMPLE_BYTES = 4096, 128, 1 << 24
 #: Slack for rounding in distances, relative to the largest squared length.
 SLACK = 1e-9
+FOUND = "query_id long, vec_id long, score double"
 
 
-def build_tree(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF) -> dict:
-    """A vantage-point tree over vectors made longer by one component, such that distances to (query, 0) order as inner products do.
+def build_tree(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray | None = None, most: int = 64, leaf: int = LEAF) -> dict:
+    """A vantage-point tree over vectors made longer by one component, such that distances to (query, 0) order as inner products do. Equal
+    vectors are one, which has the `most` smallest of their ids (one more than are asked for), each as often as it has copies.
 
     Nodes are (begin, end, near, far, near's bounds, far's bounds) over the vectors in tree order; a node's vantage point comes first, then
-    the near and the far half. The halves are cut by rank, so that equal distances can't unbalance them."""
-    top = float((vectors**2).sum(axis=1).max())
-    x = np.c_[vectors, np.sqrt(np.maximum(top - (vectors**2).sum(axis=1), 0))]
-    order = np.lexsort((ids,))
-    rng = np.random.default_rng(len(ids))
+    the near and the far half. The halves are cut by rank, so that equal distances can't unbalance them. Vectors whose squared lengths
+    aren't finite numbers have no distances: a tree with such a vector is one leaf."""
+    copies = np.ones(len(ids), np.int64) if copies is None else np.minimum(copies, most)
+    vectors = np.ascontiguousarray(vectors + 0.0)  # -0 is 0
+    _, first, group = np.unique(vectors.view(f"V{vectors.itemsize * vectors.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    ids, group, vectors = np.repeat(ids, copies), np.repeat(group, copies), vectors[first]
+    by = np.lexsort((ids, group))
+    ids, group = ids[by], group[by]
+    begins = np.searchsorted(group, np.arange(len(vectors)))
+    sizes = np.minimum(np.diff(np.r_[begins, len(ids)]), most)
+    with np.errstate(over="ignore"):
+        squares = (vectors**2).sum(axis=1)
+    top = float(squares.max())
+    if not math.isfinite(top):
+        squares, top, leaf = np.zeros(len(vectors)), 0.0, len(vectors)
+    x = np.c_[vectors, np.sqrt(np.maximum(top - squares, 0))]
+    order = np.argsort(ids[begins], kind="stable")
+    rng = np.random.default_rng(len(vectors))
     nodes: list[list] = []
-    todo = [(0, len(ids), -1, 0)]
+    todo = [(0, len(vectors), -1, 0)]
     while todo:
         begin, end, above, which = todo.pop()
         at = len(nodes)
@@ -49,128 +76,170 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF) -> dict:
         half = len(d) // 2
         nodes[at][4:] = [d[0], d[half - 1], d[half], d[-1]]
         todo += [(begin + 1, begin + 1 + half, at, 2), (begin + 1 + half, end, at, 3)]
-    return {"ids": ids[order], "vectors": vectors[order], "long": x[order], "top": top, "nodes": nodes}
+    return {"ids": ids, "begins": begins[order], "sizes": sizes[order], "vectors": vectors[order], "last": x[order, -1], "top": top, "nodes": nodes}
 
 
 class Search:
-    """The k best of a tree for a block of queries: each goes down to one leaf first, then all visit what can't be skipped."""
+    """The k best of a tree for some queries. They go down to the nearer half first, then to the other one, where that can't be skipped by
+    then. `compared` counts the pairs of query and vector that were compared."""
 
     def __init__(self, tree: dict, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float):
-        self.tree, self.qids, self.q, self.k, self.relax = tree, query_ids, queries, k, relax
-        self.lengths = (queries**2).sum(axis=1)
+        self.tree, self.qids, self.q, self.k, self.relax, self.compared = tree, query_ids, queries, k, relax, 0
+        with np.errstate(over="ignore"):
+            self.lengths = (queries**2).sum(axis=1)
         self.slack = SLACK * (1 + tree["top"] + self.lengths)
         self.scores = np.full((len(queries), k), -np.inf)
-        self.ids = np.full((len(queries), k), np.iinfo(np.int64).max)
-        long = np.c_[queries, np.zeros(len(queries))]
-        self.long, self.long_sq = long, (tree["long"] ** 2).sum(axis=1)
+        self.ids = np.zeros((len(queries), k), np.int64)
+        self.held = np.zeros((len(queries), k), bool)
 
     def distance(self, rows: np.ndarray, at: int) -> np.ndarray:
-        return np.sqrt(np.maximum(((self.long[rows] - self.tree["long"][at]) ** 2).sum(axis=1), 0))
+        with np.errstate(over="ignore"):
+            return np.sqrt(((self.q[rows] - self.tree["vectors"][at]) ** 2).sum(axis=1) + self.tree["last"][at] ** 2)
 
     def bound(self, rows: np.ndarray) -> np.ndarray:
         """Distance of the k-th found."""
-        worst = self.scores[rows, -1]
-        return np.where(np.isneginf(worst), np.inf, np.sqrt(np.maximum(self.lengths[rows] + self.tree["top"] - 2 * worst, 0) + self.slack[rows]))
+        with np.errstate(invalid="ignore"):
+            square = self.lengths[rows] + self.tree["top"] - 2 * self.scores[rows, -1]
+        return np.where(np.isfinite(square), np.sqrt(np.maximum(square, 0) + self.slack[rows]), np.inf)
 
     def offer(self, rows: np.ndarray, begin: int, end: int) -> None:
         """Compares queries with a stretch of vectors. Products that can't matter are left as the fast product has them; others are exact sums
-        taken alike for equal vectors, so that equal vectors tie."""
-        ids, vectors = self.tree["ids"][begin:end], self.tree["vectors"][begin:end]
-        rough = self.q[rows] @ vectors.T
-        rough[self.qids[rows][:, None] == ids] = -np.inf
-        i, j = np.nonzero(rough >= (self.scores[rows, -1] - self.slack[rows])[:, None])
-        if not len(i):
+        taken alike, for each id of a vector. A query's own id and products that aren't numbers are left out."""
+        self.compared += len(rows) * (end - begin)
+        vectors = self.tree["vectors"][begin:end]
+        with np.errstate(invalid="ignore", over="ignore"):
+            least = self.scores[rows, -1] - self.slack[rows]
+            i, j = np.nonzero(self.q[rows] @ vectors.T >= np.where(np.isnan(least), -np.inf, least)[:, None])
+            exact = np.einsum("nd,nd->n", self.q[rows[i]], vectors[j])
+        sizes = self.tree["sizes"][begin + j]
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.tree["begins"][begin + j], sizes)
+        i, exact, ids = np.repeat(i, sizes), np.repeat(exact, sizes), self.tree["ids"][place]
+        real = ~np.isnan(exact) & (ids != self.qids[rows[i]])
+        if not real.any():
             return
-        exact = np.full_like(rough, -np.inf)
-        exact[i, j] = np.where(np.isneginf(rough[i, j]), -np.inf, np.einsum("nd,nd->n", self.q[rows[i]], vectors[j]))
-        touched = np.unique(i)
+        i, exact, ids = i[real], exact[real], ids[real]
+        touched, row = np.unique(i, return_inverse=True)
         r = rows[touched]
-        scores = np.concatenate([self.scores[r], exact[touched]], axis=1)
-        all_ids = np.concatenate([self.ids[r], np.broadcast_to(ids, (len(r), len(ids)))], axis=1)
-        best = np.lexsort((all_ids, -scores), axis=1)[:, : self.k]
-        self.scores[r], self.ids[r] = np.take_along_axis(scores, best, 1), np.take_along_axis(all_ids, best, 1)
-
-    def run(self) -> tuple[np.ndarray, np.ndarray]:
+        # One line for each candidate and each of those held so far, by query, score and id; the first k of a query stay.
+        line, held = np.r_[row, np.repeat(np.arange(len(r)), self.k)], np.r_[np.ones(len(row), bool), self.held[r].ravel()]
+        score, of = np.r_[exact, self.scores[r].ravel()], np.r_[ids, self.ids[r].ravel()]
+        order = np.lexsort((of, -score, ~held, line))
+        best = order[np.searchsorted(line[order], np.arange(len(r)))[:, None] + np.arange(self.k)]
+        self.scores[r], self.ids[r], self.held[r] = score[best], of[best], held[best]
+
+    def run(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query's place, vec_id, score) of what was found, nearest first for each query."""
         nodes, everyone = self.tree["nodes"], np.arange(len(self.q))
-        home = np.full(len(self.q), -1)
-        todo = [(0, everyone)]
-        while todo:
-            at, rows = todo.pop()
-            begin, end, near, far, _, near_high, far_low, _ = nodes[at]
-            if near < 0:
-                home[rows] = at
-                self.offer(rows, begin, end)
-                continue
-            closer = self.distance(rows, begin) <= (near_high + far_low) / 2
-            todo += [(child, part) for child, part in ((near, rows[closer]), (far, rows[~closer])) if len(part)]
-        todo = [(0, everyone)]
+        todo = [(0, everyone, np.zeros(len(self.q)))]
         while todo:
-            at, rows = todo.pop()
+            at, rows, least = todo.pop()
             begin, end, near, far, *bounds = nodes[at]
+            rows = rows[(least - np.sqrt(self.slack[rows])) * self.relax <= self.bound(rows)]
+            if not len(rows):
+                continue
             if near < 0:
-                rows = rows[home[rows] != at]
-                if len(rows):
-                    self.offer(rows, begin, end)
+                self.offer(rows, begin, end)
                 continue
             self.offer(rows, begin, begin + 1)
             d = self.distance(rows, begin)
-            for child, low, high in ((far, bounds[2], bounds[3]), (near, bounds[0], bounds[1])):
-                least = np.maximum(np.maximum(low - d, d - high), 0)
-                part = rows[(least - np.sqrt(self.slack[rows])) * self.relax <= self.bound(rows)]
-                if len(part):
-                    todo.append((child, part))
-        return self.scores, self.ids
+            parts = [(child, np.maximum(np.maximum(low - d, d - high), 0)) for child, low, high in ((near, bounds[0], bounds[1]), (far, bounds[2], bounds[3]))]
+            to_near = d <= (bounds[1] + bounds[2]) / 2
+            for side in (~to_near, to_near):
+                order = parts if side is to_near else parts[::-1]
+                todo += [(child, rows[side], low[side]) for child, low in order[::-1] if side.any()]
+        i, j = np.nonzero(self.held)
+        return i, self.ids[i, j], self.scores[i, j]
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id and vec of the rows whose vector is not null, empty or zero and has only finite components."""
-    vec = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    vec = df.select(named(id_col).cast("long").alias("vec_id"), named(vector_col).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vec.where(F.col("vec_id").isNotNull() & (F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0)).withColumn("dim", F.size("vec"))
 
 
+def tune(ids: np.ndarray, vectors: np.ndarray, k: int) -> float:
+    """The largest of FACTORS that finds RECALL of the k nearest of each of the first SAMPLE_QUERIES rows, found by comparing with all."""
+    some, tree = slice(0, SAMPLE_QUERIES), build_tree(ids, vectors, most=k + 1)
+    wanted = set(zip(*(x.tolist() for x in Search(tree, ids[some], vectors[some], k, 1.0).run()[:2]), strict=True))
+    best = 1.0
+    for factor in FACTORS[1:]:
+        found = set(zip(*(x.tolist() for x in Search(tree, ids[some], vectors[some], k, factor).run()[:2]), strict=True))
+        if len(found & wanted) < RECALL * len(wanted):
+            break
+        best = factor
+    return best
+
+
+def _tuned(rows: DataFrame, k: int) -> float:
+    usual = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+    if usual is None:
+        return 1.0
+    most = min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * usual["dim"]))
+    some = rows.where(F.col("dim") == usual["dim"]).orderBy(F.xxhash64("vec_id", "vec", F.lit(3)), "vec_id", "vec").select("vec_id", "vec").limit(max(2, most)).collect()
+    return tune(np.array([r["vec_id"] for r in some], np.int64), np.array([r["vec"] for r in some], np.float64), k)
+
+
+def _searched(k: int, relax: float):
+    """Answers a partition's queries. Rows come sorted by task; a task's vectors come first and become a tree, its queries after them
+    are answered as they come, so that memory holds one shard and one batch of queries."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, vectors, tree = None, [], None
+        for batch in batches:
+            key = np.stack([np.asarray(batch[c]) for c in ("dim", "shard", "turn", "is_query")], axis=1)
+            edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)] if len(key) else []
+            for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                part, task = batch.slice(begin, end - begin), key[begin, :3].tolist()
+                if task != held:
+                    held, vectors, tree = task, [], None
+                ids, copies = np.asarray(part["vec_id"]), np.asarray(part["copies"])
+                x = part["vec"].flatten().to_numpy(zero_copy_only=False).reshape(end - begin, task[0])
+                if not key[begin, 3]:
+                    vectors.append((ids, x, copies))
+                    continue
+                if vectors:
+                    tree, vectors = build_tree(*map(np.concatenate, zip(*vectors, strict=True)), most=k + 1), []
+                for start in range(0, len(ids) if tree else 0, AT_ONCE):
+                    some = ids[start : start + AT_ONCE]
+                    at, found, scores = Search(tree, some, x[start : start + AT_ONCE], k, relax).run()
+                    yield pa.RecordBatch.from_arrays([pa.array(some[at]), pa.array(found), pa.array(scores)], ["query_id", "vec_id", "score"])
+
+    return rows
+
+
 def nearest(
-    df: DataFrame, k: int = 20, every: int = 20, relax: float = RELAX, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS
+    df: DataFrame, k: int = 20, every: int = 20, relax: float | None = RELAX, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS
 ) -> DataFrame:
     """For each row whose id is divisible by `every`, the k rows with the largest inner product among all rows with another id.
 
     Returns query_id, rank (from 1), vec_id and score (the inner product in double precision); ties go to the smaller id, queries with
     fewer candidates get fewer rows. Rows with a null id, and vectors that are null, empty, zero or have null or non-finite components take
-    no part; vectors of different lengths aren't compared. Repeated rows are candidates each but one query; other columns go.
+    no part; vectors of different lengths aren't compared. Products may overflow to an infinity, which counts as such; pairs whose products
+    are no number are left out. Repeated rows are candidates each. Ids should be unique: rows that share one are one query, by the smallest of
+    their vectors (component by component), and no candidates of it. Other columns go, and an empty table gives an empty one.
+
+    With relax 1 the result is exact. Larger factors skip more and may lose neighbours; None tunes the factor on a sample (see RELAX).
 
-    Rows are dealt to shards by hash, each gets a tree, and every block of queries searches every tree: a task holds one tree and one block,
-    however large or alike the table is. Only the best k of each shard are shuffled, and ranked with a limit taken before the shuffle.
+    Rows are dealt to shards by hash, equal ones as one row with a count, so that no shard outgrows a task. A task makes a tree of its shard's
+    vectors and then answers queries as they stream by. All queries go to all shards (and shards to several tasks where queries are many);
+    trees are never sent. Only the best k of each shard are shuffled, and ranked with a limit taken before the shuffle.
     """
     clean = usable(df, id_col, vector_col)
-    n = clean.count()
-    shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(n / every / BLOCK_ROWS))
-    dealt = clean.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vec", F.lit(1)), F.lit(shards)).cast("int"))
-
-    def tree(group: pd.DataFrame) -> pd.DataFrame:
-        made = build_tree(group["vec_id"].to_numpy(np.int64), np.stack(group["vec"]).astype(np.float64))
-        return pd.DataFrame({"dim": group["dim"].iloc[:1], "shard": group["shard"].iloc[:1], "tree": [pickle.dumps(made, 5)]})
-
-    def block(group: pd.DataFrame) -> pd.DataFrame:
-        made = {"ids": group["vec_id"].to_numpy(np.int64), "vectors": np.stack(group["vec"]).astype(np.float64)}
-        return pd.DataFrame({"dim": group["dim"].iloc[:1], "block": group["block"].iloc[:1], "queries": [pickle.dumps(made, 5)]})
-
-    def search(trees: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for t in trees["tree"]:
-            for q in queries["queries"]:
-                asked = pickle.loads(q)
-                scores, ids = Search(pickle.loads(t), asked["ids"], asked["vectors"], k, relax).run()
-                i, j = np.nonzero(~np.isneginf(scores))
-                out.append(pd.DataFrame({"query_id": asked["ids"][i], "vec_id": ids[i, j], "score": scores[i, j], "row": i}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "row": []})
-
-    trees = dealt.groupBy("dim", "shard").applyInPandas(tree, "dim int, shard int, tree binary")
-    asked = dealt.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "vec"]).withColumn("block", F.pmod(F.xxhash64("vec_id", "vec", F.lit(2)), F.lit(blocks)).cast("int"))
-    asked = asked.groupBy("dim", "block").applyInPandas(block, "dim int, block int, queries binary")
-    all_trees = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    all_asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["dim", "shard", "block"]
-    found = all_trees.groupBy(*keys).cogroup(all_asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double, row long")
-    found = found.select("query_id", "vec_id", "score")
+    rows = write_table(clean.groupBy("dim", "vec_id", "vec").agg(F.count("*").alias("copies")), "vectors")
+    n, dim = rows.agg(F.count("*"), F.max("dim")).first()
+    most = max(LEAF, min(shard_rows, SHARD_BYTES // (8 * (dim or 1))))
+    shards = max(math.ceil(n / most), min(FEW, math.ceil(n / SPLIT_ROWS)), 1)
+    turns = max(1, math.ceil(n / every / TASK_QUERIES))
+    each = lambda name, count: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
+    dealt = lambda seed, count: F.pmod(F.xxhash64("vec_id", "vec", F.lit(seed)), F.lit(count)).cast("int")
+    vectors = rows.select("dim", dealt(1, shards).alias("shard"), each("turn", turns), F.lit(0).alias("is_query"), "vec_id", "vec", "copies")
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("dim", "vec_id").agg(F.min("vec").alias("vec"))
+    first = Window.partitionBy("vec_id").orderBy("vec")
+    asked = asked.withColumn("place", F.row_number().over(first)).where("place = 1")
+    asked = asked.select("dim", each("shard", shards), dealt(2, turns).alias("turn"), F.lit(1).alias("is_query"), "vec_id", "vec", F.lit(1).cast("long").alias("copies"))
+    task = ["dim", "shard", "turn"]
+    together = vectors.union(asked).repartition(shards * turns, *task).sortWithinPartitions(*task, "is_query")
+    found = together.mapInArrow(_searched(k, _tuned(rows, k) if relax is None else relax), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
