@@ -55,6 +55,11 @@ FROM {documents}""",
   CAST(CASE WHEN l_returnflag='R' THEN 1 ELSE 2 END AS BIGINT) AS mate
 FROM {lineitem}""",
 }
+#: br_reads with what else pairs have: mates, base qualities (summed) and bases by CIGAR and trimming.
+BRIDGE["br_pairs"] = f"""SELECT read_id, qname, CAST(flag + CASE WHEN pos % 2 = 0 THEN 32 ELSE 0 END + CASE WHEN read_id % 19 = 0 THEN 256 ELSE 0 END + CASE WHEN read_id % 23 = 0 THEN 512 ELSE 0 END
+   + CASE WHEN mapq % 7 = 0 THEN 8 ELSE 0 END AS BIGINT) AS flag, chrom, pos, mapq, seq_len, isize, nm, rg, CASE WHEN isize % 5 = 0 THEN concat('chr', read_id % 5 + 1) ELSE chrom END AS mate_chrom,
+  CAST(pos + isize - 300 AS BIGINT) AS mate_pos, CAST(seq_len - nm AS BIGINT) AS cigar_mapped, CAST(seq_len * (10 + mapq % 25) AS BIGINT) AS qual_sum, CAST(nm * 2 AS BIGINT) AS trimmed
+FROM ({BRIDGE["br_reads"]}) r"""
 #: br_fastq takes whole texts as reads, not the first letters only.
 BRIDGE["br_fastq"] = BRIDGE["br_fastq"].replace("substr(text, 1, 100)", "text")
 

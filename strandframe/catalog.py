@@ -58,46 +58,6 @@ def _median(hist: str, name: str) -> str:
       SELECT rg, bin, sum(freq) OVER (PARTITION BY rg ORDER BY bin) AS cum, sum(freq) OVER (PARTITION BY rg) AS total FROM {hist}) GROUP BY rg"""
 
 
-@query(
-    "A1_readgroup_stats",
-    f"""WITH hist AS ({_INSERT}), med AS ({_median("hist", "m")}),
-dev AS (SELECT h.rg, abs(bin - m) AS bin, sum(freq) AS freq FROM hist h JOIN med USING (rg) GROUP BY h.rg, abs(bin - m)), mad AS ({_median("dev", "d")}),
-ins AS (SELECT rg, sum(bin * freq) / sum(freq) AS mean, sqrt(sum(bin * bin * freq) / sum(freq) - (sum(bin * freq) / sum(freq)) * (sum(bin * freq) / sum(freq))) AS sd FROM hist GROUP BY rg),
-base AS (SELECT rg, count(*) AS total_reads, sum(seq_len) AS total_bases, count(*) FILTER (flag & 4 = 0) AS mapped_reads, sum(seq_len) FILTER (flag & 4 = 0) AS mapped_bases,
-  count(*) FILTER (flag & 4 = 0 AND flag & 1 <> 0) AS paired_reads, count(*) FILTER (flag & 4 = 0 AND flag & 2 <> 0) AS proper_reads, count(*) FILTER (flag & 1024 <> 0) AS dup_reads,
-  100.0 * sum(nm) FILTER (flag & 4 = 0) / sum(seq_len) FILTER (flag & 4 = 0) AS pct FROM br_reads GROUP BY rg)
-SELECT rg, {B("total_reads")} AS total_reads, {B("total_bases")} AS total_bases, {B("mapped_reads")} AS mapped_reads, {B("mapped_bases")} AS mapped_bases, {B("paired_reads")} AS paired_reads,
-  {B("proper_reads")} AS proper_reads, {B("dup_reads")} AS dup_reads, round(CAST(pct AS DOUBLE), 6) AS pct_mismatch, round(mean, 6) AS mean_isize, round(sd, 6) AS isize_sd, {B("m")} AS median_isize, {B("d")} AS isize_mad
-FROM base LEFT JOIN ins USING (rg) LEFT JOIN med USING (rg) LEFT JOIN mad USING (rg)""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.readgroup_stats(v("br_reads"))
-
-
-@query(
-    "A2_alignment_summary",
-    f"""SELECT {B("count(*)")} AS sequences, {B("count(*) FILTER (flag & 64 <> 0)")} AS first_fragments, {B("count(*) FILTER (flag & 128 <> 0)")} AS last_fragments,
- {B("count(*) FILTER (flag & 4 = 0)")} AS reads_mapped, {B("count(*) FILTER (flag & 4 <> 0)")} AS reads_unmapped, {B("count(*) FILTER (flag & 4 = 0 AND mapq = 0)")} AS reads_mq0,
- {B("count(*) FILTER (flag & 1024 <> 0)")} AS reads_duplicated, {B("sum(seq_len)")} AS total_length, {B("sum(seq_len) FILTER (flag & 4 = 0)")} AS bases_mapped,
- {B("sum(seq_len) FILTER (flag & 1024 <> 0)")} AS bases_duplicated, {B("sum(nm) FILTER (flag & 4 = 0)")} AS mismatches,
- round(CAST(sum(nm) FILTER (flag & 4 = 0) AS DOUBLE) / sum(seq_len) FILTER (flag & 4 = 0), 6) AS error_rate, round(avg(seq_len), 6) AS average_length, max(seq_len) AS maximum_length FROM br_reads""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.alignment_summary(v("br_reads"))
-
-
-@query(
-    "A3_insert_size_histogram",
-    f"""WITH h AS (SELECT least(isize, 400) AS bin, count(*) AS pairs, count(*) FILTER (flag & 16 <> 0) AS outward, count(*) FILTER (flag & 16 = 0) AS inward
-  FROM br_reads WHERE flag & 64 <> 0 AND flag & 2 <> 0 AND isize > 0 GROUP BY 1),
-x AS (SELECT *, sum(pairs) OVER (ORDER BY bin) - pairs AS before, sum(pairs) OVER () AS total FROM h),
-m AS (SELECT sum(bin * pairs) / sum(pairs) AS mean, sum(bin * bin * pairs) / sum(pairs) AS sq FROM x WHERE CAST(before AS DOUBLE) / total <= 0.99)
-SELECT bin, {B("pairs")} AS pairs, {B("outward")} AS outward, {B("inward")} AS inward, round(mean, 6) AS mean_isize, round(sqrt(sq - mean * mean), 6) AS isize_sd FROM h CROSS JOIN m""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.insert_size_histogram(v("br_reads"), 400)
-
-
 @query(
     "A4_histogram_stats",
     f"""WITH h AS (SELECT mate, qual AS bin, count(*) AS freq FROM br_quality GROUP BY mate, qual),
@@ -150,62 +110,6 @@ iv2 AS (SELECT *, sum(CASE WHEN reached IS NULL OR reached < start_pos - 1 THEN
 merged AS (SELECT chrom, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM iv2 GROUP BY chrom, grp)"""
 
 
-@query(
-    "A14_target_coverage",
-    f"""WITH {_EVENTS}, {_MERGED}
-SELECT m.chrom, m.start_pos, m.end_pos, {B("coalesce(sum(least(m.end_pos, s.end_pos) - greatest(m.start_pos, s.start_pos) + 1), 0)")} AS covered,
- round(coalesce(sum((least(m.end_pos, s.end_pos) - greatest(m.start_pos, s.start_pos) + 1) * depth), 0) / CAST(m.end_pos - m.start_pos + 1 AS DOUBLE), 6) AS mean_coverage
-FROM merged m LEFT JOIN seg s ON m.chrom = s.chrom AND m.start_pos <= s.end_pos AND m.end_pos >= s.start_pos GROUP BY m.chrom, m.start_pos, m.end_pos""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.target_coverage(reads.depth_segments(v("br_reads")), intervals.merge_intervals(v("br_intervals")))
-
-
-@query(
-    "A27_gene_expression",
-    f"""WITH m AS (SELECT *, CASE WHEN flag & 16 <> 0 THEN -1 ELSE 1 END AS rs FROM br_reads WHERE flag & 4 = 0), n AS (SELECT count(*) AS n FROM m),
-h AS (SELECT iv_id, count(*) FILTER (rs = strand) AS s, count(*) FILTER (rs <> strand) AS a FROM br_intervals i JOIN m ON i.chrom = m.chrom AND m.pos <= end_pos AND m.pos + seq_len - 1 >= start_pos WHERE mapq > 10 GROUP BY iv_id)
-SELECT i.iv_id, {B("coalesce(s, 0)")} AS sense, {B("coalesce(a, 0)")} AS antisense, round(coalesce(s, 0) / CAST(end_pos - start_pos + 1 AS DOUBLE) * 1e9 / n, 6) AS rpkm_sense,
- round(coalesce(a, 0) / CAST(end_pos - start_pos + 1 AS DOUBLE) * 1e9 / n, 6) AS rpkm_antisense FROM br_intervals i LEFT JOIN h USING (iv_id) CROSS JOIN n""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.gene_expression(v("br_reads"), v("br_intervals"), 10)
-
-
-@query(
-    "A28_insert_sites",
-    f"""SELECT chrom, CASE WHEN flag & 16 <> 0 THEN pos + seq_len - 1 ELSE pos END AS pos, {B("CASE WHEN flag & 16 <> 0 THEN -1 ELSE 1 END")} AS strand, {B("count(*)")} AS n FROM br_reads WHERE flag & 4 = 0 GROUP BY 1, 2, 3""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.insert_sites(v("br_reads"))
-
-
-@query(
-    "A46_library_insert_config",
-    f"""WITH hist AS ({_INSERT}), s AS (SELECT rg, sum(bin * freq) / sum(freq) AS mean, sqrt(sum(bin * bin * freq) / sum(freq) - (sum(bin * freq) / sum(freq)) * (sum(bin * freq) / sum(freq))) AS sd FROM hist GROUP BY rg),
-cut AS (SELECT hist.* FROM hist JOIN s USING (rg) WHERE bin <= mean + 10 * sd), m AS (SELECT rg, sum(bin * freq) / sum(freq) AS mean, sum(freq) AS pairs FROM cut GROUP BY rg)
-SELECT rg, round(mean, 6) AS mean_isize, {B("pairs")} AS pairs, round(sqrt(sum((bin - mean) * (bin - mean) * freq) FILTER (bin > mean) / sum(freq) FILTER (bin > mean)), 6) AS upper_sd,
- round(sqrt(sum((bin - mean) * (bin - mean) * freq) FILTER (bin <= mean) / sum(freq) FILTER (bin <= mean)), 6) AS lower_sd FROM cut JOIN m USING (rg) GROUP BY rg, mean, pairs""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.library_insert_config(v("br_reads"))
-
-
-@query(
-    "A51_flagstat",
-    f"""SELECT {B("count(*)")} AS total, {B("count(*) FILTER (flag & 512 <> 0)")} AS qc_failed, {B("count(*) FILTER (flag & 1024 <> 0)")} AS duplicates, {B("count(*) FILTER (flag & 4 = 0)")} AS mapped,
- {B("count(*) FILTER (flag & 1 <> 0)")} AS paired, {B("count(*) FILTER (flag & 64 <> 0)")} AS read1, {B("count(*) FILTER (flag & 128 <> 0)")} AS read2,
- {B("count(*) FILTER (flag & 2 <> 0 AND flag & 4 = 0)")} AS properly_paired, {B("count(*) FILTER (flag & 4 = 0 AND flag & 8 <> 0)")} AS singletons FROM br_reads""",
-)
-def _(v: Views) -> DataFrame:
-    return reads.flagstat(v("br_reads"))
-
-
-@query("A52_chromosome_distribution", f"SELECT rg, chrom, {B('count(*)')} AS n FROM br_reads WHERE flag & 4 = 0 GROUP BY GROUPING SETS ((rg, chrom), (chrom))")
-def _(v: Views) -> DataFrame:
-    return reads.chromosome_distribution(v("br_reads"))
-
-
 @query(
     "A45_chromosome_deviation",
     "WITH c AS (SELECT chrom, count(*) AS n FROM br_reads WHERE flag & 4 = 0 GROUP BY chrom) SELECT round(sqrt(avg(power((n - t) / CAST(t AS DOUBLE), 2))), 6) AS deviation FROM c CROSS JOIN (SELECT max(n) AS t FROM c)",
@@ -230,11 +134,6 @@ def _(v: Views) -> DataFrame:
     return reads.unmapped_reads(v("br_reads"))
 
 
-@query("P23_fix_flags", "SELECT * REPLACE (CASE WHEN flag & 130 = 130 AND flag & 4 = 0 THEN xor(flag & ~1024, 16) ELSE flag & ~1024 END AS flag) FROM br_reads")
-def _(v: Views) -> DataFrame:
-    return reads.fix_flags(v("br_reads"))
-
-
 @query(
     "W12_previous_row_fill",
     "WITH x AS (SELECT read_id, min(CASE WHEN read_id % 3 = 0 THEN rg END) AS rg FROM br_reads GROUP BY read_id) SELECT read_id, coalesce(last_value(rg IGNORE NULLS) OVER (ORDER BY read_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'unknown_readgroup') AS rg FROM x",
@@ -559,44 +458,6 @@ def _(v: Views) -> DataFrame:
     return calls.inbreeding(v("br_genotypes"))
 
 
-@query(
-    "A22_cohort_summary",
-    f"""SELECT site, cohort, {B("count(a1) + count(a2)")} AS an, {B("coalesce(sum(a1 + a2), 0)")} AS ac, {B("least(coalesce(sum(a1 + a2), 0), count(a1) + count(a2) - coalesce(sum(a1 + a2), 0))")} AS mac,
- {B("count(*) FILTER (a1 + a2 = 0)")} AS hom_ref, {B("count(*) FILTER (a1 + a2 = 1)")} AS het, {B("count(*) FILTER (a1 + a2 = 2)")} AS hom_alt, round(avg(dp), 6) AS mean_dp FROM br_genotypes GROUP BY GROUPING SETS ((site, cohort), (site))""",
-)
-def _(v: Views) -> DataFrame:
-    return calls.cohort_summary(v("br_genotypes"))
-
-
-@query(
-    "A16_sample_stats",
-    f"""WITH s AS (SELECT site, count(*) FILTER (a1 + a2 > 0) AS n_alt FROM br_genotypes GROUP BY site)
-SELECT sample, {B("count(*) FILTER (a1 + a2 = 0)")} AS hom_rr, {B("count(*) FILTER (a1 + a2 = 1)")} AS het_ra, {B("count(*) FILTER (a1 + a2 = 2)")} AS hom_aa, {B("count(*) FILTER (a1 + a2 IS NULL)")} AS missing, {B("sum(phased)")} AS phased,
- {B("count(*) FILTER (a1 + a2 > 0 AND n_alt = 1)")} AS private FROM br_genotypes JOIN s USING (site) GROUP BY sample""",
-)
-def _(v: Views) -> DataFrame:
-    return calls.sample_stats(v("br_genotypes"))
-
-
-@query(
-    "A23_concordance",
-    f"""WITH a AS (SELECT site, sample, concat(least(a1, a2), '/', greatest(a1, a2)) AS g1 FROM br_genotypes WHERE a1 IS NOT NULL AND dp < 40),
-b AS (SELECT site, sample, concat(least(b1, b2), '/', greatest(b1, b2)) AS g2 FROM (SELECT site, sample, CASE WHEN dp % 5 = 0 THEN 1 - a1 ELSE a1 END AS b1, a2 AS b2, dp FROM br_genotypes WHERE a1 IS NOT NULL AND dp > 10))
-SELECT sample, {B("count(*) FILTER (g1 = g2)")} AS match, {B("count(*) FILTER (g1 <> g2)")} AS mismatch, {B("count(*) FILTER (g2 IS NULL)")} AS lost, {B("count(*) FILTER (g1 IS NULL)")} AS gained FROM a FULL JOIN b USING (site, sample) GROUP BY sample""",
-)
-def _(v: Views) -> DataFrame:
-    g = v("br_genotypes")
-    return calls.concordance(g.where("dp < 40"), g.where("dp > 10").withColumn("a1", F.when(F.col("dp") % 5 == 0, 1 - F.col("a1")).otherwise(F.col("a1"))))
-
-
-@query(
-    "A25_genotype_identity",
-    f"SELECT a.sample, b.sample AS candidate, {B('count(*)')} AS compared, {B('count(*) FILTER (a.a1 + a.a2 = b.a1 + b.a2)')} AS matching FROM br_genotypes a JOIN br_genotypes b USING (site) WHERE a.a1 IS NOT NULL AND b.a1 IS NOT NULL GROUP BY a.sample, b.sample",
-)
-def _(v: Views) -> DataFrame:
-    return calls.genotype_identity(v("br_genotypes"), v("br_genotypes"))
-
-
 @query(
     "C1_sample_contrast",
     f"""WITH x AS (SELECT site, bool_or(sample = 'S1' AND coalesce(a1 + a2 > 0, false)) AS novel, bool_or(sample <> 'S1' AND coalesce(a1 + a2 > 0, false)) AS known, count(*) FILTER (sample <> 'S1' AND dp >= 5 AND a1 IS NOT NULL) AS nb, min(dp) FILTER (sample <> 'S1') AS md
@@ -606,11 +467,6 @@ def _(v: Views) -> DataFrame:
     return calls.sample_contrast(v("br_genotypes"), "S1", ["S2", "S3"], 5)
 
 
-@query("P11_variant_subset", f"SELECT site, {B('''count(*) FILTER (a1 + a2 > 0 AND sample IN ('S1', 'S4'))''')} AS inside, {B('''count(*) FILTER (a1 + a2 > 0 AND sample NOT IN ('S1', 'S4'))''')} AS outside FROM br_genotypes GROUP BY site HAVING count(*) FILTER (a1 + a2 > 0 AND sample IN ('S1', 'S4')) > 0")
-def _(v: Views) -> DataFrame:
-    return calls.variant_subset(v("br_genotypes"), ["S1", "S4"])
-
-
 @query("A48_recurrence", f"SELECT site, {B('count(DISTINCT sample)')} AS n_samples FROM br_genotypes WHERE a1 + a2 > 0 GROUP BY site")
 def _(v: Views) -> DataFrame:
     return calls.recurrence(v("br_genotypes"))
@@ -853,16 +709,6 @@ def _(v: Views) -> DataFrame:
     return stats.rank_average(v("br_variants").select("var_id", "qual"), "qual").select("var_id", "qual", "rank_avg")
 
 
-@query("A50_mann_whitney", f"WITH r AS (SELECT {_INDEL} AS a, rank() OVER (ORDER BY qual) + (count(*) OVER (PARTITION BY qual) - 1) / 2.0 AS r FROM br_variants), s AS (SELECT count(*) FILTER (a) AS na, count(*) FILTER (NOT a) AS nb, sum(r) FILTER (a) AS ra FROM r) SELECT {B('na')} AS n_a, {B('nb')} AS n_b, round(ra - na * (na + 1) / 2.0, 6) AS u_a, round(na * nb - (ra - na * (na + 1) / 2.0), 6) AS u_b FROM s")
-def _(v: Views) -> DataFrame:
-    return stats.mann_whitney(v("br_variants").withColumn("a", variants.is_indel()), "qual", "a")
-
-
-@query("W6_peak_window", f"WITH h AS (SELECT mapq AS bin, count(*) AS freq FROM br_reads GROUP BY mapq), m AS (SELECT bin AS mode FROM h ORDER BY freq DESC, bin LIMIT 1) SELECT mode, {B('sum(freq)')} AS total, round(coalesce(sum(freq) FILTER (bin >= mode * 0.75 AND bin <= mode * 1.25), 0) / CAST(sum(freq) AS DOUBLE), 6) AS share FROM h CROSS JOIN m GROUP BY mode")
-def _(v: Views) -> DataFrame:
-    return stats.peak_window(v("br_reads").groupBy(F.col("mapq").alias("bin")).agg(F.count("*").alias("freq")), 0.25)
-
-
 # Streams, in their batch form (tests run them as streams)
 
 
@@ -942,37 +788,17 @@ def _(v: Views) -> DataFrame:
     return calls.wide_genotypes(v("br_genotypes"), [f"S{i}" for i in range(12)])
 
 
-@query(
-    "A26_genotype_status",
-    """WITH i AS (SELECT a.sample, b.sample AS candidate, CAST(count(*) FILTER (a.a1 + a.a2 = b.a1 + b.a2) AS DOUBLE) / count(*) AS share FROM br_genotypes a JOIN br_genotypes b USING (site) WHERE a.a1 IS NOT NULL AND b.a1 IS NOT NULL GROUP BY a.sample, b.sample),
-p AS (SELECT sample, max(share) AS best, max(share) FILTER (candidate = sample) AS own, list_reverse_sort(list(share))[2] AS second FROM i GROUP BY sample)
-SELECT sample, round(best, 6) AS best, CASE WHEN own = best THEN 'confirmed' WHEN best < 1.1 * second THEN 'unconfirmed' ELSE 'wrong' END AS status FROM p""",
-)
-def _(v: Views) -> DataFrame:
-    return calls.genotype_status(calls.genotype_identity(v("br_genotypes"), v("br_genotypes")), 1.1)
-
-
 @query("W18_single_hits", "SELECT * FROM br_reads WHERE qname IN (SELECT qname FROM br_reads GROUP BY qname HAVING count(*) = 1)")
 def _(v: Views) -> DataFrame:
     return reads.single_hits(v("br_reads"))
 
 
-@query("J15_unaligned", "SELECT rec_no, name FROM br_fastq WHERE name NOT IN (SELECT replace(qname, 'q', 'd') FROM br_reads)")
-def _(v: Views) -> DataFrame:
-    return reads.unaligned(v("br_fastq"), v("br_reads").withColumn("qname", F.translate("qname", "q", "d"))).select("rec_no", "name")
-
-
 @query("J16_similar_alignments", "WITH a AS (SELECT qname, chrom, pos FROM br_reads WHERE mapq > 0), b AS (SELECT qname, chrom, CASE WHEN nm = 0 THEN pos + 1 ELSE pos END AS pos FROM br_reads WHERE mapq > 0) SELECT *, 'a' AS side FROM (FROM a EXCEPT ALL FROM b) UNION ALL SELECT *, 'b' FROM (FROM b EXCEPT ALL FROM a)")
 def _(v: Views) -> DataFrame:
     moved = v("br_reads").withColumn("pos", F.when(F.col("nm") == 0, F.col("pos") + 1).otherwise(F.col("pos")))
     return reads.similar_alignments(v("br_reads"), moved)
 
 
-@query("C11_merge_up", f"SELECT rg, {B('count(*)')} AS n, {B('sum(seq_len)')} AS bases FROM br_reads WHERE flag & 1024 = 0 GROUP BY ROLLUP (rg)")
-def _(v: Views) -> DataFrame:
-    return reads.merge_up(v("br_reads"))
-
-
 @query("U7_distinct_ids", "SELECT DISTINCT obj_id FROM br_history")
 def _(v: Views) -> DataFrame:
     return reports.distinct_ids(v("br_history"), "obj_id")
@@ -999,4 +825,4 @@ def _(v: Views) -> DataFrame:
     return reports.sample_names(v("region"), v("nation"), v("customer"))
 
 
-from . import catalog_genotypes, catalog_records, catalog_reference  # noqa: E402, F401  (they add their queries)
+from . import catalog_genotypes, catalog_reads, catalog_records, catalog_reference  # noqa: E402, F401  (they add their queries)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .variants import cluster_by_distance
 
@@ -59,38 +60,100 @@ def inbreeding(gt: DataFrame) -> DataFrame:
     return c.select("site", "n", "het", F.when((p > 0) & (p < 1), 1 - (2 * F.col("het") / F.col("n")) / (2 * p * (1 - p))).alias("icf"))
 
 
-def cohort_summary(gt: DataFrame) -> DataFrame:
-    """Allele counts, minor allele count, genotypes and mean depth of each site and cohort, and of each site in all (cohort null)."""
-    an, ac = F.count("a1") + F.count("a2"), F.coalesce(F.sum(F.col("a1") + F.col("a2")), F.lit(0))
-    s = F.col("a1") + F.col("a2")
-    return gt.groupingSets([["site", "cohort"], ["site"]], "site", "cohort").agg(
-        an.alias("an"), ac.alias("ac"), F.least(ac, an - ac).alias("mac"), F.count_if(s == 0).alias("hom_ref"), F.count_if(s == 1).alias("het"), F.count_if(s == 2).alias("hom_alt"), F.avg("dp").alias("mean_dp")
-    )
+def cohort_summary(gt: DataFrame, n_alts: int = 1) -> DataFrame:
+    """For each site and cohort, and for each site in all (cohort null): alleles called, count of each alternative and the smallest of these, genotype
+    counts (of alleles i <= j at j (j + 1) / 2 + i; a single allele counts as a pair of it), inbreeding coefficient (of biallelic sites, null
+    where all alleles are equal), mean depth, and which cohorts have an alternative and how many these are. A row is a genotype (site, sample, cohort,
+    a1, a2, dp, haploid); the exact Hardy-Weinberg probability is hwe_exact of the genotype counts."""
+    a1, a2 = F.col("a1"), F.when(F.col("haploid"), F.col("a1")).otherwise(F.col("a2"))
+    pairs = [(i, j) for j in range(n_alts + 1) for i in range(j + 1)]
+    count = lambda k: F.count_if(F.col("a1") == k) + F.count_if(~F.col("haploid") & (F.col("a2") == k))
+    has_alt = (F.col("a1") > 0) | (~F.col("haploid") & (F.col("a2") > 0))
+    x = gt.withColumn("_of", F.col("cohort"))
+    x = x if "haploid" in gt.columns else x.withColumn("haploid", F.lit(False))
+    made = x.groupingSets([["site", "cohort"], ["site"]], "site", "cohort").agg(
+        (F.count("a1") + F.count(F.when(~F.col("haploid"), F.col("a2")))).alias("an"), F.array(*map(count, range(1, n_alts + 1))).alias("ac"),
+        F.array(*(F.count_if((F.least(a1, a2) == i) & (F.greatest(a1, a2) == j) & a1.isNotNull() & a2.isNotNull()) for i, j in pairs)).alias("gc"), F.avg("dp").alias("mean_dp"),
+        F.array_sort(F.collect_set(F.when(has_alt, F.col("_of")))).alias("cohorts"),
+    )
+    hom1, het, hom2 = (F.get("gc", F.lit(k)) for k in range(3))
+    n, p = hom1 + het + hom2, (2 * hom2 + het) / F.nullif(2 * (hom1 + het + hom2), F.lit(0))
+    icf = F.when((p > 0) & (p < 1), 1 - (het / n) / (2 * p * (1 - p))) if n_alts == 1 else F.lit(None).cast("double")
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
+    return made.select("site", "cohort", "an", text("ac").alias("ac"), F.array_min("ac").alias("mac"), text("gc").alias("gc"), icf.alias("icf"), "mean_dp", F.size("cohorts").alias("n_cohorts"), text("cohorts").alias("cohorts"))
+
+
+def genotype_type(a1: Column, a2: Column) -> Column:
+    """hom_RR, het_RA, hom_AA or het_AA by allele indexes, 0 being the reference; null if one is missing."""
+    both = a1.isNotNull() & a2.isNotNull()
+    return F.when(both & (a1 == 0) & (a2 == 0), "hom_RR").when(both & (a1 == a2), "hom_AA").when(both & ((a1 == 0) | (a2 == 0)), "het_RA").when(both, "het_AA")
 
 
 def sample_stats(gt: DataFrame) -> DataFrame:
-    """Genotypes of each sample, phased ones, and alternative calls that no other sample has."""
+    """Genotypes of each sample by type and by the site's kind (column kind: snp or indel), phased and unphased ones, and alternative calls that no
+    other sample has."""
     alt = F.col("a1") + F.col("a2") > 0
     sharing = gt.groupBy("site").agg(F.count_if(alt).alias("n_alt"))
-    x, s = gt.join(sharing, "site"), F.col("a1") + F.col("a2")
-    return x.groupBy("sample").agg(F.count_if(s == 0).alias("hom_rr"), F.count_if(s == 1).alias("het_ra"), F.count_if(s == 2).alias("hom_aa"), F.count_if(s.isNull()).alias("missing"), F.sum("phased").alias("phased"), F.count_if(alt & (F.col("n_alt") == 1)).alias("private"))
-
-
-def concordance(a: DataFrame, b: DataFrame) -> DataFrame:
-    """For each sample, genotypes of two sets that match, differ, or are in one set only."""
-    key = lambda: F.concat_ws("/", F.least("a1", "a2"), F.greatest("a1", "a2"))
-    x = a.where("a1 IS NOT NULL").select("site", "sample", key().alias("g1"))
-    y = b.where("a1 IS NOT NULL").select("site", "sample", key().alias("g2"))
-    return x.join(y, ["site", "sample"], "full").groupBy("sample").agg(
-        F.count_if(F.col("g1") == F.col("g2")).alias("match"), F.count_if(F.col("g1") != F.col("g2")).alias("mismatch"), F.count_if(F.col("g2").isNull()).alias("lost"), F.count_if(F.col("g1").isNull()).alias("gained")
-    )
+    x = gt.join(sharing, "site").withColumn("type", genotype_type(F.col("a1"), F.col("a2")))
+    called = F.col("type").isNotNull()
+    return x.groupBy("sample").agg(
+        *(F.count_if(F.col("type") == t).alias(t.lower()) for t in ("hom_RR", "het_RA", "hom_AA", "het_AA")), F.count_if(~called).alias("missing"), F.count_if(called & (F.col("phased") == 1)).alias("phased"),
+        F.count_if(called & (F.col("phased") == 0)).alias("unphased"), F.count_if(alt & (F.col("kind") == "snp")).alias("snps"), F.count_if(alt & (F.col("kind") == "indel")).alias("indels"), F.count_if(alt & (F.col("n_alt") == 1)).alias("private"),
+    )
+
+
+def shared_spectrum(gt: DataFrame) -> DataFrame:
+    """Sites by the number of samples that have an alternative allele there."""
+    return gt.groupBy("site").agg(F.count_if(F.col("a1") + F.col("a2") > 0).alias("n_samples")).groupBy("n_samples").agg(F.count("*").alias("sites"))
+
+
+def compared_genotypes(a: DataFrame, b: DataFrame, *bins: str) -> DataFrame:
+    """The genotypes of two sets (site, sample, a1, a2, phased) side by side, with type (of the first set, or of the second where only that has one), type2,
+    outcome (match, mismatch, lost, gained) and phase (match, mismatch, lost, gained or null). Of b also the columns `bins` are kept."""
+    side = lambda df, k, *more: df.select("site", "sample", F.col("a1").alias(f"x{k}"), F.col("a2").alias(f"y{k}"), (F.col("phased") == 1).alias(f"p{k}"), *more)
+    x = side(a, 1).join(side(b, 2, *bins), ["site", "sample"], "full")
+    t1, t2 = genotype_type(F.col("x1"), F.col("y1")), genotype_type(F.col("x2"), F.col("y2"))
+    same = (F.least("x1", "y1") == F.least("x2", "y2")) & (F.greatest("x1", "y1") == F.greatest("x2", "y2"))
+    outcome = F.when(t1.isNull() & t2.isNull(), None).when(t1.isNull(), "gained").when(t2.isNull(), "lost").when(same, "match").otherwise("mismatch")
+    ordered = (F.col("x1") == F.col("x2")) & (F.col("y1") == F.col("y2"))
+    both = F.col("outcome").isin("match", "mismatch")
+    agree = F.when(F.col("p1") & F.col("p2") & (F.col("outcome") == "match"), F.when(ordered, "match").otherwise("mismatch"))
+    phase = F.when(both & F.col("p1") & ~F.col("p2"), "lost").when(both & ~F.col("p1") & F.col("p2"), "gained").otherwise(agree)
+    return x.withColumns({"type": F.coalesce(t1, t2), "type2": t2, "outcome": outcome}).withColumn("phase", phase).where("outcome IS NOT NULL")
+
+
+def concordance(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """For each sample and genotype type (or other keys: sample, type, type2, and columns of b such as bins of depth, frequency or likelihood), how many
+    genotypes of two sets match, differ, or are in one set only, and how the phase of those in both does."""
+    keys = keys or ("sample", "type")
+    x = compared_genotypes(a, b, *(k for k in keys if k not in ("site", "sample", "type", "type2")))
+    counts = [F.count_if(F.col("outcome") == o).alias(o) for o in ("match", "mismatch", "lost", "gained")]
+    return x.groupBy(*keys).agg(*counts, *(F.count_if(F.col("phase") == o).alias(f"phase_{o}") for o in ("match", "mismatch", "lost", "gained")))
+
+
+def discordance(found: DataFrame) -> DataFrame:
+    """Percentage of mismatches of each type, and in all (type null) that of genotypes where one set at least has an alternative: reference matches
+    don't count."""
+    by_type = found.groupBy("type").agg(F.sum("match").alias("match"), F.sum("mismatch").alias("mismatch"))
+    alts = F.when(F.col("type") != "hom_RR", F.col("match")).otherwise(0)
+    in_all = found.agg(F.lit(None).cast("string").alias("type"), F.sum(alts).alias("match"), F.sum("mismatch").alias("mismatch"))
+    return by_type.union(in_all).withColumn("discordance", F.try_divide(100 * F.col("mismatch"), F.col("match") + F.col("mismatch")))
 
 
 def genotype_identity(calls: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Sites compared and matching of each pair of sample and candidate. Both sides are keyed by site; a site has a row for each sample."""
+    """Sites compared and matching of each pair of sample and candidate, their share, and the candidate's rank for the sample (best first, then by
+    name). Both sides are keyed by site; a site has a row for each sample, and samples of one site are compared with its candidates only."""
     mine = calls.where("a1 IS NOT NULL").select("site", F.col("sample"), (F.col("a1") + F.col("a2")).alias("g"))
     theirs = candidates.where("a1 IS NOT NULL").select("site", F.col("sample").alias("candidate"), (F.col("a1") + F.col("a2")).alias("cg"))
-    return mine.join(theirs, "site").groupBy("sample", "candidate").agg(F.count("*").alias("compared"), F.count_if(F.col("g") == F.col("cg")).alias("matching"))
+    pairs = mine.join(theirs, "site").groupBy("sample", "candidate").agg(F.count("*").alias("compared"), F.count_if(F.col("g") == F.col("cg")).alias("matching"))
+    share = F.col("matching") / F.col("compared")
+    return pairs.withColumn("share", share).withColumn("place", F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("share"), "candidate")))
+
+
+def best_two(identity: DataFrame) -> DataFrame:
+    """The best and the second best candidate of each sample and their shares."""
+    pick = lambda k, c: F.max(F.when(F.col("place") == k, F.col(c)))
+    return identity.where("place <= 2").groupBy("sample").agg(pick(1, "candidate").alias("best"), pick(1, "share").alias("best_share"), pick(2, "candidate").alias("second"), pick(2, "share").alias("second_share"))
 
 
 def sample_contrast(gt: DataFrame, case: str, background: list[str], min_dp: int) -> DataFrame:
@@ -101,11 +164,26 @@ def sample_contrast(gt: DataFrame, case: str, background: list[str], min_dp: int
     return x.where(F.col("novel") & ~F.coalesce("known", F.lit(False)) & (F.col("n_background") >= 1)).select("site", "n_background", "min_background_dp")
 
 
-def variant_subset(gt: DataFrame, samples: list[str], private: bool = False) -> DataFrame:
-    """Sites where a chosen sample has an alternative allele; with private, no other sample has one."""
-    alt, mine = F.col("a1") + F.col("a2") > 0, F.col("sample").isin(samples)
-    x = gt.groupBy("site").agg(F.count_if(alt & mine).alias("inside"), F.count_if(alt & ~mine).alias("outside"))
-    return x.where((F.col("inside") > 0) & ((F.col("outside") == 0) if private else F.lit(True)))
+def variant_subset(
+    gt: DataFrame, samples: list[str], private: bool = False, exclude_ref: bool = True, keep_uncalled: bool = False, sites: DataFrame | None = None, types: list[str] | None = None, replace_with_ref: bool = False
+) -> DataFrame:
+    """Sites by the genotypes (site, sample, a1, a2) of chosen samples: how many of these have an alternative (inside), how many others (outside), and which
+    alternatives are left (alts, the indexes that trimming keeps). exclude_ref drops sites where no chosen sample has an alternative, unless
+    keep_uncalled and none of them is called; private drops those where another sample has one. With `types`, sites (site, kind) of other kinds
+    are dropped or, with replace_with_ref, kept with their alternatives counted as reference."""
+    x, mine = gt, F.col("sample").isin(samples)
+    wanted = F.lit(True)
+    if types is not None:
+        x, wanted = gt.join(sites.select("site", "kind"), "site"), F.coalesce(F.col("kind").isin(types), F.lit(False))
+        x = x if replace_with_ref else x.where(wanted)
+    a1, a2 = (F.when(wanted | (F.col(c) == 0), F.col(c)).when(F.col(c).isNotNull(), 0) for c in ("a1", "a2"))
+    alt = (F.coalesce(a1, F.lit(0)) > 0) | (F.coalesce(a2, F.lit(0)) > 0)
+    called = F.col("a1").isNotNull() | F.col("a2").isNotNull()
+    seen = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(mine & alt, F.filter(F.array(a1, a2), lambda v: v > 0))))))
+    out = x.groupBy("site").agg(F.count_if(alt & mine).alias("inside"), F.count_if(alt & ~mine).alias("outside"), F.count_if(called & mine).alias("n_called"), seen.alias("_alts"))
+    keep = (F.col("inside") > 0) | (F.lit(keep_uncalled) & (F.col("n_called") == 0)) if exclude_ref else F.lit(True)
+    out = out.where(keep & ((F.col("outside") == 0) if private else F.lit(True)))
+    return out.withColumn("alts", F.array_join(F.col("_alts").cast("array<string>"), ",")).drop("_alts")
 
 
 def recurrence(gt: DataFrame) -> DataFrame:
@@ -130,11 +208,14 @@ def wide_genotypes(gt: DataFrame, samples: list[str]) -> DataFrame:
     return gt.withColumn("g", text).groupBy("site").pivot("sample", samples).agg(F.max("g")).fillna("NN")
 
 
-def genotype_status(identity: DataFrame, min_ratio: float) -> DataFrame:
-    """For each sample, whether it is itself the candidate that matches best: confirmed if it ties with the best; unconfirmed if the best is
-    too near the second best; else wrong."""
-    x = identity.withColumn("share", F.col("matching") / F.col("compared"))
-    per = x.groupBy("sample").agg(F.max("share").alias("best"), F.max(F.when(F.col("candidate") == F.col("sample"), F.col("share"))).alias("own"), F.array_sort(F.collect_list("share"), lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)).alias("all"))
-    second = F.get("all", F.lit(1))
-    status = F.when(F.col("own") == F.col("best"), "confirmed").when(F.col("best") < min_ratio * second, "unconfirmed").otherwise("wrong")
-    return per.select("sample", "best", status.alias("status"))
+def genotype_status(identity: DataFrame, expected: DataFrame, min_ratio: float) -> DataFrame:
+    """The status of each sample given who it is expected to be (sample, expected; null or absent: nobody; so too if the expected one was not
+    compared). confirmed if the best two tie and one of them is expected; else, where the best share is less than min_ratio times the second,
+    unconfirmed, or unknown if nobody is expected; else candidate if nobody is expected, confirmed if the best is, and wrong."""
+    known = identity.select("sample", F.col("candidate").alias("expected"))
+    two = best_two(identity).join(expected.join(known, ["sample", "expected"], "left_semi").dropDuplicates(["sample"]), "sample", "left")
+    ratio = F.when(F.col("second_share") != 0, F.col("best_share") / F.col("second_share")).otherwise(F.col("best_share") / 1e-6)
+    tie = (F.col("best_share") == F.col("second_share")) & F.col("expected").isin(F.col("best"), F.col("second"))
+    nobody, near = F.col("expected").isNull(), F.coalesce(ratio < min_ratio, F.lit(False))
+    status = F.when(F.coalesce(tie, F.lit(False)), "confirmed").when(near & nobody, "unknown").when(near, "unconfirmed").when(nobody, "candidate").when(F.col("expected") == F.col("best"), "confirmed").otherwise("wrong")
+    return two.select("sample", "expected", "best", "best_share", "second_share", status.alias("status"))

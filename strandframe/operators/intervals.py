@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.prefix import running
-from ..plans.ranges import overlap_join
+from ..plans.ranges import BIN, overlap_join
 
 
 def merge_intervals(iv: DataFrame, expand: int = 0) -> DataFrame:
@@ -53,10 +53,16 @@ def chunk_contigs(contigs: DataFrame, size: int) -> DataFrame:
 
 
 def reads_in_intervals(reads: DataFrame, iv: DataFrame) -> DataFrame:
-    """Reads that share a base with an interval, each once."""
-    spans = reads.withColumn("read_end", F.col("pos") + F.col("seq_len") - 1)
-    merged = merge_intervals(iv).select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"))
-    return overlap_join(spans, merged, left_span=("pos", "read_end")).groupBy(*reads.columns).agg(F.count("*").alias("n")).drop("n")
+    """Reads that share a base with an interval, each row once, repeated rows too. Merged intervals are posted to the bins that they touch and to
+    those in which a read that meets them may end; a bin has fewer intervals than bases, as they are disjoint. A read looks in the bin of
+    its end only, so nothing is deduplicated, and hot chromosomes are split."""
+    longest = F.broadcast(reads.agg(F.coalesce(F.max("seq_len"), F.lit(0)).alias("_longest")))
+    bins = F.sequence(F.floor(F.col("start_pos") / BIN), F.floor((F.col("end_pos") + F.col("_longest")) / BIN))
+    posted = merge_intervals(iv).join(longest).select(F.col("chrom").alias("_chrom"), F.explode(bins).alias("_bin"), F.struct(F.col("start_pos").alias("s"), F.col("end_pos").alias("e")).alias("_span"))
+    lists = posted.groupBy("_chrom", "_bin").agg(F.collect_list("_span").alias("_spans"))
+    end = F.col("pos") + F.col("seq_len") - 1
+    hit = reads.join(lists, (F.col("chrom") == F.col("_chrom")) & (F.floor(end / BIN) == F.col("_bin")))
+    return hit.where(F.exists("_spans", lambda x: (x["s"] <= end) & (x["e"] >= F.col("pos")))).select(*reads.columns)
 
 
 def positions_in_intervals(df: DataFrame, iv: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql.window import Window
 
 from ..plans.prefix import block_of, running
 from ..plans.ranges import overlap_join
+from .intervals import merge_intervals, reads_in_intervals
 from .stats import histogram_stats
 
 # Bits of a record's flag, fixed by the alignment format.
-PAIRED, PROPER, UNMAPPED, REVERSE, READ1, READ2, DUPLICATE = 1, 2, 4, 16, 64, 128, 1024
+PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE, READ1, READ2, SECONDARY, FAILED, DUPLICATE = 1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024
 
 
 def has(mask: int) -> Column:
@@ -39,11 +40,14 @@ def readgroup_filter(reads: DataFrame, groups: DataFrame, include: Column | None
     return reads.join(kept.select("rg").distinct(), "rg", "left_semi")
 
 
-def fix_flags(reads: DataFrame) -> DataFrame:
-    """The strand of proper second mates is turned and the duplicate bit cleared."""
+def fix_flags(reads: DataFrame, protocol: str = "strand_specific") -> DataFrame:
+    """Flags as a protocol of RNA reads has them: the duplicate bit is cleared and, if strand-specific, the strand of proper second mates
+    turned. The other protocols are standard and tradis."""
+    if protocol not in ("standard", "strand_specific", "tradis"):
+        raise ValueError(f"no protocol {protocol}")
     clear = F.col("flag").bitwiseAND(F.lit(~DUPLICATE))
-    turn = (F.col("flag").bitwiseAND(F.lit(PROPER | READ2)) == (PROPER | READ2)) & ~has(UNMAPPED)
-    return reads.withColumn("flag", F.when(turn, clear.bitwiseXOR(F.lit(REVERSE))).otherwise(clear))
+    turn = F.col("flag").bitwiseAND(F.lit(PROPER | READ2)) == (PROPER | READ2)
+    return reads.withColumn("flag", F.when(turn, clear.bitwiseXOR(F.lit(REVERSE))).otherwise(clear) if protocol == "strand_specific" else clear)
 
 
 def insert_histogram(reads: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,13 +57,13 @@ def insert_histogram(reads: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def readgroup_stats(reads: DataFrame) -> DataFrame:
-    """A1: totals, mapped, proper and duplicate reads, mismatch percentage, and insert-size mean, sd, median and median absolute deviation of
-    each read group. Medians come from histograms: no group is gathered."""
+    """A1: totals, mapped, proper and duplicate reads, mismatch percentage, mean base quality of mapped reads (qual_sum over seq_len), and
+    insert-size mean, sd, median and median absolute deviation of each read group. Medians come from histograms: no group is gathered."""
     mapped = ~has(UNMAPPED)
     base = reads.groupBy("rg").agg(
         F.count("*").alias("total_reads"), F.sum("seq_len").alias("total_bases"), total(mapped).alias("mapped_reads"), total(mapped, F.col("seq_len")).alias("mapped_bases"),
         total(mapped & has(PAIRED)).alias("paired_reads"), total(mapped & has(PROPER)).alias("proper_reads"), total(has(DUPLICATE)).alias("dup_reads"),
-        (100 * total(mapped, F.col("nm")) / total(mapped, F.col("seq_len"))).alias("pct_mismatch"),
+        F.try_divide(100 * total(mapped, F.col("nm")), total(mapped, F.col("seq_len"))).alias("pct_mismatch"), F.try_divide(total(mapped, F.col("qual_sum")), total(mapped, F.col("seq_len"))).alias("avg_quality"),
     )
     hist = insert_histogram(reads, ["rg"])
     stats = histogram_stats(hist, ["rg"])
@@ -69,44 +73,77 @@ def readgroup_stats(reads: DataFrame) -> DataFrame:
     return base.join(inserts, "rg", "left").join(mad, "rg", "left")
 
 
-def alignment_summary(reads: DataFrame) -> DataFrame:
-    """A2: summary numbers of all reads, one row, one pass."""
-    mapped = ~has(UNMAPPED)
-    return reads.agg(
-        F.count("*").alias("sequences"), total(has(READ1)).alias("first_fragments"), total(has(READ2)).alias("last_fragments"), total(mapped).alias("reads_mapped"),
-        total(has(UNMAPPED)).alias("reads_unmapped"), total(mapped & (F.col("mapq") == 0)).alias("reads_mq0"), total(has(DUPLICATE)).alias("reads_duplicated"),
-        F.sum("seq_len").alias("total_length"), total(mapped, F.col("seq_len")).alias("bases_mapped"), total(has(DUPLICATE), F.col("seq_len")).alias("bases_duplicated"),
-        total(mapped, F.col("nm")).alias("mismatches"), (total(mapped, F.col("nm")) / total(mapped, F.col("seq_len"))).alias("error_rate"),
-        F.avg("seq_len").alias("average_length"), F.max("seq_len").alias("maximum_length"),
-    )
+def alignment_summary(reads: DataFrame, require: int = 0, exclude: int = 0, cap: int = 8000, bulk: float = 0.99) -> DataFrame:
+    """A2: the summary numbers of reads with all bits of `require` and none of `exclude`; `filtered` counts the others. One row; one pass over
+    the reads and one over the pairs' histogram. Needs qual_sum, trimmed (bases), cigar_mapped (bases of M and I), mate_chrom and mate_pos."""
+    mapped, kept = ~has(UNMAPPED), (F.col("flag").bitwiseAND(F.lit(require)) == require) & (F.col("flag").bitwiseAND(F.lit(exclude)) == 0)
+    n = lambda c, value=None: total(kept & c, value)
+    one, length, last = F.lit(True), F.col("seq_len"), has(READ2)
+    numbers = {
+        "raw_total": F.count("*"), "filtered": total(~kept), "sequences": n(one), "first_fragments": n(~last), "last_fragments": n(last), "reads_mapped": n(mapped), "reads_unmapped": n(~mapped),
+        "reads_unpaired": n(mapped & ~has(PAIRED)), "reads_paired": n(mapped & has(PAIRED)), "reads_duplicated": n(has(DUPLICATE)), "reads_mq0": n(mapped & (F.col("mapq") == 0)), "reads_qc_failed": n(has(FAILED)),
+        "non_primary": n(has(SECONDARY)), "total_length": n(one, length), "bases_mapped": n(mapped, length), "bases_mapped_cigar": n(mapped, F.col("cigar_mapped")), "bases_trimmed": n(one, F.col("trimmed")),
+        "bases_duplicated": n(has(DUPLICATE), length), "mismatches": n(mapped, F.col("nm")), "maximum_length": F.max(F.when(kept, length)), "quality_sum": n(one, F.col("qual_sum")),
+        "different_chromosomes": F.floor(n(mapped & has(PAIRED) & (F.col("chrom") != F.col("mate_chrom"))) / 2),
+    }
+    hist = pair_histogram(flag_filter(reads, require, exclude), cap)
+    pairs = hist.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(f"pairs_{c}") for c in ("inward", "outward", "other")))
+    out = reads.agg(*(c.alias(name) for name, c in numbers.items())).join(F.broadcast(pairs)).join(F.broadcast(bulk_stats(hist, bulk)))
+    ratio = lambda a, b: F.try_divide(F.col(a), F.col(b))
+    return out.withColumns(
+        {
+            "is_paired": (F.col("first_fragments") > 0) & (F.col("last_fragments") > 0), "error_rate": ratio("mismatches", "bases_mapped_cigar"), "average_length": ratio("total_length", "sequences"),
+            "average_quality": ratio("quality_sum", "total_length"),
+        }
+    ).drop("quality_sum")
 
 
 def flagstat(reads: DataFrame) -> DataFrame:
-    """Counts by flag."""
+    """Counts by flag. mate_other_chrom are pairs mapped on both sides but to different sequences, mate_other_chrom_mq5 those with mapping
+    quality 5 or more."""
     mapped = ~has(UNMAPPED)
+    both = mapped & has(PAIRED) & ~has(MATE_UNMAPPED)
+    apart = both & (F.col("chrom") != F.col("mate_chrom"))
     return reads.agg(
-        F.count("*").alias("total"), total(has(512)).alias("qc_failed"), total(has(DUPLICATE)).alias("duplicates"), total(mapped).alias("mapped"), total(has(PAIRED)).alias("paired"),
-        total(has(READ1)).alias("read1"), total(has(READ2)).alias("read2"), total(has(PROPER) & mapped).alias("properly_paired"), total(mapped & has(8)).alias("singletons"),
+        F.count("*").alias("total"), total(has(FAILED)).alias("qc_failed"), total(has(DUPLICATE)).alias("duplicates"), total(mapped).alias("mapped"), total(has(PAIRED)).alias("paired"),
+        total(has(READ1)).alias("read1"), total(has(READ2)).alias("read2"), total(has(PROPER) & mapped).alias("properly_paired"), total(both).alias("both_mapped"),
+        total(mapped & has(PAIRED) & has(MATE_UNMAPPED)).alias("singletons"), total(apart).alias("mate_other_chrom"), total(apart & (F.col("mapq") >= 5)).alias("mate_other_chrom_mq5"),
     )
 
 
-def insert_size_histogram(reads: DataFrame, cap: int, bulk: float = 0.99) -> DataFrame:
-    """A3: pairs of each insert size (capped), told by first mates, split by strand, with mean and sd of the main bulk."""
-    first = reads.where(has(READ1) & has(PROPER) & (F.col("isize") > 0)).withColumn("bin", F.least(F.col("isize"), F.lit(cap)))
-    hist = first.groupBy("bin").agg(F.count("*").alias("pairs"), total(has(REVERSE)).alias("outward"), total(~has(REVERSE)).alias("inward"))
+def pair_histogram(reads: DataFrame, cap: int) -> DataFrame:
+    """Pairs of each insert size (bin, up to cap - 1) by orientation. Both mates of a pair count, so counts are halved, downwards. Mates on the
+    same strand are `other`; else inward if the forward one comes first. Mates at the same place have no orientation."""
+    side = (F.col("mate_pos") - F.col("pos")) * F.when(has(REVERSE), -1).otherwise(1)
+    other = has(REVERSE) == has(MATE_REVERSE)
+    used = reads.where(~has(UNMAPPED) & has(PAIRED) & ((F.col("isize") != 0) | (F.col("chrom") == F.col("mate_chrom"))))
+    half = lambda c: F.floor(F.count_if(c) / 2)
+    kinds = {"inward": ~other & (side > 0), "outward": ~other & (side < 0), "other": other}
+    return used.groupBy(F.least(F.abs("isize"), F.lit(cap - 1)).alias("bin")).agg(*(half(c).alias(name) for name, c in kinds.items())).withColumn("pairs", F.col("inward") + F.col("outward") + F.col("other"))
+
+
+def bulk_stats(hist: DataFrame, bulk: float) -> DataFrame:
+    """mean_isize and isize_sd of the main bulk: the bins up to the first at which more than `bulk` of all pairs are reached (the sd from bin 1 on)."""
     run = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # a histogram: cap rows at most
-    x = hist.withColumn("before", F.coalesce(F.sum("pairs").over(run), F.lit(0))).withColumn("all_pairs", F.sum("pairs").over(Window.partitionBy()))
-    main = x.where(F.col("before") / F.col("all_pairs") <= bulk)
-    mean = main.agg((F.sum(F.col("bin") * F.col("pairs")) / F.sum("pairs")).alias("mean_isize"), F.sum(F.col("bin") ** 2 * F.col("pairs")).alias("s2"), F.sum("pairs").alias("sp"))
-    mean = mean.select("mean_isize", F.sqrt(F.col("s2") / F.col("sp") - F.col("mean_isize") ** 2).alias("isize_sd"))
-    return hist.join(F.broadcast(mean))
+    x = hist.withColumns({"before": F.coalesce(F.sum("pairs").over(run), F.lit(0)), "all_pairs": F.sum("pairs").over(Window.partitionBy())})
+    main = x.where(F.try_divide(F.col("before"), F.col("all_pairs")) <= bulk).select("bin", "pairs")
+    mean = main.agg(F.try_divide(F.sum(F.col("bin") * F.col("pairs")), F.sum("pairs")).alias("mean_isize"), F.sum("pairs").alias("n_main"))
+    off = main.join(F.broadcast(mean)).where("bin > 0").agg(F.sqrt(F.sum(F.col("pairs") * (F.col("bin") - F.col("mean_isize")) ** 2 / F.col("n_main"))).alias("isize_sd"))
+    return mean.select("mean_isize").join(F.broadcast(off))
+
+
+def insert_size_histogram(reads: DataFrame, cap: int = 8000, bulk: float = 0.99) -> DataFrame:
+    """A3: pairs of each insert size by orientation, with mean and sd of the main bulk."""
+    hist = pair_histogram(reads, cap)
+    return hist.join(F.broadcast(bulk_stats(hist, bulk)))
 
 
 def depth_segments(reads: DataFrame) -> DataFrame:
     """Stretches of equal depth (chrom, start_pos, end_pos, depth > 0) of mapped reads, by a running sum of starts and ends in blocks
     of positions; blocks' sums and first positions, few, run along the chromosome."""
     mapped = reads.where(~has(UNMAPPED))
-    events = mapped.select("chrom", F.col("pos").alias("p"), F.lit(1).alias("d")).union(mapped.select("chrom", (F.col("pos") + F.col("seq_len")).alias("p"), F.lit(-1).alias("d")))
+    ends = F.array(F.struct(F.col("pos").alias("p"), F.lit(1).alias("d")), F.struct((F.col("pos") + F.col("seq_len")).alias("p"), F.lit(-1).alias("d")))
+    events = mapped.select("chrom", F.explode(ends).alias("e")).select("chrom", "e.p", "e.d")
     steps = events.groupBy("chrom", "p").agg(F.sum("d").alias("d")).withColumn("_block", block_of(F.col("p")))
     along = Window.partitionBy("chrom").orderBy("_block")
     blocks = steps.groupBy("chrom", "_block").agg(F.sum("d").alias("_sum"), F.min("p").alias("_first"))
@@ -139,34 +176,43 @@ def coverage_depth(segments: DataFrame, ref_size: int) -> DataFrame:
     return segments.agg(F.sum(size).alias("covered"), mean.alias("mean_depth"), F.sqrt(F.sum(size * d * d) / ref_size - mean * mean).alias("sd_depth"))
 
 
-def chromosome_distribution(reads: DataFrame) -> DataFrame:
-    """Mapped reads of each read group and chromosome, and of each chromosome in all (rg null)."""
+def chromosome_distribution(reads: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Mapped reads of each read group and chromosome, and of each chromosome in all (rg null), with how many these are for each base of the
+    chromosome (chrom, length); null where no length is known."""
     mapped = reads.where(~has(UNMAPPED))
-    return mapped.groupingSets([["rg", "chrom"], ["chrom"]], "rg", "chrom").agg(F.count("*").alias("n"))
+    counts = mapped.groupingSets([["rg", "chrom"], ["chrom"]], "rg", "chrom").agg(F.count("*").alias("n"))
+    return counts.join(lengths.select("chrom", "length"), "chrom", "left").select("rg", "chrom", "n", F.try_divide(F.col("n"), F.col("length")).alias("per_base"))
 
 
-def library_insert_config(reads: DataFrame) -> DataFrame:
-    """Mean insert size of each read group after cutting above mean + 10 sd, and sd above and below it."""
+def library_insert_config(reads: DataFrame, least: int = 100, most_cv: float = 1.0) -> DataFrame:
+    """Mean insert size of each read group after cutting above mean + 10 sd, and sd above and below it. Groups with fewer than `least` pairs, or
+    whose sd is over `most_cv` of their mean, are left out."""
     hist = insert_histogram(reads, ["rg"])
     s = histogram_stats(hist, ["rg"]).select("rg", "mean", "sd")
     cut = hist.join(s, "rg").where(F.col("bin") <= F.col("mean") + 10 * F.col("sd"))
     m = cut.groupBy("rg").agg((F.sum(F.col("bin") * F.col("freq")) / F.sum("freq")).alias("mean_isize"), F.sum("freq").alias("pairs"))
-    off = cut.join(m, "rg").withColumn("off", F.col("bin") - F.col("mean_isize"))
+    off = cut.select("rg", "bin", "freq").join(m, "rg").withColumn("off", F.col("bin") - F.col("mean_isize"))
     sd = lambda side: F.sqrt(F.sum(F.when(side, F.col("off") ** 2 * F.col("freq"))) / F.sum(F.when(side, F.col("freq"))))
-    return off.groupBy("rg", "mean_isize", "pairs").agg(sd(F.col("off") > 0).alias("upper_sd"), sd(F.col("off") <= 0).alias("lower_sd"))
-
-
-def gene_expression(reads: DataFrame, features: DataFrame, min_mapq: int = 0) -> DataFrame:
-    """Mapped reads with more than min_mapq that overlap each feature (iv_id, chrom, start_pos, end_pos, strand), sense and antisense, and
-    RPKM by the feature's length and all mapped reads."""
-    mapped = reads.where(~has(UNMAPPED))
-    kept = mapped.where(F.col("mapq") > min_mapq).select("chrom", "read_id", F.col("pos").alias("r_start"), (F.col("pos") + F.col("seq_len") - 1).alias("r_end"), F.when(has(REVERSE), -1).otherwise(1).alias("r_strand"))
-    hits = overlap_join(features, kept)
-    n = hits.groupBy("iv_id").agg(total(F.col("r_strand") == F.col("strand")).alias("sense"), total(F.col("r_strand") != F.col("strand")).alias("antisense"))
-    all_mapped = mapped.agg(F.count("*").alias("all_mapped"))
-    out = features.join(n, "iv_id", "left").join(F.broadcast(all_mapped))
-    rpkm = lambda c: F.coalesce(c, F.lit(0)) / (F.col("end_pos") - F.col("start_pos") + 1) * 1e9 / F.col("all_mapped")
-    return out.select("iv_id", F.coalesce("sense", F.lit(0)).alias("sense"), F.coalesce("antisense", F.lit(0)).alias("antisense"), rpkm(F.col("sense")).alias("rpkm_sense"), rpkm(F.col("antisense")).alias("rpkm_antisense"))
+    out = off.groupBy("rg", "mean_isize", "pairs").agg(sd(F.col("off") > 0).alias("upper_sd"), sd(F.col("off") <= 0).alias("lower_sd"), (sd(F.lit(True)) / F.col("mean_isize")).alias("cv"))
+    return out.where((F.col("pairs") >= least) & (F.col("cv") <= most_cv))
+
+
+def gene_expression(reads: DataFrame, features: DataFrame, exons: DataFrame, min_mapq: int = 0, mask: int | None = None, protocol: str = "standard") -> DataFrame:
+    """Reads of each feature (iv_id, strand), sense and antisense, and RPKM by the length of its exons (iv_id, chrom, start_pos, end_pos) and
+    all mapped reads. Used are mapped reads with mapping quality above min_mapq, a bit of `mask` if there is one, and a base in an exon; a
+    read counts once for a feature. Flags are read as the protocol has them (fix_flags). A window around the features is not needed: reads are
+    found by the exons' bins."""
+    mapped = fix_flags(reads.where(~has(UNMAPPED)), protocol)
+    good = (F.col("mapq") > min_mapq) & (has(mask) if mask else F.lit(True))
+    kept = mapped.where(good).select("chrom", F.col("pos").alias("r_start"), (F.col("pos") + F.col("seq_len") - 1).alias("r_end"), F.when(has(REVERSE), -1).otherwise(1).alias("r_strand"))
+    before = Window.partitionBy("iv_id").orderBy("start_pos", "end_pos").rowsBetween(Window.unboundedPreceding, -1)  # over a feature's exons
+    own = exons.select("iv_id", "chrom", "start_pos", "end_pos").withColumn("_reached", F.max("end_pos").over(before))
+    hits = overlap_join(own, kept).where(F.coalesce(F.col("_reached") < F.col("r_start"), F.lit(True)))  # the first exon that the read meets
+    n = hits.select("iv_id", "r_strand").join(features.select("iv_id", "strand"), "iv_id").groupBy("iv_id").agg(total(F.col("r_strand") == F.col("strand")).alias("sense"), total(F.col("r_strand") != F.col("strand")).alias("antisense"))
+    sizes = exons.groupBy("iv_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("exon_length"))
+    out = features.select("iv_id").join(sizes, "iv_id").join(n, "iv_id", "left").join(F.broadcast(mapped.agg(F.count("*").alias("all_mapped")))).fillna(0, ["sense", "antisense"])
+    rpkm = lambda c: F.col(c) / F.col("exon_length") * 1e9 / F.col("all_mapped")
+    return out.select("iv_id", "exon_length", "sense", "antisense", rpkm("sense").alias("rpkm_sense"), rpkm("antisense").alias("rpkm_antisense"))
 
 
 def insert_sites(reads: DataFrame) -> DataFrame:
@@ -175,6 +221,20 @@ def insert_sites(reads: DataFrame) -> DataFrame:
     return reads.where(~has(UNMAPPED)).groupBy("chrom", at.alias("pos"), F.when(has(REVERSE), -1).otherwise(1).cast("long").alias("strand")).agg(F.count("*").alias("n"))
 
 
+def feature_inserts(sites: DataFrame, features: DataFrame) -> DataFrame:
+    """Insert sites and their reads (both strands) within each feature (iv_id, chrom, start_pos, end_pos, strand), under the feature's own strand
+    (pos, neg or zero), and sites by its length."""
+    hits = overlap_join(features, sites.select("chrom", F.col("pos").alias("r_start"), F.col("pos").alias("r_end"), "n"))
+    counts = hits.groupBy("iv_id").agg(F.count("*").alias("sites"), F.sum("n").alias("reads"))
+    out = features.join(counts, "iv_id", "left").fillna(0, ["sites", "reads"])
+    made = {}
+    for name, strand in (("pos", 1), ("neg", -1), ("zero", 0)):
+        mine = F.col("strand") == strand
+        made |= {f"{name}_sites": F.when(mine, F.col("sites")).otherwise(0), f"{name}_reads": F.when(mine, F.col("reads")).otherwise(0)}
+        made[f"{name}_by_length"] = F.when(mine, F.col("sites")).otherwise(0) / (F.col("end_pos") - F.col("start_pos") + 1)
+    return out.select("iv_id", *(c.alias(name) for name, c in made.items()))
+
+
 def target_coverage(segments: DataFrame, targets: DataFrame) -> DataFrame:
     """Bases and mean coverage of each merged target (chrom, start_pos, end_pos)."""
     depth = segments.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"), "depth")
@@ -184,6 +244,47 @@ def target_coverage(segments: DataFrame, targets: DataFrame) -> DataFrame:
     return out.select("chrom", "start_pos", "end_pos", F.coalesce("covered", F.lit(0)).alias("covered"), (F.coalesce("bases", F.lit(0)) / (F.col("end_pos") - F.col("start_pos") + 1)).alias("mean_coverage"))
 
 
+DEPTHS = (1, 2, 5, 10, 20, 50, 100)
+
+
+def _within(segments: DataFrame, regions: DataFrame) -> DataFrame:
+    """(depth, size): how many bases of disjoint regions have each depth above 0."""
+    depth = segments.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"), "depth")
+    hit = overlap_join(regions, depth)
+    return hit.groupBy("depth").agg(F.sum(F.least("end_pos", "r_end") - F.greatest("start_pos", "r_start") + 1).alias("size"))
+
+
+def capture_stats(reads: DataFrame, baits: DataFrame, targets: DataFrame, near: int = 100, low: float = 2) -> DataFrame:
+    """One row for baits and one for targets, both merged: their bases; mapped bases on, near (within `near`, but not on) and off them, of reads
+    that aren't duplicates; reads on and near them; mean and sd of the coverage and the shares of bases covered at least so many times; how many
+    of them have a mean coverage below `low`; and, for baits, the share of target bases in bait bases."""
+    kept = reads.where(~has(UNMAPPED) & ~has(DUPLICATE))
+    segments, spans = depth_segments(kept), kept.select("chrom", "pos", "seq_len")
+    mapped = kept.agg(F.sum("seq_len").alias("mapped_bases"))
+    rows = []
+    for kind, raw in (("bait", baits), ("target", targets)):
+        on, wide = merge_intervals(raw), merge_intervals(raw, near)
+        size = on.agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("bases"), F.count("*").alias("n_regions"))
+        d, n = F.col("depth"), F.col("size")
+        cover = _within(segments, on).agg(F.sum(n * d).alias("on_bases"), F.sum(n * d * d).alias("_square"), *(F.sum(F.when(d >= t, n).otherwise(0)).alias(f"_x{t}") for t in DEPTHS))
+        around = _within(segments, wide).agg(F.sum(n * d).alias("_wide"))
+        counts = [reads_in_intervals(spans, x).agg(F.count("*").alias(name)) for x, name in ((on, "reads_on"), (wide, "_reads_wide"))]
+        poor = target_coverage(segments, on).agg(F.count_if(F.col("mean_coverage") < low).alias("low_regions"))
+        one = size.withColumn("kind", F.lit(kind))
+        for x in (cover, around, *counts, poor, mapped):
+            one = one.join(F.broadcast(x))
+        rows.append(one.fillna(0))
+    x = rows[0].union(rows[1])
+    bases = F.col("bases")
+    mean = F.col("on_bases") / bases
+    targets_in_all = F.max(F.when(F.col("kind") == "target", bases)).over(Window.partitionBy())  # two rows
+    return x.select(
+        "kind", "bases", "n_regions", "on_bases", (F.col("_wide") - F.col("on_bases")).alias("near_bases"), (F.col("mapped_bases") - F.col("_wide")).alias("off_bases"), "reads_on", (F.col("_reads_wide") - F.col("reads_on")).alias("reads_near"),
+        mean.alias("mean_coverage"), F.sqrt(F.greatest(F.lit(0.0), F.col("_square") / bases - mean * mean)).alias("sd_coverage"), *((F.col(f"_x{t}") / bases).alias(f"share_{t}x") for t in DEPTHS), "low_regions",
+        F.when(F.col("kind") == "bait", targets_in_all / bases).alias("design_efficiency"),
+    )
+
+
 def previous_row_fill(reads: DataFrame, order: str, column: str, block: int = 1 << 20, first: str = "unknown_readgroup") -> DataFrame:
     """A null takes the last value before it in order; nulls in front get `first`. Runs block by block of `order`, blocks' last values
     then run over the few blocks."""
@@ -200,8 +301,19 @@ def single_hits(reads: DataFrame, name: str = "qname") -> DataFrame:
 
 
 def unaligned(fastq: DataFrame, reads: DataFrame) -> DataFrame:
-    """Records whose name no alignment has."""
-    return fastq.join(reads.select(F.col("qname").alias("name")).distinct(), "name", "left_anti")
+    """Records whose read no alignment has, as unmapped reads (qname, flag, seq_len). A record's mate number is its name's ending /1 or /2, an
+    alignment's its first or second flag (1 if neither is set, or if its name has such an ending, that)."""
+    mate = lambda name, other: F.coalesce(F.nullif(F.regexp_extract(name, "/([12])$", 1), F.lit("")).cast("int"), other)
+    bare = lambda name: F.regexp_replace(name, "/[12]?$", "")
+    have = reads.select(bare(F.col("qname")).alias("qname"), mate(F.col("qname"), F.when(has(READ2) & ~has(READ1), 2).otherwise(1)).alias("mate")).distinct()
+    records = fastq.select(bare(F.col("name")).alias("qname"), mate(F.col("name"), F.lit(1)).alias("mate"), F.regexp_like("name", F.lit("/[12]$")).alias("_paired"), F.length("seq").cast("long").alias("seq_len"))
+    flag = F.lit(UNMAPPED) + F.when(F.col("_paired"), PAIRED + F.when(F.col("mate") == 1, READ1).otherwise(READ2)).otherwise(0)
+    return records.join(have, ["qname", "mate"], "left_anti").select("qname", flag.cast("long").alias("flag"), "seq_len")
+
+
+def with_unaligned(reads: DataFrame, fastq: DataFrame) -> DataFrame:
+    """The alignments with the records that they lack appended as unmapped rows, whose other columns are null."""
+    return reads.unionByName(unaligned(fastq, reads), allowMissingColumns=True)
 
 
 def similar_alignments(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -211,6 +323,8 @@ def similar_alignments(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.exceptAll(y).withColumn("side", F.lit("a")).unionAll(y.exceptAll(x).withColumn("side", F.lit("b")))
 
 
-def merge_up(reads: DataFrame) -> DataFrame:
-    """C11: reads and bases of each library (read group) without flagged duplicates, and of all."""
-    return reads.where(~has(DUPLICATE)).rollup("rg").agg(F.count("*").alias("n"), F.sum("seq_len").alias("bases"))
+def merge_up(reads: DataFrame, levels: list[str], chrom: str | None = None) -> DataFrame:
+    """C11: reads and bases without flagged duplicates at each level of a hierarchy of columns, from the last one up, and of all; of one sequence if
+    it is given."""
+    kept = reads.where(~has(DUPLICATE))
+    return (kept.where(F.col("chrom") == chrom) if chrom else kept).rollup(*levels).agg(F.count("*").alias("n"), F.sum("seq_len").alias("bases"))
