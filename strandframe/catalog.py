@@ -229,15 +229,6 @@ def _(v: Views) -> DataFrame:
     return variants.pass_filter(v("br_variants").withColumn("filt", F.when(F.col("filt") == "Brand#1", "PASS").otherwise(F.col("filt"))))
 
 
-@query(
-    "P5_rule_filter",
-    f"""SELECT var_id, coalesce(nullif(concat_ws(';', CASE WHEN NOT {_INDEL} AND qual < 30 THEN 'LowQual' END, CASE WHEN {_INDEL} AND qual < 50 THEN 'LowIndel' END, CASE WHEN dp < 5 THEN 'MinDP' END, CASE WHEN dp > 45 THEN 'MaxDP' END), ''), 'PASS') AS filters FROM br_variants""",
-)
-def _(v: Views) -> DataFrame:
-    rules = [variants.Rule("LowQual", "snp", F.col("qual") >= 30), variants.Rule("LowIndel", "indel", F.col("qual") >= 50), variants.Rule("MinDP", "all", F.col("dp") >= 5), variants.Rule("MaxDP", "all", F.col("dp") <= 45)]
-    return variants.rule_filter(v("br_variants"), rules).select("var_id", "filters")
-
-
 @query("P8_set_filter", "SELECT var_id, CASE WHEN filt = 'Brand#11' THEN 'Checked' WHEN filt < 'Checked' THEN filt || ';Checked' ELSE 'Checked;' || filt END AS filters FROM br_variants")
 def _(v: Views) -> DataFrame:
     return v("br_variants").select("var_id", variants.set_filter(F.col("filt"), ["Checked"], ["Brand#11"]).alias("filters"))
@@ -301,36 +292,6 @@ def _(v: Views) -> DataFrame:
     return variants.consistency(v("br_calls"), "pos")
 
 
-@query(
-    "X1_classify_variants",
-    f"SELECT var_id, CASE WHEN ref = alt THEN 'r' WHEN NOT {_INDEL} THEN 's' ELSE 'i' END AS kind, {B(f'CASE WHEN {_INDEL} THEN length(alt) - length(ref) WHEN ref = alt THEN 0 ELSE 1 END')} AS size FROM br_variants",
-)
-def _(v: Views) -> DataFrame:
-    return variants.classify(v("br_variants")).select("var_id", "kind", "size")
-
-
-@query("X2_compact_alleles", "SELECT var_id, ref, alt FROM br_variants")
-def _(v: Views) -> DataFrame:
-    longer = v("br_variants").withColumns({"ref": F.concat("ref", F.lit("GA")), "alt": F.concat("alt", F.lit("GA"))})
-    return variants.compact_alleles(longer).select("var_id", "ref", "alt")
-
-
-@query("J4_annotate", "SELECT v.var_id, string_agg(DISTINCT CAST(iv_id AS VARCHAR), ',' ORDER BY CAST(iv_id AS VARCHAR)) AS annotation FROM br_variants v LEFT JOIN br_intervals i ON v.chrom = i.chrom AND v.pos BETWEEN start_pos AND end_pos GROUP BY v.var_id")
-def _(v: Views) -> DataFrame:
-    named = v("br_intervals").withColumn("iv_id", F.col("iv_id").cast("string"))
-    return variants.annotate(v("br_variants"), named, "iv_id").select("var_id", "annotation")
-
-
-@query(
-    "J5_fill_ids",
-    """WITH k AS (SELECT chrom, pos, min({'known_id': 'rs' || lpad(CAST(var_id AS VARCHAR), 9, '0'), 'known_ref': ref, 'known_alt': alt}) AS k FROM br_variants WHERE var_id % 3 = 0 GROUP BY chrom, pos)
-SELECT var_id, k.known_id AS known_id, k.known_ref = ref AS ref_match, k.known_alt = alt AS alt_match FROM br_variants LEFT JOIN k USING (chrom, pos)""",
-)
-def _(v: Views) -> DataFrame:
-    known = v("br_variants").where("var_id % 3 = 0").select("chrom", "pos", F.concat(F.lit("rs"), F.lpad(F.col("var_id").cast("string"), 9, "0")).alias("known_id"), F.col("ref").alias("known_ref"), F.col("alt").alias("known_alt"))
-    return variants.fill_ids(v("br_variants"), known).select("var_id", "known_id", "ref_match", "alt_match")
-
-
 @query("J8_liftover", "SELECT var_id, 'new' || chrom AS chrom, pos + 100 AS pos FROM br_variants WHERE pos % 7 <> 0 AND (chrom, pos) IN (SELECT (chrom, pos) FROM br_calls)")
 def _(v: Views) -> DataFrame:
     mapping = v("br_calls").select("chrom", "pos").distinct().withColumns({"new_chrom": F.when(F.col("pos") % 7 == 0, "skip").otherwise(F.concat(F.lit("new"), "chrom")), "new_pos": F.col("pos") + 100})
@@ -346,29 +307,6 @@ def _(v: Views) -> DataFrame:
     return variants.variant_counts(v("br_variants"), "filt", 20)
 
 
-@query(
-    "A17_ts_tv",
-    f"""WITH x AS (SELECT *, length(ref) = 1 AND length(alt) = 1 AND ref <> alt AS snp FROM br_variants), s AS (SELECT count(*) AS total, count(*) FILTER (snp AND {_TS}) AS ts, count(*) FILTER (snp AND NOT {_TS}) AS tv, count(*) FILTER (NOT snp) AS skipped FROM x)
-SELECT {B("total")} AS total, {B("ts")} AS ts, {B("tv")} AS tv, {B("skipped")} AS skipped, round(ts / CAST(nullif(tv, 0) AS DOUBLE), 6) AS ratio FROM s""",
-)
-def _(v: Views) -> DataFrame:
-    return variants.ts_tv(v("br_variants"))
-
-
-@query(
-    "A18_qual_tstv_curve",
-    f"""WITH q AS (SELECT qual, count(*) AS n, count(*) FILTER (NOT {_INDEL}) AS snps, count(*) FILTER ({_TS}) AS ts FROM br_variants GROUP BY qual)
-SELECT qual, {B("sum(n) OVER w")} AS cum_n, {B("sum(snps) OVER w")} AS cum_snps, {B("sum(ts) OVER w")} AS cum_ts FROM q WINDOW w AS (ORDER BY qual DESC)""",
-)
-def _(v: Views) -> DataFrame:
-    return variants.qual_tstv_curve(v("br_variants"))
-
-
-@query("A19_indel_spectrum", f"SELECT {B('length(alt) - length(ref)')} AS size, {B('count(*)')} AS n, (length(alt) - length(ref)) % 3 = 0 AS inframe FROM br_variants WHERE {_INDEL} GROUP BY 1, 3")
-def _(v: Views) -> DataFrame:
-    return variants.indel_spectrum(v("br_variants"))
-
-
 @query(
     "A41_neighbour_intervals",
     f"""WITH p AS (SELECT chrom, pos, max(qual) AS v FROM br_variants GROUP BY chrom, pos), b AS (SELECT *, pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) AS gap FROM p)
@@ -378,35 +316,6 @@ def _(v: Views) -> DataFrame:
     return variants.neighbour_intervals(v("br_variants"), 50, "qual")
 
 
-@query(
-    "A56_joint_distribution",
-    f"""WITH c AS (SELECT least(9, {B("floor((greatest(5, least(95, qual)) - 5) * 10 / 90.0)")}) AS i, least(9, {B("floor((greatest(2, least(48, dp)) - 2) * 10 / 46.0)")}) AS j FROM br_variants)
-SELECT {B("i")} AS i, {B("j")} AS j, {B("count(*)")} AS n, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share FROM c GROUP BY 1, 2""",
-)
-def _(v: Views) -> DataFrame:
-    return variants.joint_distribution(v("br_variants"), "qual", "dp", 10, (5, 2), (95, 48))
-
-
-@query("A58_scale_features", "SELECT var_id, round((greatest(10, least(90, qual)) - 10) / 80.0, 6) AS qual, round((greatest(5, least(45, dp)) - 5) / 40.0, 6) AS dp FROM br_variants")
-def _(v: Views) -> DataFrame:
-    return variants.scale_features(v("br_variants").select("var_id", "qual", "dp"), {"qual": (10.0, 90.0), "dp": (5.0, 45.0)})
-
-
-@query("X15_class_label", "SELECT var_id, CASE WHEN qual >= 70 AND dp >= 20 THEN 'good' WHEN qual < 20 THEN 'bad' ELSE 'unclassified' END AS label FROM br_variants")
-def _(v: Views) -> DataFrame:
-    return variants.class_label(v("br_variants")).select("var_id", "label")
-
-
-@query(
-    "C8_parameter_grid",
-    f"""WITH g AS (SELECT {B("t")} AS threshold, count(*) FILTER (qual >= t) / CAST(count(*) AS DOUBLE) AS share,
-  count(*) FILTER (qual >= t AND NOT {_INDEL} AND {_TS}) / CAST(nullif(count(*) FILTER (qual >= t AND NOT {_INDEL} AND NOT {_TS}), 0) AS DOUBLE) AS ratio FROM br_variants CROSS JOIN (VALUES (0), (20), (40), (60), (80)) x(t) GROUP BY t)
-SELECT threshold, round(share, 6) AS share, round(ratio, 6) AS ratio, threshold = (SELECT threshold FROM g WHERE share >= 0.3 ORDER BY ratio DESC NULLS LAST, threshold LIMIT 1) AS best FROM g""",
-)
-def _(v: Views) -> DataFrame:
-    return variants.parameter_grid(v("br_variants"), "qual", [0, 20, 40, 60, 80], 0.3)
-
-
 # Call sets and genotypes
 
 
@@ -749,32 +658,11 @@ def _(v: Views) -> DataFrame:
     return variants.top_rows(v("br_reads"), "qname", ["read_id", "pos", "chrom"], 2).select("qname", "read_id", "place")
 
 
-@query("X3_unify_ref", "WITH x AS (SELECT *, CASE WHEN var_id % 4 = 0 THEN 'ACGT' ELSE 'AC' END AS r, CASE WHEN var_id % 3 = 0 THEN '<DEL>' ELSE alt END AS a FROM br_variants), m AS (SELECT chrom, pos, max(r) AS l FROM x GROUP BY chrom, pos) SELECT var_id, l AS ref, CASE WHEN a = '<DEL>' THEN a ELSE concat(a, substr(l, length(r) + 1)) END AS alt FROM x JOIN m USING (chrom, pos)")
-def _(v: Views) -> DataFrame:
-    made = v("br_variants").withColumn("ref", F.when(F.col("var_id") % 4 == 0, "ACGT").otherwise("AC")).withColumn("alt", F.when(F.col("var_id") % 3 == 0, "<DEL>").otherwise(F.col("alt")))
-    return variants.unify_ref(made).select("var_id", "ref", "alt")
-
-
-@query("P20_dbsnp_export", f"SELECT *, {B(f'CASE WHEN {_INDEL} THEN 2 ELSE 1 END')} AS vrt FROM br_variants WHERE length(ref) <= 50 AND length(alt) <= 50")
-def _(v: Views) -> DataFrame:
-    return variants.dbsnp_export(v("br_variants"))
-
-
-@query("A55_annotation_distribution", f"WITH c AS (SELECT qual AS value, count(*) AS n FROM br_variants GROUP BY qual) SELECT value, {B('n')} AS n, round(CAST(sum(n) OVER (ORDER BY value) AS DOUBLE) / sum(n) OVER (), 6) AS cum_share FROM c")
-def _(v: Views) -> DataFrame:
-    return variants.annotation_distribution(v("br_variants"), "qual")
-
-
 @query("A57_tstv_by_bin", f"SELECT filt, {B('floor(qual / 25.0) * 25')} AS bin, {B(f'count(*) FILTER (NOT {_INDEL} AND ref <> alt AND {_TS})')} AS ts, {B(f'count(*) FILTER (NOT {_INDEL} AND ref <> alt AND NOT {_TS})')} AS tv FROM br_variants GROUP BY 1, 2")
 def _(v: Views) -> DataFrame:
     return variants.tstv_by_bin(v("br_variants"), "filt", "qual", 25)
 
 
-@query("X14_validate", f"WITH x AS (SELECT *, count(*) OVER (PARTITION BY chrom, pos) AS n FROM br_variants) SELECT var_id, 'quality' AS problem FROM x WHERE qual < 1 UNION ALL SELECT var_id, 'repeated_position' FROM x WHERE n > 1 UNION ALL SELECT var_id, 'equal_alleles' FROM x WHERE ref = alt")
-def _(v: Views) -> DataFrame:
-    return variants.validate(v("br_variants"))
-
-
 @query("P3_sample_subset", "SELECT * FROM br_genotypes WHERE sample NOT IN ('S1', 'S2')")
 def _(v: Views) -> DataFrame:
     return calls.sample_subset(v("br_genotypes"), ["S1", "S2"], exclude=True)
@@ -825,4 +713,4 @@ def _(v: Views) -> DataFrame:
     return reports.sample_names(v("region"), v("nation"), v("customer"))
 
 
-from . import catalog_genotypes, catalog_reads, catalog_records, catalog_reference  # noqa: E402, F401  (they add their queries)
+from . import catalog_genotypes, catalog_reads, catalog_records, catalog_reference, catalog_variants  # noqa: E402, F401  (they add their queries)

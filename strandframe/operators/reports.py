@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -100,11 +100,29 @@ def imported_counts(orig: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def natural_order(df: DataFrame) -> DataFrame:
-    """O1-O3: rows by chromosome (numbers first, in numeric order) and position."""
+    """O1: rows by chromosome (numbers first, in numeric order) and position."""
     number = F.expr("try_cast(regexp_extract(chrom, '([0-9]+)$', 1) AS INT)")
     return df.orderBy(number.isNull(), number, "chrom", "pos")
 
 
+def mixed_order(c: Column) -> list[Column]:
+    """O2: sort keys by which names that are numbers come first, in numeric order, and the others after them as texts; with a position, chr:pos order."""
+    number = F.when(c.rlike("^[0-9]+$"), c.try_cast("decimal(38,0)"))
+    return [number.isNull(), number, c]
+
+
+def gene_order(c: Column) -> list[Column]:
+    """O3: sort keys of gene ids: the text before the first dot, then the number that what follows begins with (0 if none)."""
+    rest = F.regexp_extract(c, "^[^.]*[.]([0-9]+)", 1)
+    return [F.substring_index(c, ".", 1), F.coalesce(rest.try_cast("long"), F.lit(0))]
+
+
+def first_places(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows in an order and their places: a limit that each partition takes before rows meet."""
+    first = df.orderBy(*order).limit(n)
+    return first.withColumn("place", F.row_number().over(Window.orderBy(*order)))  # n rows
+
+
 def page(df: DataFrame, order: list, offset: int, limit: int) -> DataFrame:
     """One page of an ordered result."""
     return df.orderBy(*order).offset(offset).limit(limit)

@@ -1,8 +1,9 @@
-"""Filters, annotations and window rules of variant tables (P, J4, J5, J8, W1-W4, W10, W16, X1-X4, A15, A17-A19, A41)."""
+"""Filters, annotations and window rules of variant tables (P, J4, J5, J8, W1-W4, W10, W11, W16, X1-X3, X14, X15, A15, A17-A19, A41, A55-A58, C8)."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.window import Window
 
 from ..plans.prefix import running, with_halo
 from ..plans.ranges import overlap_join
+from .stats import running_by_value
 
 TRANSITIONS = ("AG", "GA", "CT", "TC")  # fixed: purine to purine, pyrimidine to pyrimidine
 
@@ -43,8 +45,29 @@ class Rule:
     passes: Column
 
 
+#: How a rule's operators compare; 'x op threshold' being true is what fails a row.
+OPERATORS = {"<": lambda x, t: x < t, ">": lambda x, t: x > t, "<=": lambda x, t: x <= t, ">=": lambda x, t: x >= t, "=": lambda x, t: x == t, "==": lambda x, t: x == t, "!=": lambda x, t: x != t}
+
+
+def table_rules(rows: list[tuple[str, str, str, float, str]], info: str = "info", genotype: str = "genotype") -> list[Rule]:
+    """P5: rules from table rows (kind, field, operator, threshold, tag). A field is QUAL, a key of the INFO map, or GENOTYPE/key of the first sample's map."""
+
+    def value(field: str) -> Column:
+        if field == "QUAL":
+            return F.col("qual").cast("double")
+        source, key = (genotype, field.split("/", 1)[1]) if field.startswith("GENOTYPE/") else (info, field)
+        return F.try_element_at(F.col(source), F.lit(key)).try_cast("double")
+
+    return [Rule(tag, kind, ~OPERATORS[op](value(field), threshold)) for kind, field, op, threshold, tag in rows]
+
+
+def soft_filter(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """P5: rule_filter of rows that are substitutions or insertions or deletions; others are dropped."""
+    return rule_filter(df.where(is_indel() | (F.col("ref") != F.col("alt"))), rules)
+
+
 def rule_filter(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Adds `filters`, the tags of the rules that a row fails (PASS if none). A rule that is null for a row isn't applied."""
+    """Adds `filters`, the tags of the rules that a row fails (PASS if none). A rule that is null for a row isn't applied."""
     kinds = {"snp": ~is_indel(), "indel": is_indel(), "all": F.lit(True)}
     failed = F.array_compact(F.array(*(F.when(kinds[r.kind] & ~r.passes, F.lit(r.tag)) for r in rules)))
     return df.withColumn("filters", F.when(F.size(failed) == 0, F.lit("PASS")).otherwise(F.array_join(failed, ";")))
@@ -117,44 +140,88 @@ def consistency(df: DataFrame, order: str) -> DataFrame:
 
 
 def classify(df: DataFrame) -> DataFrame:
-    """Adds kind (r same, s substitution, i single insertion or deletion, o complex, u unknown) and size: mismatches, or bases gained or
-    lost. A length change is single if the shorter allele is what the common ends leave."""
+    """Adds kind (r same, s substitution, i single insertion or deletion, o complex, b breakend, u symbolic), size: mismatches, or bases gained or
+    lost, and type: ref, snp, mnp, ins, del, complex, break or other. A length change is single if the shorter allele is what the common ends leave."""
     ref, alt = F.upper("ref"), F.upper("alt")
-    short, long = F.least(F.length(ref), F.length(alt)), F.greatest(F.length(ref), F.length(alt))
+    short = F.least(F.length(ref), F.length(alt))
     same = F.length(ref) == F.length(alt)
     spots = F.sequence(F.lit(1), F.greatest(short, F.lit(1)))
     differs = F.size(F.filter(spots, lambda i: F.substring(ref, i, F.lit(1)) != F.substring(alt, i, F.lit(1))))
     head = F.coalesce(F.array_min(F.filter(spots, lambda i: F.substring(ref, i, F.lit(1)) != F.substring(alt, i, F.lit(1)))) - 1, short)
     tail_ref, tail_alt = F.reverse(ref), F.reverse(alt)
     tail = F.coalesce(F.array_min(F.filter(spots, lambda i: F.substring(tail_ref, i, F.lit(1)) != F.substring(tail_alt, i, F.lit(1)))) - 1, short)
-    kind = F.when(F.col("alt").startswith("<"), "u").when(ref == alt, "r").when(same, "s").when(head + tail >= short, "i").otherwise("o")
-    size = F.when(kind == "u", 0).when(same, differs).otherwise(F.length(alt) - F.length(ref))
-    return df.withColumns({"kind": kind, "size": size.cast("long")})
+    kind = F.when(F.col("alt").rlike("[\\[\\]]"), "b").when(F.col("alt").startswith("<"), "u").when((ref == alt) | (alt == "."), "r").when(same, "s").when(head + tail >= short, "i").otherwise("o")
+    size = F.when(F.col("kind").isin("u", "b", "r"), 0).when(same, differs).otherwise(F.length(alt) - F.length(ref)).cast("long")
+    of = F.when(F.col("kind") == "s", F.when(F.col("size") > 1, "mnp").otherwise("snp")).when(F.col("kind") == "i", F.when(F.col("size") > 0, "ins").otherwise("del"))
+    names = F.create_map(*(F.lit(x) for kv in {"r": "ref", "o": "complex", "b": "break", "u": "other"}.items() for x in kv))
+    return df.withColumn("kind", kind).withColumn("size", size).withColumn("type", F.coalesce(of, names[F.col("kind")]))
 
 
-def compact_alleles(df: DataFrame) -> DataFrame:
-    """The common suffix of ref and alt is removed, one base at least staying."""
+def compact_alleles(df: DataFrame, shift: bool = False) -> DataFrame:
+    """The common suffix of ref and alt is removed, one base at least staying; with `shift`, then the common prefix too, one base of it staying, and
+    pos moves by what was taken."""
     a, b = F.reverse("ref"), F.reverse("alt")
     short = F.least(F.length("ref"), F.length("alt"))
-    spots = F.sequence(F.lit(1), short)
+    spots = F.sequence(F.lit(1), F.greatest(short, F.lit(1)))
     common = F.coalesce(F.array_min(F.filter(spots, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))) - 1, short)
-    cut = df.withColumn("_cut", F.least(common, short - 1))
-    return cut.withColumns({c: F.substring(F.col(c), F.lit(1), F.length(c) - F.col("_cut")) for c in ("ref", "alt")}).drop("_cut")
-
-
-def annotate(df: DataFrame, ann: DataFrame, value: str) -> DataFrame:
-    """Adds `annotation`, the sorted distinct values of the intervals that hold the position, joined with ','; null if none does."""
-    spans = ann.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"), F.col(value).alias("_v"))
-    hits = overlap_join(df.select("var_id", "chrom", "pos"), spans, left_span=("pos", "pos"))
-    lists = hits.groupBy("var_id").agg(F.array_join(F.array_sort(F.collect_set("_v")), ",").alias("annotation"))
-    return df.join(lists, "var_id", "left")
-
-
-def fill_ids(df: DataFrame, known: DataFrame) -> DataFrame:
-    """Adds known_id of the smallest known row (chrom, pos, known_ref, known_alt, known_id) at the position, and whether alleles match."""
+    cut = df.withColumn("_cut", F.greatest(F.lit(0), F.least(common, short - 1)))
+    out = cut.withColumns({c: F.substring(F.col(c), F.lit(1), F.length(c) - F.col("_cut")) for c in ("ref", "alt")}).drop("_cut")
+    if not shift:
+        return out
+    first = F.coalesce(F.array_min(F.filter(spots, lambda i: F.substring("ref", i, F.lit(1)) != F.substring("alt", i, F.lit(1)))) - 1, short)
+    moved = out.withColumn("_cut", F.greatest(F.lit(0), F.least(first, short) - 1).cast("long"))
+    cuts = {c: F.substring(F.col(c), F.col("_cut") + 1, F.length(c)) for c in ("ref", "alt")}
+    return moved.withColumns(cuts | {"pos": F.col("pos") + F.col("_cut")}).drop("_cut")
+
+
+def annotate(df: DataFrame, ann: DataFrame, value: str, key: str = "var_id", match_alleles: bool = False, separator: str = ",", order: str = "line_no") -> DataFrame:
+    """Adds `annotation`, the values of the intervals (chrom, start_pos, end_pos, line_no) that hold the position, in the order of lines, joined with
+    `separator`; null where none does, where the joined text is empty or a dot. With match_alleles, ref and alt must agree once both
+    are compacted. An interval's text that is an empty string stands for a flag."""
+    spans = compact_alleles(ann) if match_alleles else ann
+    more = [F.col("ref").alias("_ref"), F.col("alt").alias("_alt")] if match_alleles else []
+    spans = spans.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"), F.struct(F.col(order).alias("n"), F.col(value).cast("string").alias("v")).alias("_v"), *more)
+    mine = compact_alleles(df) if match_alleles else df
+    hits = overlap_join(mine.select(key, "chrom", "pos", *(["ref", "alt"] if match_alleles else [])), spans, left_span=("pos", "pos"))
+    hits = hits.where((F.col("ref") == F.col("_ref")) & (F.col("alt") == F.col("_alt"))) if match_alleles else hits
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("_v")), lambda x: x["v"]), separator)
+    lists = hits.groupBy(key).agg(F.when(~text.isin("", "."), text).alias("annotation"))
+    return df.join(lists, key, "left")
+
+
+def annotate_columns(df: DataFrame, ann: DataFrame, ids: str | None = None, last: list[str] | None = None, flags: list[str] | None = None, key: str = "var_id", order: str = "line_no") -> DataFrame:
+    """Other columns from the intervals that hold a position: `ids` joins distinct values with ; (the row's own id column first), each of `last`
+    takes the value of the last line that has one (FILTER, QUAL), each of `flags` is true if some line sets it. Rows without hits keep theirs."""
+    last, flags = last or [], flags or []
+    spans = ann.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"), F.col(order).alias("_n"), *(F.col(c).alias(f"_a_{c}") for c in [*([ids] if ids else []), *last, *flags]))
+    hits = overlap_join(df.select(key, "chrom", "pos"), spans, left_span=("pos", "pos"))
+    made = [F.array_sort(F.collect_set(f"_a_{ids}")).alias("_ids")] if ids else []
+    made += [F.max_by(f"_a_{c}", F.when(F.col(f"_a_{c}").isNotNull(), F.col("_n"))).alias(f"_l_{c}") for c in last]
+    made += [F.max(F.coalesce(F.col(f"_a_{c}").cast("boolean"), F.lit(False))).alias(f"_f_{c}") for c in flags]
+    out = df.join(hits.groupBy(key).agg(*made), key, "left")
+    new = {c: F.coalesce(F.col(f"_l_{c}"), F.col(c)) if c in df.columns else F.col(f"_l_{c}") for c in last} | {c: F.coalesce(F.col(f"_f_{c}"), F.lit(False)) for c in flags}
+    if ids:
+        own = F.when(F.col(ids).isNull() | (F.col(ids) == "."), F.array().cast("array<string>")).otherwise(F.split(ids, ";")) if ids in df.columns else F.array().cast("array<string>")
+        new[ids] = F.nullif(F.array_join(F.array_distinct(F.concat(own, F.coalesce("_ids", F.array().cast("array<string>")))), ";"), F.lit(""))
+    columns = [*df.columns, *(c for c in new if c not in df.columns)]
+    return out.select(*(new[c].alias(c) if c in new else F.col(c) for c in columns))
+
+
+def fill_ids(df: DataFrame, known: DataFrame, replace_all: bool = False) -> DataFrame:
+    """Adds known_id of one known row (chrom, pos, known_ref, known_alt, known_id; the smallest) at the position, whether alleles match, and new_id: the
+    known id where there is one and the row's own id is missing or an rs number, or whatever it is with replace_all; else the row's own."""
     one = known.groupBy("chrom", "pos").agg(F.min(F.struct("known_id", "known_ref", "known_alt")).alias("k"))
     joined = df.join(one, ["chrom", "pos"], "left")
-    return joined.withColumns({"known_id": F.col("k.known_id"), "ref_match": F.col("k.known_ref") == F.col("ref"), "alt_match": F.col("k.known_alt") == F.col("alt")}).drop("k")
+    own = F.col("id").isNull() | (F.col("id") == ".") | F.col("id").rlike("^rs[0-9]+$") | F.lit(replace_all)
+    matches = {"ref_match": F.col("k.known_ref") == F.col("ref"), "alt_match": F.col("k.known_alt") == F.col("alt")}
+    return joined.withColumns({"known_id": F.col("k.known_id"), **matches, "new_id": F.when(F.col("k").isNotNull() & own, F.col("k.known_id")).otherwise(F.col("id"))}).drop("k")
+
+
+def fill_id_counts(filled: DataFrame) -> DataFrame:
+    """How many rows there are, have a known row, and agree or not with its alleles."""
+    hit = F.col("known_id").isNotNull()
+    counts = {"n": F.lit(True), "known": hit, "ref_match": hit & F.col("ref_match"), "ref_mismatch": hit & ~F.col("ref_match"), "alt_match": hit & F.col("alt_match"), "alt_mismatch": hit & ~F.col("alt_match")}
+    return filled.agg(*(F.count_if(c).alias(name) for name, c in counts.items()))
 
 
 def liftover(df: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -173,24 +240,79 @@ def variant_counts(df: DataFrame, group: str, qual_bin: int) -> DataFrame:
     )
 
 
-def ts_tv(df: DataFrame) -> DataFrame:
-    """Transitions, transversions and their ratio among single-base substitutions."""
-    snp = (F.length("ref") == 1) & (F.length("alt") == 1) & (F.col("ref") != F.col("alt"))
-    x = df.agg(F.count("*").alias("total"), F.count_if(snp & is_transition()).alias("ts"), F.count_if(snp & ~is_transition()).alias("tv"), F.count_if(~snp).alias("skipped"))
-    return x.withColumn("ratio", F.when(F.col("tv") > 0, F.col("ts") / F.col("tv")))
+def variant_spectra(df: DataFrame, groups: dict[str, Column], length: str = "alts") -> DataFrame:
+    """For each group and value (a null value has no row), how many rows have each number of alternatives (stat n_alts), and how many of their alternatives
+    (array `alts`) have each kind and type (as classify gives them), length change of insertions and deletions (indel) and letters of single
+    substitutions (such as A>C). A group is a column: a filter, a bin of quality or annotation, or a sample's field."""
+    keys = F.filter(F.array(*(F.struct(F.lit(g).alias("grp"), c.cast("string").alias("val")) for g, c in groups.items())), lambda x: x["val"].isNotNull())
+    rows = df.withColumn("_keys", keys)
+    row = lambda stat, key: F.struct(F.lit(stat).alias("stat"), key.cast("string").alias("key"))
+    counts = rows.select("_keys", F.array(row("n_alts", F.size(length))).alias("_stats"))
+    each = classify(rows.select("_keys", "ref", F.explode(length).alias("alt")))
+    single = (F.col("kind") == "s") & (F.length("ref") == 1)
+    stats = F.filter(F.array(row("type", F.col("type")), row("indel", F.when(F.col("kind") == "i", F.col("size"))), row("substitution", F.when(single, F.concat_ws(">", "ref", "alt")))), lambda x: x["key"].isNotNull())
+    both = counts.union(each.select("_keys", stats)).select(F.explode("_keys").alias("k"), "_stats").select("k", F.explode("_stats").alias("s"))
+    return both.groupBy("k.grp", "k.val", "s.stat", "s.key").agg(F.count("*").alias("n"))
 
 
-def qual_tstv_curve(df: DataFrame) -> DataFrame:
-    """For each quality, rows of at least that quality: substitutions, transitions. Counted by quality first, then summed downwards."""
-    by_qual = df.groupBy("qual").agg(F.count("*").alias("n"), F.count_if(~is_indel()).alias("snps"), F.count_if(is_transition()).alias("ts"))
-    down = Window.orderBy(F.desc("qual")).rowsBetween(Window.unboundedPreceding, 0)
-    return by_qual.select("qual", *(F.sum(c).over(down).alias(f"cum_{c}") for c in ("n", "snps", "ts")))
+def binned(value: Column, size: int, most: int) -> Column:
+    """A bin of a number: its lower bound, or '>most' beyond; '.' where it is missing."""
+    cell = F.floor(value / size) * size
+    return F.when(value.isNull(), ".").when(cell > most, f">{most}").otherwise(cell.cast("string"))
 
 
-def indel_spectrum(df: DataFrame) -> DataFrame:
-    """Indels of each length change, and whether it is divisible by three."""
-    size = F.length("alt") - F.length("ref")
-    return df.where(size != 0).groupBy(size.cast("long").alias("size")).agg(F.count("*").alias("n")).withColumn("inframe", F.pmod("size", F.lit(3)) == 0)
+def ts_tv(df: DataFrame, *by: str) -> DataFrame:
+    """Transitions, transversions and their ratio among single-base substitutions; also of each value of columns, such as bins of quality."""
+    snp = (F.length("ref") == 1) & (F.length("alt") == 1) & (F.col("ref") != F.col("alt"))
+    counts = [F.count("*").alias("total"), F.count_if(snp & is_transition()).alias("ts"), F.count_if(snp & ~is_transition()).alias("tv"), F.count_if(~snp).alias("skipped")]
+    x = df.groupBy(*by).agg(*counts) if by else df.agg(*counts)
+    return x.withColumn("ratio", F.when(F.col("tv") > 0, F.col("ts") / F.col("tv")))
+
+
+def qual_tstv_curve(df: DataFrame, known: DataFrame, step: float = 0.02) -> DataFrame:
+    """A row wherever another `step` of all sites that aren't insertions or deletions is reached from the highest quality down, and at the lowest: the
+    quality, sites, substitutions, transitions and substitutions among known sites (chrom, pos) so far, their ts/tv, the shares of known sites and of
+    substitutions that are both, and the ts/tv of what was added. Sites are counted by quality first; the sums run over ranges of qualities."""
+    base = df.where((F.length("ref") == 1) & (F.upper("ref") != "N") & (F.length("alt") == 1))
+    hits = base.join(known.select("chrom", "pos").distinct().withColumn("_known", F.lit(True)), ["chrom", "pos"], "left")
+    snp = (F.col("alt") != ".") & (F.upper("alt") != F.upper("ref"))
+    flags = {"n": F.lit(True), "snps": snp, "ts": snp & is_transition(), "joint": F.coalesce(F.col("_known"), F.lit(False))}
+    by = hits.groupBy((-F.col("qual")).alias("down")).agg(*(F.count_if(c).alias(name) for name, c in flags.items()))
+    for name in flags:
+        by = running_by_value(by, [], "down", name, f"_{name}").withColumn(f"cum_{name}", F.coalesce(f"_{name}", F.lit(0)) + F.col(name))
+    sizes = by.agg(F.sum("n").alias("all_sites"), F.min(-F.col("down")).alias("lowest")).join(known.select("chrom", "pos").distinct().agg(F.count("*").alias("all_known")))
+    x = by.join(F.broadcast(sizes))
+    reached = lambda c: F.floor(F.round(F.col(c) / F.col("all_sites") / step, 9))
+    x = x.where((reached("cum_n") > F.coalesce(reached("_n"), F.lit(0))) | (F.col("down") == -F.col("lowest")))
+    order = Window.orderBy("down")  # 1 / step rows at most
+    ratio = lambda ts, snps: F.try_divide(ts, snps - ts)
+    before = lambda c: F.coalesce(F.lag(c).over(order), F.lit(0))
+    marginal = ratio(F.col("cum_ts") - before("cum_ts"), F.col("cum_snps") - before("cum_snps"))
+    return x.select(
+        (-F.col("down")).alias("qual"), *(f"cum_{name}" for name in flags), ratio(F.col("cum_ts"), F.col("cum_snps")).alias("ts_tv"), F.try_divide(F.col("cum_joint"), F.col("all_known")).alias("share_of_known"),
+        F.try_divide(F.col("cum_joint"), F.col("cum_snps")).alias("share_of_snps"), marginal.alias("marginal_ts_tv"),
+    )
+
+
+def indel_spectrum(df: DataFrame, alts: str = "alts") -> DataFrame:
+    """Alternatives of each length change of rows that aren't single-base substitutions, each weighing one over the row's number of them, and whether it is
+    divisible by three; share3 is the weight of those that are."""
+    single = (F.length("ref") == 1) & F.forall(alts, lambda a: F.length(a) == 1)
+    x = df.where(~single).select("ref", F.explode(alts).alias("alt"), (1 / F.size(alts)).alias("w"))
+    sizes = x.groupBy((F.length("alt") - F.length("ref")).cast("long").alias("size")).agg(F.sum("w").alias("weight"))
+    third = F.pmod("size", F.lit(3)) == 0
+    every = Window.partitionBy()  # a row for each length
+    return sizes.select("size", "weight", third.alias("inframe"), (F.sum(F.when(third, F.col("weight")).otherwise(0)).over(every) / F.sum("weight").over(every)).alias("share3"))
+
+
+def inframe_ratio(df: DataFrame, exons: DataFrame) -> DataFrame:
+    """Insertions and deletions that touch an exon (disjoint chrom, start_pos, end_pos), and how many of them change its length by a multiple of three. A
+    deletion counts with the bases that lie in the exon; an insertion, which lies after pos, whole."""
+    change = F.length("alt") - F.length("ref")
+    x = df.where(change != 0).select("chrom", change.alias("change"), (F.col("pos") + 1).alias("first"), F.when(change > 0, F.col("pos") + 1).otherwise(F.col("pos") - change).alias("last"))
+    hit = overlap_join(x, exons.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end")), left_span=("first", "last"))
+    size = F.when(F.col("change") > 0, F.col("change")).otherwise(F.least("last", "r_end") - F.greatest("first", "r_start") + 1)
+    return hit.agg(F.count("*").alias("n"), F.count_if(size % 3 == 0).alias("inframe")).withColumn("ratio", F.try_divide(F.col("inframe"), F.col("n")))
 
 
 def neighbour_intervals(df: DataFrame, cutoff: int, value: str) -> DataFrame:
@@ -201,30 +323,57 @@ def neighbour_intervals(df: DataFrame, cutoff: int, value: str) -> DataFrame:
     return back.agg(F.count("*").alias("n"), F.count_if(high).alias("n_high"), F.sum(F.when(high, F.col("pos") - F.col("back"))).alias("length_high"))
 
 
-def joint_distribution(df: DataFrame, a: str, b: str, bins: int, low: tuple[int, int], high: tuple[int, int]) -> DataFrame:
-    """Share of rows in each cell of a grid over two columns, values clipped to the given bounds."""
+def joint_distribution(df: DataFrame, a: str, b: str, bins: int, low: tuple[float, float], high: tuple[float, float], default: tuple[float | None, float | None] = (None, None)) -> DataFrame:
+    """Share of rows in each cell of a grid over two columns, values clipped to the given bounds, and the share of all rows that had to be. A missing value
+    is replaced by the column's default; without one the row is dropped."""
+    value = [F.coalesce(F.col(c), F.lit(d)) if d is not None else F.col(c) for c, d in zip((a, b), default, strict=True)]
+    x = df.select(value[0].alias("_a"), value[1].alias("_b")).where("_a IS NOT NULL AND _b IS NOT NULL")
 
     def cell(column: str, k: int) -> Column:
-        x = F.greatest(F.lit(low[k]), F.least(F.lit(high[k]), F.col(column)))
-        return F.least(F.lit(bins - 1), F.floor((x - low[k]) * bins / (high[k] - low[k]))).cast("long")
-
-    return df.groupBy(cell(a, 0).alias("i"), cell(b, 1).alias("j")).agg(F.count("*").alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
-
-
-def scale_features(df: DataFrame, columns: dict[str, tuple[float, float]]) -> DataFrame:
-    """Columns clipped to their bounds and scaled to 0-1; null stays null."""
-    clip = lambda c, lo, hi: (F.greatest(F.lit(lo), F.least(F.lit(hi), F.col(c))) - lo) / (hi - lo)
+        clipped = F.greatest(F.lit(low[k]), F.least(F.lit(high[k]), F.col(column)))
+        return F.least(F.lit(bins - 1), F.floor((clipped - low[k]) * bins / (high[k] - low[k]))).cast("long")
+
+    outside = ~F.col("_a").between(low[0], high[0]) | ~F.col("_b").between(low[1], high[1])
+    counts = x.groupBy(cell("_a", 0).alias("i"), cell("_b", 1).alias("j")).agg(F.count("*").alias("n"), F.count_if(outside).alias("_out"))
+    every = Window.partitionBy()  # bins times bins rows at most
+    return counts.select("i", "j", "n", (F.col("n") / F.sum("n").over(every)).alias("share"), (F.sum("_out").over(every) / F.sum("n").over(every)).alias("clipped_share"))
+
+
+def feature_margins(df: DataFrame, columns: list[str], low: float, high: float) -> DataFrame:
+    """For each column its least and largest value, the values at which the shares `low` and `high` of all are reached (its margins), and the share of
+    values outside these. Values are counted first; the sums run over ranges of values. Missing ones don't count."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns))
+    counts = df.select(F.explode(pairs).alias("x")).where("x.value IS NOT NULL").groupBy("x.feature", "x.value").agg(F.count("*").alias("n"))
+    run = running_by_value(counts, ["feature"], "value", "n", "less").withColumn("cum", F.coalesce("less", F.lit(0)) + F.col("n"))
+    total = counts.groupBy("feature").agg(F.sum("n").alias("total"), F.min("value").alias("least"), F.max("value").alias("largest"))
+    x = run.join(F.broadcast(total), "feature")
+    at = lambda share: F.min(F.when(F.col("cum") >= F.col("total") * share, F.col("value")))
+    margins = x.groupBy("feature", "total", "least", "largest").agg(at(low).alias("low"), at(high).alias("high"))
+    outside = counts.join(F.broadcast(margins.select("feature", "low", "high")), "feature").groupBy("feature").agg(F.sum(F.when(~F.col("value").between(F.col("low"), F.col("high")), F.col("n")).otherwise(0)).alias("out"))
+    return margins.join(outside, "feature").select("feature", "least", "largest", "low", "high", (F.col("out") / F.col("total")).alias("clipped_share"))
+
+
+def scale_features(df: DataFrame, columns: dict[str, tuple[float, float]] | DataFrame) -> DataFrame:
+    """Columns clipped to their margins (given, or a table as feature_margins makes it) and scaled to 0-1; null stays null, and a column with equal
+    margins is 0."""
+    if isinstance(columns, DataFrame):
+        columns = {r["feature"]: (r["low"], r["high"]) for r in columns.select("feature", "low", "high").collect()}  # a row for each column
+    clip = lambda c, lo, hi: (F.greatest(F.lit(lo), F.least(F.lit(hi), F.col(c))) - lo) / ((hi - lo) or 1)
     return df.withColumns({c: F.when(F.col(c).isNotNull(), clip(c, lo, hi)) for c, (lo, hi) in columns.items()})
 
 
-def class_label(df: DataFrame) -> DataFrame:
-    """Good for rows of high quality and depth, bad for low ones, else unclassified."""
-    good = (F.col("qual") >= 70) & (F.col("dp") >= 20)
-    return df.withColumn("label", F.when(good, "good").when(F.col("qual") < 20, "bad").otherwise("unclassified"))
+def class_label(df: DataFrame, good: Column, bad: Column, masked: Column | None = None, override: Column | None = None) -> DataFrame:
+    """Adds label: the override's where it has one, else unclassified where the mask holds, else good or bad (good wins) by two conditions, such as filter
+    and depth, else unclassified; is_ts, whether the row is a transition; and af_percent, from a column af if there is one."""
+    yes = lambda c: F.coalesce(c, F.lit(False)) if c is not None else F.lit(False)
+    label = F.when(yes(masked), "unclassified").when(yes(good), "good").when(yes(bad), "bad").otherwise("unclassified")
+    made = {"label": F.coalesce(override, label) if override is not None else label, "is_ts": ~is_indel() & is_transition()}
+    return df.withColumns(made | ({"af_percent": F.floor(F.col("af") * 100).cast("long")} if "af" in df.columns else {}))
 
 
-def parameter_grid(df: DataFrame, column: str, thresholds: list[int], lowest_share: float) -> DataFrame:
-    """Each threshold's share of rows kept and their ts/tv, counted in one pass, and whether it is the best one with enough rows."""
+def parameter_grid(df: DataFrame, column: str, thresholds: list[int], lowest_share: float, target: float | None = None, band: float = 0.1) -> DataFrame:
+    """Each threshold's share of rows kept and their ts/tv, counted in one pass, and whether it is the best one: with the largest ts/tv among those that keep
+    enough rows or, given a target share, among those within `band` of it."""
     made = []
     for t in thresholds:
         keep = (F.col(column) >= t) & ~is_indel()
@@ -232,7 +381,8 @@ def parameter_grid(df: DataFrame, column: str, thresholds: list[int], lowest_sha
     one = df.agg(F.count("*").alias("total"), *made)
     rows = F.array(*(F.struct(F.lit(t).cast("long").alias("threshold"), (F.col(f"n{t}") / F.col("total")).alias("share"), F.when(F.col(f"tv{t}") > 0, F.col(f"ts{t}") / F.col(f"tv{t}")).alias("ratio")) for t in thresholds))
     x = one.select(F.explode(rows).alias("r")).select("r.*")
-    top = F.max(F.when(F.col("share") >= lowest_share, F.struct("ratio", -F.col("threshold")))).over(Window.partitionBy())
+    allowed = (F.col("share") >= lowest_share) & ((F.abs(F.col("share") - target) <= band) if target is not None else F.lit(True))
+    top = F.max(F.when(allowed, F.struct("ratio", -F.col("threshold")))).over(Window.partitionBy())
     return x.withColumn("best", F.coalesce(-top["col2"] == F.col("threshold"), F.lit(False)))
 
 
@@ -241,24 +391,59 @@ def top_rows(df: DataFrame, key: str, order: list, k: int) -> DataFrame:
     return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("place") <= k)
 
 
-def unify_ref(df: DataFrame) -> DataFrame:
-    """At each (chrom, pos) the longest ref becomes the ref of all rows, whose alts get the bases that theirs lacks."""
+def pair_hits(first: DataFrame, second: DataFrame, expected: int, k: int = 10) -> DataFrame:
+    """For each read, the pair of hits (qname, hit_id, chrom, start_pos, end_pos) of its mates on one chromosome whose insert size, from the lowest to the
+    highest base, is nearest to what is expected (the first in the order of hits on ties); the first hit of each where no pair shares a
+    chromosome (insert_size null). Only the first k hits of a mate are paired, which are all that count."""
+    a, b = (top_rows(df.select("qname", "hit_id", "chrom", "start_pos", "end_pos"), "qname", ["hit_id"], k) for df in (first, second))
+    pairs = a.select("qname", *(F.col(c).alias(f"{c}1") for c in ("hit_id", "chrom", "start_pos", "end_pos"))).join(b.select("qname", *(F.col(c).alias(f"{c}2") for c in ("hit_id", "chrom", "start_pos", "end_pos"))), "qname")
+    size = F.when(F.col("chrom1") == F.col("chrom2"), F.greatest("end_pos1", "end_pos2") - F.least("start_pos1", "start_pos2") + 1)
+    key = F.struct(F.coalesce(F.abs(size - expected), F.lit(2**62)).alias("off"), "hit_id1", "hit_id2", size.alias("insert_size"))
+    return pairs.groupBy("qname").agg(F.min(key).alias("m")).select("qname", "m.hit_id1", "m.hit_id2", "m.insert_size")
+
+
+def unify_ref(df: DataFrame, strict: bool = False) -> DataFrame:
+    """At each (chrom, pos) the longest ref becomes the ref of all rows, whose alts get the bases that theirs lacks; symbolic ones stay. A ref that isn't the
+    beginning of the longest leaves the row as it is and agrees = false or, if strict, raises an error."""
     longest = df.groupBy("chrom", "pos").agg(F.max_by("ref", F.struct(F.length("ref"), F.col("ref"))).alias("_ref"))
     rest = F.substring(F.col("_ref"), F.length("ref") + 1, F.length("_ref"))
-    joined = df.join(longest, ["chrom", "pos"]).withColumn("_alt", F.when(F.col("alt").startswith("<"), F.col("alt")).otherwise(F.concat("alt", rest)))
-    return joined.withColumn("ref", F.col("_ref")).withColumn("alt", F.col("_alt")).drop("_ref", "_alt")
+    joined = df.join(longest, ["chrom", "pos"]).withColumn("agrees", F.startswith(F.col("_ref"), F.col("ref")))
+    ok = F.col("agrees")
+    if strict:
+        ok = F.when(F.col("agrees"), True).otherwise(F.raise_error(F.concat(F.lit("references disagree at "), "chrom", F.lit(":"), F.col("pos").cast("string"))).cast("boolean"))
+    made = joined.withColumn("_ok", ok).withColumn("_alt", F.when(~F.col("_ok") | F.col("alt").startswith("<"), F.col("alt")).otherwise(F.concat("alt", rest)))
+    return made.withColumn("ref", F.when(F.col("_ok"), F.col("_ref")).otherwise(F.col("ref"))).withColumn("alt", F.col("_alt")).drop("_ref", "_alt", "_ok")
 
 
-def dbsnp_export(df: DataFrame, longest: int = 50) -> DataFrame:
-    """P20: rows whose alleles are short enough, with a class: 1 substitution, 2 insertion or deletion."""
-    return df.where((F.length("ref") <= longest) & (F.length("alt") <= longest)).withColumn("vrt", F.when(is_indel(), 2).otherwise(1))
+def dbsnp_export(df: DataFrame, longest: int = 50, constants: dict[str, str] | None = None) -> DataFrame:
+    """P20: rows whose alleles are short enough, with a class (1 substitution, 2 insertion or deletion) and constant columns of a submission's header."""
+    kept = df.where((F.length("ref") <= longest) & (F.length("alt") <= longest)).withColumn("vrt", F.when(is_indel(), 2).otherwise(1))
+    return kept.withColumns({name: F.lit(value) for name, value in (constants or {}).items()}) if constants else kept
 
 
-def annotation_distribution(df: DataFrame, column: str) -> DataFrame:
-    """Rows and cumulative share at each value of a column. Values are counted first, so the running sum is over distinct values."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    run = running(counts, [], "value", ["value"], F.col("n"), "cum", "sum")
-    return run.select("value", "n", (F.col("cum") / F.sum("n").over(Window.partitionBy())).alias("cum_share"))
+def annotation_value(text: Column, strand_depths: bool = False) -> Column:
+    """The number of an annotation: of four strand depths the alternative's (third and fourth), of other lists the first; null if it is none."""
+    parts = F.split(text, ",")
+    at = lambda k: F.get(parts, F.lit(k)).try_cast("double")
+    return at(2) + at(3) if strand_depths else at(0)
+
+
+def annotation_distribution(df: DataFrame, column: str, step: float = 0.01) -> DataFrame:
+    """The values of a column at which the cumulative share of rows passes another `step` (and the largest), with rows and that share. Values are counted
+    first; the sums run over ranges of values."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count("*").alias("n"))
+    run = running_by_value(counts, [], "value", "n", "less").join(F.broadcast(counts.agg(F.sum("n").alias("total"), F.max("value").alias("largest"))))
+    share = lambda c: F.floor(F.round(c / F.col("total") / step, 9))
+    less = F.coalesce("less", F.lit(0))
+    return run.where((share(less + F.col("n")) > share(less)) | (F.col("value") == F.col("largest"))).select("value", "n", ((less + F.col("n")) / F.col("total")).alias("cum_share"))
+
+
+def annotation_histogram(df: DataFrame, column: str, bins: int = 70, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """Rows in each of `bins` equal bins between the values at which the shares `low` and `high` are reached; values outside go to the outer bins."""
+    m = F.broadcast(feature_margins(df, [column], low, high).select("low", "high"))
+    width = F.col("high") - F.col("low")
+    cell = F.when(width == 0, 0).otherwise(F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor((F.col(column) - F.col("low")) * bins / F.nullif(width, F.lit(0))))))
+    return df.where(F.col(column).isNotNull()).join(m).groupBy(cell.cast("long").alias("bin"), "low", "high").agg(F.count("*").alias("n"))
 
 
 def tstv_by_bin(df: DataFrame, group: str, column: str, size: int) -> DataFrame:
@@ -267,9 +452,53 @@ def tstv_by_bin(df: DataFrame, group: str, column: str, size: int) -> DataFrame:
     return df.groupBy(group, (F.floor(F.col(column) / size) * size).alias("bin")).agg(F.count_if(snp & is_transition()).alias("ts"), F.count_if(snp & ~is_transition()).alias("tv"))
 
 
-def validate(df: DataFrame) -> DataFrame:
-    """A row of each problem of a variant: alleles with other letters, equal alleles, a quality or position out of range, a position used twice."""
+def _is_not(form: str, text: Column) -> Column:
+    return ~text.rlike(form)
+
+
+def validate(df: DataFrame, header: DataFrame | None = None) -> DataFrame:
+    """A row of each problem of a variant: missing columns, a position below 1, alleles with other letters, equal or repeated alternatives, a quality below
+    0, a position used twice or before the one of the line above (line_no). Given a header (kind: FILTER, INFO; id, number, type), also filters (array filter)
+    and INFO keys (map info) that it doesn't declare, and values that aren't of the declared type or number (A: one for each alternative, R: one more,
+    0: a flag). Given allele indexes (array gt) of genotypes, those out of range; given AN and AC in INFO, counts that genotypes don't give."""
     used = df.groupBy("chrom", "pos").agg(F.count("*").alias("_n"))
-    checks = {"ref_letters": ~F.col("ref").rlike("^[ACGTN]+$"), "alt_letters": ~F.col("alt").rlike("^[ACGTN]+$"), "equal_alleles": F.col("ref") == F.col("alt"), "quality": F.col("qual") < 1, "position": F.col("pos") < 1, "repeated_position": F.col("_n") > 1}
+    alts = F.col("alts") if "alts" in df.columns else F.array("alt")
+    alt = F.concat_ws(",", alts)
+    form = "^([ACGTN]+|<[^<>]+>|[.*]|[ACGTN]*[\\[\\]].*[\\[\\]][ACGTN]*)$"
+    checks = {
+        "missing_column": F.col("chrom").isNull() | F.col("pos").isNull() | F.col("ref").isNull() | F.col("alt").isNull(), "ref_letters": ~F.col("ref").rlike("^[ACGTN]+$"), "alt_letters": F.exists(alts, lambda a: ~F.upper(a).rlike(form)),
+        "equal_alleles": F.array_contains(alts, F.col("ref")), "repeated_alternative": F.size(F.array_distinct(alts)) < F.size(alts), "quality": F.col("qual") < 0, "position": F.col("pos") < 1, "repeated_position": F.col("_n") > 1,
+    }
+    x = df.join(used, ["chrom", "pos"], "left")
+    if "line_no" in df.columns:
+        back = running(df.select("chrom", "pos", "line_no"), ["chrom"], "line_no", ["line_no"], F.col("pos"), "_back", "max", inclusive=False).select("line_no", "_back")
+        x = x.join(back, "line_no", "left")
+        checks["order"] = F.col("pos") < F.col("_back")
+    if header is not None:
+        declared = {kind: {r["id"]: (r["number"], r["type"]) for r in header.where(F.col("kind") == kind).collect()} for kind in ("FILTER", "INFO")}  # a header's lines
+        names = lambda kind: F.array(*map(F.lit, declared[kind])).cast("array<string>")
+        checks["undeclared_filter"] = F.size(F.array_except(F.col("filter"), F.concat(names("FILTER"), F.array(F.lit("PASS"), F.lit("."))))) > 0
+        checks["undeclared_info"] = F.size(F.array_except(F.map_keys("info"), names("INFO"))) > 0
+        sizes, forms = {"A": F.size(alts), "R": F.size(alts) + 1, "G": ((F.size(alts) + 1) * (F.size(alts) + 2) / 2).cast("int")}, {"Integer": "^-?[0-9]+$", "Float": "^-?[0-9]*[.]?[0-9]+([eE][-+]?[0-9]+)?$"}
+        for key, (number, kind) in declared["INFO"].items():
+            value = F.try_element_at(F.col("info"), F.lit(key))
+            parts = F.split(value, ",")
+            if kind in forms:
+                checks[f"type_of_{key}"] = F.size(F.filter(F.array_except(parts, F.array(F.lit("."))), partial(_is_not, forms[kind]))) > 0
+            if number == "0" or kind == "Flag":
+                checks[f"number_of_{key}"] = value != ""
+            elif number in sizes or number.isdigit():
+                checks[f"number_of_{key}"] = (F.size(parts) != (sizes[number] if number in sizes else int(number))) & (value != ".")
+    if "gt" in df.columns:
+        checks["allele_range"] = F.exists("gt", lambda g: (g < 0) | (g > F.size(alts)))
+        number = lambda key: F.try_element_at(F.col("info"), F.lit(key))
+        counts = F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.size(alts), F.lit(1))), lambda k: F.size(F.filter("gt", lambda g: g == k)).cast("string")), ",")
+        checks["wrong_an"] = number("AN").try_cast("int") != F.size(F.filter("gt", lambda g: g.isNotNull()))
+        checks["wrong_ac"] = (number("AC") != counts) & (F.length(alt) > 0)
     found = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in checks.items())))
-    return df.join(used, ["chrom", "pos"]).select("var_id", F.explode(found).alias("problem"))
+    return x.select("var_id", F.explode(found).alias("problem"))
+
+
+def validation_summary(problems: DataFrame) -> DataFrame:
+    """How many rows have each problem, the smallest of them as an example."""
+    return problems.groupBy("problem").agg(F.count("*").alias("n"), F.min("var_id").alias("example"))
