@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from .common import input_partitions, write_table
 
-#: Context restaurants: one for the start of a text, the others for the last two bytes of the word before, hashed. The number bounds
-#: what sweeps gather and broadcast, and a word's rows, however frequent it is.
-CONTEXTS = 1024
+#: Levels of restaurants: the root; one for each class of words by their last two bytes (and one for the start of a text); and, within each class,
+#: SUBS ones for the word itself, by hash. A token is a customer of the restaurant of the word before it. The numbers bound what sweeps
+#: gather and broadcast: with them words of a class share a restaurant with one in SUBS of the others.
+CLASSES, SUBS = 1024, 64
+CONTEXTS = CLASSES * SUBS
 #: Held out: crc32 of the id as text modulo 10 is 0.
 FOLDS = 10
 #: Words and ends in a block of documents, which are counted, asked for and scored together.
@@ -31,8 +33,17 @@ SWEEPS, BURN_IN = 3, 2
 STRENGTH = 1.0
 #: Customers of a dish up to which the number of tables is drawn from its exact conditional distribution.
 EXACT = 40
+#: Documents (their first characters) by which words are told that are too frequent for one bucket. That says where counts lie, not what they are.
+SAMPLE_TEXTS, SAMPLE_CHARS = 2_000, 20_000
+#: Logarithms are sent in whole numbers of this size.
+UNIT = 1e-8
 END = b"\n"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SUMS = "at long, x long"
+#: Places of a bucket's sums: tokens and tables of each context, tables of each class, then words, dishes with one and two customers on each
+#: level, tables of the root; after these, tokens and root customers of each word that is split.
+OF_CONTEXT, OF_CLASS, NUMBERS = CONTEXTS, 2 * CONTEXTS, 2 * CONTEXTS + CLASSES
+N_NUMBERS = 8
 
 
 def _packed(x: dict) -> bytes:
@@ -43,13 +54,15 @@ def _unpacked(x: bytes) -> dict:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(x))
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """The bytes of 32-bit numbers, all first ones first: they pack better."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _planes(x: np.ndarray, size: int = 4) -> bytes:
+    """The low `size` bytes of whole numbers, all first ones first: they pack better."""
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
 
 
-def _from_planes(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def _from_planes(x: bytes, size: int = 4) -> np.ndarray:
+    out = np.zeros((len(x) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(x, np.uint8).reshape(size, -1).T
+    return out.view("<i8").ravel()
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -58,49 +71,59 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def context_of(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % (CONTEXTS - 1) + 1
+    """The restaurant of what follows a word; its class is the context divided by SUBS. 0 is the start of a text."""
+    return (zlib.crc32(word[-2:]) % (CLASSES - 1) + 1) * SUBS + zlib.crc32(word) % SUBS
 
 
-def _block(docs: list[tuple[int | None, list[bytes]]], buckets: int) -> tuple[bytes, list[tuple[int, bytes]]]:
-    """What is asked of each bucket of words about a block, and what is needed to score it by the answers. Distinct (word, context) pairs
-    are numbered by bucket, word and context; a document is the sorted numbers of its tokens' pairs."""
+def _bucket(hashes: np.ndarray, context: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """Where (word, context) pairs are counted: by word, so that parents are local; those of split words by word and class, in as many more buckets."""
+    split = np.isin(hashes, hot)
+    mixed = (hashes ^ (context // SUBS + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
+    return np.where(split, np.uint64(buckets) + mixed % np.uint64(buckets), hashes % np.uint64(buckets)).astype(np.int64)
+
+
+def _block(docs: list[tuple[int | None, list[bytes]]], buckets: int, hot: np.ndarray) -> tuple[bytes, list[tuple[int, bytes]]]:
+    """What is asked of each bucket about a block, and what is needed to score it by the answers. Distinct (word, context) pairs are numbered by
+    bucket, word and context; a document is the sorted numbers of its tokens' pairs."""
     local: defaultdict[bytes, int] = defaultdict(count().__next__)
     flat = np.fromiter((i for _, words in docs for i in (*map(local.__getitem__, words), local[END])), np.int64)
     lengths = np.array([len(words) + 1 for _, words in docs])
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in local), np.uint64, len(local))
     after = np.fromiter(map(context_of, local), np.int64, len(local))
-    of_bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((hashes, of_bucket))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
     context = np.r_[0, after[flat[:-1]]]
     starts = np.cumsum(lengths) - lengths
     context[starts] = 0
-    pairs, number = np.unique(rank[flat] * CONTEXTS + context, return_inverse=True)
+    met, of_token = np.unique(flat * CONTEXTS + context, return_inverse=True)
+    word, context = met // CONTEXTS, met % CONTEXTS
+    of_bucket = _bucket(hashes[word], context, hot, buckets)
+    order = np.lexsort((context, hashes[word], of_bucket))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    number = number[of_token]
+    word, context, of_bucket = word[order], context[order], of_bucket[order]
     held = np.array([zlib.crc32(("" if i is None else str(i)).encode()) % FOLDS == 0 for i, _ in docs])
-    seen = np.bincount(number, weights=np.repeat(~held, lengths), minlength=len(pairs)).astype(np.int64)
+    seen = np.bincount(number, weights=np.repeat(~held, lengths), minlength=len(order)).astype(np.int64)
     doc = np.repeat(np.arange(len(docs)), lengths)
     tokens = np.sort(doc << 32 | number) & 0xFFFFFFFF
     steps = np.diff(tokens, prepend=0)
     steps[starts] = tokens[starts]
     own = _packed({"ids": [i for i, _ in docs], "held": held, "lengths": lengths, "steps": _planes(steps)})
-    word = pairs // CONTEXTS
     asked = []
-    bucket_of_pair = of_bucket[order][word]
-    edges = np.searchsorted(bucket_of_pair, np.arange(buckets + 1))
+    edges = np.searchsorted(of_bucket, np.arange(2 * buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
         part = slice(edges[b], edges[b + 1])
-        words, each = np.unique(word[part], return_counts=True)
-        asked.append((int(b), _packed({"hashes": hashes[order][words], "each": each.astype(np.uint16), "contexts": (pairs[part] % CONTEXTS).astype(np.uint16), "seen": _planes(seen[part])})))
+        begins = np.flatnonzero(np.r_[True, np.diff(word[part]) != 0])
+        each = np.diff(np.r_[begins, edges[b + 1] - edges[b]])
+        asked.append((int(b), _packed({"hashes": hashes[word[part][begins]], "each": _planes(each), "contexts": context[part].astype(np.uint16), "seen": _planes(seen[part])})))
     return own, asked
 
 
-def _blocks(buckets: int):
+def _blocks(buckets: int, hot: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
 
         def out(docs: list) -> pa.RecordBatch:
-            own, asked = _block(docs, buckets)
+            own, asked = _block(docs, buckets, hot)
             block = part << 32 | serial
             found = [(block, -1, own), *((block, b, x) for b, x in asked)]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["block", "bucket", "data"])
@@ -125,21 +148,17 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("block")
     asked = [_unpacked(x) for x in group["data"]]
     words, at = np.unique(np.concatenate([x["hashes"] for x in asked]), return_inverse=True)
-    word = np.repeat(at, np.concatenate([x["each"] for x in asked]))
+    word = np.repeat(at, np.concatenate([_from_planes(x["each"]) for x in asked]))
+    sizes = np.array([len(x["contexts"]) for x in asked])
     pair = word * CONTEXTS + np.concatenate([x["contexts"] for x in asked])
     seen = np.concatenate([_from_planes(x["seen"]) for x in asked])
     pairs, number = np.unique(pair, return_inverse=True)
     counts = np.bincount(number, weights=seen, minlength=len(pairs)).astype(np.int64)
-    known = counts > 0
-    word, context, c = pairs[known] // CONTEXTS, pairs[known] % CONTEXTS, counts[known]
-    contexts_of = np.bincount(word, minlength=len(words))
-    state = _packed({"words": len(words), "word": np.diff(word, prepend=0).astype(np.int32), "context": context.astype(np.uint16), "c": c.astype(np.int64)})
-    questions = _packed({"blocks": group["block"].to_numpy(), "sizes": np.array([len(x["contexts"]) for x in asked]), "pair": number.astype(np.uint32), "pairs": pairs})
-    sums = [
-        np.bincount(context, weights=c, minlength=CONTEXTS), np.bincount(context, minlength=CONTEXTS),
-        [(contexts_of > 0).sum(), (c == 1).sum(), (c == 2).sum(), (contexts_of == 1).sum(), (contexts_of == 2).sum()],
-    ]
-    return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "state": [state], "questions": [questions], "sums": [np.concatenate(sums).astype(np.int64).tolist()]})
+    steps = np.diff(number, prepend=0)
+    steps[np.cumsum(sizes) - sizes] = number[np.cumsum(sizes) - sizes]  # numbers rise within a block
+    data = {"hashes": words, "pairs": _planes(np.diff(pairs, prepend=0), 8), "counts": _planes(counts, 8)}
+    questions = {"blocks": group["block"].to_numpy(), "sizes": sizes, "steps": _planes(steps)}
+    return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "state": [_packed(data)], "questions": [_packed(questions)]})
 
 
 def stirling_logs(discount: float, most: int) -> list[np.ndarray]:
@@ -180,145 +199,209 @@ def seat(c: np.ndarray, weight: np.ndarray, base: np.ndarray, discount: float, r
 
 
 class Seating:
-    """A bucket's part of the model: tables t of each (context, word) pair, whose numbers are the customers of the shared parent, and tables
-    of each word there. `totals`, from all buckets, are those of the last sweep: tables of each context, customers and tables of the parent."""
-
-    def __init__(self, state: dict, settings: dict, bucket: int):
-        self.n, self.bucket, self.settings = state["words"], bucket, settings
-        self.word, self.context, self.c = np.cumsum(state["word"]), state["context"].astype(np.int64), state["c"]
-        self.t = np.ones(len(self.c), np.int64)
-        self.customers = np.bincount(self.word, minlength=self.n)
-        self.tables = np.minimum(self.customers, 1)
-
-    def parent(self, totals: dict) -> np.ndarray:
-        s = self.settings
-        share = (STRENGTH + s["d0"] * totals["tables"]) / (s["words"] + 1)
-        return (self.customers - s["d0"] * self.tables + share) / (STRENGTH + totals["customers"])
-
-    def sweep(self, totals: dict, number: int) -> None:
-        s, rng = self.settings, np.random.default_rng([self.bucket, number])
-        weight = STRENGTH + s["d1"] * (totals["of_context"][self.context] - self.t)
-        self.t = seat(self.c, weight, self.parent(totals)[self.word], s["d1"], rng)
-        self.customers = np.bincount(self.word, weights=self.t, minlength=self.n).astype(np.int64)
-        weight = STRENGTH + s["d0"] * (totals["tables"] - self.tables)
-        self.tables = seat(self.customers, weight, np.full(self.n, 1 / (s["words"] + 1)), s["d0"], rng)
-
-    def predictive(self, totals: dict, pairs: np.ndarray) -> np.ndarray:
+    """A bucket's part of the model. Level 2: the tables t of each (word, context) pair with c customers; level 1: the tables t1 of each (word, class), whose
+    customers are the tables of its contexts; the root: the tables t0 of each word, whose customers are those of its classes. `totals` are
+    sums over all buckets after the last sweep: tables of each context and class and of the root, and, of words split over buckets
+    (`hot`, by hash), root customers and tables, which no bucket has by itself."""
+
+    def __init__(self, hashes: np.ndarray, pairs: np.ndarray, counts: np.ndarray, bucket: int, hot: np.ndarray):
+        known = counts > 0
+        self.hashes, self.own, self.c, self.bucket, self.n = hashes, pairs[known], counts[known], bucket, len(hashes)
+        self.word, self.context = self.own // CONTEXTS, self.own % CONTEXTS
+        self.groups, self.group = np.unique(self.own // SUBS, return_inverse=True)
+        self.g_word, self.g_class = self.groups // CLASSES, self.groups % CLASSES
+        place = np.minimum(np.searchsorted(hot, hashes), max(0, len(hot) - 1))
+        self.split = hot[place] == hashes if len(hot) else np.zeros(self.n, bool)
+        self.hot = place
+        self.t, self.t1 = np.ones(len(self.own), np.int64), np.ones(len(self.groups), np.int64)
+        self._count_up()
+        self.t0 = np.minimum(self.c0, 1)
+
+    def _count_up(self) -> None:
+        self.c1 = np.bincount(self.group, weights=self.t, minlength=len(self.groups)).astype(np.int64)
+        self.c0 = np.bincount(self.g_word, weights=self.t1, minlength=self.n).astype(np.int64)
+
+    def root(self, totals: dict, settings: dict) -> np.ndarray:
+        """Probabilities of the bucket's words in the root."""
+        c0, t0, d = self.c0, self.t0, settings["d0"]
+        if self.split.any():
+            c0, t0 = np.where(self.split, totals["hot_c0"][self.hot], c0), np.where(self.split, totals["hot_t0"][self.hot], t0)
+        return (c0 - d * t0 + (STRENGTH + d * totals["tables"]) / (settings["words"] + 1)) / (STRENGTH + totals["of_class"].sum())
+
+    def in_class(self, totals: dict, settings: dict, word: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Probabilities of words in classes."""
+        key, d = word * CLASSES + kind, settings["d1"]
+        at = np.minimum(np.searchsorted(self.groups, key), max(0, len(self.groups) - 1))
+        rest = np.where(self.groups[at] == key, self.c1[at] - d * self.t1[at], 0) if len(self.groups) else np.zeros(len(key))
+        customers = totals["of_context"].reshape(CLASSES, SUBS).sum(axis=1)
+        return (rest + (STRENGTH + d * totals["of_class"][kind]) * self.root(totals, settings)[word]) / (STRENGTH + customers[kind])
+
+    def sweep(self, totals: dict, settings: dict, number: int) -> None:
+        rng = np.random.default_rng([self.bucket, number])
+        above = self.in_class(totals, settings, self.g_word, self.g_class)
+        weight = STRENGTH + settings["d2"] * (totals["of_context"][self.context] - self.t)
+        self.t = seat(self.c, weight, above[self.group], settings["d2"], rng)
+        self._count_up()
+        weight = STRENGTH + settings["d1"] * (totals["of_class"][self.g_class] - self.t1)
+        self.t1 = seat(self.c1, weight, self.root(totals, settings)[self.g_word], settings["d1"], rng)
+        self._count_up()
+        self.t0 = seat(self.c0, STRENGTH + settings["d0"] * (totals["tables"] - self.t0), np.full(self.n, 1 / (settings["words"] + 1)), settings["d0"], rng)
+
+    def predictive(self, totals: dict, settings: dict, pairs: np.ndarray) -> np.ndarray:
         """Probabilities of pairs (word times CONTEXTS plus context)."""
-        s, word, context = self.settings, pairs // CONTEXTS, pairs % CONTEXTS
-        own = self.word * CONTEXTS + self.context
-        at = np.minimum(np.searchsorted(own, pairs), max(0, len(own) - 1))
-        met = own[at] == pairs if len(own) else np.zeros(len(pairs), bool)
-        rest = np.where(met, self.c[at] - s["d1"] * self.t[at], 0) if len(own) else np.zeros(len(pairs))
-        share = (STRENGTH + s["d1"] * totals["of_context"][context]) * self.parent(totals)[word]
-        return (rest + share) / (STRENGTH + s["in_context"][context])
+        word, context, d = pairs // CONTEXTS, pairs % CONTEXTS, settings["d2"]
+        at = np.minimum(np.searchsorted(self.own, pairs), max(0, len(self.own) - 1))
+        rest = np.where(self.own[at] == pairs, self.c[at] - d * self.t[at], 0) if len(self.own) else np.zeros(len(pairs))
+        above = self.in_class(totals, settings, word, context // SUBS)
+        return (rest + (STRENGTH + d * totals["of_context"][context]) * above) / (STRENGTH + settings["in_context"][context])
+
+    def sums(self) -> dict[int, int]:
+        """What the bucket adds to the sums, by place."""
+        whole = ~self.split & (self.c0 > 0)
+        contexts, kinds = np.bincount(self.g_word[self.c1 > 0], minlength=self.n), np.bincount(self.group, minlength=len(self.groups))
+        numbers = [whole.sum(), (self.c == 1).sum(), (self.c == 2).sum(), (kinds == 1).sum(), (kinds == 2).sum(), (whole & (contexts == 1)).sum(), (whole & (contexts == 2)).sum(), self.t0[whole].sum()]
+        dense = np.concatenate([np.bincount(self.context, weights=self.c, minlength=CONTEXTS), np.bincount(self.context, weights=self.t, minlength=CONTEXTS), np.bincount(self.g_class, weights=self.t1, minlength=CLASSES), numbers]).astype(np.int64)
+        at = np.flatnonzero(dense)
+        out = dict(zip(at.tolist(), dense[at].tolist(), strict=True))
+        tokens = np.bincount(self.word, weights=self.c, minlength=self.n).astype(np.int64)
+        for i in np.flatnonzero(self.split):
+            place = NUMBERS + N_NUMBERS + 2 * int(self.hot[i])
+            out |= {place: int(tokens[i]), place + 1: int(self.c0[i])}
+        return out
 
 
 def _swept(state: bytes, bucket: int, model: dict) -> Iterator[tuple[int, Seating]]:
-    """The seating after each sweep whose totals are known, and after one more. Sweeps are seeded, so a task run again gives the same."""
-    seating = Seating(_unpacked(state), model["settings"], bucket)
+    """The seating before any sweep and after each one whose totals are known. Sweeps are seeded, so a task run again gives the same; as they are few,
+    a state is made again from its counts rather than stored."""
+    x = _unpacked(state)
+    seating = Seating(x["hashes"], np.cumsum(_from_planes(x["pairs"], 8)), _from_planes(x["counts"], 8), bucket, model["hot"])
+    yield 0, seating
     for k, totals in enumerate(model["totals"]):
-        seating.sweep(totals, k)
+        seating.sweep(totals, model["settings"], k)
         yield k + 1, seating
 
 
-def _sum_lists(df: DataFrame) -> np.ndarray:
-    """The sum of lists of a fixed length, position by position."""
-    found = df.select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
-    out = np.zeros(2 * CONTEXTS + 5, np.int64)
-    for r in found:
-        out[r["at"]] = r["x"]
+def _sums(model: dict):
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for bucket, state in zip(frame["bucket"], frame["state"], strict=True):
+                for _, seating in _swept(state, bucket, model):
+                    pass
+                found = seating.sums()
+                yield pd.DataFrame({"at": list(found.keys()), "x": list(found.values())})
+
+    return rows
+
+
+def _gathered(merged: DataFrame, model: dict) -> np.ndarray:
+    """The sums over all buckets after the sweeps that the model has; their number is bounded by CONTEXTS, CLASSES and the words that are split."""
+    found = merged.select("bucket", "state").mapInPandas(_sums(model), SUMS).groupBy("at").agg(F.sum("x").alias("x")).toPandas()
+    out = np.zeros(NUMBERS + N_NUMBERS + 2 * len(model["hot"]), np.int64)
+    out[found["at"].to_numpy(np.int64)] = found["x"].to_numpy(np.int64)
     return out
 
 
+def _totals(sums: np.ndarray, settings: dict, sweep: int) -> dict:
+    """What the next sweep needs. Root tables of split words are drawn here, once for all buckets."""
+    hot_c0 = sums[NUMBERS + N_NUMBERS + 1 :: 2]
+    hot_t0, tables = np.minimum(hot_c0, 1), int(sums[NUMBERS + 7])
+    if sweep and len(hot_c0):
+        rng = np.random.default_rng([1 << 40, sweep])
+        hot_t0 = np.where(hot_c0 > 0, seat(hot_c0, np.full(len(hot_c0), STRENGTH + settings["d0"] * tables), np.full(len(hot_c0), 1 / (settings["words"] + 1)), settings["d0"], rng), 0)
+    return {"of_context": sums[OF_CONTEXT:OF_CLASS], "of_class": sums[OF_CLASS:NUMBERS], "tables": tables + int(hot_t0.sum()), "hot_c0": hot_c0, "hot_t0": hot_t0}
+
+
 def _discount(ones: int, twos: int) -> float:
     return float(np.clip(ones / max(1, ones + 2 * twos), 0.05, 0.95))
 
 
+def frequent_words(source: DataFrame, share: float) -> np.ndarray:
+    """Hashes of words that make up more than a share of the tokens of a sample of texts, in order; their number is bounded by 1 / share."""
+    some = source.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).where("text IS NOT NULL").orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS).collect()
+    words = [w for r in some for w in (*tokens_of(r["text"]), END)]
+    names, counts = np.unique(np.array(words, object), return_counts=True) if words else (np.array([], object), np.array([], np.int64))
+    return np.sort(np.array([xxhash.xxh64_intdigest(w) for w in names[counts > share * len(words)]], np.uint64))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """Scores all whole texts by a model of those that aren't held out.
 
-    Tokens are words between ASCII white space, A-Z lower-cased, and an end. Each word is a dish served in the restaurant of its context
-    (the start, or the last two bytes of the word before, hashed to CONTEXTS - 1); all context restaurants share the parent restaurant,
-    whose base measure is uniform over the known words and one unknown. score is log10 of the predictive probability averaged over the
-    sweeps from BURN_IN on; base_score that of the smoothed unigram model; n_known counts tokens that training texts have; train_tokens
-    is their total. Discounts follow from how many counts are one and two.
+    Tokens are words between ASCII white space, A-Z lower-cased, and an end. Each word is a dish served in the restaurant of the word before
+    it (or of the start), whose parent is the restaurant of that word's class (its last two bytes); these share the root, whose base
+    measure is uniform over the known words and one unknown. Numbers of tables are sampled by Gibbs sweeps, all buckets given the last sweep's
+    totals. score is log10 of the predictive probability averaged over the sweeps from BURN_IN on (sums of numbers rounded to UNIT);
+    base_score that of the smoothed unigram model; n_known counts tokens that training texts have; train_tokens is their total. Discounts follow
+    from how many counts are one and two.
 
     A null text counts as empty (one token, the end), a null id as the empty text when folds are told (so it is held out). Repeated rows
     are texts of their own, other columns go, an empty table gives an empty one.
 
     Pass one cuts documents into blocks and writes them with what they ask of each bucket of words. Buckets (by word, so that a word's
-    contexts meet and parents are local) merge the questions into counts, are swept with only the totals of the contexts going through the
-    driver, and answer; each block sums its answers. A frequent word has CONTEXTS rows at most in a block, so there is no hot bucket.
+    contexts meet and parents are local; words that would fill a bucket by themselves by word and class) merge the questions into counts, are
+    swept with only the totals going through the driver, and answer; each block sums its answers.
     """
     source = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
     buckets = buckets or max(24, input_partitions(docs))
-    blocks = write_table(source.mapInArrow(_blocks(buckets), "block long, bucket int, data binary"), "blocks")
+    hot = frequent_words(source, 1 / (4 * buckets))
+    blocks = write_table(source.mapInArrow(_blocks(buckets, hot), "block long, bucket int, data binary"), "blocks")
     asked = blocks.where("bucket >= 0")
-    merged = asked.groupBy("bucket").applyInPandas(_merged, "bucket int, state binary, questions binary, sums array<long>")
+    merged = asked.groupBy("bucket").applyInPandas(_merged, "bucket int, state binary, questions binary")
     merged = write_table(merged, "merged")
 
-    sums = _sum_lists(merged)
-    words, c1, c2, w1, w2 = map(int, sums[2 * CONTEXTS :])
-    settings = {"words": words, "in_context": sums[:CONTEXTS], "train": int(sums[:CONTEXTS].sum()), "d1": _discount(c1, c2), "d0": _discount(w1, w2)}
-    totals = [{"of_context": sums[CONTEXTS : 2 * CONTEXTS], "customers": int(sums[CONTEXTS : 2 * CONTEXTS].sum()), "tables": words}]
-    for _ in range(SWEEPS):
-        found = _sum_lists(merged.select("bucket", "state").mapInPandas(_totals({"settings": settings, "totals": totals}), "sums array<long>"))
-        totals.append({"of_context": found[:CONTEXTS], "customers": int(found[:CONTEXTS].sum()), "tables": int(found[CONTEXTS])})
+    sums = _gathered(merged, {"hot": hot, "totals": []})
+    hot_seen = sums[NUMBERS + N_NUMBERS :: 2]
+    words, c1, c2, g1, g2, w1, w2, _ = map(int, sums[NUMBERS : NUMBERS + N_NUMBERS])
+    settings = {"words": words + int((hot_seen > 0).sum()), "in_context": sums[:CONTEXTS], "train": int(sums[:CONTEXTS].sum()), "hot_seen": hot_seen, "d2": _discount(c1, c2), "d1": _discount(g1, g2), "d0": _discount(w1, w2)}
+    totals = [_totals(sums, settings, 0)]
+    for sweep in range(1, SWEEPS + 1):
+        totals.append(_totals(_gathered(merged, {"hot": hot, "settings": settings, "totals": totals}), settings, sweep))
 
-    answers = merged.select("bucket", "state", "questions").mapInPandas(_answers({"settings": settings, "totals": totals}), "block long, bucket int, data binary")
+    answers = merged.mapInPandas(_answers({"hot": hot, "settings": settings, "totals": totals}), "block long, bucket int, data binary")
     own = blocks.where("bucket = -1").select("block", "data")
     return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_scored(settings), SCORES)
 
 
-def _totals(model: dict):
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for bucket, state in zip(frame["bucket"], frame["state"], strict=True):
-                for _, seating in _swept(state, bucket, model):
-                    pass
-                of_context = np.bincount(seating.context, weights=seating.t, minlength=CONTEXTS).astype(np.int64)
-                yield pd.DataFrame({"sums": [[*of_context.tolist(), int(seating.tables.sum())]]})
-
-    return rows
-
-
 def _answers(model: dict):
-    before = {"settings": model["settings"], "totals": model["totals"][:-1]}
+    before, settings = model | {"totals": model["totals"][:-1]}, model["settings"]
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for bucket, state, questions in zip(frame["bucket"], frame["state"], frame["questions"], strict=True):
                 q = _unpacked(questions)
-                mean = np.zeros(len(q["pairs"]))
+                pairs = np.cumsum(_from_planes(_unpacked(state)["pairs"], 8))
+                mean = np.zeros(len(pairs))
                 for k, seating in _swept(state, bucket, before):
                     if k >= BURN_IN:
-                        mean += seating.predictive(model["totals"][k], q["pairs"]) / (SWEEPS - BURN_IN + 1)
-                seen = np.bincount(seating.word, weights=seating.c, minlength=seating.n).astype(np.int64)[q["pairs"] // CONTEXTS]
-                logs = np.log10(mean).astype(np.float32)
-                edges = np.r_[0, np.cumsum(q["sizes"])]
+                        mean += seating.predictive(model["totals"][k], settings, pairs) / (SWEEPS - BURN_IN + 1)
+                tokens = np.bincount(seating.word, weights=seating.c, minlength=seating.n).astype(np.int64)
+                if seating.split.any():
+                    tokens = np.where(seating.split, settings["hot_seen"][seating.hot], tokens)
+                seen, logs = tokens[pairs // CONTEXTS], np.round(np.log10(mean) / -UNIT).astype(np.int64)
+                edges, steps = np.r_[0, np.cumsum(q["sizes"])], _from_planes(q["steps"])
                 for k, block in enumerate(q["blocks"]):
-                    pair = q["pair"][edges[k] : edges[k + 1]]
-                    yield pd.DataFrame({"block": [block], "bucket": [bucket], "data": [_packed({"seen": _planes(seen[pair]), "logs": logs[pair]})]})
+                    pair = np.cumsum(steps[edges[k] : edges[k + 1]])
+                    yield pd.DataFrame({"block": [block], "bucket": [bucket], "data": [_packed({"seen": _planes(seen[pair], 8), "logs": _planes(logs[pair], 5)})]})
 
     return rows
 
 
 def _scored(settings: dict):
+    train, words = settings["train"], settings["words"]
+
     def of(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         x = _unpacked(own["data"].iloc[0])
         parts = [_unpacked(a) for a in answers.sort_values("bucket")["data"]]
-        seen, logs = np.concatenate([_from_planes(a["seen"]) for a in parts]), np.concatenate([a["logs"] for a in parts]).astype(np.float64)
+        seen, logs = np.concatenate([_from_planes(a["seen"], 8) for a in parts]), np.concatenate([_from_planes(a["logs"], 5) for a in parts])
         starts = np.cumsum(x["lengths"]) - x["lengths"]
         steps = _from_planes(x["steps"])
         total = np.cumsum(steps)
         tokens = total - np.repeat(total[starts] - steps[starts], x["lengths"])
-        base = np.log10((seen + 0.1) / (settings["train"] + 0.1 * (settings["words"] + 1)))
+        base = np.log10((seen + 0.1) / (train + 0.1 * (words + 1)))
         add = lambda values: np.add.reduceat(values[tokens], starts)
         return pd.DataFrame(
             {
                 "doc_id": pd.array(x["ids"], "Int64"), "held_out": x["held"], "n_tokens": x["lengths"], "n_known": add((seen > 0).astype(np.int64)),
-                "train_tokens": settings["train"], "base_score": add(base), "score": add(logs),
+                "train_tokens": train, "base_score": add(base), "score": add(logs) * -UNIT,
             }
         )
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import itertools
 import random
 import re
 import wave
@@ -207,22 +208,100 @@ def test_language_model(docs, empty):
     assert sum(r.score for r in some) > sum(r.base_score for r in some)
 
 
-def test_model_is_proper():
-    """Predictive probabilities of all words in a context add up to one with the unknown word's."""
-    c = np.array([5, 1, 60, 2, 300, 1])
-    state = {"words": 4, "word": np.diff([0, 0, 1, 1, 2, 3], prepend=0), "context": np.array([1, 2, 1, 2, 2, 1], np.uint16), "c": c}
-    inside = np.bincount([1, 2, 1, 2, 2, 1], weights=c, minlength=language_model.CONTEXTS)
-    settings = {"words": 4, "in_context": inside, "train": int(c.sum()), "d1": 0.6, "d0": 0.5}
-    s = language_model.Seating(state, settings, 0)
-    totals = lambda: {"of_context": np.bincount(s.context, weights=s.t, minlength=language_model.CONTEXTS), "customers": int(s.t.sum()), "tables": int(s.tables.sum())}
-    for k in range(3):
-        s.sweep(totals(), k)
-        assert (s.t >= 1).all() and (s.t <= c).all()
-        for context in (1, 2, 9):
-            known = s.predictive(totals(), np.arange(4) * language_model.CONTEXTS + context).sum()
-            now = totals()
-            share = (1 + 0.5 * now["tables"]) / 5 / (1 + now["customers"])
-            assert abs(known + (1 + 0.6 * now["of_context"][context]) * share / (1 + inside[context]) - 1) < 1e-9
+def _seated(split=()):
+    """A seating of four words (the last one unseen) with its settings, and its totals as a driver sums them."""
+    lm = language_model
+    hashes, hot = np.array([11, 12, 13, 14], np.uint64), np.array(sorted(split), np.uint64)
+    context = np.array([64, 65, 130, 64, 200, 65, 300])
+    pairs, counts = np.array([0, 0, 0, 1, 1, 2, 3]) * lm.CONTEXTS + context, np.array([5, 1, 60, 2, 300, 1, 0])
+    inside = np.bincount(context, weights=counts, minlength=lm.CONTEXTS)
+    s = lm.Seating(hashes, pairs, counts, 0, hot)
+    settings = {"words": 3, "in_context": inside, "d2": 0.7, "d1": 0.6, "d0": 0.5}
+
+    def totals(k):
+        sums = np.zeros(lm.NUMBERS + lm.N_NUMBERS + 2 * len(hot), np.int64)
+        for at, x in s.sums().items():
+            sums[at] = x
+        return lm._totals(sums, settings, k)
+
+    return s, settings, totals
+
+
+@pytest.mark.parametrize("split", [(), (12,)])
+def test_model_is_proper(split):
+    """Predictive probabilities of all words in a context add up to one with the unknown word's, whether words are split or not."""
+    lm = language_model
+    s, settings, totals = _seated(split)
+    now = totals(0)
+    for k in range(4):
+        s.sweep(now, settings, k)
+        assert (s.t >= 1).all() and (s.t <= s.c).all() and (s.t1 >= 1).all() and (s.t1 <= s.c1).all()
+        now = totals(k + 1)
+        for context in (64, 65, 130, 9, 0, 200):
+            # The word that is in no text has what an unseen known one has.
+            every = s.predictive(now, settings, np.array([0, 1, 2, 3]) * lm.CONTEXTS + context)
+            assert (every > 0).all() and abs(every.sum() - 1) < 1e-9
+
+
+def test_gibbs_against_brute_force():
+    """The number of tables of dishes in two restaurants under a shared one, by many sweeps, against the exact distribution: all seatings weighed."""
+    lm, d2, d1, d0, words = language_model, 0.7, 0.6, 0.5, 3
+    counts = {(0, 64): 3, (0, 65): 2, (1, 64): 2}
+    # One class of contexts: tables of a dish in contexts are customers in the class, whose tables are customers of the root.
+    logs = {d: lm.stirling_logs(d, 10) for d in (d2, d1, d0)}
+    rising = lambda d, tables: sum(np.log(1 + d * k) for k in range(1, tables))  # noqa: E731  opening tables, strength 1
+    total = lambda n: sum(np.log(1 + k) for k in range(1, n))
+    weights, ways = {}, 0.0
+    for t in itertools.product(range(1, 4), range(1, 3), range(1, 3)):
+        c1 = {0: t[0] + t[1], 1: t[2]}
+        for t1 in itertools.product(range(1, c1[0] + 1), range(1, c1[1] + 1)):
+            for t0 in itertools.product(*(range(1, x + 1) for x in t1)):
+                x = sum(logs[d2][c][k - 1] for c, k in zip(counts.values(), t, strict=True)) + sum(logs[d1][c][k - 1] for c, k in zip(c1.values(), t1, strict=True)) + sum(logs[d0][c][k - 1] for c, k in zip(t1, t0, strict=True))
+                x += rising(d2, t[0] + t[2]) + rising(d2, t[1]) + rising(d1, sum(t1)) + rising(d0, sum(t0)) - total(sum(c1.values())) - total(sum(t1)) - sum(t0) * np.log(words + 1)
+                weights[t] = weights.get(t, 0) + np.exp(x)
+                ways += np.exp(x)
+    exact = sum(w / ways * np.array(t) for t, w in weights.items())
+    hashes, hot = np.array([11, 12], np.uint64), np.zeros(0, np.uint64)
+    pairs = np.array([w * lm.CONTEXTS + c for w, c in counts])
+    inside = np.bincount([c for _, c in counts], weights=list(counts.values()), minlength=lm.CONTEXTS)
+    settings = {"words": words, "in_context": inside, "d2": d2, "d1": d1, "d0": d0}
+    s, sampled = lm.Seating(hashes, pairs, np.array(list(counts.values())), 0, hot), []
+    for k in range(3000):
+        sums = np.zeros(lm.NUMBERS + lm.N_NUMBERS, np.int64)
+        for at, x in s.sums().items():
+            sums[at] = x
+        s.sweep(lm._totals(sums, settings, k), settings, k)
+        sampled.append(s.t.copy())
+    # Dishes are seated side by side given the last totals, which is close to one after another but not the same.
+    assert np.abs(np.mean(sampled[200:], axis=0) - exact).max() < 0.12
+
+
+def test_split_words_count_alike(docs):
+    """Frequent words split over buckets by class give the same counts, and about the same scores."""
+    whole = {(r.doc_id, r.n_tokens, round(r.base_score, 6)): r for r in language_model.score(docs, buckets=1).collect()}
+    found = language_model.score(docs, buckets=40).collect()
+    assert len(language_model.frequent_words(docs.select("text"), 1 / 160)) > 3
+    for r in found:
+        w = whole[r.doc_id, r.n_tokens, round(r.base_score, 6)]
+        assert (r.n_known, r.train_tokens) == (w.n_known, w.train_tokens) and abs(r.score - w.score) < 0.06 * abs(w.score) + 0.5
+
+
+def test_repeats_score_apart(spark):
+    """Texts that training has twice score better than others by far; a model of the whole corpus tells them."""
+    texts = [" ".join(f"w{(i * 7919 + k * k * (i + 3)) % 4001}" for k in range(60)) for i in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i]) for i in range(40)]
+    seen = [r for r in language_model.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if not r.held_out]
+    twice = {i for i, _ in rows[:40]} | {i for i, _ in rows[400:]}
+    both = {r.doc_id for r in seen}
+    repeated = [r.score / r.n_tokens for r in seen if r.doc_id in twice and (r.doc_id + 1000 in both or r.doc_id - 1000 in both)]
+    single = [r.score / r.n_tokens for r in seen if r.doc_id not in twice]
+    bound = np.quantile(single, 0.95)
+    assert len(repeated) > 50 and np.mean(np.array(repeated) > bound) > 0.9
+
+
+def test_wide_numbers():
+    x = np.array([0, 1, 2**32 + 5, 2**62])
+    assert language_model._from_planes(language_model._planes(x, 8), 8).tolist() == x.tolist()
 
 
 def test_stirling_numbers():
