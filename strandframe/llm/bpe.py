@@ -6,16 +6,16 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Encoded pieces of text that a worker remembers, and transitions that its automaton keeps; when there are more it starts anew.
+#: Encoded pieces of text that a worker remembers; when there are more it starts anew.
 REMEMBERED = 500_000
-TRANSITIONS = 1_000_000
 #: Most parts: letters and marks that PATTERN takes as one word each.
 PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|]*)")
 #: White space, as a set's content: Unicode's property, which Python's own pattern \\s widens.
@@ -38,10 +38,9 @@ class Automaton:
     """A deterministic automaton over tokens that accepts exactly the sequences that BPE yields.
 
     It begins with one state and a loop for each byte. Merge k, of tokens u and v into x, puts a gadget in: the arc v leaves the state
-    that u leads to; x gets an arc wherever u has one; and x leads to a copy of the state that v led to just before. So what may follow
-    x is what might follow v when x was made, and x may follow what u might follow then, apart from the pair (u, v) itself. `made`,
-    `left` and `right` hold the gadgets in order; a state is the last token read; and a transition is expanded from the gadgets when it
-    is first asked for and kept in `table`, as not all of them (tokens squared) can be laid out.
+    that u leads to; x gets an arc wherever u has one; and x leads to a copy of the state that v led to just before. A state is the last
+    token read; `made`, `left` and `right` hold the gadgets in order. A state's row of transitions, one bit for each token, is
+    compiled in whole when the state is first entered, and kept: there are no more rows than tokens. From then on, reading is by table.
     """
 
     def __init__(self, path: str):
@@ -58,100 +57,103 @@ class Automaton:
         for token, i in self.special.items():
             self.labels[i] = token.encode()
         #: Step at which a token's gadget was put in (bytes: -1), and the tokens that it joins.
-        self.made, self.left, self.right = [-1] * n, [-1] * n, [-1] * n
-        self.pairs: dict[tuple[int, int], int] = {}
+        made, left, right = [-1] * n, [-1] * n, [-1] * n
+        pairs: dict[tuple[int, int], int] = {}
+        ok = [len(x) == 1 for x in self.labels]
+
+        def joined(u: int, v: int, until: int) -> bool:
+            """Whether the arc v leaves the state u once the gadgets before step `until` are in: the later one of the two is undone until both are bytes."""
+            while pairs.get((u, v), until) >= until:
+                a, b = made[u], made[v]
+                if a < 0 and b < 0:
+                    return True
+                if a > b:
+                    u, until = right[u], a
+                else:
+                    v, until = left[v], b + 1
+            return False
+
+        #: The arcs that merges took away from each state, with their steps.
+        self.taken: dict[int, list[tuple[int, int]]] = {}
         for step, merge in enumerate(model["merges"]):
-            a, b = merge.split(" ") if isinstance(merge, str) else merge
-            u, v, x = vocab[a], vocab[b], vocab[a + b]
-            self.pairs.setdefault((u, v), step)
-            if self.made[x] < 0 and len(self.labels[x]) > 1:
-                self.made[x], self.left[x], self.right[x] = step, u, v
-        #: Arcs out of a place in a word, by label: a trie of nested dictionaries with the token under None.
-        self.arcs: dict = {}
+            x, y = merge.split(" ") if isinstance(merge, str) else merge
+            u, v, w = vocab[x], vocab[y], vocab[x + y]
+            if (u, v) in pairs or made[w] >= 0 or not (ok[u] and ok[v] and joined(u, v, step)):
+                continue  # an arc that isn't there has no gadget
+            pairs[u, v] = step
+            self.taken.setdefault(u, []).append((v, step))
+            made[w], left[w], right[w], ok[w] = step, u, v, True
+        self.made, self.left, self.right = np.array(made), np.array(left), np.array(right)
+        self.bytes = np.array([i for i in vocab.values() if len(self.labels[i]) == 1])
+        #: Tokens with gadgets by how often their left parts can be taken, each level by step; and those that have a token as left part.
+        depth = np.zeros(n, np.int64)
+        order = np.argsort(self.made, kind="stable")
+        order = order[self.made[order] >= 0]
+        for w in order.tolist():
+            depth[w] = depth[left[w]] + 1
+        self.levels = [order[depth[order] == d] for d in range(1, int(depth.max()) + 1)]
+        by = order[np.argsort(self.left[order], kind="stable")]
+        cuts = np.flatnonzero(np.diff(self.left[by], prepend=-1))
+        self.begun = dict(zip(self.left[by[cuts]].tolist(), np.split(by, cuts[1:]), strict=True))
+        self.rows: dict[int, bytes] = {}
+        #: Tokens by their bytes read backwards: nested dictionaries with the token under None.
+        self.ends: dict = {}
         for i in vocab.values():
-            if len(self.labels[i]) == 1 or self.made[i] >= 0:
-                node = self.arcs
-                for b in self.labels[i]:
-                    node = node.setdefault(b, {})
+            if ok[i]:
+                node = self.ends
+                for x in reversed(self.labels[i]):
+                    node = node.setdefault(x, {})
                 node[None] = i
-        self.lengths = [len(x) for x in self.labels]
-        #: The longest token that begins a token, or -1.
-        self.shorter = [-1] * n
-        for i in vocab.values():
-            node, found = self.arcs, -1
-            for b in self.labels[i][:-1]:
-                if (node := node.get(b)) is None:
-                    break
-                found = node.get(None, found)
-            self.shorter[i] = found
-        self.table: dict[int, bool] = {}
-
-    def joined(self, state: int, token: int, until: int) -> bool:
-        """Whether the arc `token` leaves `state` once the gadgets before step `until` are in, told by the gadgets in reverse.
-
-        Going back in time, the later one of the two tokens is undone: a state made last stands for its right part's state as it was
-        before that merge, an arc made last for its left part's as it was after it. At each stop, the arc is missing if a gadget of
-        that time or before took it away."""
-        u, v = state, token
-        while True:
-            if self.pairs.get((u, v), until) < until:
-                return False
-            a, b = self.made[u], self.made[v]
-            if a < 0 and b < 0:
-                return True
-            if a > b:
-                u, until = self.right[u], a
-            else:
-                v, until = self.left[v], b + 1
-
-    def first(self, token: int) -> bool:
-        """Whether the token leaves the initial state: it is what its own bytes become, so its parts are and meet until its merge."""
-        u, v, step = self.left[token], self.right[token], self.made[token]
-        return u < 0 or (self.passes(START, u) and self.passes(START, v) and self.joined(u, v, step))
-
-    def passes(self, state: int, token: int) -> bool:
-        """The transition table, expanded where it is asked for."""
-        key = state << 20 | token
-        ok = self.table.get(key)
-        if ok is None:
-            ok = self.first(token) if state == START else self.joined(state, token, len(self.pairs) + 1)
-            self.table[key] = ok
-        return ok
+
+    def row(self, state: int) -> bytes:
+        """The tokens that may follow, as bits. Those from before the state's own gadget are those of its right part's state as it was then; each
+        later one is there if its left part was when it was made."""
+        found = self.rows.get(state)
+        if found is not None:
+            return found
+        n, step = len(self.labels), int(self.made[state]) if state != START else -1
+        if step < 0:
+            arcs = np.zeros(n, bool)
+            arcs[self.bytes] = True
+        else:
+            of = int(self.right[state])
+            arcs = np.unpackbits(np.frombuffer(self.row(of), np.uint8), count=n, bitorder="little").astype(bool)
+            for token, when in self.taken.get(of, ()):
+                if when >= step:
+                    arcs[token] = True
+        gone, mine = np.zeros(n, bool), self.taken.get(state, ())
+        for token, when in mine:
+            later = self.begun.get(token)
+            if later is not None:
+                gone[later[self.made[later] >= when]] = True
+        for level in self.levels:
+            later = level[np.searchsorted(self.made[level], step) :]
+            arcs[later] = arcs[self.left[later]] & ~gone[later]
+        for token, _ in mine:
+            arcs[token] = False
+        found = self.rows[state] = np.packbits(arcs, bitorder="little").tobytes()
+        return found
 
     def encode(self, word: bytes) -> list[int]:
-        """The one path through the automaton that spells the word: the longest arc is tried first, then the next shorter one. As a
-        prefix of the word has one path at most, a place from which the rest can't be spelt need not be entered again, and the search
-        is linear in the word."""
-        if len(self.table) > TRANSITIONS:
-            self.table.clear()
-        lengths, shorter, table = self.lengths, self.shorter, self.table
-        path, at, state, end, dead, token = [], 0, START, len(word), set(), -1
-        while at < end:
-            if token < 0:
-                node = self.arcs
-                for b in word[at:]:
-                    node = node.get(b)
-                    if node is None:
-                        break
-                    token = node.get(None, token)
-            while token >= 0:
-                to = at + lengths[token]
-                if to not in dead:
-                    ok = table.get(state << 20 | token)
-                    if self.passes(state, token) if ok is None else ok:
-                        break
-                token = shorter[token]
-            if token >= 0:
-                path.append(token)
-                at, state, token = to, token, -1
-                continue
-            while token < 0:  # no arc is left here: back to the last choice
-                dead.add(at)
-                back = path.pop()
-                at -= lengths[back]
-                state = path[-1] if path else START
-                token = shorter[back]
-        return path
+        """The one path through the automaton that spells the word. Every beginning of the word is spelt by one path, so one token ends at each
+        place: the one, among those that the bytes before end with, that the state where it begins has an arc for."""
+        rows, row, last, begins = self.rows, [self.row(START)], [START], [0]
+        for end in range(1, len(word) + 1):
+            node, at = self.ends, end
+            while True:
+                at -= 1
+                node = node[word[at]]
+                token = node.get(None)
+                if token is not None and row[at][token >> 3] >> (token & 7) & 1:
+                    break
+            last.append(token)
+            begins.append(at)
+            row.append(rows.get(token) or self.row(token))
+        path, at = [], len(word)
+        while at:
+            path.append(last[at])
+            at = begins[at]
+        return path[::-1]
 
 
 class Known(dict):
@@ -208,9 +210,15 @@ class Codec:
         return self.decode_text(",".join(map(str, ids)))
 
 
+@lru_cache(maxsize=2)
+def codec_of(path: str) -> Codec:
+    """A worker's codec: tasks that run one after another share its table and memory."""
+    return Codec(path)
+
+
 def _coded(path: str, keep: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 some = batch.slice(start, 500)

@@ -6,7 +6,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.llm import common, language_id, media, packing, quality, sharding, url_filter
+from strandframe.llm import bpe, common, language_id, media, packing, quality, sharding, url_filter
 from strandframe.llm.queries import SHARDS, URL_RULES
 
 #: Names that operators use within.
@@ -181,3 +181,20 @@ def test_shared_dir_on_clusters():
         with pytest.raises(ValueError):
             common.shared_dir(Session(spark__master=master))
     assert common.shared_dir(Session(spark__master="local[*]"))
+
+
+def test_bpe_table():
+    """Ids are the tokenizers library's on words of few letters, in which merges compete, and on very long ones; the table has no more rows than tokens."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = bpe.public_tokenizers.path("byte_bpe_50k.json")
+    codec, library = bpe.codec_of(path), Tokenizer.from_file(path)
+    rnd = random.Random(17)
+    pools = ["etaoin", "aeiou", "=-_*#.", "0123456789", [chr(c) for c in range(0xA0, 0x400)], "a"]
+    words = ["".join(rnd.choice(pools[k % len(pools)]) for _ in range(rnd.randint(1, 40))) for k in range(6000)]
+    words += ["".join(rnd.choice("etaoins") for _ in range(100_000)), "a" * 100_000]
+    assert all(codec.encode(w) == library.encode(w, add_special_tokens=False).ids for w in words)
+    assert bpe.codec_of(path) is codec and 0 < len(codec.automaton.rows) <= len(codec.automaton.labels)
+    assert all(codec.decode(codec.encode(w)) == w for w in words)
