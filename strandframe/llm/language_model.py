@@ -316,8 +316,12 @@ def _discount(ones: int, twos: int) -> float:
 
 
 def frequent_words(source: DataFrame, share: float) -> np.ndarray:
-    """Hashes of words that make up more than a share of the tokens of a sample of texts, in order; their number is bounded by 1 / share."""
-    some = source.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).where("text IS NOT NULL").orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS).collect()
+    """Hashes of words that make up more than a share of the tokens of a sample of distinct texts, in order; their number is bounded by 1 / share. Texts are
+    chosen by a bound on their hashes, which spread evenly, so the driver gets about SAMPLE_TEXTS of them however many partitions there are."""
+    n = source.count()
+    bound = min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, SAMPLE_TEXTS / max(1, n))))
+    key = F.xxhash64("text").alias("key")
+    some = source.where(F.col("text").isNotNull()).select(key, F.substring("text", 1, SAMPLE_CHARS).alias("text")).where(F.col("key") <= bound).groupBy("key").agg(F.min("text").alias("text")).collect()
     words = [w for r in some for w in (*tokens_of(r["text"]), END)]
     names, counts = np.unique(np.array(words, object), return_counts=True) if words else (np.array([], object), np.array([], np.int64))
     return np.sort(np.array([xxhash.xxh64_intdigest(w) for w in names[counts > share * len(words)]], np.uint64))
