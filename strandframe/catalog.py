@@ -353,11 +353,6 @@ def _(v: Views) -> DataFrame:
     return calls.list_status(keyed.where("src = 0"), keyed.where("src = 1"), "k")
 
 
-@query("A20_allele_counts", f"SELECT site, {B('count(a1) + count(a2)')} AS an, {B('coalesce(sum(a1) + sum(a2), 0)')} AS ac FROM br_genotypes GROUP BY site")
-def _(v: Views) -> DataFrame:
-    return calls.allele_counts(v("br_genotypes"))
-
-
 @query(
     "A21_inbreeding",
     f"""WITH c AS (SELECT site, 2 * count(*) AS n, count(*) FILTER (a1 <> a2) AS het, sum(a1 + a2) AS ac FROM br_genotypes WHERE a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY site), p AS (SELECT *, CAST(ac AS DOUBLE) / n AS p FROM c)
@@ -406,13 +401,6 @@ def _(v: Views) -> DataFrame:
     return history.as_of(v("br_history"), _when()).select("obj_id", "row_id", "state")
 
 
-@query("M3_append_versions", f"WITH {_LATEST} SELECT obj_id, row_id, state FROM br_history UNION ALL SELECT obj_id, row_id + 10000000, 'click' FROM latest WHERE obj_id % 2 = 0 AND state IS DISTINCT FROM 'click'")
-def _(v: Views) -> DataFrame:
-    now = history.latest(v("br_history"))
-    updates = now.select("obj_id", F.when(F.col("obj_id") % 2 == 0, F.col("row_id")).otherwise(-1).alias("based_on"), F.lit("click").alias("state"), (F.col("row_id") + 10_000_000).alias("row_id"), "changed")
-    return history.append_versions(v("br_history"), updates).select("obj_id", "row_id", "state")
-
-
 @query("M4_versions", f"SELECT obj_id, row_id, {B('row_number() OVER (PARTITION BY obj_id ORDER BY changed, row_id)')} AS version FROM br_history")
 def _(v: Views) -> DataFrame:
     return history.versions(v("br_history")).select("obj_id", "row_id", "version")
@@ -428,11 +416,6 @@ def _(v: Views) -> DataFrame:
     return history.ambiguous_values(v("br_history"), "state", "obj_id")
 
 
-@query("M8_flagged", f"WITH {_LATEST} SELECT obj_id, row_id, processed FROM latest WHERE processed & 5 = 5")
-def _(v: Views) -> DataFrame:
-    return history.flagged(v("br_history"), 5).select("obj_id", "row_id", "processed")
-
-
 @query("W7_state_change", f"WITH {_LATEST} SELECT obj_id, l.state AS current, max(h.changed) FILTER (h.state IS DISTINCT FROM l.state) AS last_other FROM br_history h JOIN latest l USING (obj_id) GROUP BY obj_id, l.state")
 def _(v: Views) -> DataFrame:
     return history.state_change(v("br_history"))
@@ -451,62 +434,16 @@ def _(v: Views) -> DataFrame:
 # Hierarchy and reports
 
 
-@query("J1_hierarchy_join", "SELECT lane_id, library_id, sample, project, raw_reads, raw_bases FROM br_lanes")
-def _(v: Views) -> DataFrame:
-    return reports.hierarchy_join(v("lineitem"), v("supplier"), v("nation"), v("region"))
-
-
 @query("J10_missing_children", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def _(v: Views) -> DataFrame:
     return reports.missing_children(v("customer").select("c_custkey"), v("orders"), "c_custkey", "o_custkey")
 
 
-@query("A33_coverage_by_level", f"SELECT project, sample, library_id, {B('sum(raw_bases)')} AS raw_bases, round(sum(raw_bases) / 100000.0, 6) AS coverage FROM br_lanes WHERE qc_status <> 'failed' GROUP BY ROLLUP (project, sample, library_id)")
-def _(v: Views) -> DataFrame:
-    return reports.coverage_by_level(v("br_lanes"), 100_000)
-
-
-@query("A34_status_matrix", "SELECT project, sample, " + ", ".join(f"CAST(count(*) FILTER (qc_status = '{s}') AS BIGINT) AS n_{s}, CAST(coalesce(sum(raw_bases) FILTER (qc_status = '{s}'), 0) AS BIGINT) AS bases_{s}" for s in ("passed", "failed", "pending", "no_qc")) + " FROM br_lanes GROUP BY project, sample")
-def _(v: Views) -> DataFrame:
-    return reports.status_matrix(v("br_lanes"))
-
-
-@query("A35_yield_by_month", f"SELECT {B('year(run_date) * 100 + month(run_date)')} AS month, {B('count(*)')} AS n_lanes, {B('sum(raw_bases)')} AS bases FROM br_lanes GROUP BY 1")
-def _(v: Views) -> DataFrame:
-    return reports.yield_by_month(v("br_lanes"))
-
-
-@query("A36_finished_samples", f"SELECT sample, {B('sum(raw_bases)')} AS bases FROM br_lanes GROUP BY sample HAVING sum(raw_bases) >= 50000")
-def _(v: Views) -> DataFrame:
-    return reports.finished_samples(v("br_lanes"), 50_000)
-
-
-@query("A37_auto_qc", "SELECT lane_id, raw_reads >= 50 AS enough, raw_bases / CAST(raw_reads AS DOUBLE) >= 25 AS long_enough, qc_status <> 'failed' AS not_failed, raw_reads >= 50 AND raw_bases / CAST(raw_reads AS DOUBLE) >= 25 AND qc_status <> 'failed' AS verdict FROM br_lanes")
-def _(v: Views) -> DataFrame:
-    return reports.auto_qc(v("br_lanes"), 50, 25.0)
-
-
-@query("A38_mapping_report", f"SELECT rg, {B('count(*)')} AS n, round(100.0 * count(*) FILTER (flag & 4 = 0) / count(*), 6) AS pct_mapped, round(100.0 * count(*) FILTER (flag & 2 <> 0) / count(*), 6) AS pct_proper, round(100.0 * count(*) FILTER (flag & 1024 <> 0) / count(*), 6) AS pct_dup FROM br_reads GROUP BY rg")
-def _(v: Views) -> DataFrame:
-    return reports.mapping_report(v("br_reads"))
-
-
-@query("A40_usage_rollup", f"WITH x AS (SELECT project, qc_status, sum(raw_bases) AS bases, count(*) AS n FROM br_lanes GROUP BY ROLLUP (project, qc_status)) SELECT project, qc_status, {B('bases')} AS bases, {B('n')} AS n, round(bases / CAST(max(bases) OVER () AS DOUBLE), 6) AS share FROM x")
-def _(v: Views) -> DataFrame:
-    return reports.usage_rollup(v("br_lanes"))
-
-
 @query("A47_most_common_value", f"SELECT sample, {B('n')} AS n, qc_status FROM (SELECT sample, qc_status, count(*) AS n FROM br_lanes GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY sample ORDER BY n DESC, qc_status) = 1")
 def _(v: Views) -> DataFrame:
     return reports.most_common_value(v("br_lanes"), "sample", "qc_status")
 
 
-@query("C9_release_selection", "SELECT lane_id, sample FROM br_lanes l WHERE qc_status = 'passed' AND NOT EXISTS (SELECT 1 FROM br_lanes f WHERE f.project = l.project AND f.sample = l.sample AND f.qc_status = 'failed' AND f.raw_bases < 1800)")
-def _(v: Views) -> DataFrame:
-    lanes = v("br_lanes").withColumn("qc_status", F.when((F.col("qc_status") == "failed") & (F.col("raw_bases") >= 1800), "pending").otherwise(F.col("qc_status")))
-    return reports.release_selection(lanes).select("lane_id", "sample")
-
-
 @query("M6_descendants", "SELECT 'sample' AS level, sample AS id FROM br_lanes WHERE project = 'ASIA' UNION SELECT 'library', CAST(library_id AS VARCHAR) FROM br_lanes WHERE project = 'ASIA' UNION SELECT 'lane', CAST(lane_id AS VARCHAR) FROM br_lanes WHERE project = 'ASIA'")
 def _(v: Views) -> DataFrame:
     return reports.descendants(v("br_lanes"), "ASIA")
@@ -560,11 +497,6 @@ def _(v: Views) -> DataFrame:
     return sequences.id_list_filter(v("br_fastq"), ids, keep=False).select("rec_no", "name")
 
 
-@query("A29_tag_fraction", f"SELECT tag, round(100.0 * n / total, 6) AS percent FROM (SELECT substr(seq, 1, 3) AS tag, count(*) AS n, sum(count(*)) OVER () AS total FROM br_fastq GROUP BY 1) ORDER BY n DESC, tag LIMIT 1")
-def _(v: Views) -> DataFrame:
-    return sequences.tag_fraction(v("br_fastq"), 3)
-
-
 @query(
     "A31_assembly_stats",
     f"""WITH o AS (SELECT length(seq) AS len, row_number() OVER (ORDER BY length(seq) DESC, rec_no) AS l, sum(length(seq)) OVER (ORDER BY length(seq) DESC, rec_no) AS cum, sum(length(seq)) OVER () AS total FROM br_fastq)
@@ -588,31 +520,11 @@ def _(v: Views) -> DataFrame:
     return sequences.clip_point(v("br_fastq"))
 
 
-@query("W17_chunk_by_bases", f"SELECT rec_no, {B('floor(coalesce(sum(length(seq)) OVER (ORDER BY rec_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100000.0)')} AS chunk FROM br_fastq")
-def _(v: Views) -> DataFrame:
-    return sequences.chunk_by_bases(v("br_fastq"), 100_000).select("rec_no", "chunk")
-
-
-@query("X8_reverse_complement", "SELECT rec_no, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM br_fastq")
-def _(v: Views) -> DataFrame:
-    return v("br_fastq").select("rec_no", sequences.reverse_complement(F.col("seq")).alias("rc"))
-
-
 @query("P18_evenly_spaced", "WITH n AS (SELECT greatest(1, count(*) // 100) AS k FROM br_fastq) SELECT rec_no, name FROM br_fastq CROSS JOIN n WHERE rec_no % k = 0 AND rec_no > 0")
 def _(v: Views) -> DataFrame:
     return variants.evenly_spaced(v("br_fastq"), "rec_no", 100).select("rec_no", "name")
 
 
-@query("A42_position_quality", f"SELECT mate, cycle, {B('count(*)')} AS n, round(avg(qual), 6) AS mean_qual FROM br_quality GROUP BY mate, cycle")
-def _(v: Views) -> DataFrame:
-    return sequences.position_quality(v("br_quality"))
-
-
-@query("A53_quality_map", f"WITH x AS (SELECT cycle, qual, count(*) AS n, count(*) * pow(10.0, -qual / 10.0) AS errors FROM br_quality GROUP BY cycle, qual) SELECT cycle, qual, {B('n')} AS n, round(errors, 6) AS errors, {B('floor(-10 * log10(errors / n) + 0.5)')} AS new_qual FROM x")
-def _(v: Views) -> DataFrame:
-    return sequences.quality_map(v("br_quality"))
-
-
 @query("W9_rank_average", "SELECT var_id, qual, round(rank() OVER (ORDER BY qual) + (count(*) OVER (PARTITION BY qual) - 1) / 2.0, 6) AS rank_avg FROM br_variants")
 def _(v: Views) -> DataFrame:
     return stats.rank_average(v("br_variants").select("var_id", "qual"), "qual").select("var_id", "qual", "rank_avg")
@@ -692,25 +604,4 @@ def _(v: Views) -> DataFrame:
     return reports.distinct_ids(v("br_history"), "obj_id")
 
 
-@query("A54_pending", f"SELECT state, {B('count(*)')} AS n FROM br_history WHERE state IN ('click', 'view') GROUP BY state")
-def _(v: Views) -> DataFrame:
-    return reports.pending(v("br_history"), ["click", "view"])
-
-
-@query("A39_runtime_stats", f"WITH {_LATEST} SELECT state, {B('count(*)')} AS n, round(min(value), 6) AS least, round(max(value), 6) AS most, round(avg(value), 6) AS mean FROM latest GROUP BY state")
-def _(v: Views) -> DataFrame:
-    return reports.runtime_stats(v("br_history"))
-
-
-@query("A61_merge_reports", f"WITH h AS (SELECT qual, count(*) AS n FROM br_quality GROUP BY qual) SELECT qual, {B('n')} AS n, round(CAST(n AS DOUBLE) / sum(n) OVER (), 6) AS share FROM h")
-def _(v: Views) -> DataFrame:
-    parts = [v("br_quality").where(F.col("mate") == m).groupBy("qual").agg(F.count("*").alias("n")) for m in (1, 2)]
-    return reports.merge_reports(parts, ["qual"])
-
-
-@query("J18_sample_names", "SELECT DISTINCT r_name, coalesce(n_name, 'N/A') AS n_name, coalesce(CAST(c_nationkey AS VARCHAR), 'N/A') AS used FROM region LEFT JOIN nation ON r_regionkey = n_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey")
-def _(v: Views) -> DataFrame:
-    return reports.sample_names(v("region"), v("nation"), v("customer"))
-
-
-from . import catalog_genotypes, catalog_reads, catalog_records, catalog_reference, catalog_variants  # noqa: E402, F401  (they add their queries)
+from . import catalog_genotypes, catalog_reads, catalog_records, catalog_reference, catalog_reports, catalog_variants  # noqa: E402, F401  (they add their queries)

@@ -14,6 +14,20 @@ def explain_flags(flag: Column) -> Column:
     return F.array_join(F.array_compact(F.array(*(F.when(flag.bitwiseAND(F.lit(bit)) != 0, name) for bit, name in FLAG_NAMES.items()))), ",")
 
 
+def compose_flag(**bits: Column) -> Column:
+    """A flag of conditions by the names of bits, null counting as no. What needs a pair goes without one (proper, mate_unmapped, mate_reverse, first,
+    second); so do proper if either mate is unmapped, and mate_reverse if the mate is."""
+    is_set = lambda name: F.coalesce(bits[name], F.lit(False)) if name in bits else F.lit(False)
+    paired = is_set("paired")
+    rules = {name: is_set(name) for name in FLAG_NAMES.values()} | {name: is_set(name) & paired for name in ("mate_unmapped", "mate_reverse", "first", "second")}
+    rules["proper"] = is_set("proper") & paired & ~is_set("unmapped") & ~is_set("mate_unmapped")
+    rules["mate_reverse"] = rules["mate_reverse"] & ~is_set("mate_unmapped")
+    flag = F.lit(0)
+    for bit, name in FLAG_NAMES.items():
+        flag = flag + F.when(rules[name], bit).otherwise(0)
+    return flag.cast("long")
+
+
 def cigar_span(cigar: Column, operations: str) -> Column:
     """The sum of lengths of a CIGAR's given operations."""
     lengths = F.regexp_extract_all(cigar, F.lit(f"([0-9]+)[{operations}]"), F.lit(1))

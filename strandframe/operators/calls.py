@@ -19,12 +19,40 @@ def venn_counts(calls: DataFrame, win: int = 0) -> DataFrame:
     return combinations(calls, win).groupBy("combination").agg(F.count("*").alias("sites"), F.sum(F.col("n_calls") - F.col("n_src")).alias("lost"))
 
 
+def venn_shares(calls: DataFrame, win: int = 0) -> DataFrame:
+    """For each combination and call set in it, the sites and what percentage of the set's sites they are."""
+    each = venn_counts(calls, win).withColumn("src", F.explode(F.split("combination", ","))).select("combination", "src", "sites")
+    totals = each.groupBy("src").agg(F.sum("sites").alias("_all"))
+    return each.join(F.broadcast(totals), "src").select("combination", "src", "sites", (100 * F.col("sites") / F.col("_all")).alias("percent"))
+
+
+def allele_matches(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Positions that both sets have, and at how many of them ref and alt agree."""
+    x = a.groupBy("chrom", "pos").agg(F.min(F.struct("ref", "alt")).alias("x")).join(b.groupBy("chrom", "pos").agg(F.min(F.struct("ref", "alt")).alias("y")), ["chrom", "pos"])
+    same = lambda c: F.col(f"x.{c}") == F.col(f"y.{c}")
+    return x.agg(F.count("*").alias("shared"), F.count_if(same("ref")).alias("ref_match"), F.count_if(~same("ref")).alias("ref_mismatch"), F.count_if(same("alt")).alias("alt_match"), F.count_if(~same("alt")).alias("alt_mismatch"))
+
+
 def isec(calls: DataFrame, n: int, op: str = "=", win: int = 0) -> DataFrame:
     """Groups in exactly (=), at least (+) or at most (-) n sets."""
     have = F.col("n_src")
     return combinations(calls, win).where({"=": have == n, "+": have >= n, "-": have <= n}[op]).select("chrom", "pos", "combination")
 
 
+def isec_records(calls: DataFrame, n: int, op: str = "=", win: int = 0, one_file_only: bool = False) -> DataFrame:
+    """The records of such groups, each with sf: the sets that its group has, in order, with an f after those all of whose records there failed (column
+    failed). At one position only the record of the first set stays; with one_file_only, only records of the first set that the group has."""
+    grouped = cluster_by_distance(calls, win)
+    by_src = grouped.groupBy("chrom", "grp", "src").agg(F.bool_and("failed").alias("_f"))
+    names = F.transform(F.array_sort(F.collect_list(F.struct("src", "_f"))), lambda x: F.concat(x["src"].cast("string"), F.when(x["_f"], "f").otherwise("")))
+    groups = by_src.groupBy("chrom", "grp").agg(F.array_join(names, ",").alias("sf"), F.count("*").alias("n_src"), F.min("src").alias("_first"))
+    have = F.col("n_src")
+    hit = grouped.join(groups.where({"=": have == n, "+": have >= n, "-": have <= n}[op]), ["chrom", "grp"])
+    hit = hit.where(F.col("src") == F.col("_first")) if one_file_only else hit
+    rest = [c for c in calls.columns if c not in ("chrom", "pos", "src")]
+    return hit.groupBy("chrom", "pos", "sf").agg(F.min(F.struct("src", *rest)).alias("r")).select("chrom", "pos", "sf", "r.*")
+
+
 def complement(calls: DataFrame, src: int, win: int = 0) -> DataFrame:
     """Groups that only one given set has."""
     return combinations(calls, win).where(F.col("combination") == str(src)).select("chrom", "pos")
@@ -40,6 +68,46 @@ def merge_sets(calls: DataFrame, weights: dict[int, int]) -> DataFrame:
     return calls.groupBy("chrom", "pos", "allele").agg(F.array_join(F.array_sort(F.collect_set("src")), ",").alias("sf"), mean.alias("qual"))
 
 
+def merge_records(records: DataFrame, info: dict[str, Column] | None = None, collapse: str | None = None) -> DataFrame:
+    """U4: one record of each site out of several sets' records (src, chrom, pos, id, ref, alts, qual, filter array, info map, n_samples): ref is the longest, alts,
+    with the bases that theirs lacks, are all of them in the order of sets (symbolic ones stay); id and other INFO keys are the first there are; qual the mean
+    of positive ones weighted by samples (1 at least); filter all names, PASS only if alone; sf the sets; an and ac added up over sets by alternative;
+    `info` has aggregates of other INFO keys. Records of one position merge if they share an alternative with the site's first record, or all of
+    them (collapse any), those of substitutions and those of length changes apart (snps, indels)."""
+    long = F.col("_longest")
+    grown = F.transform("alts", lambda a: F.when(a.startswith("<"), a).otherwise(F.concat(a, F.substring(long, F.length("ref") + 1, F.length(long)))))
+    top = records.groupBy("chrom", "pos").agg(F.max_by("ref", F.struct(F.length("ref"), F.col("ref"))).alias("_longest"))
+    x = records.join(top, ["chrom", "pos"]).withColumn("_alts", grown)
+    if collapse == "any":
+        x = x.withColumn("_kind", F.lit("any"))
+    elif collapse in ("snps", "indels"):
+        x = x.withColumn("_kind", F.when(F.forall("_alts", lambda a: F.length(a) == F.length(long)), "snps").otherwise("indels"))
+    else:
+        first = x.groupBy("chrom", "pos").agg(F.min_by("_alts", "src").alias("_of_first"))
+        x = x.join(first, ["chrom", "pos"]).withColumn("_kind", F.when(F.arrays_overlap("_alts", "_of_first"), "first").otherwise(F.concat_ws(",", F.array_sort("_alts"))))
+    good, w = F.col("qual") > 0, F.greatest(F.col("n_samples"), F.lit(1))
+    in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(F.col("src").alias("s"), F.col(c).alias("v")))), lambda v: v["v"])
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("src")))
+    names = F.array_sort(F.array_distinct(F.flatten(F.collect_list("filter"))))
+    counted = F.map_from_arrays(F.col("_alts"), F.transform(F.split(F.coalesce(F.try_element_at("info", F.lit("AC")), F.lit("")), ","), lambda v: F.coalesce(v.try_cast("long"), F.lit(0))))
+    x = x.withColumn("_ac", F.when(F.try_element_at("info", F.lit("AC")).isNotNull(), counted))
+    made = x.groupBy("chrom", "pos", F.col("_longest").alias("ref"), "_kind").agg(
+        first("id").alias("id"), F.array_distinct(F.flatten(in_order("_alts"))).alias("alts"), (F.sum(F.when(good, F.col("qual") * w)) / F.sum(F.when(good, w))).alias("qual"), names.alias("_filter"),
+        F.array_join(F.array_sort(F.collect_set("src")).cast("array<string>"), ",").alias("sf"), F.sum(F.try_element_at("info", F.lit("AN")).try_cast("long")).alias("an"), F.collect_list("_ac").alias("_acs"),
+        *(c.alias(name) for name, c in (info or {}).items()),
+    )
+    others = F.filter("_filter", lambda f: f != "PASS")
+    ac = F.transform("alts", lambda a: F.aggregate("_acs", F.lit(0).cast("long"), lambda total, m: total + F.coalesce(F.try_element_at(m, a), F.lit(0))))
+    filters = F.when(F.size(others) > 0, F.array_join(others, ";")).when(F.size("_filter") > 0, "PASS").otherwise(".")
+    return made.select("chrom", "pos", "id", "ref", F.array_join("alts", ",").alias("alt"), "qual", filters.alias("filter"), "sf", "an", F.array_join(ac.cast("array<string>"), ",").alias("ac"), *(info or {}))
+
+
+def remap_genotypes(gt: DataFrame, merged_alts: str = "merged_alts", own_alts: str = "alts") -> DataFrame:
+    """U4: allele indexes a1 and a2 of one set's alternatives as those of the merged site's (0 stays, null stays)."""
+    to = lambda c: F.when(F.col(c) == 0, F.lit(0).cast("long")).otherwise(F.array_position(F.col(merged_alts), F.get(F.col(own_alts), (F.col(c) - 1).cast("int"))).cast("long"))
+    return gt.withColumns({c: F.when(F.col(c).isNotNull(), to(c)) for c in ("a1", "a2")})
+
+
 def list_status(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """UNIQ1, UNIQ2 or ISECT for each key of two lists, with its count on either side."""
     x, y = a.groupBy(key).agg(F.count("*").alias("n1")), b.groupBy(key).agg(F.count("*").alias("n2"))
@@ -47,10 +115,12 @@ def list_status(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return x.join(y, key, "full").select(key, F.coalesce("n1", F.lit(0)).alias("n1"), F.coalesce("n2", F.lit(0)).alias("n2"), status.alias("status"))
 
 
-def allele_counts(gt: DataFrame) -> DataFrame:
-    """Alleles called (an) and those that are the alternative (ac) at each site; missing ones don't count."""
-    called = F.count("a1") + F.count("a2")
-    return gt.groupBy("site").agg(called.alias("an"), F.coalesce(F.sum("a1") + F.sum("a2"), F.lit(0)).alias("ac"))
+def allele_counts(gt: DataFrame, n_alts: int = 1) -> DataFrame:
+    """Alleles called (an) and how often each alternative is (ac, joined with ','; 0 for absent ones) at each site. Missing alleles don't count; a haploid
+    genotype has one allele, a1."""
+    of = lambda c, k: F.count_if(F.col(c) == k)
+    ac = F.array_join(F.array(*((of("a1", k) + of("a2", k)).cast("string") for k in range(1, n_alts + 1))), ",")
+    return gt.groupBy("site").agg((F.count("a1") + F.count("a2")).alias("an"), ac.alias("ac"))
 
 
 def inbreeding(gt: DataFrame) -> DataFrame:
@@ -196,6 +266,19 @@ def decode_genotypes(gt: DataFrame) -> DataFrame:
     return gt.withColumn("gt", F.when(F.col("a1").isNull() | F.col("a2").isNull(), "./.").otherwise(F.concat("a1", F.when(F.col("phased") == 1, "|").otherwise("/"), "a2")))
 
 
+def split_genotype(gt: Column) -> dict[str, Column]:
+    """A genotype's text as columns: allele indexes (null for a dot), whether it is phased, and whether an allele is missing."""
+    alleles = F.transform(F.split(gt, "[/|]"), lambda x: x.try_cast("int"))
+    return {"alleles": alleles, "phased": F.contains(gt, F.lit("|")), "missing": F.exists(alleles, lambda x: x.isNull())}
+
+
+def genotype_bases(gt: Column, ref: Column, alts: Column) -> Column:
+    """A genotype's text with the bases of its alleles for their indexes, a dot for missing ones; its separators stay."""
+    every = F.concat(F.array(ref), alts)
+    text = F.transform(F.split(gt, "[/|]"), lambda x: F.coalesce(F.try_element_at(every, x.try_cast("int") + 1), F.lit(".")))
+    return F.when(F.contains(gt, F.lit("|")), F.array_join(text, "|")).otherwise(F.array_join(text, "/"))
+
+
 def sample_subset(gt: DataFrame, samples: list[str], exclude: bool = False) -> DataFrame:
     """Genotypes of given samples, or of all others."""
     mine = F.col("sample").isin(samples)

@@ -50,16 +50,31 @@ def was_processed(hist: DataFrame, mask: int) -> DataFrame:
 
 
 def append_versions(hist: DataFrame, updates: DataFrame) -> DataFrame:
-    """M3: history with updates (obj_id, based_on, state, row_id, changed) added whose based_on is the newest row_id and whose state is new."""
+    """M3: history (with `latest`, whether a row is its object's newest) with updates (obj_id, based_on, state, row_id, changed) added whose based_on is the newest
+    row_id and whose state is new; what was the newest row of such an object is so no more."""
     now = _newest(hist).select("obj_id", F.col("row_id").alias("_row"), F.col("state").alias("_state"), "processed", "value")
-    fresh = updates.join(now, "obj_id").where((F.col("based_on") == F.col("_row")) & ~F.col("state").eqNullSafe(F.col("_state")))
-    return hist.unionByName(fresh.select(*hist.columns))
+    fresh = updates.join(now, "obj_id").where((F.col("based_on") == F.col("_row")) & ~F.col("state").eqNullSafe(F.col("_state"))).withColumn("latest", F.lit(True))
+    old = hist.join(fresh.select("obj_id").distinct().withColumn("_fresh", F.lit(True)), "obj_id", "left").withColumn("latest", F.col("latest") & F.col("_fresh").isNull())
+    return old.select(*hist.columns).unionByName(fresh.select(*hist.columns))
 
 
-def flagged(hist: DataFrame, mask: int, positive: bool = True) -> DataFrame:
-    """M8: newest versions that have all bits of a mask, or none."""
+def with_latest(hist: DataFrame) -> DataFrame:
+    """M1: the history with `latest`, whether a row is its object's newest."""
+    top = hist.groupBy("obj_id").agg(F.max(F.struct(*VERSION)).alias("_top"))
+    return hist.join(top, "obj_id").withColumn("latest", F.struct(*VERSION) == F.col("_top")).drop("_top")
+
+
+#: The QC states that a row may have.
+QC_STATES = ("no_qc", "pending", "passed", "failed", "gt_pending", "investigate")
+
+
+def flagged(hist: DataFrame, mask: int, positive: bool = True, qc: list[str] | None = None) -> DataFrame:
+    """M8: newest versions that have all bits of a mask, or none; with `qc`, only in these QC states (column qc_status), which must be known ones."""
+    if unknown := sorted(set(qc or ()) - set(QC_STATES)):
+        raise ValueError(f"no QC states: {', '.join(unknown)}")
     bits = F.col("processed").bitwiseAND(F.lit(mask))
-    return _newest(hist).where(bits == (mask if positive else 0))
+    found = _newest(hist).where(bits == (mask if positive else 0))
+    return found.where(F.col("qc_status").isin(qc)) if qc else found
 
 
 def changed_since(hist: DataFrame, when: Column) -> DataFrame:
@@ -72,3 +87,9 @@ def changed_since(hist: DataFrame, when: Column) -> DataFrame:
 def ambiguous_values(df: DataFrame, field: str, key: str) -> DataFrame:
     """M7: values that belong to more than one key."""
     return df.groupBy(field).agg(F.count_distinct(key).alias("n_keys")).where("n_keys > 1")
+
+
+def lookup_unique(df: DataFrame, field: str, value: object, key: str) -> DataFrame:
+    """M7: the key that a value belongs to; an error when the table is computed if there are several, no row if there is none."""
+    one = df.where(F.col(field) == value).agg(F.min(key).alias(key), F.count_distinct(key).alias("_n")).where("_n > 0")
+    return one.select(F.when(F.col("_n") == 1, F.col(key)).otherwise(F.raise_error(F.lit(f"{value} belongs to several keys"))).alias(key))

@@ -7,11 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def hierarchy_join(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """One row of each lane with its library, sample and project. Lanes are summed before the small tables are joined."""
-    lanes = lineitem.groupBy("l_suppkey", "l_linenumber").agg(F.count("*").alias("raw_reads"), F.sum(F.floor("l_quantity")).alias("raw_bases"))
-    joined = lanes.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.select((F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("lane_id"), F.col("l_suppkey").alias("library_id"), F.col("n_name").alias("sample"), F.col("r_name").alias("project"), "raw_reads", "raw_bases")
+def current(df: DataFrame) -> DataFrame:
+    """The rows that are the latest versions, where a table has such a column."""
+    return df.where("latest").drop("latest") if "latest" in df.columns else df
+
+
+def hierarchy_join(levels: list[tuple[DataFrame, str, str | None]]) -> DataFrame:
+    """One row of each item of the lowest level with all levels above it. Levels come from the lowest up, each as a table, its own key and the column that
+    names the next level's key (None for the top one); columns of all tables differ but for these. Only latest versions are joined; Spark
+    broadcasts the upper tables where they are small."""
+    out, _, above = levels[0]
+    out = current(out)
+    for table, key, parent in levels[1:]:
+        out, above = out.join(current(table), F.col(above) == F.col(key)), parent
+    return out
 
 
 def missing_children(parents: DataFrame, children: DataFrame, key: str, child_key: str) -> DataFrame:
@@ -19,46 +28,85 @@ def missing_children(parents: DataFrame, children: DataFrame, key: str, child_ke
     return parents.join(children.select(F.col(child_key).alias("_k")).distinct(), F.col(key) == F.col("_k"), "left_anti")
 
 
-def coverage_by_level(lanes: DataFrame, genome_size: int) -> DataFrame:
-    """Raw bases over genome size of each library, sample and project, and of all, in one pass (null: all of that level)."""
-    x = lanes.where("qc_status <> 'failed'").rollup("project", "sample", "library_id")
-    return x.agg(F.sum("raw_bases").alias("raw_bases"), (F.sum("raw_bases") / genome_size).alias("coverage"))
+def coverage_by_level(lanes: DataFrame, genome_size: int, levels: list[str], qc: list[str] | None = None, gt: list[str] | None = None, mapped: bool = False) -> DataFrame:
+    """Raw bases over genome size at each level of a hierarchy, and of all, in one pass (null: all of that level), of lanes that aren't withdrawn and have one
+    of the given QC and genotype statuses. With `mapped`, bases are scaled by the share that duplicates leave (rmdup_bases of mapped_raw_bases) where a
+    genotype ratio is known, else they are the mapped ones, else nine tenths of the raw ones."""
+    kept = lanes.where(~F.coalesce("withdrawn", F.lit(False)))
+    kept = kept.where(F.col("qc_status").isin(qc)) if qc else kept
+    kept = kept.where(F.col("gt_status").isin(gt)) if gt else kept
+    scaled = F.when(F.col("gt_ratio").isNotNull(), F.try_divide(F.col("raw_bases") * F.col("rmdup_bases"), F.col("mapped_raw_bases")))
+    bases = F.coalesce(scaled, F.col("bases_mapped"), F.col("raw_bases") * 0.9) if mapped else F.col("raw_bases")
+    return kept.rollup(*levels).agg(F.sum(bases).cast("double").alias("bases"), (F.sum(bases) / genome_size).alias("coverage"))
 
 
-def status_matrix(lanes: DataFrame) -> DataFrame:
-    """Lanes and bases of each project and sample by QC status."""
-    of = lambda s: F.col("qc_status") == s
-    status = ("passed", "failed", "pending", "no_qc")
-    return lanes.groupBy("project", "sample").agg(*(F.count_if(of(s)).alias(f"n_{s}") for s in status), *(F.sum(F.when(of(s), F.col("raw_bases")).otherwise(0)).alias(f"bases_{s}") for s in status))
+def status_matrix(lanes: DataFrame, keys: list[str], genome_size: int) -> DataFrame:
+    """Lanes and bases of each group (project, population, individual) by QC and by genotype status, and the coverage of what passed."""
+    of = lambda c, s: F.col(c) == s
+    made = []
+    for column, values in (("qc_status", ("passed", "failed", "pending", "no_qc")), ("gt_status", ("confirmed", "wrong", "unchecked"))):
+        made += [F.count_if(of(column, s)).alias(f"n_{s}") for s in values] + [F.sum(F.when(of(column, s), F.col("raw_bases")).otherwise(0)).alias(f"bases_{s}") for s in values]
+    return lanes.groupBy(*keys).agg(*made).withColumn("pass_coverage", F.col("bases_passed") / genome_size)
 
 
 def yield_by_month(lanes: DataFrame) -> DataFrame:
-    """Lanes and bases of each month of run dates."""
-    month = (F.year("run_date") * 100 + F.month("run_date")).cast("long")
-    return lanes.groupBy(month.alias("month")).agg(F.count("*").alias("n_lanes"), F.sum("raw_bases").alias("bases"))
-
-
-def finished_samples(lanes: DataFrame, bases: int) -> DataFrame:
-    """Samples whose lanes have so many bases."""
-    return lanes.groupBy("sample").agg(F.sum("raw_bases").alias("bases")).where(F.col("bases") >= bases)
-
-
-def auto_qc(lanes: DataFrame, min_reads: int, min_mean: float) -> DataFrame:
-    """Each lane's tests and the verdict, which is that all pass."""
-    tests = lanes.select("lane_id", (F.col("raw_reads") >= min_reads).alias("enough"), (F.col("raw_bases") / F.col("raw_reads") >= min_mean).alias("long_enough"), (F.col("qc_status") != "failed").alias("not_failed"))
-    return tests.withColumn("verdict", F.col("enough") & F.col("long_enough") & F.col("not_failed"))
-
-
-def mapping_report(reads: DataFrame) -> DataFrame:
-    """Percentages of mapped, proper and duplicate reads of each read group."""
-    share = lambda mask, want: 100 * F.count_if((F.col("flag").bitwiseAND(F.lit(mask)) != 0) == want) / F.count("*")
-    return reads.groupBy("rg").agg(F.count("*").alias("n"), share(4, False).alias("pct_mapped"), share(2, True).alias("pct_proper"), share(1024, True).alias("pct_dup"))
-
-
-def usage_rollup(lanes: DataFrame) -> DataFrame:
-    """Bases and lanes by project and status, with totals, and the share of all."""
-    x = lanes.rollup("project", "qc_status").agg(F.sum("raw_bases").alias("bases"), F.count("*").alias("n"))
-    return x.withColumn("share", F.col("bases") / F.max("bases").over(Window.partitionBy()))
+    """Lanes, bases and mean quality (weighted by bases) of each month of run dates and read length, with totals of each month and of all (null)."""
+    x = lanes.withColumn("month", (F.year("run_date") * 100 + F.month("run_date")).cast("long"))
+    quality = F.try_divide(F.sum(F.col("mean_quality") * F.col("raw_bases")), F.sum("raw_bases"))
+    return x.rollup("month", "read_len").agg(F.count("*").alias("n_lanes"), F.sum("raw_bases").alias("bases"), quality.alias("mean_quality"))
+
+
+def finished_samples(lanes: DataFrame, since: Column, bases: int) -> DataFrame:
+    """Samples whose lanes have so many bases now and had not before a date, with both sums; one aggregate gives both."""
+    before = F.sum(F.when(F.col("run_date") < since, F.col("raw_bases")).otherwise(0))
+    return lanes.groupBy("sample").agg(F.sum("raw_bases").alias("bases"), before.alias("before")).where((F.col("bases") >= bases) & (F.col("before") < bases))
+
+
+def auto_qc(stats: DataFrame, limits: dict[str, float], genotypes: list[str]) -> DataFrame:
+    """A row of each test of each lane (lane_id, test, value, passed; value null where it can't be had, which fails). Tests: empty (sequences), genotype (status
+    among those given), mapped (% of bases after trimming; at least), error_rate (at most), indel_ratio (insertions by deletions; at most, and some
+    deletions), and of paired lanes peak_amount (% of inserts near the peak; at least) and peak_range (% around it that holds the bulk; at most). Tests
+    of mapping and inserts are left out for empty lanes."""
+    number = lambda c: c.cast("double")
+    some, paired = F.col("sequences") > 0, F.col("is_paired")
+    mapped = F.try_divide(100 * F.col("bases_mapped_cigar"), F.col("total_length") - F.col("bases_trimmed"))
+    ratio = F.try_divide(F.col("insertions"), F.col("deletions"))
+    tests = [
+        ("empty", F.lit(True), number(F.col("sequences")), some), ("genotype", F.lit(True), F.lit(None).cast("double"), F.col("gt_status").isin(genotypes)), ("mapped", some, number(mapped), mapped >= limits["mapped"]),
+        ("error_rate", F.lit(True), number(F.col("error_rate")), F.col("error_rate") <= limits["error_rate"]), ("indel_ratio", F.lit(True), number(ratio), ratio <= limits["indel_ratio"]),
+        ("peak_amount", some & paired, number(F.col("peak_amount")), F.col("peak_amount") >= limits["peak_amount"]), ("peak_range", some & paired, number(F.col("peak_range")), F.col("peak_range") <= limits["peak_range"]),
+    ]
+    rows = F.array(*(F.when(applies, F.struct(F.lit(name).alias("test"), value.alias("value"), F.coalesce(passed, F.lit(False)).alias("passed"))) for name, applies, value, passed in tests))
+    return stats.select("lane_id", F.explode(F.array_compact(rows)).alias("t")).select("lane_id", "t.*")
+
+
+def qc_verdict(tests: DataFrame) -> DataFrame:
+    """Each lane's verdict, that all tests pass but those of inserts, and that of its library, which those decide (null without such tests)."""
+    insert = F.col("test").isin("peak_amount", "peak_range")
+    return tests.groupBy("lane_id").agg(F.coalesce(F.bool_and(F.when(~insert, F.col("passed"))), F.lit(True)).alias("lane_passed"), F.bool_and(F.when(insert, F.col("passed"))).alias("library_passed"))
+
+
+def mapping_report(reads: DataFrame, genome_size: int, qc: Column | None = None) -> DataFrame:
+    """Percentages of mapped, proper and duplicate reads and of mapped bases of each read group, its error rate, depths with and without duplicates, and share
+    of the genome's bases; rows where `qc` holds come from a part of the reads, so their depths are null."""
+    bit = lambda mask: F.col("flag").bitwiseAND(F.lit(mask)) != 0
+    share = lambda c: 100 * F.count_if(c) / F.count("*")
+    bases = lambda c: F.sum(F.when(c, F.col("seq_len")).otherwise(0))
+    out = reads.groupBy("rg").agg(
+        F.count("*").alias("n"), share(~bit(4)).alias("pct_mapped"), share(bit(2)).alias("pct_proper"), share(bit(1024)).alias("pct_dup"), (100 * bases(~bit(4)) / F.sum("seq_len")).alias("pct_bases_mapped"),
+        F.try_divide(F.sum(F.when(~bit(4), F.col("nm")).otherwise(0)), bases(~bit(4))).alias("error_rate"), (bases(~bit(4)) / genome_size).alias("depth"), (bases(~bit(4) & ~bit(1024)) / genome_size).alias("rmdup_depth"),
+    )
+    part = F.coalesce(qc, F.lit(False)) if qc is not None else F.lit(False)
+    return out.withColumns({"row_type": F.when(part, "QC").otherwise("Mapping"), **{c: F.when(~part, F.col(c)) for c in ("depth", "rmdup_depth")}})
+
+
+def usage_rollup(files: DataFrame, levels: list[str], size: str, limits: DataFrame | None = None) -> DataFrame:
+    """Size and number by levels (root, type), with totals, the share of all and, given limits (first level, limit), the percentage of these; largest first."""
+    x = files.rollup(*levels).agg(F.sum(size).alias("bytes"), F.count("*").alias("n"))
+    x = x.withColumn("share", F.col("bytes") / F.max("bytes").over(Window.partitionBy()))  # a row for each group
+    if limits is not None:
+        x = x.join(F.broadcast(limits.select(levels[0], "limit")), levels[0], "left").withColumn("pct_of_limit", F.try_divide(100 * F.col("bytes"), F.col("limit"))).drop("limit")
+    return x.orderBy(F.desc("bytes"))
 
 
 def most_common_value(df: DataFrame, key: str, field: str) -> DataFrame:
@@ -68,10 +116,21 @@ def most_common_value(df: DataFrame, key: str, field: str) -> DataFrame:
     return counts.join(top, [key, "n"]).groupBy(key, "n").agg(F.min(field).alias(field))
 
 
-def release_selection(lanes: DataFrame) -> DataFrame:
-    """Passed lanes of samples none of whose lanes failed."""
-    bad = lanes.where("qc_status = 'failed'").select("project", "sample").distinct()
-    return lanes.where("qc_status = 'passed'").join(bad, ["project", "sample"], "left_anti")
+def common_values(df: DataFrame, key: str, field: str, k: int = 100) -> DataFrame:
+    """A47, list form: the k most frequent distinct values of each key, with their counts and places, most frequent first and the smallest first on ties."""
+    counts = df.groupBy(key, field).agg(F.count("*").alias("n"))
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), field))).where(F.col("place") <= k)
+
+
+def release_selection(lanes: DataFrame, conditions: dict[str, Column], strict: bool = False) -> DataFrame:
+    """Lanes for which all conditions hold (mapped, improved, genotype and so on) and whose QC passed: by hand (manual_qc) where that was done, else
+    automatically (auto_qc). With `strict`, a sample one of whose lanes fails is left out as a whole; that is one aggregate by sample, joined back."""
+    ok = F.coalesce(F.col("manual_qc") == "passed", F.col("auto_qc") == "passed", F.lit(False))
+    for c in conditions.values():
+        ok = ok & F.coalesce(c, F.lit(False))
+    x = lanes.withColumn("_ok", ok)
+    good = x.where("_ok").drop("_ok")
+    return good.join(x.where("NOT _ok").select("project", "sample").distinct(), ["project", "sample"], "left_anti") if strict else good
 
 
 def paths(lanes: DataFrame) -> DataFrame:
@@ -86,6 +145,15 @@ def descendants(lanes: DataFrame, project: str) -> DataFrame:
     return mine.select(F.explode(levels).alias("x")).select("x.*").distinct()
 
 
+def cascade_delete(tables: dict[str, DataFrame], keys: dict[str, str], gone: DataFrame) -> dict[str, DataFrame]:
+    """M6: tables of several levels without the rows whose key (by level) is among the deleted ones (level, id, as descendants() gives them)."""
+    left = {}
+    for level, table in tables.items():
+        ids = gone.where(F.col("level") == level).select(F.col("id").alias("_id"))
+        left[level] = table.join(ids, F.col(keys[level]).cast("string") == F.col("_id"), "left_anti")
+    return left
+
+
 def sync_tables(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Keys to insert (only in source) and to delete (only in target)."""
     s, t = source.select(key).distinct(), target.select(key).distinct()
@@ -133,15 +201,21 @@ def distinct_ids(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def pending(hist: DataFrame, states: list[str]) -> DataFrame:
-    """Rows in given states, by state."""
-    return hist.where(F.col("state").isin(states)).groupBy("state").agg(F.count("*").alias("n"))
+def pending(requests: DataFrame, states: list[str], *by: str) -> DataFrame:
+    """Requests in given states, by state and further columns such as type and study."""
+    return requests.where(F.col("state").isin(states)).groupBy("state", *by).agg(F.count("*").alias("n"))
 
 
-def runtime_stats(hist: DataFrame) -> DataFrame:
-    """Least, largest and mean value by state, of each object's newest row only."""
-    last = hist.groupBy("obj_id").agg(F.max(F.struct("changed", "row_id", "state", "value")).alias("v")).select("v.*")
-    return last.groupBy("state").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"), F.avg("value").alias("mean"))
+def runtime_stats(logs: DataFrame, *by: str) -> DataFrame:
+    """Of each job's last attempt (job, attempt, host, started, wall, cpu, memory): jobs, least, largest and mean memory, wall and CPU seconds and idle factor (CPU by
+    wall seconds, each at least 1), the span from the first start to the last end in seconds, and hosts; in all, or by columns."""
+    rest = [c for c in logs.columns if c not in ("job", "attempt")]
+    last = logs.groupBy("job").agg(F.max_by(F.struct(*rest), F.struct("attempt", "started")).alias("v")).select("v.*")
+    x = last.withColumns({"idle": F.greatest(F.col("cpu"), F.lit(1)) / F.greatest(F.col("wall"), F.lit(1)), "_begin": F.unix_seconds(F.col("started").cast("timestamp"))})
+    made = [F.count("*").alias("jobs"), (F.max(F.col("_begin") + F.col("wall")) - F.min("_begin")).alias("span"), F.count_distinct("host").alias("hosts")]
+    for c in ("memory", "wall", "cpu", "idle"):
+        made += [F.min(c).alias(f"least_{c}"), F.max(c).alias(f"most_{c}"), F.avg(c).alias(f"mean_{c}")]
+    return x.groupBy(*by).agg(*made) if by else x.agg(*made)
 
 
 def merge_reports(reports: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -152,8 +226,28 @@ def merge_reports(reports: list[DataFrame], keys: list[str]) -> DataFrame:
     return out.groupBy(*keys).agg(F.sum("n").alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
-def sample_names(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFrame:
-    """Distinct names along the hierarchy, N/A where there is none below."""
-    used = customer.select("c_nationkey").distinct()
-    x = region.join(nation, F.col("r_regionkey") == F.col("n_regionkey"), "left").join(used, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    return x.select("r_name", F.coalesce("n_name", F.lit("N/A")).alias("n_name"), F.coalesce(F.col("c_nationkey").cast("string"), F.lit("N/A")).alias("used")).distinct()
+def merge_percentages(reports: list[tuple[DataFrame, int]], keys: list[str], value: str) -> DataFrame:
+    """Percentages of several reports by key, weighted by the reports' totals; a key that a report lacks counts as 0 there."""
+    total = sum(n for _, n in reports)
+    parts = [r.select(*keys, (F.col(value) * n).alias("_v")) for r, n in reports]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(*keys).agg((F.sum("_v") / total).alias(value))
+
+
+def merged_averages(reports: list[DataFrame], bin_col: str = "bin", n: str = "n") -> DataFrame:
+    """Total, mean and population sd recomputed from histograms (of lengths, qualities, inserts) added up."""
+    x = merge_reports([r.select(F.col(bin_col).alias("bin"), F.col(n).alias("n")) for r in reports], ["bin"])
+    mean = F.sum(F.col("bin") * F.col("n")) / F.sum("n")
+    return x.agg(F.sum("n").alias("total"), mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.sum(F.col("bin") ** 2 * F.col("n")) / F.sum("n") - mean * mean)).alias("sd"))
+
+
+def rebin(hist: DataFrame, size: int, bin_col: str = "bin", n: str = "n") -> DataFrame:
+    """A histogram (of coverage) in bins of another size, each named by its lowest value."""
+    return hist.groupBy((F.floor(F.col(bin_col) / size) * size).cast("long").alias(bin_col)).agg(F.sum(n).alias(n))
+
+
+def sample_names(df: DataFrame, names: list[str]) -> DataFrame:
+    """Distinct combinations of names (supplier, sample, accession), N/A where one is missing."""
+    return df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) for c in names)).distinct()
