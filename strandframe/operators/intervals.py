@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..plans.prefix import running
+from ..plans.prefix import neighbour, running
 from ..plans.ranges import BIN, overlap_join
 
 
@@ -23,8 +22,8 @@ def merge_intervals(iv: DataFrame, expand: int = 0) -> DataFrame:
 def complement_intervals(features: DataFrame, lengths: DataFrame, margin: int = 50, min_size: int = 10) -> DataFrame:
     """What lies between merged features, `margin` away from each; kept if larger than min_size. lengths(chrom, length) gives the tail."""
     merged = merge_intervals(features)
-    by_start = Window.partitionBy("chrom").orderBy("start_pos")
-    inner = merged.select("chrom", (F.coalesce(F.lag("end_pos").over(by_start) + margin, F.lit(0)) + 1).alias("s"), (F.col("start_pos") - margin - 1).alias("e"))
+    behind = neighbour(merged, ["chrom"], "start_pos", ["start_pos"], F.col("end_pos"), "last_end")
+    inner = behind.select("chrom", (F.coalesce(F.col("last_end") + margin, F.lit(0)) + 1).alias("s"), (F.col("start_pos") - margin - 1).alias("e"))
     last = merged.groupBy("chrom").agg(F.max("end_pos").alias("last_end"))
     tail = lengths.join(last, "chrom", "left").select("chrom", (F.coalesce(F.col("last_end") + margin, F.lit(0)) + 1).alias("s"), F.col("length").alias("e"))
     both = inner.union(tail).where(F.col("e") - F.col("s") + 1 > min_size)
@@ -39,7 +38,8 @@ def mask_from_sites(sites: DataFrame, size: int) -> DataFrame:
 def disjoin(segments: DataFrame) -> DataFrame:
     """I4: all pieces between breakpoints of a chromosome that some segment covers, with how many cover each."""
     points = segments.select("chrom", F.col("start_pos").alias("p")).union(segments.select("chrom", (F.col("end_pos") + 1).alias("p"))).distinct()
-    pieces = points.withColumn("end_pos", F.lead("p").over(Window.partitionBy("chrom").orderBy("p")) - 1).where("end_pos IS NOT NULL").select("chrom", F.col("p").alias("start_pos"), "end_pos")
+    ahead = neighbour(points, ["chrom"], "p", ["p"], F.col("p"), "next", ahead=True)
+    pieces = ahead.where("next IS NOT NULL").select("chrom", F.col("p").alias("start_pos"), (F.col("next") - 1).alias("end_pos"))
     other = segments.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"))
     return overlap_join(pieces, other).groupBy("chrom", "start_pos", "end_pos").agg(F.count("*").alias("n"))
 

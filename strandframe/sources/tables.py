@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .text import numbered_lines
+
 # Columns of a sequence index in order, of which the last one may be absent.
 INDEX_COLUMNS = (
     "fastq_file md5 run_id study_id study_name center_name submission_id submission_date sample_id sample_name population experiment_id instrument_platform "
@@ -29,7 +31,7 @@ def _at(k: int) -> Column:
 def read_ped_map(spark: SparkSession, ped: str, sites: str) -> tuple[DataFrame, DataFrame]:
     """Genotypes (chrom, pos, sample, gt) and alleles of each site, from a file of samples (six columns, then two letters a site) and one of sites (chrom, id,
     distance, pos) in the same order. A missing letter, 0, is N. Sites are numbered by their line; a file of sites is one table of a fixed panel."""
-    place = spark.read.text(sites).where(F.col("value") != "").rdd.map(lambda r: r[0]).zipWithIndex().toDF("value string, k long")
+    place = numbered_lines(spark, sites).where(F.col("value") != "").withColumnRenamed("n", "k")
     f = F.split("value", "\\s+")
     panel = place.select("k", F.get(f, F.lit(0)).alias("chrom"), F.get(f, F.lit(3)).cast("long").alias("pos"))
     rows = _split(spark, ped, "\\s+")

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..plans.prefix import running
+
+#: Lines in a block, the unit in which values run along a file.
+LINES = 1 << 16
 
 
 def _fields(lines: DataFrame) -> DataFrame:
@@ -26,24 +34,50 @@ def _info_map(c: Column) -> Column:
     return F.map_from_arrays(firsts, F.transform(firsts, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), 1)["v"]))
 
 
-def vcf_samples(spark: SparkSession, path: str) -> list[str]:
-    """Sample names, from the one line that begins with #CHROM in the first file that has it."""
-    head = spark.read.text(path).where(F.col("value").startswith("#CHROM")).first()
-    return head["value"].split("\t")[9:] if head else []
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, n and value of each line, n from 0 within its file. A file's splits are counted where they lie, and lines numbered from their splits' sums: no row goes
+    through Python or another task."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_id"))
+    sums = lines.groupBy("file", "_split").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))  # ids rise within a split
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select("file", "_split", "_first", before.alias("_before"))
+    return lines.join(starts, ["file", "_split"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("n"), "value")
+
+
+def vcf_samples(spark: SparkSession, path: str) -> DataFrame:
+    """file and samples: the sample names of each file, from its line that begins with #CHROM."""
+    head = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.col("value").startswith("#CHROM"))
+    fields = F.split("value", "\t")
+    return head.select("file", F.slice(fields, 10, F.greatest(F.size(fields) - 9, F.lit(0))).alias("samples"))
 
 
-def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def vcf_header(spark: SparkSession, path: str) -> DataFrame:
+    """The header lines (file, key, attributes) of each file: of ##KEY=<ID=..,..> a map of its attributes, of ##KEY=text a map of the text under value."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.col("value").startswith("##"))
+    text = F.regexp_extract("value", "^##[^=]*=(.*)$", 1)
+    found = F.regexp_extract_all(F.regexp_extract(text, "^<(.*)>$", 1), F.lit('([A-Za-z0-9_]+=(?:"[^"]*"|[^,]*))'), F.lit(1))
+    pairs = F.transform(found, lambda x: F.struct(F.substring_index(x, "=", 1).alias("k"), F.regexp_replace(F.substring(x, F.length(F.substring_index(x, "=", 1)) + 2, F.length(x)), '^"|"$', "").alias("v")))
+    return lines.select("file", F.regexp_extract("value", "^##([^=]*)", 1).alias("key"), F.when(text.startswith("<"), F.map_from_entries(pairs)).otherwise(F.create_map(F.lit("value"), text)).alias("attributes"))
+
+
+def read_vcf(spark: SparkSession, path: str, regions: list[tuple[str, int | None, int | None]] | None = None, samples: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Variants (chrom, pos, id, ref, alt array, qual, filter array, info map) and genotypes, one row of each variant and sample with
-    a map of FORMAT tags. Header lines and empty lines go; gzip is told by the file's ending."""
-    f = _fields(spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != "")))
-    key = [_field(0).alias("chrom"), _field(1).cast("long").alias("pos"), _or_null(_field(2)).alias("id"), _field(3).alias("ref"), F.when(_field(4) != ".", F.split(_field(4), ",")).alias("alt")]
+    a map of FORMAT tags. Header lines and empty lines go; gzip is told by the file's ending. Each file's own header names its samples. Only
+    variants in one of the regions (chrom, from, to; None is open) and genotypes of the given samples are read, if there are any."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    f = lines.select(F.split("value", "\t").alias("f"), "file")
+    pos = _field(1).cast("long")
+    if regions is not None:
+        within = [(_field(0) == c) & ((pos >= a) if a is not None else F.lit(True)) & ((pos <= b) if b is not None else F.lit(True)) for c, a, b in regions]
+        f = f.where(reduce(lambda x, y: x | y, within, F.lit(False)))
+    key = [_field(0).alias("chrom"), pos.alias("pos"), _or_null(_field(2)).alias("id"), _field(3).alias("ref"), F.when(_field(4) != ".", F.split(_field(4), ",")).alias("alt")]
     variants = f.select(*key, _or_null(_field(5)).cast("double").alias("qual"), F.when(_field(6) != ".", F.split(_field(6), ";")).alias("filter"), _info_map(_field(7)).alias("info"))
-    samples = vcf_samples(spark, path)
-    names = F.array(*map(F.lit, samples)) if samples else F.array().cast("array<string>")
-    long = f.where(F.size("f") > 9).select(*key, F.split(_field(8), ":").alias("tags"), F.posexplode(F.slice("f", 10, F.size("f"))).alias("k", "cell"))
+    cells = f.where(F.size("f") > 9).select("file", *key, F.split(_field(8), ":").alias("tags"), F.posexplode(F.slice("f", 10, F.size("f"))).alias("k", "cell"))
+    long = cells.join(vcf_samples(spark, path), "file").withColumn("sample", F.get("samples", F.col("k")))
+    long = long.where(F.col("sample").isin(samples)) if samples is not None else long
     values = F.split("cell", ":")
     fields = F.map_from_arrays(F.slice("tags", 1, F.least(F.size("tags"), F.size(values))), F.slice(values, 1, F.least(F.size("tags"), F.size(values))))
-    return variants, long.select("chrom", "pos", "ref", "alt", F.get(names, F.col("k")).alias("sample"), fields.alias("fields")).withColumn("gt", F.col("fields")["GT"])
+    return variants, long.select("chrom", "pos", "ref", "alt", "sample", fields.alias("fields")).withColumn("gt", F.col("fields")["GT"])
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
@@ -56,24 +90,41 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     return f.select(*(_field(k).cast(kinds.get(n, "string")).alias(n) for k, n in enumerate(names)), tags.alias("tags"))
 
 
+def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
+    """The header's lines (file, kind such as SQ or RG, map of tags)."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.col("value").rlike("^@[A-Z][A-Z](\t|$)"))
+    tags = F.filter(F.split("value", "\t"), lambda x: x.rlike("^[A-Za-z][A-Za-z0-9]:"))
+    entries = F.transform(tags, lambda x: F.struct(F.substring(x, 1, 2), F.substring(x, F.lit(4), F.length(x))))
+    return lines.select("file", F.substring("value", 2, 2).alias("kind"), F.map_from_entries(entries).alias("tags"))
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """S3: rec_no, name, seq, qual. Lines are numbered across the file, as a quality may begin with @; an incomplete or ill-formed
+    """S3: file, rec_no, name, seq, qual. Lines are numbered within each file, as a quality may begin with @; an incomplete or ill-formed
     record raises an error when the table is computed."""
-    lines = spark.read.text(path).rdd.map(lambda r: r[0]).zipWithIndex().toDF("value string, n long")
+    lines = numbered_lines(spark, path)
     part = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
-    rows = lines.groupBy(F.floor(F.col("n") / 4).alias("rec_no")).agg(part(0).alias("name"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
+    rows = lines.groupBy("file", F.floor(F.col("n") / 4).alias("rec_no")).agg(part(0).alias("name"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
     good = F.coalesce(F.col("name").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual")), F.lit(False))
     checked = F.when(good, F.col("seq")).otherwise(F.raise_error(F.concat(F.lit("broken record "), F.col("rec_no").cast("string"))))
-    return rows.select("rec_no", F.substring_index(F.substring("name", 2, 1 << 30), " ", 1).alias("name"), checked.alias("seq"), "qual")
+    return rows.select("file", "rec_no", F.substring_index(F.substring("name", 2, 1 << 30), " ", 1).alias("name"), checked.alias("seq"), "qual")
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = 10_000) -> DataFrame:
-    """Chrom, chunk_no, seq: each contig in chunks of a fixed size."""
-    entry = spark.read.option("lineSep", ">").text(path).where(F.length("value") > 0)
-    seq = F.regexp_replace(F.regexp_replace("value", "^[^\\n]*\\n?", ""), "\\s", "")
-    named = entry.select(F.regexp_extract("value", "^(\\S+)", 1).alias("chrom"), seq.alias("whole"))
-    last = F.greatest(F.lit(0), F.ceil(F.length("whole") / chunk) - 1).cast("int")
-    return named.select("chrom", "whole", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no")).select("chrom", "chunk_no", F.substring(F.col("whole"), F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("seq"))
+    """Chrom, chunk_no, seq: each contig in chunks of a fixed size. Lines are told their contig and place by running values over blocks of lines, and each
+    gives its pieces to the chunks that it touches: no contig is in one row or task. A contig without letters has one empty chunk."""
+    lines = numbered_lines(spark, path).withColumn("head", F.col("value").startswith(">"))
+    sized = lines.withColumn("seq", F.when(F.col("head"), "").otherwise(F.regexp_replace("value", "\\s", "")))
+    run = running(sized, ["file"], "n", ["n"], F.length("seq").cast("long"), "_cum", "sum", inclusive=False, block=LINES)
+    run = run.withColumn("_cum", F.coalesce("_cum", F.lit(0)))
+    header = F.when(F.col("head"), F.struct("n", F.regexp_extract("value", "^>\\s*(\\S*)", 1).alias("chrom"), "_cum"))
+    placed = running(run, ["file"], "n", ["n"], header, "_of", "max", block=LINES).where("_of IS NOT NULL")
+    at = placed.select(F.col("_of.chrom").alias("chrom"), (F.col("_cum") - F.col("_of._cum")).alias("at"), "seq").where((F.length("seq") > 0) | (F.col("at") == 0))
+    touched = at.withColumn("chunk_no", F.explode(F.sequence(F.floor(F.col("at") / chunk), F.floor((F.col("at") + F.greatest(F.length("seq") - 1, F.lit(0))) / chunk))))
+    begin = F.greatest(F.lit(0), F.col("chunk_no") * chunk - F.col("at"))
+    piece = F.substring(F.col("seq"), (begin + 1).cast("int"), (F.least(F.length("seq").cast("long"), (F.col("chunk_no") + 1) * chunk - F.col("at")) - begin).cast("int"))
+    parts = touched.select("chrom", F.col("chunk_no").cast("int").alias("chunk_no"), F.struct("at", piece.alias("piece")).alias("p"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["piece"]), "")
+    return parts.groupBy("chrom", "chunk_no").agg(joined.alias("seq"))
 
 
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
