@@ -17,13 +17,12 @@ def block_of(pos: Column, size: int = BLOCK) -> Column:
 def running(df: DataFrame, keys: list[str], pos: str, order: list, value: Column, name: str, how: str, inclusive: bool = True, block: int = BLOCK) -> DataFrame:
     """Adds `name`: the running sum, max, min or count of `value` over rows of equal keys in `order` (which begins with pos).
 
-    Values run within blocks of positions; the blocks' totals, few, run along the keys, and the two are put together. Rows are dealt to blocks by one
-    exchange, which blocks' totals and the join reuse. Without `inclusive`, the row itself doesn't count. Rows that tie in `order` are taken one after
-    another, so order should be total.
+    Values run within blocks of positions; the blocks' totals, few, are added up before rows meet, run along the keys, and the two are put together. Without
+    `inclusive`, the row itself doesn't count. Rows that tie in `order` are taken one after another, so order should be total.
     """
     add = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[how]
     both = {"sum": lambda a, b: F.coalesce(a + b, a, b), "count": lambda a, b: F.coalesce(a + b, a, b), "max": lambda a, b: F.greatest(a, b), "min": lambda a, b: F.least(a, b)}[how]
-    marked = df.withColumns({"_block": block_of(F.col(pos), block), "_value": value}).repartition(*keys, "_block")
+    marked = df.withColumns({"_block": block_of(F.col(pos), block), "_value": value})
     inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     along = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum if how == "count" else add
@@ -34,7 +33,7 @@ def running(df: DataFrame, keys: list[str], pos: str, order: list, value: Column
 def neighbour(df: DataFrame, keys: list[str], pos: str, order: list, value: Column, name: str, ahead: bool = False, block: int = BLOCK) -> DataFrame:
     """Adds `name`: the value of the row before (or ahead) in `order` (which begins with pos) among rows of equal keys; null for the first (last). Rows look within
     their block; a block's outermost row takes it from the nearest block that has any, of which there is one row each. Values must not be null."""
-    marked = df.withColumns({"_block": block_of(F.col(pos), block), "_value": value}).repartition(*keys, "_block")
+    marked = df.withColumns({"_block": block_of(F.col(pos), block), "_value": value})
     inside, along = Window.partitionBy(*keys, "_block").orderBy(*order), Window.partitionBy(*keys).orderBy("_block")
     step = F.lead if ahead else F.lag
     key = F.struct(*order)
