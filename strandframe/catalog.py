@@ -362,15 +362,6 @@ def _(v: Views) -> DataFrame:
     return calls.inbreeding(v("br_genotypes"))
 
 
-@query(
-    "C1_sample_contrast",
-    f"""WITH x AS (SELECT site, bool_or(sample = 'S1' AND coalesce(a1 + a2 > 0, false)) AS novel, bool_or(sample <> 'S1' AND coalesce(a1 + a2 > 0, false)) AS known, count(*) FILTER (sample <> 'S1' AND dp >= 5 AND a1 IS NOT NULL) AS nb, min(dp) FILTER (sample <> 'S1') AS md
- FROM br_genotypes WHERE sample IN ('S1', 'S2', 'S3') GROUP BY site) SELECT site, {B("nb")} AS n_background, {B("md")} AS min_background_dp FROM x WHERE novel AND NOT known AND nb >= 1""",
-)
-def _(v: Views) -> DataFrame:
-    return calls.sample_contrast(v("br_genotypes"), "S1", ["S2", "S3"], 5)
-
-
 @query("A48_recurrence", f"SELECT site, {B('count(DISTINCT sample)')} AS n_samples FROM br_genotypes WHERE a1 + a2 > 0 GROUP BY site")
 def _(v: Views) -> DataFrame:
     return calls.recurrence(v("br_genotypes"))

@@ -48,13 +48,6 @@ def _(v: Views) -> DataFrame:
     return reference.interval_gc(iv, _chunks(v), SIZE, "rec_no").select("rec_no", "gc")
 
 
-@query("J6_flanks", f"""WITH {_SITES}, b AS (SELECT s.*, seq, unnest(range(pos - 8, pos + length(ref) + 8)) AS p FROM sites s JOIN br_fastq ON name = chrom),
-c AS (SELECT b.*, CASE WHEN o.pos IS NULL THEN substr(seq, CAST(p AS BIGINT), 1) ELSE 'N' END AS x FROM b LEFT JOIN (SELECT DISTINCT chrom, pos FROM sites) o ON o.chrom = b.chrom AND o.pos = p AND o.pos <> b.pos WHERE p BETWEEN 1 AND length(seq))
-SELECT var_id, concat(string_agg(x, '' ORDER BY p) FILTER (p < pos), '[', ref, '/', alt, ']', string_agg(x, '' ORDER BY p) FILTER (p >= pos + length(ref))) AS flank FROM c GROUP BY var_id, ref, alt""")
-def _(v: Views) -> DataFrame:
-    return reference.flanks(_sites(v), _chunks(v), SIZE, 8, "var_id")
-
-
 @query("A8_gc_depth", f"WITH b AS (SELECT chrom, floor(pos / 200) AS bin, count(*) AS depth, floor(100 * sum(mapq) / sum(seq_len)) AS gc FROM br_reads GROUP BY 1, 2) SELECT {B('gc')} AS gc, {B('count(*)')} AS bins, " + ", ".join(f"round(quantile_cont(depth, {p / 100}), 6) AS p{p}" for p in (10, 25, 50, 75, 90)) + " FROM b GROUP BY gc")
 def _(v: Views) -> DataFrame:
     return reference.gc_depth(v("br_reads").withColumn("gc", F.col("mapq")), 200)
@@ -158,3 +151,23 @@ def _(v: Views) -> DataFrame:
     a = _sites(v).select(F.lit(0).alias("src"), "chrom", "pos", "ref", "alt")
     b = _sites(v).selectExpr("1 AS src", "chrom", "pos", "ref", "CASE WHEN var_id % 5 = 0 THEN 'C' ELSE alt END AS alt")
     return reference.sequence_match(a.union(b), _chunks(v), SIZE, 5)
+
+
+_FLANK = f"""WITH {_SITES}, b AS (SELECT s.*, seq, unnest(range(pos - 8, pos + length(ref) + 8)) AS p FROM sites s JOIN br_fastq ON name = chrom),
+o AS (SELECT DISTINCT chrom, pos FROM sites), c AS (SELECT b.*, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.chrom = b.chrom AND o.pos <> b.pos AND abs(o.pos - p) <= WIDE) THEN 'N' ELSE substr(seq, CAST(p AS BIGINT), 1) END AS x FROM b WHERE p BETWEEN 1 AND length(seq))
+SELECT var_id, concat(string_agg(x, '' ORDER BY p) FILTER (p < pos), '[', ref, '/', alt, ']', string_agg(x, '' ORDER BY p) FILTER (p >= pos + length(ref))) AS flank FROM c GROUP BY var_id, ref, alt"""
+
+
+@query("J6_flanks", _FLANK.replace("WIDE", "0"))
+def _(v: Views) -> DataFrame:
+    return reference.flanks(_sites(v), _chunks(v), SIZE, 8, "var_id")
+
+
+@query("J6_flanks_of_clusters", _FLANK.replace("WIDE", "3"))
+def _(v: Views) -> DataFrame:
+    return reference.flanks(_sites(v), _chunks(v), SIZE, 8, "var_id", 4)
+
+
+@query("J6_fill_ancestral", f"WITH {_SITES}, a AS (SELECT s.var_id, upper(substr(seq, CAST(pos AS BIGINT), 1)) AS b FROM sites s JOIN br_fastq ON name = chrom WHERE length(ref) = 1) SELECT s.var_id, CASE WHEN b IN ('A', 'C', 'G', 'T') THEN b WHEN length(b) > 0 THEN '.' END AS aa FROM sites s LEFT JOIN a USING (var_id)")
+def _(v: Views) -> DataFrame:
+    return reference.fill_ancestral(_sites(v), _chunks(v), SIZE, "var_id").select("var_id", "aa")

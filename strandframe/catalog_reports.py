@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .catalog import _GROUPS, _LATEST, _NOON, B, Views, _when, query
 from .functions import alignments
-from .operators import calls, history, reports, sequences
+from .operators import calls, genotypes, history, records, reports, sequences
+from .streaming import tracking
 
 # Lanes with what else a tracking database has of them.
 _LANES = """fl AS (SELECT *, lane_id % 11 = 0 AS withdrawn, concat('pop', library_id % 4) AS population, concat('i', library_id % 7) AS individual, CAST(36 + lane_id % 3 * 10 AS BIGINT) AS read_len, CAST(lane_id % 40 AS BIGINT) AS mean_quality,
@@ -430,3 +431,48 @@ def _(v: Views) -> DataFrame:
     parts = calls.split_genotype(F.col("gt"))
     total = F.aggregate(parts["alleles"], F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))
     return gt.select("site", "sample", calls.genotype_bases(F.col("gt"), F.lit("AT"), F.array(F.lit("C"))).alias("bases"), parts["phased"].alias("phased"), parts["missing"].alias("missing"), total.alias("total"))
+
+
+_BACKGROUND = """m AS (SELECT site, a1 AS x, a2 AS y FROM br_genotypes WHERE sample = 'S1' AND greatest(coalesce(a1, 0), coalesce(a2, 0)) > 0),
+b AS (SELECT *, dp >= 5 AND a1 IS NOT NULL AS ok FROM br_genotypes JOIN m USING (site) WHERE sample IN ('S2', 'S3'))"""
+_NOVEL = "((x > 0 AND NOT coalesce(bool_or(x > 0 AND (a1 = x OR a2 = x)), false)) OR (y > 0 AND NOT coalesce(bool_or(y > 0 AND (a1 = y OR a2 = y)), false))) AND count(*) FILTER (ok) >= 1"
+
+
+@query(
+    "C1_sample_contrast",
+    f"""WITH {_BACKGROUND} SELECT site, {B("count(*) FILTER (ok)")} AS n_background, {B("min(dp)")} AS min_background_dp,
+ {B("min(least(CAST(a1 <> x AS INTEGER) + CAST(a2 <> y AS INTEGER), CAST(a1 <> y AS INTEGER) + CAST(a2 <> x AS INTEGER))) FILTER (ok)")} AS score FROM b GROUP BY site, x, y HAVING {_NOVEL}""",
+)
+def _(v: Views) -> DataFrame:
+    return calls.sample_contrast(v("br_genotypes"), "S1", ["S2", "S3"], 5)
+
+
+@query(
+    "C1_by_likelihood",
+    f"WITH {_BACKGROUND} SELECT site, {B('count(*) FILTER (ok)')} AS n_background, {B('min(dp)')} AS min_background_dp, {B('min(CASE x + y WHEN 1 THEN dp ELSE dp * 2 END) FILTER (ok)')} AS score FROM b GROUP BY site, x, y HAVING {_NOVEL}",
+)
+def _(v: Views) -> DataFrame:
+    return calls.sample_contrast(v("br_genotypes").withColumn("pl", F.array(F.lit(0), F.col("dp"), F.col("dp") * 2)), "S1", ["S2", "S3"], 5, by_likelihood=True)
+
+
+@query("K5_gen_haps", """WITH f AS (SELECT var_id AS site, chrom, pos, ref, alt FROM br_variants WHERE length(ref) = 1 AND length(alt) = 1 AND ref <> alt QUALIFY row_number() OVER (PARTITION BY chrom, pos ORDER BY var_id) = 1),
+g AS (SELECT site, string_agg(CASE a1 + a2 WHEN 0 THEN '1 0 0' WHEN 1 THEN '0 1 0' ELSE '0 0 1' END, ' ' ORDER BY sample) AS gen, string_agg(concat(a1, ' ', a2), ' ' ORDER BY sample) AS hap FROM br_genotypes WHERE sample IN ('S1', 'S3', 'S5') AND a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY site HAVING count(*) = 3 AND sum(a1 + a2) >= 1)
+SELECT 'gen' AS part, concat_ws(' ', chrom, concat(chrom, ':', pos), pos, ref, alt, gen) AS line FROM f JOIN g USING (site) UNION ALL SELECT 'hap', hap FROM f JOIN g USING (site) UNION ALL SELECT 'legend', concat_ws(' ', concat(chrom, ':', pos), pos, ref, alt) FROM f JOIN g USING (site)
+UNION ALL SELECT DISTINCT 'sample', concat_ws(' ', sample, sample, '0') FROM br_genotypes WHERE sample IN ('S1', 'S3', 'S5')""")
+def _(v: Views) -> DataFrame:
+    made = genotypes.gen_haps(v("br_genotypes"), v("br_variants").withColumnRenamed("var_id", "site"), ["S1", "S3", "S5"], 1)
+    parts = [t.select(F.lit(name).alias("part"), "line") for name, t in made.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query("P6_depth_of_strands", "SELECT var_id, CASE WHEN f = '' THEN 'PASS' ELSE f END AS filters FROM (SELECT var_id, concat_ws(';', CASE WHEN qual < 10 THEN 'Qual' END, CASE WHEN (CASE WHEN dp % 2 = 0 THEN dp ELSE dp * 2 + 1 END) < 8 THEN 'MinDP' END, CASE WHEN (CASE WHEN dp % 2 = 0 THEN dp ELSE dp * 2 + 1 END) > 60 THEN 'MaxDP' END) AS f FROM br_variants)")
+def _(v: Views) -> DataFrame:
+    typed = v("br_variants").withColumns({"dp4": F.concat_ws(",", "dp", F.lit(0), "dp", F.lit(1)), "dp": F.when(F.col("dp") % 2 == 0, F.col("dp"))})
+    return records.threshold_filters(typed, {"MinDP": 8, "MaxDP": 60}).select("var_id", "filters")
+
+
+@query("T2_state_changes", f"WITH {_LATEST}, old AS (SELECT obj_id, state FROM br_history WHERE changed < {_NOON} QUALIFY row_number() OVER (PARTITION BY obj_id ORDER BY changed DESC, row_id DESC) = 1), new AS (SELECT obj_id, state FROM br_history WHERE changed >= {_NOON} QUALIFY row_number() OVER (PARTITION BY obj_id ORDER BY changed DESC, row_id DESC) = 1) SELECT obj_id, old.state AS before, new.state AS state FROM new LEFT JOIN old USING (obj_id) WHERE old.state IS DISTINCT FROM new.state")
+def _(v: Views) -> DataFrame:
+    events = v("br_history").withColumn("changed", F.col("changed").cast("timestamp"))
+    noon = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    return tracking.state_changes(events.where(F.col("changed") >= noon), tracking.latest_state(events.where(F.col("changed") < noon))).select("obj_id", "before", "state")

@@ -226,12 +226,28 @@ def best_two(identity: DataFrame) -> DataFrame:
     return identity.where("place <= 2").groupBy("sample").agg(pick(1, "candidate").alias("best"), pick(1, "share").alias("best_share"), pick(2, "candidate").alias("second"), pick(2, "share").alias("second_share"))
 
 
-def sample_contrast(gt: DataFrame, case: str, background: list[str], min_dp: int) -> DataFrame:
-    """Sites where the case has an allele that no background sample has, all of which must be called with min_dp at least."""
-    alt, is_bg = F.col("a1") + F.col("a2") > 0, F.col("sample").isin(background)
-    ok = is_bg & (F.col("dp") >= min_dp) & F.col("a1").isNotNull()
-    x = gt.where(is_bg | (F.col("sample") == case)).groupBy("site").agg(F.max((F.col("sample") == case) & alt).alias("novel"), F.max(is_bg & alt).alias("known"), F.count_if(ok).alias("n_background"), F.min(F.when(is_bg, F.col("dp"))).alias("min_background_dp"))
-    return x.where(F.col("novel") & ~F.coalesce("known", F.lit(False)) & (F.col("n_background") >= 1)).select("site", "n_background", "min_background_dp")
+def sample_contrast(gt: DataFrame, case: str, background: list[str], min_dp: int, by_likelihood: bool = False) -> DataFrame:
+    """Sites where the case has an allele that no background sample has, which must be called with min_dp at least, and a score: the smallest distance of a
+    background sample from the case's genotype. By genotypes it is how many alleles differ (a haploid genotype, a2 null, is one away from any diploid one at least);
+    by_likelihood it is the sample's likelihood score (array pl) of the case's genotype."""
+    own = F.greatest(F.coalesce("a1", F.lit(0)), F.coalesce("a2", F.lit(0)))
+    mine = gt.where(F.col("sample") == case).where(own > 0).select("site", F.col("a1").alias("_x"), F.col("a2").alias("_y"))
+    x = gt.where(F.col("sample").isin(background)).join(mine, "site")
+    ok = (F.col("dp") >= min_dp) & F.col("a1").isNotNull()
+    has = lambda allele: (F.col("a1") == allele) | (F.col("a2") == allele)
+    shares = lambda c: F.coalesce((F.col(c) > 0) & has(F.col(c)), F.lit(False))
+    if by_likelihood:
+        low, high = F.least("_x", F.coalesce("_y", "_x")), F.greatest("_x", F.coalesce("_y", "_x"))
+        distance = F.get("pl", (high * (high + 1) / 2 + low).cast("int"))
+    else:
+        off = lambda a, b: (F.col(a) != F.col(b)).cast("long")
+        same_ploidy = F.col("a2").isNull() == F.col("_y").isNull()
+        paired = F.least(off("a1", "_x") + F.coalesce(off("a2", "_y"), F.lit(0)), F.coalesce(off("a1", "_y") + off("a2", "_x"), F.lit(2)))
+        distance = F.when(same_ploidy, paired).otherwise(1 + F.when(has(F.col("_x")) | F.coalesce(has(F.col("_y")), F.lit(False)), 0).otherwise(1))
+    alleles = {f"_shared{c}": F.max(shares(c)) for c in ("_x", "_y")}
+    made = x.groupBy("site", "_x", "_y").agg(*(c.alias(name) for name, c in alleles.items()), F.count_if(ok).alias("n_background"), F.min("dp").alias("min_background_dp"), F.min(F.when(ok, distance)).alias("score"))
+    novel = ((F.col("_x") > 0) & ~F.col("_shared_x")) | (F.coalesce(F.col("_y") > 0, F.lit(False)) & ~F.col("_shared_y"))
+    return made.where(novel & (F.col("n_background") >= 1)).select("site", "n_background", "min_background_dp", F.col("score").cast("long").alias("score"))
 
 
 def variant_subset(

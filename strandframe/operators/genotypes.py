@@ -172,3 +172,17 @@ def gen_table(gt: DataFrame, sites: DataFrame, samples: list[str], min_ac: int)
     full = first.join(wide.where((F.col("_n") == len(samples)) & (F.col("ac") >= min_ac)), "site")
     join = lambda c: F.concat_ws(" ", *(f"_{c}{i}" for i in range(len(samples))))
     return full.select("site", F.concat_ws(" ", "chrom", "pos", "ref", "alt").alias("legend"), join("g").alias("gen"), join("h").alias("hap"))
+
+
+def gen_haps(gt: DataFrame, sites: DataFrame, samples: list[str], min_count: int = 1) -> dict[str, DataFrame]:
+    """K5: the four tables of an imputation program's input: gen (site's id, pos, alleles and three shares of each sample) and hap (two alleles of each sample), each a text
+    line by site, legend (id, pos, a0, a1) and samples. Sites are those of gen_table."""
+    made = gen_table(gt, sites, samples, min_count)
+    fields = F.split("legend", " ")
+    name = F.concat_ws(":", F.get(fields, F.lit(0)), F.get(fields, F.lit(1)))
+    at = lambda k: F.get(fields, F.lit(k))
+    people = gt.where(F.col("sample").isin(samples)).select("sample").distinct()
+    return {
+        "gen": made.select("site", F.concat_ws(" ", at(0), name, at(1), at(2), at(3), "gen").alias("line")), "hap": made.select("site", F.col("hap").alias("line")),
+        "legend": made.select("site", F.concat_ws(" ", name, at(1), at(2), at(3)).alias("line")), "sample": people.select("sample", F.concat_ws(" ", "sample", "sample", F.lit("0")).alias("line")),
+    }

@@ -36,8 +36,12 @@ THRESHOLDS = {"Qual": 10, "MinDP": 2, "MaxDP": 10000000, "MinMQ": 10, "MinAB": 2
 
 def threshold_filters(df: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
     """Adds `filters`, the names of the fixed annotation filters that a row fails. Needs ref, qual and the typed annotations dp, mq, ab
-    (alternative bases), vdb and pv4 (array of four p-values); those absent from the table are not tested, and null passes. The HWE filters
+    (alternative bases), vdb and pv4 (array of four p-values); those absent from the table are not tested, and null passes. Where dp is missing, dp4 (text of four depths) is summed. The HWE filters
     have no default: HWE (p) and HWE_G3 (hwe_g3), both only where the inbreeding coefficient icf is negative, apply if a limit is given."""
+    if "dp4" in df.columns:  # the depth, where it isn't given, is the sum of the four strand depths
+        parts = F.transform(F.split("dp4", ","), lambda x: x.try_cast("long"))
+        depth = F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a + x)
+        df = df.withColumn("dp", F.coalesce(F.col("dp"), depth) if "dp" in df.columns else depth)
     limit = THRESHOLDS | (limits or {})
     pv4 = ["StrandBias", "BaseQualBias", "MapQualBias", "EndDistBias"]
     least = {"Qual": "qual", "MinDP": "dp", "MinMQ": "mq", "MinAB": "ab", "VDB": "vdb"}

@@ -36,19 +36,31 @@ def interval_gc(iv: DataFrame, chunks: DataFrame, size: int, key: str) -> DataFr
     return slices(iv, chunks, size, key).withColumn("gc", F.floor(100 * count_of(F.col("seq"), "GCgc") / F.length("seq")).cast("long")).drop("seq")
 
 
-def flanks(sites: DataFrame, chunks: DataFrame, size: int, width: int, key: str) -> DataFrame:
-    """`width` bases on either side of a site (chrom, pos, ref, alt) around [REF/ALT], with N where another site lies."""
+def flanks(sites: DataFrame, chunks: DataFrame, size: int, width: int, key: str, cluster: int = 0) -> DataFrame:
+    """`width` bases on either side of a site (chrom, pos, ref, alt) around [REF/ALT], with N where another site lies; with `cluster`, also on all bases closer than
+    that to another site."""
     spans = sites.withColumns({"start_pos": F.col("pos") - width, "end_pos": F.col("pos") + F.length("ref") - 1 + width})
-    near = overlap_join(spans.select(key, "chrom", "pos", "start_pos", "end_pos"), sites.select("chrom", F.col("pos").alias("r_start"), F.col("pos").alias("r_end")).distinct()).where("r_start <> pos")
-    masks = near.groupBy(key).agg(F.collect_set("r_start").alias("_masks"))
+    wide = max(0, cluster - 1)
+    others = sites.select("chrom", F.col("pos").alias("_at"), (F.col("pos") - wide).alias("r_start"), (F.col("pos") + wide).alias("r_end")).distinct()
+    near = overlap_join(spans.select(key, "chrom", "pos", "start_pos", "end_pos"), others).where("_at <> pos")
+    masks = near.groupBy(key).agg(F.collect_set("_at").alias("_masks"))
     got = slices(spans, chunks, size, key).join(masks, key, "left")
     base = F.greatest(F.col("start_pos"), F.lit(1))
-    letters = F.transform(F.split("seq", ""), lambda c, i: F.when(F.array_contains(F.coalesce("_masks", F.array().cast("array<long>")), base + i), "N").otherwise(c))
+    hidden = lambda i: F.exists(F.coalesce("_masks", F.array().cast("array<long>")), lambda m: F.abs(m - base - i) <= wide)
+    letters = F.transform(F.split("seq", ""), lambda c, i: F.when(hidden(i), "N").otherwise(c))
     before = (F.col("pos") - base).cast("int")
     text = F.concat(F.array_join(F.slice(letters, F.lit(1), before), ""), F.lit("["), "ref", F.lit("/"), "alt", F.lit("]"), F.array_join(F.slice(letters, before + F.length("ref") + 1, F.lit(width)), ""))
     return got.select(key, F.when(F.col("seq").isNotNull(), text).alias("flank"))
 
 
+def fill_ancestral(sites: DataFrame, chunks: DataFrame, size: int, key: str) -> DataFrame:
+    """Adds aa, the ancestral reference's base at each site of single bases, in upper case; a dot where that reference has no base, null for other
+    sites and where the contig ends before."""
+    single = sites.where(F.length("ref") == 1).withColumns({"start_pos": F.col("pos"), "end_pos": F.col("pos")})
+    got = slices(single, chunks, size, key).select(key, F.when(F.upper("seq").isin(*"ACGT"), F.upper("seq")).when(F.length("seq") > 0, ".").alias("aa"))
+    return sites.join(got, key, "left")
+
+
 def gc_depth(reads: DataFrame, bin_size: int) -> DataFrame:
     """Reads (chrom, pos, seq_len, gc bases) in bins of the genome; for each GC percentage, the number of bins and percentiles of their depth in reads."""
     bins = reads.groupBy("chrom", F.floor(F.col("pos") / bin_size).alias("bin")).agg(F.count("*").alias("depth"), F.floor(100 * F.sum("gc") / F.sum("seq_len")).cast("long").alias("gc"))

@@ -21,6 +21,29 @@ def latest_state(events: DataFrame) -> DataFrame:
     return events.groupBy("obj_id").agg(F.max(F.struct("changed", "row_id", "state")).alias("v")).select("obj_id", F.col("v.state").alias("state"), F.col("v.changed").alias("changed"))
 
 
+def state_changes(events: DataFrame, previous: DataFrame) -> DataFrame:
+    """Objects whose newest state among some events differs from the one that they had (obj_id, state, changed), with both; null before the first."""
+    now = latest_state(events)
+    old = previous.select("obj_id", F.col("state").alias("before"), F.col("changed").alias("_old"))
+    joined = now.join(old, "obj_id", "left").where(F.col("_old").isNull() | (F.col("changed") >= F.col("_old")))
+    return joined.where(~F.col("before").eqNullSafe(F.col("state"))).select("obj_id", "before", "state", "changed")
+
+
+def emit_changes(stream: DataFrame, folder: str, checkpoint: str):
+    """A writer of a stream's status changes: each micro-batch is held against the newest states, kept under folder/states by batch, and its changes go to
+    folder/changes. A batch that is run again writes the same, as both are named by its number."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark, schema = batch.sparkSession, "obj_id long, state string, changed timestamp"
+        old = spark.read.schema(schema).parquet(f"{folder}/states/{number - 1}") if number else spark.createDataFrame([], schema)
+        some = batch.select("obj_id", "row_id", "state", "changed")
+        state_changes(some, old).write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
+        every = some.unionByName(old.withColumn("row_id", F.lit(-1).cast("long")))
+        latest_state(every).select(*old.columns).write.mode("overwrite").parquet(f"{folder}/states/{number}")
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
 def activity_sessions(events: DataFrame, gap: str = "1 hour", late: str = "1 day") -> DataFrame:
     """An object's events with gaps of less than `gap` between them are a session."""
     marked = events.withWatermark("changed", late) if events.isStreaming else events

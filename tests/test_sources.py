@@ -92,3 +92,59 @@ def test_streams(spark, tmp_path):
         have = {tuple(r) for r in spark.table(name).collect()}
         want = {tuple(r) for r in op(batch).collect()}
         assert have == want if mode == "complete" else have <= want and have
+
+
+def test_headers_and_round_trip(spark, tmp_path):
+    """Two files with different samples keep their own; a written table reads back whole, header, genotypes and missing values among it."""
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.vcf").write_text(VCF)
+    (folder / "b.vcf").write_text(VCF.replace("\tA\tB\n", "\tB\tC\n").replace("1\t10\t", "2\t10\t").replace("1\t12\t", "2\t12\t"))
+    v, g = text.read_vcf(spark, str(folder))
+    assert sorted((r.chrom, r.pos, r["sample"], r.gt) for r in g.collect()) == sorted([("1", 10, "A", "0/1"), ("1", 10, "B", "./."), ("1", 12, "A", "1/1"), ("1", 12, "B", "0|1"), ("2", 10, "B", "0/1"), ("2", 10, "C", "./."), ("2", 12, "B", "1/1"), ("2", 12, "C", "0|1")])
+    sinks.write_vcf(v, str(tmp_path / "back"), g, ["A", "B", "C"], ["##fileformat=VCFv4.1", '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth, all">'])
+    v2, g2 = text.read_vcf(spark, str(tmp_path / "back"))
+    key = lambda r: str(r.asDict())
+    assert sorted(map(key, v.collect())) == sorted(map(key, v2.collect()))
+    whole = {(r.chrom, r.pos, r["sample"]): r.gt for r in g2.collect() if r.gt not in (None, ".")}
+    assert whole == {(r.chrom, r.pos, r["sample"]): r.gt for r in g.collect()}
+    header = {(r.key, r.attributes.get("ID")): r.attributes for r in text.vcf_header(spark, str(tmp_path / "back")).collect()}
+    assert header["INFO", "DP"]["Description"] == "Depth, all" and header["fileformat", None] == {"value": "VCFv4.1"}
+    some = sinks.vcf_lines(v.withColumn("chrom", F.lit(None).cast("string")).where("pos = 12")).first().value
+    assert some.split("\t")[:5] == [".", "12", ".", "AT", "A"] and len(some.split("\t")) == 8
+
+
+def test_long_files(spark, tmp_path):
+    """Records over several splits and files; contigs over blocks of lines."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        for k in range(3):
+            (tmp_path / f"{k}.fq").write_text("".join(f"@q{k}_{i}\nAC{'G' * (i % 50)}\n+\n@@{'@' * (i % 50)}\n" for i in range(300)))
+        found = text.read_fastq(spark, str(tmp_path / "*.fq")).collect()
+        assert len(found) == 900 and {(r.name, len(r.seq)) for r in found} == {(f"q{k}_{i}", 2 + i % 50) for k in range(3) for i in range(300)}
+        seqs = {f"c{k}": "".join("ACGT"[(i * i + k) % 4] for i in range(k * 3000)) for k in range(4)}
+        (tmp_path / "a.fa").write_text("".join(f">{n} x\n" + "".join(s[i : i + 61] + "\n" for i in range(0, len(s), 61)) for n, s in seqs.items()))
+        chunks = {}
+        for r in text.read_fasta(spark, str(tmp_path / "a.fa"), 1000).collect():
+            chunks.setdefault(r.chrom, {})[r.chunk_no] = r.seq
+        assert {n: "".join(c[k] for k in sorted(c)) for n, c in chunks.items()} == seqs
+        header = text.read_sam_header(spark, file(tmp_path, "h.sam", "@HD\tVN:1.0\n@RG\tID:a\tSM:s:1\nr\t4\n")).collect()
+        assert {r.kind: r.tags for r in header} == {"HD": {"VN": "1.0"}, "RG": {"ID": "a", "SM": "s:1"}}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_stream_of_changes(spark, tmp_path):
+    """Batches of events give the changes that each brings."""
+    from datetime import datetime
+
+    (tmp_path / "in").mkdir()
+    batches = [[(1, 1, "a", 1), (2, 1, "x", 1)], [(3, 1, "b", 2), (4, 2, "x", 2)], [(5, 1, "b", 3), (6, 3, "n", 3), (7, 2, "old", 0)]]
+    schema = "row_id long, obj_id long, state string, changed timestamp"
+    for k, rows in enumerate(batches):
+        rows = [(i, o, s, datetime(2024, 1, 1 + d)) for i, o, s, d in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = tracking.emit_changes(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = spark.read.schema("obj_id long, before string, state string, changed timestamp").parquet(str(tmp_path / f"out/changes/batch={k}"))
+        assert sorted((r.obj_id, r.before, r.state) for r in found.collect()) == [[(1, None, "x")], [(1, "x", "b"), (2, None, "x")], [(3, None, "n")]][k]
