@@ -7,6 +7,7 @@ import io
 import wave
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -81,28 +82,30 @@ def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     return times[order].astype(np.int32), hashes[order].astype(np.int32)
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], keep: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
-            rows = []
+            rows, kept = [], []
             for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
                 data = (text or "").encode()
                 media = to_wav(to_payload(data))
+                kept.append(media if keep else None)
                 payload = from_wav(media)
                 times, hashes = fingerprint(payload)
                 feature = f"{len(times)}:{hashlib.md5(times.tobytes() + hashes.tobytes()).hexdigest()}"
                 rows.append((doc_id, len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature, times, hashes))
             names = [x.split()[0] for x in SCHEMA.split(", ")]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            columns = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * keep, names + ["media"] * keep)
 
 
-def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_media: bool = False) -> DataFrame:
     """Each text as a WAV of its UTF-8 bytes, read back, with digests of both and its fingerprint.
 
-    pair_times and pair_hashes are the fingerprint's parallel arrays, ordered by time; feature is a digest of them. A null text counts
+    With keep_media, the WAV itself is a column, media. pair_times and pair_hashes are the fingerprint's parallel arrays, ordered by time; feature is a digest of them. A null text counts
     as empty; an empty text gives a payload of 64 zero bytes, which has no peaks. Texts are taken whole, each row by itself: repeated
     rows stay, other columns don't, and a null id stays null. One pass, no shuffle.
     """
-    return docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(_rows, SCHEMA)
+    return docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(partial(_rows, keep=keep_media), SCHEMA + ", media binary" * keep_media)

@@ -198,3 +198,16 @@ def test_bpe_table():
     assert all(codec.encode(w) == library.encode(w, add_special_tokens=False).ids for w in words)
     assert bpe.codec_of(path) is codec and 0 < len(codec.automaton.rows) <= len(codec.automaton.labels)
     assert all(codec.decode(codec.encode(w)) == w for w in words)
+
+
+def test_media_column(spark):
+    """The stored WAV gives the text back, and its digests are the row's."""
+    import hashlib
+
+    rows = [(1, "abc"), (2, None), (3, "é" * 100), (None, "abc")]
+    docs = with_inner(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = media.media_features(docs, keep_media=True).collect()
+    texts = sorted(str(t or "") for _, t in rows)
+    assert sorted(media.from_wav(r.media)[: r.n_bytes].decode() for r in found) == texts
+    assert all(hashlib.sha256(r.media).hexdigest() == r.media_sha256 and len(r.media) == r.media_bytes for r in found)
+    assert "media" not in media.media_features(docs).columns
