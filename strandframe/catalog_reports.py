@@ -198,10 +198,10 @@ def _(v: Views) -> DataFrame:
     return reports.release_selection(*_release(v)).select("lane_id", "sample")
 
 
-@query("C9_strict_selection", f"WITH {_RELEASE} SELECT lane_id, population FROM k WHERE ok AND concat(population, individual, library_id % 13) NOT IN (SELECT concat(population, individual, library_id % 13) FROM k WHERE NOT ok)")
+@query("C9_strict_selection", f"WITH {_RELEASE} SELECT lane_id, population FROM k WHERE ok AND lane_id % 499 NOT IN (SELECT lane_id % 499 FROM k WHERE NOT ok)")
 def _(v: Views) -> DataFrame:
     lanes, conditions = _release(v)
-    groups = lanes.withColumns({"project": F.col("population"), "sample": F.concat("individual", F.col("library_id") % 13)})
+    groups = lanes.withColumns({"project": F.lit("p"), "sample": (F.col("lane_id") % 499).cast("string")})
     return reports.release_selection(groups, conditions, strict=True).select("lane_id", "population")
 
 
@@ -357,7 +357,7 @@ def _(v: Views) -> DataFrame:
 @query("X9_trimmed_bases", "SELECT read_id, CAST(CASE WHEN seq_len < 35 THEN 0 ELSE least(greatest(0, mapq), seq_len - 35) END AS BIGINT) AS trimmed FROM br_reads")
 def _(v: Views) -> DataFrame:
     quals = F.transform(F.sequence(F.lit(1).cast("long"), F.col("seq_len")), lambda i: F.when(i > F.col("seq_len") - F.col("mapq"), 2).otherwise(40))
-    return v("br_reads").select("read_id", sequences.trimmed_bases(quals, 20).cast("long").alias("trimmed"))
+    return v("br_reads").withColumn("quals", quals).repartition("read_id").select("read_id", sequences.trimmed_bases(F.col("quals"), 20).cast("long").alias("trimmed"))
 
 
 @query("X7_compose_flag", "SELECT read_id, CAST(CASE WHEN pos % 3 = 0 THEN 0 ELSE 1 + CASE WHEN flag & 6 = 2 THEN 2 ELSE 0 END + CASE WHEN pos % 5 = 0 THEN 32 ELSE 0 END + (flag & 192) END + (flag & 4) + (flag & 16) + (flag & 1024) AS BIGINT) AS flag FROM br_reads")
@@ -433,18 +433,23 @@ def _(v: Views) -> DataFrame:
     return gt.select("site", "sample", calls.genotype_bases(F.col("gt"), F.lit("AT"), F.array(F.lit("C"))).alias("bases"), parts["phased"].alias("phased"), parts["missing"].alias("missing"), total.alias("total"))
 
 
-_BACKGROUND = """m AS (SELECT site, a1 AS x, a2 AS y FROM br_genotypes WHERE sample = 'S1' AND greatest(coalesce(a1, 0), coalesce(a2, 0)) > 0),
-b AS (SELECT *, dp >= 5 AND a1 IS NOT NULL AS ok FROM br_genotypes JOIN m USING (site) WHERE sample IN ('S2', 'S3'))"""
+_BACKGROUND = """g AS (SELECT * REPLACE (CASE WHEN sample = 'S1' THEN 1 - a1 ELSE a1 END AS a1) FROM br_genotypes), m AS (SELECT site, a1 AS x, a2 AS y FROM g WHERE sample = 'S1' AND greatest(coalesce(a1, 0), coalesce(a2, 0)) > 0),
+b AS (SELECT *, dp >= 5 AND a1 IS NOT NULL AS ok FROM g JOIN m USING (site) WHERE sample IN ('S2', 'S3'))"""
 _NOVEL = "((x > 0 AND NOT coalesce(bool_or(x > 0 AND (a1 = x OR a2 = x)), false)) OR (y > 0 AND NOT coalesce(bool_or(y > 0 AND (a1 = y OR a2 = y)), false))) AND count(*) FILTER (ok) >= 1"
 
 
+def _unlike(v: Views) -> DataFrame:
+    """Genotypes of which S1's first allele is turned, as those of a site are alike."""
+    return v("br_genotypes").withColumn("a1", F.when(F.col("sample") == "S1", 1 - F.col("a1")).otherwise(F.col("a1")))
+
+
 @query(
     "C1_sample_contrast",
     f"""WITH {_BACKGROUND} SELECT site, {B("count(*) FILTER (ok)")} AS n_background, {B("min(dp)")} AS min_background_dp,
  {B("min(least(CAST(a1 <> x AS INTEGER) + CAST(a2 <> y AS INTEGER), CAST(a1 <> y AS INTEGER) + CAST(a2 <> x AS INTEGER))) FILTER (ok)")} AS score FROM b GROUP BY site, x, y HAVING {_NOVEL}""",
 )
 def _(v: Views) -> DataFrame:
-    return calls.sample_contrast(v("br_genotypes"), "S1", ["S2", "S3"], 5)
+    return calls.sample_contrast(_unlike(v), "S1", ["S2", "S3"], 5)
 
 
 @query(
@@ -452,7 +457,7 @@ def _(v: Views) -> DataFrame:
     f"WITH {_BACKGROUND} SELECT site, {B('count(*) FILTER (ok)')} AS n_background, {B('min(dp)')} AS min_background_dp, {B('min(CASE x + y WHEN 1 THEN dp ELSE dp * 2 END) FILTER (ok)')} AS score FROM b GROUP BY site, x, y HAVING {_NOVEL}",
 )
 def _(v: Views) -> DataFrame:
-    return calls.sample_contrast(v("br_genotypes").withColumn("pl", F.array(F.lit(0), F.col("dp"), F.col("dp") * 2)), "S1", ["S2", "S3"], 5, by_likelihood=True)
+    return calls.sample_contrast(_unlike(v).withColumn("pl", F.array(F.lit(0), F.col("dp"), F.col("dp") * 2)), "S1", ["S2", "S3"], 5, by_likelihood=True)
 
 
 @query("K5_gen_haps", """WITH f AS (SELECT var_id AS site, chrom, pos, ref, alt FROM br_variants WHERE length(ref) = 1 AND length(alt) = 1 AND ref <> alt QUALIFY row_number() OVER (PARTITION BY chrom, pos ORDER BY var_id) = 1),

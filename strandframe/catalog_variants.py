@@ -224,9 +224,10 @@ def _(v: Views) -> DataFrame:
     return variants.validate(rows, header)
 
 
-@query("X14_validation_summary", f"WITH x AS (SELECT *, count(*) OVER (PARTITION BY chrom, pos) AS n FROM br_variants), p AS (SELECT var_id, 'repeated_position' AS problem FROM x WHERE n > 1 UNION ALL SELECT var_id, 'equal_alleles' FROM x WHERE ref = alt) SELECT problem, {B('count(*)')} AS n, min(var_id) AS example FROM p GROUP BY problem")
+@query("X14_validation_summary", f"WITH x AS (SELECT *, count(*) OVER (PARTITION BY chrom, pos) AS n FROM (SELECT var_id, chrom, pos // 4 AS pos, CASE WHEN var_id % 9 = 0 THEN alt ELSE ref END AS ref, alt FROM br_variants)), p AS (SELECT var_id, 'repeated_position' AS problem FROM x WHERE n > 1 UNION ALL SELECT var_id, 'position' FROM x WHERE pos < 1 UNION ALL SELECT var_id, 'equal_alleles' FROM x WHERE ref = alt) SELECT problem, {B('count(*)')} AS n, min(var_id) AS example FROM p GROUP BY problem")
 def _(v: Views) -> DataFrame:
-    return variants.validation_summary(variants.validate(v("br_variants")))
+    rows = v("br_variants").withColumns({"pos": F.floor(F.col("pos") / 4), "ref": F.when(F.col("var_id") % 9 == 0, F.col("alt")).otherwise(F.col("ref"))})
+    return variants.validation_summary(variants.validate(rows))
 
 
 @query(

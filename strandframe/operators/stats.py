@@ -28,17 +28,19 @@ def histogram_stats(hist: DataFrame, keys: list[str], bin_col: str = "bin", freq
     )
 
 
-def running_by_value(counts: DataFrame, keys: list[str], value: str, n: str, name: str, pieces: int = 200) -> DataFrame:
-    """Adds `name`: the sum of n over the smaller values of equal keys (null for the smallest). Values are dealt to ranges between quantiles, so that no task
-    runs over all of them; the ranges' sums, few, run along the keys."""
+def running_by_value(counts: DataFrame, keys: list[str], value: str, n: str | list[str], name: str | list[str], pieces: int = 200) -> DataFrame:
+    """Adds `name`: the sum of n over the smaller values of equal keys (null for the smallest); both may be lists. Values are dealt to ranges between quantiles, so
+    that no task runs over all of them; the ranges' sums, few, run along the keys."""
+    ns, names = [n] if isinstance(n, str) else n, [name] if isinstance(name, str) else name
     cuts = counts.where(F.col(value).isNotNull()).agg(F.percentile_approx(F.col(value).cast("double"), [k / pieces for k in range(1, pieces)], 10_000).alias("_cuts"))
     x = counts.join(F.broadcast(cuts)).withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(value).cast("double"))), F.lit(0))).drop("_cuts")
-    sums = x.groupBy(*keys, "_range").agg(F.sum(n).alias("_sum"))
+    sums = x.groupBy(*keys, "_range").agg(*(F.sum(c).alias(f"_sum{i}") for i, c in enumerate(ns)))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*keys, "_range", F.sum("_sum").over(before).alias("_before"))
+    sums = sums.select(*keys, "_range", *(F.sum(f"_sum{i}").over(before).alias(f"_before{i}") for i in range(len(ns))))
     inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    joined = x.withColumn("_inside", F.sum(n).over(inside)).join(F.broadcast(sums) if not keys else sums, [*keys, "_range"])
-    return joined.withColumn(name, F.coalesce(F.col("_before") + F.col("_inside"), F.col("_before"), F.col("_inside"))).drop("_range", "_inside", "_before")
+    joined = x.withColumns({f"_inside{i}": F.sum(c).over(inside) for i, c in enumerate(ns)}).join(F.broadcast(sums) if not keys else sums, [*keys, "_range"])
+    both = lambda i: F.coalesce(F.col(f"_before{i}") + F.col(f"_inside{i}"), F.col(f"_before{i}"), F.col(f"_inside{i}"))
+    return joined.withColumns({c: both(i) for i, c in enumerate(names)}).drop("_range", *(f"{c}{i}" for c in ("_inside", "_before") for i in range(len(ns))))
 
 
 def rank_average(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:

@@ -278,8 +278,8 @@ def qual_tstv_curve(df: DataFrame, known: DataFrame, step: float = 0.02) -> Data
     snp = (F.col("alt") != ".") & (F.upper("alt") != F.upper("ref"))
     flags = {"n": F.lit(True), "snps": snp, "ts": snp & is_transition(), "joint": F.coalesce(F.col("_known"), F.lit(False))}
     by = hits.groupBy((-F.col("qual")).alias("down")).agg(*(F.count_if(c).alias(name) for name, c in flags.items()))
-    for name in flags:
-        by = running_by_value(by, [], "down", name, f"_{name}").withColumn(f"cum_{name}", F.coalesce(f"_{name}", F.lit(0)) + F.col(name))
+    by = running_by_value(by, [], "down", list(flags), [f"_{name}" for name in flags])
+    by = by.withColumns({f"cum_{name}": F.coalesce(f"_{name}", F.lit(0)) + F.col(name) for name in flags})
     sizes = by.agg(F.sum("n").alias("all_sites"), F.min(-F.col("down")).alias("lowest")).join(known.select("chrom", "pos").distinct().agg(F.count("*").alias("all_known")))
     x = by.join(F.broadcast(sizes))
     reached = lambda c: F.floor(F.round(F.col(c) / F.col("all_sites") / step, 9))
