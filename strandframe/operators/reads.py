@@ -25,7 +25,9 @@ def total(condition: Column, value: Column | None = None) -> Column:
 
 def flag_filter(reads: DataFrame, require: int = 0, exclude: int = 0) -> DataFrame:
     """Rows with all bits of `require` and none of `exclude`."""
-    return reads.where((F.col("flag").bitwiseAND(F.lit(require)) == require) & (F.col("flag").bitwiseAND(F.lit(exclude)) == 0))
+    if not require | exclude:
+        return reads
+    return reads.where(F.col("flag").bitwiseAND(F.lit(require | exclude)) == require)
 
 
 def unmapped_reads(reads: DataFrame) -> DataFrame:
@@ -74,21 +76,24 @@ def readgroup_stats(reads: DataFrame) -> DataFrame:
 
 
 def alignment_summary(reads: DataFrame, require: int = 0, exclude: int = 0, cap: int = 8000, bulk: float = 0.99) -> DataFrame:
-    """A2: the summary numbers of reads with all bits of `require` and none of `exclude`; `filtered` counts the others. One row; one pass over
-    the reads and one over the pairs' histogram. Needs qual_sum, trimmed (bases), cigar_mapped (bases of M and I), mate_chrom and mate_pos."""
+    """A2: the summary numbers of reads with all bits of `require` and none of `exclude`; `filtered` counts the others. One row. Reads are summed by flag first, of
+    which there are few, and the numbers are told from these sums; pairs have one more pass. Needs qual_sum, trimmed (bases), cigar_mapped (bases of M and I),
+    mate_chrom and mate_pos."""
+    keys = ["flag", (F.col("mapq") == 0).alias("mq0"), F.coalesce(F.col("chrom") != F.col("mate_chrom"), F.lit(False)).alias("apart")]
+    sums = [F.sum(c).alias(c) for c in ("seq_len", "cigar_mapped", "trimmed", "nm", "qual_sum")]
+    by_flag = reads.groupBy(*keys).agg(F.count("*").alias("n"), F.max("seq_len").alias("longest"), *sums)
     mapped, kept = ~has(UNMAPPED), (F.col("flag").bitwiseAND(F.lit(require)) == require) & (F.col("flag").bitwiseAND(F.lit(exclude)) == 0)
-    n = lambda c, value=None: total(kept & c, value)
-    one, length, last = F.lit(True), F.col("seq_len"), has(READ2)
+    n = lambda c, value="n": F.sum(F.when(kept & c, F.col(value)).otherwise(0)).cast("long")
+    one, last = F.lit(True), has(READ2)
     numbers = {
-        "raw_total": F.count("*"), "filtered": total(~kept), "sequences": n(one), "first_fragments": n(~last), "last_fragments": n(last), "reads_mapped": n(mapped), "reads_unmapped": n(~mapped),
-        "reads_unpaired": n(mapped & ~has(PAIRED)), "reads_paired": n(mapped & has(PAIRED)), "reads_duplicated": n(has(DUPLICATE)), "reads_mq0": n(mapped & (F.col("mapq") == 0)), "reads_qc_failed": n(has(FAILED)),
-        "non_primary": n(has(SECONDARY)), "total_length": n(one, length), "bases_mapped": n(mapped, length), "bases_mapped_cigar": n(mapped, F.col("cigar_mapped")), "bases_trimmed": n(one, F.col("trimmed")),
-        "bases_duplicated": n(has(DUPLICATE), length), "mismatches": n(mapped, F.col("nm")), "maximum_length": F.max(F.when(kept, length)), "quality_sum": n(one, F.col("qual_sum")),
-        "different_chromosomes": F.floor(n(mapped & has(PAIRED) & (F.col("chrom") != F.col("mate_chrom"))) / 2),
+        "raw_total": F.sum("n"), "filtered": F.sum(F.when(~kept, F.col("n")).otherwise(0)).cast("long"), "sequences": n(one), "first_fragments": n(~last), "last_fragments": n(last), "reads_mapped": n(mapped), "reads_unmapped": n(~mapped),
+        "reads_unpaired": n(mapped & ~has(PAIRED)), "reads_paired": n(mapped & has(PAIRED)), "reads_duplicated": n(has(DUPLICATE)), "reads_mq0": n(mapped & F.col("mq0")), "reads_qc_failed": n(has(FAILED)),
+        "non_primary": n(has(SECONDARY)), "total_length": n(one, "seq_len"), "bases_mapped": n(mapped, "seq_len"), "bases_mapped_cigar": n(mapped, "cigar_mapped"), "bases_trimmed": n(one, "trimmed"),
+        "bases_duplicated": n(has(DUPLICATE), "seq_len"), "mismatches": n(mapped, "nm"), "maximum_length": F.max(F.when(kept, F.col("longest"))), "quality_sum": n(one, "qual_sum"),
+        "different_chromosomes": F.floor(n(mapped & has(PAIRED) & F.col("apart")) / 2),
     }
-    hist = pair_histogram(flag_filter(reads, require, exclude), cap)
-    pairs = hist.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(f"pairs_{c}") for c in ("inward", "outward", "other")))
-    out = reads.agg(*(c.alias(name) for name, c in numbers.items())).join(F.broadcast(pairs)).join(F.broadcast(bulk_stats(hist, bulk)))
+    pairs = bulk_stats(pair_histogram(flag_filter(reads, require, exclude), cap), bulk)
+    out = by_flag.agg(*(c.alias(name) for name, c in numbers.items())).join(F.broadcast(pairs))
     ratio = lambda a, b: F.try_divide(F.col(a), F.col(b))
     return out.withColumns(
         {
@@ -116,26 +121,34 @@ def pair_histogram(reads: DataFrame, cap: int) -> DataFrame:
     same strand are `other`; else inward if the forward one comes first. Mates at the same place have no orientation."""
     side = (F.col("mate_pos") - F.col("pos")) * F.when(has(REVERSE), -1).otherwise(1)
     other = has(REVERSE) == has(MATE_REVERSE)
-    used = reads.where(~has(UNMAPPED) & has(PAIRED) & ((F.col("isize") != 0) | (F.col("chrom") == F.col("mate_chrom"))))
-    half = lambda c: F.floor(F.count_if(c) / 2)
-    kinds = {"inward": ~other & (side > 0), "outward": ~other & (side < 0), "other": other}
-    return used.groupBy(F.least(F.abs("isize"), F.lit(cap - 1)).alias("bin")).agg(*(half(c).alias(name) for name, c in kinds.items())).withColumn("pairs", F.col("inward") + F.col("outward") + F.col("other"))
+    used = (F.col("flag").bitwiseAND(F.lit(UNMAPPED | PAIRED)) == PAIRED) & ((F.col("isize") != 0) | (F.col("chrom") == F.col("mate_chrom")))
+    kind = F.when(used, F.when(other, 0).when(side > 0, 1).when(side < 0, 2).otherwise(3))
+    x = reads.select(F.least(F.abs("isize"), F.lit(cap - 1)).alias("bin"), kind.alias("kind")).groupBy("bin", "kind").agg(F.count("*").alias("n")).where("kind IS NOT NULL")
+    half = lambda k: F.floor(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)) / 2)
+    out = x.groupBy("bin").agg(half(1).alias("inward"), half(2).alias("outward"), half(0).alias("other"))
+    return out.withColumn("pairs", F.col("inward") + F.col("outward") + F.col("other"))
 
 
 def bulk_stats(hist: DataFrame, bulk: float) -> DataFrame:
-    """mean_isize and isize_sd of the main bulk: the bins up to the first at which more than `bulk` of all pairs are reached (the sd from bin 1 on)."""
+    """Pairs of each orientation, and mean_isize and isize_sd of the main bulk: the bins up to the first at which more than `bulk` of all pairs are reached (the sd
+    from bin 1 on). One row, one pass."""
     run = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # a histogram: cap rows at most
     x = hist.withColumns({"before": F.coalesce(F.sum("pairs").over(run), F.lit(0)), "all_pairs": F.sum("pairs").over(Window.partitionBy())})
-    main = x.where(F.try_divide(F.col("before"), F.col("all_pairs")) <= bulk).select("bin", "pairs")
-    mean = main.agg(F.try_divide(F.sum(F.col("bin") * F.col("pairs")), F.sum("pairs")).alias("mean_isize"), F.sum("pairs").alias("n_main"))
-    off = main.join(F.broadcast(mean)).where("bin > 0").agg(F.sqrt(F.sum(F.col("pairs") * (F.col("bin") - F.col("mean_isize")) ** 2 / F.col("n_main"))).alias("isize_sd"))
-    return mean.select("mean_isize").join(F.broadcast(off))
+    main = F.try_divide(F.col("before"), F.col("all_pairs")) <= bulk
+    of = lambda value: F.sum(F.when(main, value).otherwise(0))
+    sums = x.agg(
+        of(F.col("pairs")).alias("s0"), of(F.when(F.col("bin") > 0, F.col("pairs")).otherwise(0)).alias("p0"), of(F.col("bin") * F.col("pairs")).alias("s1"), of(F.col("bin") ** 2 * F.col("pairs")).alias("s2"),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(f"pairs_{c}") for c in ("inward", "outward", "other")),
+    )
+    mean = F.try_divide(F.col("s1"), F.col("s0"))
+    square = F.try_divide(F.col("s2") - 2 * mean * F.col("s1") + mean * mean * F.col("p0"), F.col("s0"))
+    return sums.select("pairs_inward", "pairs_outward", "pairs_other", mean.alias("mean_isize"), F.sqrt(F.greatest(F.lit(0.0), square)).alias("isize_sd"))
 
 
 def insert_size_histogram(reads: DataFrame, cap: int = 8000, bulk: float = 0.99) -> DataFrame:
     """A3: pairs of each insert size by orientation, with mean and sd of the main bulk."""
     hist = pair_histogram(reads, cap)
-    return hist.join(F.broadcast(bulk_stats(hist, bulk)))
+    return hist.join(F.broadcast(bulk_stats(hist, bulk).select("mean_isize", "isize_sd")))
 
 
 def depth_segments(reads: DataFrame) -> DataFrame:
