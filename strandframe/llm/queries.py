@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
+from . import bpe, exact_dedup, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
 from .common import load
 
 #: The URL rules of op1: host, path, action.
@@ -62,8 +62,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(load(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_filter, op2_nearest, op3_media, op4_language, op5_sharding, op6_packing, op7_language_model, op8_quality, op9_near_duplicates, op10_bpe)
+    found = (
+        op1_url_filter, op2_nearest, op3_media, op4_language, op5_sharding, op6_packing, op7_language_model, op8_quality, op9_near_duplicates, op10_bpe,
+        op13_exact_dedup,
+    )
     return {f.__name__: f for f in found}
 
 
@@ -104,5 +111,14 @@ placed AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHA
 SELECT doc_id, CAST(slot AS INTEGER) AS slot, name AS shard FROM placed JOIN claims USING (slot) JOIN shards USING (i)"""
 
 
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS size, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content FROM documents),
+g AS (
+  SELECT doc_id, size, content, count(*) OVER (PARTITION BY content) AS group_size,
+    first_value(doc_id) OVER (PARTITION BY content ORDER BY size DESC, doc_id) AS keep_id
+  FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM g"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1_sql(), "op5_sharding": _op5_sql()}
+    return {"op1_url_filter": _op1_sql(), "op5_sharding": _op5_sql(), "op13_exact_dedup": OP13_SQL}
