@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
+from . import bag_search, bpe, exact_dedup, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
 from .common import load
 
 #: The URL rules of op1: host, path, action.
@@ -62,6 +62,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(load(spark, sf_dir, "documents"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -69,7 +73,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_filter, op2_nearest, op3_media, op4_language, op5_sharding, op6_packing, op7_language_model, op8_quality, op9_near_duplicates, op10_bpe,
-        op13_exact_dedup,
+        op12_search, op13_exact_dedup,
     )
     return {f.__name__: f for f in found}
 
@@ -111,6 +115,25 @@ placed AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHA
 SELECT doc_id, CAST(slot AS INTEGER) AS slot, name AS shard FROM placed JOIN claims USING (slot) JOIN shards USING (i)"""
 
 
+OP12_SQL = r"""
+WITH words AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY row),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, docs),
+items AS (
+  SELECT DISTINCT item_id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (row), totals GROUP BY item_id, row, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+WHERE rank <= 50"""
+
 OP13_SQL = r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS size, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content FROM documents),
 g AS (
@@ -121,4 +144,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1_sql(), "op5_sharding": _op5_sql(), "op13_exact_dedup": OP13_SQL}
+    return {"op1_url_filter": _op1_sql(), "op5_sharding": _op5_sql(), "op12_search": OP12_SQL, "op13_exact_dedup": OP13_SQL}
