@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bag_search, bpe, exact_dedup, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
+from . import alignment, bag_search, bpe, exact_dedup, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
 from .common import load
 
 #: The URL rules of op1: host, path, action.
@@ -62,6 +62,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(load(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(load(spark, sf_dir, "documents"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -73,7 +77,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_filter, op2_nearest, op3_media, op4_language, op5_sharding, op6_packing, op7_language_model, op8_quality, op9_near_duplicates, op10_bpe,
-        op12_search, op13_exact_dedup,
+        op11_alignment, op12_search, op13_exact_dedup,
     )
     return {f.__name__: f for f in found}
 
