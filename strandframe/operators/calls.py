@@ -68,12 +68,9 @@ def merge_sets(calls: DataFrame, weights: dict[int, int]) -> DataFrame:
     return calls.groupBy("chrom", "pos", "allele").agg(F.array_join(F.array_sort(F.collect_set("src")), ",").alias("sf"), mean.alias("qual"))
 
 
-def merge_records(records: DataFrame, info: dict[str, Column] | None = None, collapse: str | None = None) -> DataFrame:
-    """U4: one record of each site out of several sets' records (src, chrom, pos, id, ref, alts, qual, filter array, info map, n_samples): ref is the longest, alts,
-    with the bases that theirs lacks, are all of them in the order of sets (symbolic ones stay); id and other INFO keys are the first there are; qual the mean
-    of positive ones weighted by samples (1 at least); filter all names, PASS only if alone; sf the sets; an and ac added up over sets by alternative;
-    `info` has aggregates of other INFO keys. Records of one position merge if they share an alternative with the site's first record, or all of
-    them (collapse any), those of substitutions and those of length changes apart (snps, indels)."""
+def matched_records(records: DataFrame, collapse: str | None = None) -> DataFrame:
+    """Records of several sets with _longest, the longest ref of their position, _alts, their alternatives with the bases that theirs lacks, and _kind, equal for those
+    that merge (see merge_records)."""
     long = F.col("_longest")
     grown = F.transform("alts", lambda a: F.when(a.startswith("<"), a).otherwise(F.concat(a, F.substring(long, F.length("ref") + 1, F.length(long)))))
     top = records.groupBy("chrom", "pos").agg(F.max_by("ref", F.struct(F.length("ref"), F.col("ref"))).alias("_longest"))
@@ -85,6 +82,16 @@ def merge_records(records: DataFrame, info: dict[str, Column] | None = None, col
     else:
         first = x.groupBy("chrom", "pos").agg(F.min_by("_alts", "src").alias("_of_first"))
         x = x.join(first, ["chrom", "pos"]).withColumn("_kind", F.when(F.arrays_overlap("_alts", "_of_first"), "first").otherwise(F.concat_ws(",", F.array_sort("_alts"))))
+    return x
+
+
+def merge_records(records: DataFrame, info: dict[str, Column] | None = None, collapse: str | None = None) -> DataFrame:
+    """U4: one record of each site out of several sets' records (src, chrom, pos, id, ref, alts, qual, filter array, info map, n_samples): ref is the longest, alts,
+    with the bases that theirs lacks, are all of them in the order of sets (symbolic ones stay); id and other INFO keys are the first there are; qual the mean
+    of positive ones weighted by samples (1 at least); filter all names, PASS only if alone; sf the sets; an and ac added up over sets by alternative;
+    `info` has aggregates of other INFO keys. Records of one position merge if they share an alternative with the site's first record, or all of
+    them (collapse any), those of substitutions and those of length changes apart (snps, indels)."""
+    x = matched_records(records, collapse)
     good, w = F.col("qual") > 0, F.greatest(F.col("n_samples"), F.lit(1))
     in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(F.col("src").alias("s"), F.col(c).alias("v")))), lambda v: v["v"])
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("src")))
