@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .bpe import BLANKS, byte_letters
+from .bpe import BLANKS, PLAIN, byte_letters
 from .common import named, write_table
 
 #: Characters of text that are aligned at once; longer texts are cut where both tokenizers begin a word.
 AT_ONCE = 1 << 20
-#: Units that a worker remembers, and the characters up to which it does; when there are more it starts anew.
-REMEMBERED, SHORT = 200_000, 32
+#: Units of each tokenizer that a worker remembers as lately used (as many used before that are kept, too), and the characters up to which it does.
+REMEMBERED, SHORT = 150_000, 32
 MARK = "▁"
 TOKENS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, link_a array<int>, link_b array<int>, link_n array<long>"
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -37,32 +37,39 @@ class Units:
             raise ValueError("every token must stand for a byte at least")
         self.cut, self.encode, self.labels = cut, encode, labels
         self.sizes = pa.array([len(x) for x in labels], pa.int64())
-        self.known: dict[str, list[int]] = {}
-
-    def _ids(self, units: list[str]) -> list[list[int]]:
-        """Ids of distinct units; short ones are remembered."""
-        new = [u for u in units if u not in self.known]
-        fresh = dict(zip(new, self.encode(new), strict=True))
-        out = [self.known[u] if u in self.known else fresh[u] for u in units]
-        short = {u: ids for u, ids in fresh.items() if len(u) <= SHORT}
-        if len(self.known) + len(short) > REMEMBERED:
-            self.known.clear()
-        self.known.update(short)
-        return out
+        #: Ids of units as 32-bit integers, lately used and before; those that don't spell their unit are in no memory.
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _ids(self, units: list[str]) -> tuple[list[bytes], list[int]]:
+        """Ids of distinct units, and the places of those that their tokens don't spell."""
+        known, before = self.known, self.before
+        out = [known.get(u) or before.get(u) for u in units]
+        new = [k for k, ids in enumerate(out) if ids is None]
+        odd = []
+        for k, ids in zip(new, self.encode([units[k] for k in new]), strict=True):
+            out[k] = np.array(ids, np.int32).tobytes()
+            if b"".join(map(self.labels.__getitem__, ids)) != units[k].encode():
+                odd.append(k)
+        wrong = set(odd)
+        known.update((u, ids) for k, (u, ids) in enumerate(zip(units, out, strict=True)) if len(u) <= SHORT and k not in wrong)
+        if len(known) > REMEMBERED:
+            self.known, self.before = {}, known
+        return out, odd
 
     def tokens(self, texts: list[str]) -> tuple[pa.Array, pa.Array, np.ndarray]:
         """Ids of all tokens, each token's text, and whether each text's tokens spell it."""
         units = list(map(self.cut.findall, texts))
         coded = pa.array(list(chain.from_iterable(units)), pa.large_string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        ids = self._ids(distinct)
-        spelt = np.array([b"".join(map(self.labels.__getitem__, i)) == u.encode() for u, i in zip(distinct, ids, strict=True)], bool)
-        lists = pa.LargeListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int64()), pa.array(list(chain.from_iterable(ids)), pa.int32()))
+        ids, odd = self._ids(coded.dictionary.to_pylist())
+        flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]) // 4), flat)
         taken = lists.take(coded.indices)
         text_of_unit = pa.array(np.repeat(np.arange(len(texts)), [len(u) for u in units]))
         flat, owner = pc.list_flatten(taken), text_of_unit.take(pc.list_parent_indices(taken))
         whole = np.ones(len(texts), bool)
-        whole[text_of_unit.to_numpy()[~spelt[coded.indices.to_numpy()]]] = False
+        if odd:
+            whole[text_of_unit.to_numpy()[np.isin(coded.indices.to_numpy(), odd)]] = False
         for k in np.flatnonzero(~whole):  # units may differ where the whole doesn't
             mine = flat.filter(pc.equal(owner, int(k))).to_pylist()
             whole[k] = b"".join(map(self.labels.__getitem__, mine)) == texts[k].encode()
@@ -90,8 +97,17 @@ def byte_level(path: str) -> Units:
     labels = [b"?"] * (max(tokenizer.get_vocab(True).values()) + 1)
     for token, i in tokenizer.get_vocab(True).items():
         labels[i] = b"".join(of_letter.get(c, c.encode()) for c in token)
+    letters = dict(enumerate(byte_letters()))
+    merged = lambda run: tokenizer.model.tokenize(run.encode().decode("latin-1").translate(letters))
+
+    def encode(units: list[str]) -> list[list[int]]:
+        """Letters with marks behind them are runs that the splitter would give to the model; other units go through the splitter."""
+        plain = list(map(PLAIN.fullmatch, units))
+        others = iter(tokenizer.encode_batch_fast([u for u, p in zip(units, plain, strict=True) if not p], add_special_tokens=False))
+        return [[t.id for run in p.groups() if run for t in merged(run)] if p else next(others).ids for p in plain]
+
     cut = re.compile(f" ?[^{BLANKS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
-    return Units(cut, lambda units: [e.ids for e in tokenizer.encode_batch(units, add_special_tokens=False)], labels)
+    return Units(cut, encode, labels)
 
 
 @lru_cache(maxsize=2)
