@@ -21,9 +21,9 @@ from .bpe import BLANKS, PLAIN, byte_letters
 from .common import named, write_table
 
 #: Characters of text that are aligned at once; longer texts are cut where both tokenizers begin a word.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 21
 #: Units of each tokenizer that a worker remembers as lately used (as many used before that are kept, too), and the characters up to which it does.
-REMEMBERED, SHORT = 150_000, 32
+REMEMBERED, SHORT = 250_000, 32
 MARK = "▁"
 TOKENS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, link_a array<int>, link_b array<int>, link_n array<long>"
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
