@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import B, Views, query
-from .operators import reference
+from .operators import haplotypes, reference
 
 #: Letters of a chunk of the reference.
 SIZE = 500
@@ -146,11 +148,51 @@ def _(v: Views) -> DataFrame:
     return seqs.join(quals.withColumnRenamed("seq", "quals"), ["chrom", "chunk_no"])
 
 
-@query("J14_sequence_match", "")
+# Three sets: sites, mostly the same with a base more in front or another alternative, and a shifted copy of some with a further substitution.
+_EVENTS_OF_SETS = f"""{_SITES}, e0 AS (SELECT 0 AS src, chrom, pos, ref, alt FROM sites UNION ALL
+ SELECT 1, chrom, CASE WHEN var_id % 3 = 0 THEN pos - 1 ELSE pos END, CASE WHEN var_id % 3 = 0 THEN concat(substr(seq, CAST(pos - 1 AS INTEGER), 1), ref) ELSE ref END,
+  CASE WHEN var_id % 3 = 0 THEN concat(substr(seq, CAST(pos - 1 AS INTEGER), 1), alt) WHEN var_id % 5 = 0 THEN 'C' ELSE alt END FROM sites JOIN br_fastq ON name = chrom UNION ALL
+ SELECT 2, name, 30, substr(seq, 30, 2), substr(seq, 30, 1) FROM br_fastq WHERE length(seq) > 60 UNION ALL
+ SELECT 0, name, i, substr(seq, i, 2), substr(seq, i, 1) FROM br_fastq CROSS JOIN (SELECT 27 AS i UNION ALL SELECT 31 UNION ALL SELECT 33) t WHERE length(seq) > 60 UNION ALL
+ SELECT 1, name, 29, substr(seq, 29, 1), concat(substr(seq, 29, 1), substr(seq, 29, 1)) FROM br_fastq WHERE length(seq) > 60 AND rec_no % 2 = 0 UNION ALL
+ SELECT 2, name, 28, substr(seq, 28, 1), concat(substr(seq, 28, 1), substr(seq, 29, 1)) FROM br_fastq WHERE length(seq) > 60),
+e AS (SELECT DISTINCT * FROM e0 WHERE ref <> alt)"""
+
+
+def _events_of_sets(v: Views) -> DataFrame:
+    a = _sites(v)
+    base = a.join(_contigs(v), "chrom").selectExpr("*", "substr(seq, int(pos) - 1, 1) AS b")
+    long = v("br_fastq").where("length(seq) > 60")
+    parts = [
+        a.selectExpr("0 AS src", "chrom", "pos", "ref", "alt"),
+        base.selectExpr("1", "chrom", "IF(var_id % 3 = 0, pos - 1, pos)", "IF(var_id % 3 = 0, concat(b, ref), ref)", "CASE WHEN var_id % 3 = 0 THEN concat(b, alt) WHEN var_id % 5 = 0 THEN 'C' ELSE alt END"),
+        long.selectExpr("2", "name", "30L", "substr(seq, 30, 2)", "substr(seq, 30, 1)"),
+        long.selectExpr("name", "seq", "explode(array(27, 31, 33)) AS i").selectExpr("0", "name", "bigint(i)", "substr(seq, i, 2)", "substr(seq, i, 1)"),
+        long.where("rec_no % 2 = 0").selectExpr("1", "name", "29L", "substr(seq, 29, 1)", "concat(substr(seq, 29, 1), substr(seq, 29, 1))"),
+        long.selectExpr("2", "name", "28L", "substr(seq, 28, 1)", "concat(substr(seq, 28, 1), substr(seq, 29, 1))"),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+_MATCHES = f"""WITH {_EVENTS_OF_SETS},
+d AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) > 5 THEN 1 ELSE 0 END AS fresh FROM (SELECT DISTINCT chrom, pos FROM e0)),
+g AS (SELECT chrom, pos, sum(fresh) OVER (PARTITION BY chrom ORDER BY pos) + 1 AS grp FROM d),
+r AS (SELECT chrom, grp, greatest(min(pos) - 5, 1) AS f, max(pos + length(ref) - 1) + 5 AS t FROM e0 JOIN g USING (chrom, pos) GROUP BY chrom, grp),
+b AS (SELECT chrom, grp, src FROM e JOIN g USING (chrom, pos) GROUP BY chrom, grp, src HAVING bool_or(CASE WHEN length(ref) <> length(alt) THEN true ELSE len(list_filter(range(1, length(ref) + 1), lambda i: substr(ref, i, 1) <> substr(alt, i, 1))) > 1 END)),
+h AS (SELECT DISTINCT e.chrom, grp, src, concat(substr(seq, CAST(f AS BIGINT), CAST(pos - f AS BIGINT)), alt, substr(seq, CAST(pos + length(ref) AS BIGINT), CAST(t - pos - length(ref) + 1 AS BIGINT))) AS hap
+  FROM e JOIN g USING (chrom, pos) JOIN r USING (chrom, grp) JOIN b USING (chrom, grp, src) JOIN br_fastq ON name = e.chrom),
+p AS (SELECT x.chrom, x.grp, count(DISTINCT (x.src, y.src)) AS n FROM h x JOIN h y ON x.chrom = y.chrom AND x.grp = y.grp AND x.hap = y.hap AND x.src < y.src GROUP BY x.chrom, x.grp),
+m AS (SELECT chrom, CAST(grp AS BIGINT) AS grp, sets, coalesce(n, 0) = k * (k - 1) / 2 AS same FROM (SELECT chrom, grp, string_agg(src, ',' ORDER BY src) AS sets, count(*) AS k FROM b GROUP BY chrom, grp HAVING count(*) > 1) LEFT JOIN p USING (chrom, grp))"""
+
+
+@query("J14_sequence_match", f"{_MATCHES} SELECT * FROM m")
+def _(v: Views) -> DataFrame:
+    return haplotypes.sequence_match(_events_of_sets(v), _chunks(v), SIZE, 5)
+
+
+@query("J14_match_counts", f"{_MATCHES} SELECT sets, {B('count(*) FILTER (same)')} AS match, {B('count(*) FILTER (NOT same)')} AS mismatch FROM m GROUP BY sets")
 def _(v: Views) -> DataFrame:
-    a = _sites(v).select(F.lit(0).alias("src"), "chrom", "pos", "ref", "alt")
-    b = _sites(v).selectExpr("1 AS src", "chrom", "pos", "ref", "CASE WHEN var_id % 5 = 0 THEN 'C' ELSE alt END AS alt")
-    return reference.sequence_match(a.union(b), _chunks(v), SIZE, 5)
+    return haplotypes.match_counts(haplotypes.sequence_match(_events_of_sets(v), _chunks(v), SIZE, 5))
 
 
 _FLANK = f"""WITH {_SITES}, b AS (SELECT s.*, seq, unnest(range(pos - 8, pos + length(ref) + 8)) AS p FROM sites s JOIN br_fastq ON name = chrom),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .catalog import _GROUPS, B, Views, query
 from .operators import calls, sequences
+from .plans.shared import scratch
 from .sources import sinks, tables, text
 
 _N = "CASE WHEN qual % 10 = 0 THEN NULL ELSE qual END"
@@ -19,7 +20,7 @@ def _written(v: Views) -> str:
     one = v("br_variants").groupBy("chrom", "pos").agg(F.min(F.struct("var_id", "ref", "alt", "qual", "filt", "dp")).alias("r")).select("chrom", "pos", "r.*")
     info = F.create_map(F.lit("DP"), F.col("dp").cast("string"), F.lit("DB"), F.lit(""))
     rows = one.withColumns({"id": F.when(F.col("var_id") % 3 == 0, F.concat(F.lit("rs"), "var_id")), "alt": F.array("alt"), "qual": F.when(F.col("qual") % 10 != 0, F.col("qual").cast("double")), "filter": F.array("filt"), "info": info})
-    folder = sinks.scratch(spark, "vcf")
+    folder = scratch(spark, "vcf")
     for part, samples in ((0, ["S1", "S2"]), (1, ["S3"])):
         mine = rows.where(F.col("var_id") % 2 == part)
         cells = mine.withColumn("sample", F.explode(F.array(*map(F.lit, samples)))).where("sample <> 'S2' OR var_id % 7 <> 0")
@@ -47,7 +48,7 @@ def _(v: Views) -> DataFrame:
 
 @query("S2_read_sam", "SELECT concat(qname, '_', read_id) AS qname, flag, chrom AS rname, pos, mapq, concat(seq_len, 'M') AS cigar, isize, concat(rg, ',', nm) AS tags FROM br_reads")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_reads").sparkSession, "sam")
+    path = scratch(v("br_reads").sparkSession, "sam")
     columns = [F.concat("qname", F.lit("_"), "read_id"), "flag", "chrom", "pos", "mapq", F.concat("seq_len", F.lit("M")), F.lit("="), F.lit(0), "isize", F.lit("*"), F.lit("*"), F.concat(F.lit("RG:Z:"), "rg"), F.concat(F.lit("NM:i:"), "nm")]
     v("br_reads").select(F.concat_ws("\t", *columns).alias("value")).write.text(path)
     found = text.read_sam(v("br_reads").sparkSession, path)
@@ -63,14 +64,14 @@ def _clean(v: Views) -> DataFrame:
 
 @query("S3_read_fastq", f"SELECT name, {_CLEAN} AS seq, {B('length(seq)')} AS n_qual FROM br_fastq")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_fastq").sparkSession, "fastq")
+    path = scratch(v("br_fastq").sparkSession, "fastq")
     _clean(v).select(F.concat(F.lit("@"), "name", F.lit(" note\n"), "seq", F.lit("\n+\n"), F.repeat(F.lit("@"), F.length("seq"))).alias("value")).write.text(path)
     return text.read_fastq(v("br_fastq").sparkSession, path).select("name", "seq", F.length("qual").alias("n_qual"))
 
 
 @query("S4_read_fasta", f"WITH s AS (SELECT name, {_CLEAN} AS seq FROM br_fastq), k AS (SELECT *, unnest(range(greatest(1, CAST(ceil(length(seq) / 500.0) AS BIGINT)))) AS k FROM s) SELECT name AS chrom, {B('k')} AS chunk_no, substr(seq, k * 500 + 1, 500) AS seq FROM k")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_fastq").sparkSession, "fasta")
+    path = scratch(v("br_fastq").sparkSession, "fasta")
     _clean(v).select(F.concat(F.lit(">"), "name", F.lit(" note\n"), F.regexp_replace("seq", "(.{70})", "$1\n")).alias("value")).write.text(path)
     return text.read_fasta(v("br_fastq").sparkSession, path, 500)
 
@@ -81,7 +82,7 @@ def _(v: Views) -> DataFrame:
 SELECT gene_id, seq_id, strand, gene_start, gene_end, {B("exon_length")} AS exon_length, {B("n")} AS n_exons FROM l""",
 )
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_intervals").sparkSession, "gff")
+    path = scratch(v("br_intervals").sparkSession, "gff")
     tag = F.concat(F.when(F.col("iv_id") % 2 == 0, "locus_tag=g").otherwise("ID=g"), F.floor(F.col("iv_id") / 3))
     v("br_intervals").select(F.concat_ws("\t", "chrom", F.lit("x"), F.lit("CDS"), "start_pos", "end_pos", F.lit("."), F.when(F.col("strand") == 1, "+").otherwise("-"), F.lit("0"), tag).alias("value")).write.text(path)
     found = text.read_gff(v("br_intervals").sparkSession, path)
@@ -90,14 +91,14 @@ def _(v: Views) -> DataFrame:
 
 @query("S6_read_intervals", "SELECT chrom, start_pos, end_pos FROM br_intervals")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_intervals").sparkSession, "intervals")
+    path = scratch(v("br_intervals").sparkSession, "intervals")
     v("br_intervals").select(F.concat_ws("\t", "chrom", "start_pos", "end_pos", F.lit("+")).alias("value")).write.text(path)
     return text.read_intervals(v("br_intervals").sparkSession, path)
 
 
 @query("S7_read_pileup", "SELECT chrom, pos, ref, dp AS depth, concat(repeat('.', CAST(dp % 5 AS INTEGER)), '\"') AS bases, alt AS quals FROM br_variants")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_variants").sparkSession, "pileup")
+    path = scratch(v("br_variants").sparkSession, "pileup")
     v("br_variants").select(F.concat_ws("\t", "chrom", "pos", "ref", "dp", F.concat(F.repeat(F.lit("."), (F.col("dp") % 5).cast("int")), F.lit('"')), "alt").alias("value")).write.text(path)
     return text.read_pileup(v("br_variants").sparkSession, path)
 
@@ -105,7 +106,7 @@ def _(v: Views) -> DataFrame:
 @query("S8_read_ped_map", "SELECT 'c1' AS chrom, site * 10 AS pos, sample, CASE WHEN a1 IS NULL THEN 'NN' ELSE concat(CASE a1 WHEN 0 THEN 'A' ELSE 'G' END, CASE a2 WHEN 0 THEN 'A' ELSE 'G' END) END AS gt FROM (SELECT DISTINCT site FROM br_genotypes) CROSS JOIN (SELECT DISTINCT sample FROM br_genotypes) LEFT JOIN br_genotypes USING (site, sample)")
 def _(v: Views) -> DataFrame:
     spark, some = v("br_genotypes").sparkSession, v("br_genotypes")
-    ped, sites = sinks.scratch(spark, "ped"), sinks.scratch(spark, "map")
+    ped, sites = scratch(spark, "ped"), scratch(spark, "map")
     letter = lambda c: F.when(F.col(c).isNull(), "0").when(F.col(c) == 0, "A").otherwise("G")
     places = some.select("site").distinct()
     places.orderBy("site").coalesce(1).select(F.concat_ws(" ", F.lit("c1"), F.concat(F.lit("s"), "site"), F.lit("0"), F.col("site") * 10).alias("value")).write.text(sites)
@@ -117,7 +118,7 @@ def _(v: Views) -> DataFrame:
 
 @query("S9_read_sequence_index", "SELECT concat('f', lane_id) AS fastq_file, sample AS sample_name, raw_reads AS read_count, raw_bases AS base_count, lane_id % 5 = 0 AS withdrawn FROM br_lanes")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_lanes").sparkSession, "index")
+    path = scratch(v("br_lanes").sparkSession, "index")
     values = {"fastq_file": F.concat(F.lit("f"), "lane_id"), "sample_name": F.col("sample"), "read_count": F.col("raw_reads"), "base_count": F.col("raw_bases"), "withdrawn": (F.col("lane_id") % 5 == 0).cast("int")}
     v("br_lanes").select(F.concat_ws("\t", *(values.get(c, F.lit("x")).cast("string") for c in tables.INDEX_COLUMNS)).alias("value")).write.text(path)
     return tables.read_sequence_index(v("br_lanes").sparkSession, path).select("fastq_file", "sample_name", "read_count", "base_count", "withdrawn")
@@ -125,7 +126,7 @@ def _(v: Views) -> DataFrame:
 
 @query("S10_read_bas", f"SELECT rg AS readgroup, {B('count(*)')} AS total_reads, {B('sum(seq_len)')} AS total_bases, CASE WHEN rg < 'rg3' THEN {B('count(*) FILTER (flag & 1024 <> 0)')} END AS dup_reads FROM br_reads GROUP BY rg")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_reads").sparkSession, "bas")
+    path = scratch(v("br_reads").sparkSession, "bas")
     sums = v("br_reads").groupBy("rg").agg(F.count("*").alias("total_reads"), F.sum("seq_len").alias("total_bases"), F.count_if(F.col("flag").bitwiseAND(F.lit(1024)) != 0).alias("dup_reads"))
     values = {"readgroup": F.col("rg"), "total_reads": F.col("total_reads"), "total_bases": F.col("total_bases"), "dup_reads": F.col("dup_reads")}
     line = lambda names: F.concat_ws("\t", *(values.get(c, F.lit("1")).cast("string") for c in names))
@@ -136,27 +137,27 @@ def _(v: Views) -> DataFrame:
 @query("K2_write_report", "SELECT 'SN' AS section, rg AS k1, NULL AS k2, CAST(count(*) AS VARCHAR) AS value FROM br_reads GROUP BY rg UNION ALL SELECT 'RL', chrom, CAST(seq_len AS VARCHAR), CAST(count(*) AS VARCHAR) FROM br_reads GROUP BY 2, 3")
 def _(v: Views) -> DataFrame:
     r = v("br_reads")
-    path = sinks.scratch(r.sparkSession, "report")
+    path = scratch(r.sparkSession, "report")
     sinks.write_report({"SN": (r.groupBy("rg").agg(F.count("*").alias("n")), ["rg"], "n"), "RL": (r.groupBy("chrom", "seq_len").agg(F.count("*").alias("n")), ["chrom", "seq_len"], "n")}, path)
     return r.sparkSession.read.option("sep", "\t").schema("k1 string, k2 string, value string, section string").csv(path).select("section", "k1", "k2", "value")
 
 
 @query("K3_write_by_combination", f"WITH {_GROUPS} SELECT chrom, pos, combination FROM comb WHERE n_src >= 1")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_calls").sparkSession, "combinations")
+    path = scratch(v("br_calls").sparkSession, "combinations")
     sinks.write_split(calls.isec(v("br_calls"), 1, "+", 2), "combination", path)
     return v("br_calls").sparkSession.read.schema("chrom string, pos long, combination string").parquet(path)
 
 
 @query("K4_write_by_sample", "SELECT site, sample, dp FROM br_genotypes")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_genotypes").sparkSession, "samples")
+    path = scratch(v("br_genotypes").sparkSession, "samples")
     sinks.write_split(v("br_genotypes").select("site", "sample", "dp"), "sample", path)
     return v("br_genotypes").sparkSession.read.schema("site long, dp long, sample string").parquet(path)
 
 
 @query("K9_split_by_sequence", "SELECT read_id, CASE WHEN flag & 4 = 0 THEN chrom ELSE 'unmapped' END AS rname, pos FROM br_reads")
 def _(v: Views) -> DataFrame:
-    path = sinks.scratch(v("br_reads").sparkSession, "sequences")
+    path = scratch(v("br_reads").sparkSession, "sequences")
     sinks.write_split(v("br_reads").select("read_id", F.when(F.col("flag").bitwiseAND(F.lit(4)) == 0, F.col("chrom")).otherwise("unmapped").alias("rname"), "pos"), "rname", path)
     return v("br_reads").sparkSession.read.schema("read_id long, pos long, rname string").parquet(path)

@@ -1,4 +1,4 @@
-"""Work against a reference in chunks (chrom, chunk_no, seq), as read_fasta gives it."""
+"""Work against a reference in chunks (chrom, chunk_no, seq), as read_fasta gives it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..plans.prefix import running
 from ..plans.ranges import overlap_join
 from .sequences import clean_base, count_of
-from .variants import cluster_by_distance
 
 # Letters for two bases, in alphabetical order of the bases.
 IUPAC = {"AC": "M", "AG": "R", "AT": "W", "CG": "S", "CT": "Y", "GT": "K"}
@@ -206,20 +205,6 @@ def consensus_fastq(sites: DataFrame, gaps: DataFrame, contigs: DataFrame, size:
     return pseudo_reference(called.select("chrom", "pos", "base"), contigs, size), pseudo_reference(quals, contigs, size)
 
 
-def sequence_match(calls: DataFrame, chunks: DataFrame, size: int, win: int) -> DataFrame:
-    """Groups of variants (src 0 or 1, chrom, pos, ref, alt) within `win` of each other, and whether both sets, applied to the reference around, give the same text.
-    Of overlapping variants of a set the first counts; a set without variants in a group leaves the reference."""
-    grouped = cluster_by_distance(calls, win)
-    one = non_overlapping(grouped.where("src = 0"), "alt").unionByName(non_overlapping(grouped.where("src = 1"), "alt"))
-    edit = F.array_sort(F.collect_list(F.struct("pos", F.length("ref").cast("long").alias("n"), "alt")))
-    empty = F.array().cast("array<struct<pos:bigint,n:bigint,alt:string>>")
-    spans = grouped.groupBy("chrom", "grp").agg((F.min("pos") - win).alias("start_pos"), (F.max(F.col("pos") + F.length("ref") - 1) + win).alias("end_pos")).withColumn("_k", F.concat_ws(":", "chrom", "grp"))
-    sets = one.groupBy("chrom", "grp", "src").agg(edit.alias("e")).groupBy("chrom", "grp").agg(*(F.coalesce(F.max(F.when(F.col("src") == i, F.col("e"))), empty).alias(f"_e{i}") for i in (0, 1)))
-    got = slices(spans, chunks, size, "_k").join(sets, ["chrom", "grp"])
-    text = lambda i: applied(F.col("seq"), F.greatest(F.col("start_pos"), F.lit(1)), F.col(f"_e{i}"))
-    return got.select("chrom", "grp", (text(0) == text(1)).alias("same"))
-
-
 def pileup_to_variants(pileup: DataFrame) -> DataFrame:
     """K7: variants of consensus rows (chrom, pos, ref, consensus, qual). Letters for two bases are read as both; a row whose reference is '*' has two
     indel alleles such as '+AC/*' and takes its base from the plain row at its position."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,12 +66,6 @@ def write_report(sections: dict[str, tuple[DataFrame, list[str], str]], path: st
     report_table(sections).write.mode("overwrite").partitionBy("section").option("sep", "\t").csv(path)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the one that driver and executors share, spark.checkpoint.dir (where it is unset, one of the warehouse), for texts that are written and read back."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def write_split(df: DataFrame, column: str, path: str) -> None:
     """K3, K4, K9: a folder of each value of a column (combination, sample or sequence)."""
     df.write.mode("overwrite").partitionBy(column).parquet(path)
