@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType
 
 from .bridge import view, with_views
 from .functions import alignments
-from .operators import calls, history, intervals, reads, reports, sequences, stats, variants
+from .operators import calls, genotypes, history, intervals, reads, reports, sequences, stats, variants
 from .streaming import tracking
 
 Views = Callable[[str], DataFrame]
@@ -194,6 +195,20 @@ def _(v: Views) -> DataFrame:
     return intervals.disjoin(v("br_intervals"))
 
 
+@query(
+    "I4_disjoin_samples",
+    """WITH m AS (SELECT chrom, strand AS sample, start_pos, max(end_pos) AS end_pos FROM br_intervals GROUP BY ALL), n AS (SELECT *, lead(start_pos) OVER (PARTITION BY chrom, sample ORDER BY start_pos) AS nx, min(start_pos) OVER (PARTITION BY chrom, sample) AS f, min(start_pos) OVER (PARTITION BY chrom) AS low FROM m),
+s AS (SELECT chrom, sample, CASE WHEN start_pos = f THEN low ELSE start_pos END AS start_pos, least(end_pos, coalesce(nx - 1, end_pos)) AS end_pos, start_pos % 10 AS copies FROM n),
+p AS (SELECT chrom, start_pos AS p FROM s UNION SELECT chrom, start_pos FROM n UNION SELECT chrom, end_pos + 1 FROM s), q AS (SELECT chrom, p AS start_pos, lead(p) OVER (PARTITION BY chrom ORDER BY p) - 1 AS end_pos FROM p)
+SELECT q.chrom, q.start_pos, q.end_pos, sample, copies FROM q JOIN s ON q.chrom = s.chrom AND q.start_pos BETWEEN s.start_pos AND s.end_pos WHERE q.end_pos IS NOT NULL""",
+)
+def _(v: Views) -> DataFrame:
+    spans = v("br_intervals").groupBy("chrom", F.col("strand").alias("sample"), "start_pos").agg(F.max("end_pos").alias("end_pos"))
+    ahead = F.lead("start_pos").over(Window.partitionBy("chrom", "sample").orderBy("start_pos"))
+    cut = spans.withColumn("end_pos", F.least(F.col("end_pos"), F.coalesce(ahead - 1, F.col("end_pos")))).withColumn("copies", F.col("start_pos") % 10)
+    return intervals.disjoin_samples(cut)
+
+
 @query(
     "I6_chunk_contigs",
     f"""WITH c AS (SELECT chrom, max(pos) AS length FROM br_reads GROUP BY chrom), n AS (SELECT *, greatest(1, CAST(ceil((length - 700.0) / 7000) AS BIGINT)) AS n FROM c), k AS (SELECT *, unnest(range(n)) AS k FROM n)
@@ -287,14 +302,18 @@ def _(v: Views) -> DataFrame:
     return variants.dedupe_by_depth(v("br_variants"), "dp", "var_id").select("chrom", "pos", "var_id", "dp")
 
 
-@query("W16_consistency", f"SELECT chrom, pos, {B('count(*)')} AS n FROM br_calls GROUP BY chrom, pos HAVING count(*) > 1")
+@query(
+    "W16_consistency",
+    f"""WITH r AS (SELECT chrom, pos, max(pos) OVER (PARTITION BY chrom ORDER BY var_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM br_variants)
+SELECT 'duplicate' AS problem, chrom, pos, {B('count(*)')} AS n FROM br_variants GROUP BY chrom, pos HAVING count(*) > 1 UNION ALL SELECT 'unsorted', chrom, pos, count(*) FROM r WHERE pos < reach GROUP BY chrom, pos""",
+)
 def _(v: Views) -> DataFrame:
-    return variants.consistency(v("br_calls"), "pos")
+    return variants.consistency(v("br_variants"), "var_id")
 
 
-@query("J8_liftover", "SELECT var_id, 'new' || chrom AS chrom, pos + 100 AS pos FROM br_variants WHERE pos % 7 <> 0 AND (chrom, pos) IN (SELECT (chrom, pos) FROM br_calls)")
+@query("J8_liftover", "SELECT var_id, 'new' || chrom AS chrom, pos + 100 AS pos FROM br_variants WHERE pos % 7 <> 0")
 def _(v: Views) -> DataFrame:
-    mapping = v("br_calls").select("chrom", "pos").distinct().withColumns({"new_chrom": F.when(F.col("pos") % 7 == 0, "skip").otherwise(F.concat(F.lit("new"), "chrom")), "new_pos": F.col("pos") + 100})
+    mapping = v("br_variants").select("chrom", "pos").distinct().withColumns({"new_chrom": F.when(F.col("pos") % 7 == 0, "skip").otherwise(F.concat(F.lit("new"), "chrom")), "new_pos": F.col("pos") + 100})
     return variants.liftover(v("br_variants"), mapping).select("var_id", "chrom", "pos")
 
 
@@ -355,11 +374,16 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "A21_inbreeding",
-    f"""WITH c AS (SELECT site, 2 * count(*) AS n, count(*) FILTER (a1 <> a2) AS het, sum(a1 + a2) AS ac FROM br_genotypes WHERE a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY site), p AS (SELECT *, CAST(ac AS DOUBLE) / n AS p FROM c)
-SELECT site, {B("n")} AS n, {B("het")} AS het, round(CASE WHEN p > 0 AND p < 1 THEN 1 - (2.0 * het / n) / (2 * p * (1 - p)) END, 6) AS icf FROM p""",
+    f"""WITH g AS (SELECT site, CASE WHEN site % 40 = 3 AND a1 = 1 THEN 2 ELSE a1 END AS a1, a2 FROM br_genotypes), c AS (SELECT site, 2 * count(*) AS n, count(*) FILTER (a1 + a2 = 0) AS hom1, count(*) FILTER (a1 <> a2) AS het, count(*) FILTER (a1 + a2 = 2) AS hom2 FROM g
+ WHERE a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY site HAVING max(greatest(a1, a2)) < 2), p AS (SELECT *, (het + 2.0 * hom2) / n AS p FROM c),
+f AS (SELECT *, (het + 2 * hom2) AS a FROM p), h AS (SELECT site, het, unnest(range(a % 2, least(a, n - a) + 1, 2)) AS k, n, a FROM f),
+w AS (SELECT *, k * ln(2) - lgamma((a - k) / 2 + 1) - lgamma(k + 1) - lgamma((n - a - k) / 2 + 1) AS l FROM h), o AS (SELECT site, max(l) FILTER (k = het) AS seen, max(l) AS top FROM w GROUP BY site),
+q AS (SELECT site, sum(exp(l - top)) FILTER (l - seen <= 1e-9) / sum(exp(l - top)) AS p FROM w JOIN o USING (site) GROUP BY site)
+SELECT site, {B("n")} AS n, {B("hom1")} AS hom1, {B("het")} AS het, {B("hom2")} AS hom2, round(CASE WHEN f.p > 0 AND f.p < 1 THEN 1 - (2.0 * het / n) / (2 * f.p * (1 - f.p)) END, 6) AS icf, round(q.p, 6) AS p FROM f JOIN q USING (site)""",
 )
 def _(v: Views) -> DataFrame:
-    return calls.inbreeding(v("br_genotypes"))
+    gt = v("br_genotypes").withColumn("a1", F.when((F.col("site") % 40 == 3) & (F.col("a1") == 1), F.lit(2).cast("long")).otherwise(F.col("a1")))
+    return genotypes.hwe_exact(calls.inbreeding(gt))
 
 
 @query("A48_recurrence", f"SELECT site, {B('count(DISTINCT sample)')} AS n_samples FROM br_genotypes WHERE a1 + a2 > 0 GROUP BY site")

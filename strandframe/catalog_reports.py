@@ -216,13 +216,16 @@ def _(v: Views) -> DataFrame:
 
 @query(
     "M3_append_versions",
-    f"""WITH {_LATEST}, n AS (SELECT obj_id FROM latest WHERE obj_id % 2 = 0 AND state IS DISTINCT FROM 'click')
-SELECT h.obj_id, h.row_id, h.state, l.row_id IS NOT NULL AND n.obj_id IS NULL AS latest FROM br_history h LEFT JOIN latest l ON l.obj_id = h.obj_id AND l.row_id = h.row_id LEFT JOIN n ON n.obj_id = h.obj_id UNION ALL SELECT obj_id, row_id + 10000000, 'click', true FROM latest JOIN n USING (obj_id)""",
+    f"""WITH {_LATEST}, n AS (SELECT obj_id FROM latest WHERE obj_id % 2 = 0 AND state IS DISTINCT FROM 'click'),
+u AS (SELECT obj_id, row_id + 10000000 AS row_id FROM latest JOIN n USING (obj_id) WHERE obj_id % 3 <> 0 UNION ALL SELECT obj_id, row_id + 20000000 FROM latest JOIN n USING (obj_id) WHERE obj_id % 3 = 0)
+SELECT h.obj_id, h.row_id, h.state, l.row_id IS NOT NULL AND n.obj_id IS NULL AS latest FROM br_history h LEFT JOIN latest l ON l.obj_id = h.obj_id AND l.row_id = h.row_id LEFT JOIN n ON n.obj_id = h.obj_id UNION ALL SELECT obj_id, row_id, 'click', true FROM u""",
 )
 def _(v: Views) -> DataFrame:
     now = history.latest(v("br_history"))
     updates = now.select("obj_id", F.when(F.col("obj_id") % 2 == 0, F.col("row_id")).otherwise(-1).alias("based_on"), F.lit("click").alias("state"), (F.col("row_id") + 10_000_000).alias("row_id"), "changed")
-    return history.append_versions(history.with_latest(v("br_history")), updates).select("obj_id", "row_id", "state", "latest")
+    again = updates.withColumns({"row_id": F.col("row_id") + 10_000_000, "changed": F.col("changed") - F.expr("CASE WHEN obj_id % 3 = 0 THEN INTERVAL 1 SECOND ELSE INTERVAL -1 SECOND END")})
+    same = again.withColumns({"row_id": F.lit(0).cast("long"), "state": F.lit(None).cast("string"), "changed": F.col("changed") - F.expr("INTERVAL 1 DAY"), "based_on": F.lit(-1).cast("long")})
+    return history.append_versions(history.with_latest(v("br_history")), updates.union(again).union(same)).select("obj_id", "row_id", "state", "latest")
 
 
 @query("M8_flagged", f"WITH {_LATEST} SELECT obj_id, row_id, processed FROM latest WHERE processed & 5 = 5")

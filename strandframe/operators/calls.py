@@ -131,10 +131,13 @@ def allele_counts(gt: DataFrame, n_alts: int = 1) -> DataFrame:
 
 
 def inbreeding(gt: DataFrame) -> DataFrame:
-    """Observed and expected heterozygosity and the inbreeding coefficient of each site (null where all alleles are equal)."""
-    c = gt.where("a1 IS NOT NULL AND a2 IS NOT NULL").groupBy("site").agg((2 * F.count("*")).alias("n"), F.count_if(F.col("a1") != F.col("a2")).alias("het"), F.sum(F.col("a1") + F.col("a2")).alias("ac"))
-    p = F.col("ac") / F.col("n")
-    return c.select("site", "n", "het", F.when((p > 0) & (p < 1), 1 - (2 * F.col("het") / F.col("n")) / (2 * p * (1 - p))).alias("icf"))
+    """Alleles n and heterozygotes het of each site's diploid calls, the inbreeding coefficient (null where all alleles are equal), and the genotype counts hom1 (without the
+    alternative) and hom2, from which hwe_exact tells the exact probability. Sites where a call has a second alternative are left out."""
+    both = F.col("a1") + F.col("a2")
+    c = gt.where("a1 IS NOT NULL AND a2 IS NOT NULL").groupBy("site").agg((2 * F.count("*")).alias("n"), F.count_if(both == 0).alias("hom1"), F.count_if(both == 1).alias("het"), F.count_if(both == 2).alias("hom2"), F.max(F.greatest("a1", "a2")).alias("_most")).where("_most < 2")
+    p = (F.col("het") + 2 * F.col("hom2")) / F.col("n")
+    icf = F.when((p > 0) & (p < 1), 1 - (2 * F.col("het") / F.col("n")) / (2 * p * (1 - p)))
+    return c.select("site", "n", "hom1", "het", "hom2", icf.alias("icf"))
 
 
 def cohort_summary(gt: DataFrame, n_alts: int = 1) -> DataFrame:

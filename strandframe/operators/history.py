@@ -51,10 +51,13 @@ def was_processed(hist: DataFrame, mask: int) -> DataFrame:
 
 def append_versions(hist: DataFrame, updates: DataFrame) -> DataFrame:
     """M3: history (with `latest`, whether a row is its object's newest) with updates (obj_id, based_on, state, row_id, changed) added whose based_on is the newest
-    row_id and whose state is new; what was the newest row of such an object is so no more."""
+    row_id and whose state is new; what was the newest row of such an object is so no more. Of several such updates of an object the first by (changed, row_id) is added:
+    it makes a newer row, on which the others aren't based."""
     now = _newest(hist).select("obj_id", F.col("row_id").alias("_row"), F.col("state").alias("_state"), "processed", "value")
-    fresh = updates.join(now, "obj_id").where((F.col("based_on") == F.col("_row")) & ~F.col("state").eqNullSafe(F.col("_state"))).withColumn("latest", F.lit(True))
-    old = hist.join(fresh.select("obj_id").distinct().withColumn("_fresh", F.lit(True)), "obj_id", "left").withColumn("latest", F.col("latest") & F.col("_fresh").isNull())
+    valid = updates.join(now, "obj_id").where((F.col("based_on") == F.col("_row")) & ~F.col("state").eqNullSafe(F.col("_state")))
+    rest = [c for c in hist.columns if c not in ("obj_id", "latest", *VERSION)]
+    fresh = valid.groupBy("obj_id").agg(F.min(F.struct(*VERSION, *rest)).alias("v")).select("obj_id", "v.*").withColumn("latest", F.lit(True))
+    old = hist.join(fresh.select("obj_id", F.lit(True).alias("_fresh")), "obj_id", "left").withColumn("latest", F.col("latest") & F.col("_fresh").isNull())
     return old.select(*hist.columns).unionByName(fresh.select(*hist.columns))
 
 

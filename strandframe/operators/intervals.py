@@ -36,12 +36,25 @@ def mask_from_sites(sites: DataFrame, size: int) -> DataFrame:
 
 
 def disjoin(segments: DataFrame) -> DataFrame:
-    """I4: all pieces between breakpoints of a chromosome that some segment covers, with how many cover each."""
-    points = segments.select("chrom", F.col("start_pos").alias("p")).union(segments.select("chrom", (F.col("end_pos") + 1).alias("p"))).distinct()
-    ahead = neighbour(points, ["chrom"], "p", ["p"], F.col("p"), "next", ahead=True)
-    pieces = ahead.where("next IS NOT NULL").select("chrom", F.col("p").alias("start_pos"), (F.col("next") - 1).alias("end_pos"))
-    other = segments.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"))
-    return overlap_join(pieces, other).groupBy("chrom", "start_pos", "end_pos").agg(F.count("*").alias("n"))
+    """I4: all pieces between breakpoints of a chromosome that some segment covers, with how many cover each: a sweep that adds up starts less ends, in blocks; no
+    piece is joined with the segments over it."""
+    ends = segments.select("chrom", F.explode(F.array(F.struct(F.col("start_pos").alias("p"), F.lit(1).alias("d")), F.struct((F.col("end_pos") + 1).alias("p"), F.lit(-1).alias("d")))).alias("e"))
+    points = ends.groupBy("chrom", F.col("e.p").alias("p")).agg(F.sum("e.d").alias("_d"))
+    swept = running(points, ["chrom"], "p", ["p"], F.col("_d"), "n", "sum")
+    ahead = neighbour(swept, ["chrom"], "p", ["p"], F.col("p"), "_next", ahead=True)
+    return ahead.where("n > 0").select("chrom", F.col("p").alias("start_pos"), (F.col("_next") - 1).alias("end_pos"), "n")
+
+
+def disjoin_samples(segments: DataFrame) -> DataFrame:
+    """I4: each sample's segments (chrom, sample, start_pos, end_pos, others), disjoint within the sample, cut at the breakpoints of all samples, with what they hold; a sample's first
+    segment of a chromosome begins where any sample's does. A row is a piece of one segment, so as many rows are made as the result has."""
+    key = ["chrom", "sample"]
+    lows = segments.groupBy(*key).agg(F.min("start_pos").alias("_first")).join(segments.groupBy("chrom").agg(F.min("start_pos").alias("_low")), "chrom")
+    whole = segments.join(lows, key).withColumn("start_pos", F.when(F.col("start_pos") == F.col("_first"), F.col("_low")).otherwise(F.col("start_pos")))
+    span = ["chrom", "start_pos", "end_pos"]
+    pieces = disjoin(whole.select(*span).unionByName(segments.select(*span))).drop("n")
+    rest = [c for c in segments.columns if c not in ("chrom", "start_pos", "end_pos")]
+    return overlap_join(pieces, whole.select("chrom", *rest, F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"))).select("chrom", "start_pos", "end_pos", *rest)
 
 
 def chunk_contigs(contigs: DataFrame, size: int) -> DataFrame:

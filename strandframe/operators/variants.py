@@ -135,8 +135,12 @@ def dedupe_by_depth(df: DataFrame, depth: str, order: str) -> DataFrame:
 
 
 def consistency(df: DataFrame, order: str) -> DataFrame:
-    """Positions that occur more than once."""
-    return df.groupBy("chrom", "pos").agg(F.count("*").alias("n")).where("n > 1")
+    """Positions that occur more than once (problem duplicate, how often) and positions of rows that stand, by the number in `order`, behind a larger one of their
+    chromosome (problem unsorted, how many rows)."""
+    twice = df.groupBy("chrom", "pos").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("duplicate").alias("problem"), "chrom", "pos", "n")
+    reach = running(df.select("chrom", "pos", order), ["chrom"], order, [order, "pos"], F.col("pos"), "_reach", "max", inclusive=False)
+    back = reach.where("pos < _reach").groupBy("chrom", "pos").agg(F.count("*").alias("n")).select(F.lit("unsorted").alias("problem"), "chrom", "pos", "n")
+    return twice.unionByName(back)
 
 
 def classify(df: DataFrame) -> DataFrame:
@@ -225,9 +229,13 @@ def fill_id_counts(filled: DataFrame) -> DataFrame:
 
 
 def liftover(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Positions replaced by a mapping (chrom, pos, new_chrom, new_pos); rows without one, or with new_chrom skip or ignore, go."""
-    joined = df.join(mapping, ["chrom", "pos"]).where(~F.col("new_chrom").isin("skip", "ignore"))
-    return joined.withColumns({"chrom": F.col("new_chrom"), "pos": F.col("new_pos")}).drop("new_chrom", "new_pos")
+    """Positions replaced by a mapping (chrom, pos, new_chrom, new_pos); rows whose new_chrom is skip or ignore go. A row that the mapping lacks is an error when the
+    table is computed: the mapping was made for other rows."""
+    joined = df.join(mapping.withColumn("_mapped", F.lit(True)), ["chrom", "pos"], "left")
+    missing = F.raise_error(F.concat(F.lit("the mapping has no row for "), "chrom", F.lit(":"), F.col("pos").cast("string"))).cast("string")
+    to = F.when(F.col("_mapped"), F.col("new_chrom")).otherwise(missing)
+    moved = joined.withColumn("new_chrom", to).where(~F.col("new_chrom").isin("skip", "ignore"))
+    return moved.withColumns({"chrom": F.col("new_chrom"), "pos": F.col("new_pos")}).drop("new_chrom", "new_pos", "_mapped")
 
 
 def variant_counts(df: DataFrame, group: str, qual_bin: int) -> DataFrame:
