@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import Views, query
+from .functions.line_format import format_line
 from .operators import merging
 
 # Three sets over br_calls with one, two and one or two alternatives, of which G is common; two samples each, one of them haploid.
@@ -64,3 +65,28 @@ def _lines(merged: DataFrame) -> DataFrame:
 def _(v: Views) -> DataFrame:
     return _lines(merging.merge_calls(*_sets(v), _ROSTER, _NUMBERS, absent="0/0"))
 
+
+
+_CELL = "CASE WHEN a1 IS NULL THEN './.' ELSE concat(a1, CASE WHEN phased = 1 THEN '|' ELSE '/' END, a2) END"
+_PICK = [f"S{i}" for i in (7, 0, 3)]
+_LOOP = ", ".join(
+    f"""'{s}=', coalesce(CASE WHEN {s}.site IS NULL THEN '.' WHEN {s}.a1 IS NULL THEN './.' ELSE concat(CASE {s}.a1 WHEN 0 THEN ref ELSE alt END, CASE WHEN {s}.phased = 1 THEN '|' ELSE '/' END, CASE {s}.a2 WHEN 0 THEN ref ELSE alt END) END, '.'),
+ '(', coalesce({s}.cell, '.'), ' ', CASE WHEN {s}.site IS NULL THEN 'GT:.' ELSE concat('GT:', {s}.cell, ';DP:', {s}.dp) END, ' .)'""" for s in _PICK
+)
+
+
+@query(
+    "P1_format_lines",
+    f"""WITH g AS (SELECT site, sample, a1, a2, phased, dp, {_CELL} AS cell FROM br_genotypes)
+SELECT var_id, concat(chrom, ':', pos, chr(9), '.', ' ', ref, '>', alt, ' DP=', v.dp, ' DB=', CASE WHEN var_id % 2 = 0 THEN '1' ELSE '.' END, ' % [', CASE WHEN qual < 20 THEN 'q20;s50' ELSE '.' END, '] ', {_LOOP}, chr(10)) AS line
+FROM br_variants v {' '.join(f"LEFT JOIN g {s} ON {s}.site = var_id AND {s}.sample = '{s}'" for s in _PICK)}""",
+)
+def _(v: Views) -> DataFrame:
+    roster = [f"S{i}" for i in range(12)]
+    cells = v("br_genotypes").selectExpr("site AS var_id", "sample", f"concat({_CELL}, ':', dp) AS cell").groupBy("var_id").agg(*(F.max(F.when(F.col("sample") == s, F.col("cell"))).alias(f"_{s}") for s in roster))
+    records = v("br_variants").join(cells, "var_id", "left").selectExpr(
+        "var_id", "chrom", "pos", "CAST(NULL AS string) AS id", "ref", "array(alt) AS alts", "qual", "CASE WHEN qual < 20 THEN array('q20', 's50') END AS filter",
+        "CASE WHEN var_id % 2 = 0 THEN map('DP', string(dp), 'DB', '') ELSE map('DP', string(dp)) END AS info", "array('GT', 'DP') AS format", f"array({', '.join('_' + s for s in roster)}) AS samples",
+    )
+    text = "%CHROM:%POS\\t%ID %REF>%ALT DP=%INFO/DP DB=%INFO/DB \\% \\[%FILTER\\] [%SAMPLE=%GT(%GTR %*:; %PL)]\\n"
+    return records.select("var_id", format_line(text, records.columns, roster, _PICK).alias("line"))
