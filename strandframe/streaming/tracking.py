@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+
+def _changed_first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """An object's first time so far, kept as state; rows say that it counts in a window, or no more in another."""
+    seen = min(int(f["at"].min()) for f in frames)
+    known = state.get[0] if state.exists else None
+    if known is not None and known <= seen:
+        return
+    state.update((seen,))
+    yield pd.DataFrame({"at": [seen] + ([known] if known is not None else []), "n": [1] + ([-1] if known is not None else [])})
 
 
-def new_items_per_window(events: DataFrame, window: str = "7 days", late: str = "14 days") -> DataFrame:
-    """Objects first seen in each tumbling window. Repeats within `late` are dropped by state that the watermark bounds; a batch table
-    takes each object's first event."""
-    if events.isStreaming:
-        first = events.withWatermark("changed", late).dropDuplicatesWithinWatermark(["obj_id"])
-    else:
+def new_items_per_window(events: DataFrame, window: str = "7 days") -> DataFrame:
+    """How many objects are first seen in each tumbling window.
+
+    A stream gives changes of these numbers, in append mode: 1 in the window of an object's first event so far, and -1 in the window that it counted in if an earlier
+    event comes later. Added up by window (`added_up`), they are what the batch form gives for all events so far, however long an object was away and in whatever order events come.
+    The state is one time for each object, touched only by its own events.
+    """
+    if not events.isStreaming:
         first = events.groupBy("obj_id").agg(F.min("changed").alias("changed"))
-    return first.groupBy(F.window("changed", window).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "n")
+        return first.groupBy(F.window("changed", window).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "n")
+    some = events.select("obj_id", F.unix_micros("changed").alias("at")).where("at IS NOT NULL")
+    moved = some.groupBy("obj_id").applyInPandasWithState(_changed_first, "at long, n long", "first long", "append", GroupStateTimeout.NoTimeout)
+    return moved.select(F.window(F.timestamp_micros("at"), window)["start"].alias("window_start"), "n")
+
+
+def added_up(changes: DataFrame) -> DataFrame:
+    """Windows with their numbers, from all changes that a stream has written."""
+    return changes.groupBy("window_start").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def latest_state(events: DataFrame) -> DataFrame:
@@ -29,19 +53,29 @@ def state_changes(events: DataFrame, previous: DataFrame) -> DataFrame:
     return joined.where(~F.col("before").eqNullSafe(F.col("state"))).select("obj_id", "before", "state", "changed")
 
 
+def _changed_state(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """An object's newest version so far (time, row, value), kept as state; a row if its value is another now."""
+    versions = ((int(at), int(row), None if pd.isna(value) else value) for f in frames for at, row, value in zip(f["at"], f["row_id"], f["state"], strict=True))
+    newest = max(versions, key=lambda x: (x[0], x[1], str(x[2])))
+    known = state.get if state.exists else None
+    if known is not None and known[:2] >= newest[:2]:
+        return
+    state.update(newest)
+    if known is None or known[2] != newest[2]:
+        yield pd.DataFrame({"obj_id": [key[0]], "before": [known[2] if known is not None else None], "state": [newest[2]], "at": [newest[0]]})
+
+
+def stream_changes(stream: DataFrame) -> DataFrame:
+    """A stream's status changes (obj_id, before, state, changed), in append mode: of each micro-batch the objects whose newest value differs from the one that
+    they had. Each object's newest version is keyed state: a micro-batch reads and writes that of its own objects only."""
+    some = stream.select("obj_id", "row_id", "state", F.unix_micros("changed").alias("at")).where("at IS NOT NULL AND row_id IS NOT NULL")
+    out = some.groupBy("obj_id").applyInPandasWithState(_changed_state, "obj_id long, before string, state string, at long", "at long, row_id long, state string", "append", GroupStateTimeout.NoTimeout)
+    return out.select("obj_id", "before", "state", F.timestamp_micros("at").alias("changed"))
+
+
 def emit_changes(stream: DataFrame, folder: str, checkpoint: str):
-    """A writer of a stream's status changes: each micro-batch is held against the newest states, kept under folder/states by batch, and its changes go to
-    folder/changes. A batch that is run again writes the same, as both are named by its number."""
-
-    def run(batch: DataFrame, number: int) -> None:
-        spark, schema = batch.sparkSession, "obj_id long, state string, changed timestamp"
-        old = spark.read.schema(schema).parquet(f"{folder}/states/{number - 1}") if number else spark.createDataFrame([], schema)
-        some = batch.select("obj_id", "row_id", "state", "changed")
-        state_changes(some, old).write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
-        every = some.unionByName(old.withColumn("row_id", F.lit(-1).cast("long")))
-        latest_state(every).select(*old.columns).write.mode("overwrite").parquet(f"{folder}/states/{number}")
-
-    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    """A writer of a stream's status changes to Parquet files under folder, each once, whatever is run again. What a micro-batch writes, state included, follows its size."""
+    return stream_changes(stream).writeStream.format("parquet").outputMode("append").option("path", folder).option("checkpointLocation", checkpoint)
 
 
 def activity_sessions(events: DataFrame, gap: str = "1 hour", late: str = "1 day") -> DataFrame:

@@ -132,19 +132,3 @@ def test_long_files(spark, tmp_path):
         assert {r.kind: r.tags for r in header} == {"HD": {"VN": "1.0"}, "RG": {"ID": "a", "SM": "s:1"}}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def test_stream_of_changes(spark, tmp_path):
-    """Batches of events give the changes that each brings."""
-    from datetime import datetime
-
-    (tmp_path / "in").mkdir()
-    batches = [[(1, 1, "a", 1), (2, 1, "x", 1)], [(3, 1, "b", 2), (4, 2, "x", 2)], [(5, 1, "b", 3), (6, 3, "n", 3), (7, 2, "old", 0)]]
-    schema = "row_id long, obj_id long, state string, changed timestamp"
-    for k, rows in enumerate(batches):
-        rows = [(i, o, s, datetime(2024, 1, 1 + d)) for i, o, s, d in rows]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        query = tracking.emit_changes(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
-        query.awaitTermination()
-        found = spark.read.schema("obj_id long, before string, state string, changed timestamp").parquet(str(tmp_path / f"out/changes/batch={k}"))
-        assert sorted((r.obj_id, r.before, r.state) for r in found.collect()) == [[(1, None, "x")], [(1, "x", "b"), (2, None, "x")], [(3, None, "n")]][k]
