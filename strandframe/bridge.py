@@ -82,4 +82,6 @@ def with_views(sql: str) -> str:
     heads = ", ".join(f"{v} AS ({BRIDGE[v].format(**{t: t for t in TABLES})})" for v in used)
     if not used:
         return sql
+    if sql.strip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads}, {sql.strip()[15:]}"
     return f"WITH {heads}, {sql.strip()[5:]}" if sql.strip()[:5].upper() == "WITH " else f"WITH {heads} {sql}"

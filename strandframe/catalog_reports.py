@@ -337,14 +337,19 @@ def _(v: Views) -> DataFrame:
     return sequences.split_at_gaps(v("br_fastq").select("name", sequences.clean_base(F.col("seq")).alias("seq")), 2)
 
 
-@query("W17_chunk_by_bases", f"SELECT rec_no, {B('floor(coalesce(sum(length(seq)) OVER (ORDER BY rec_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100000.0)')} AS chunk FROM br_fastq")
+# Chunks are filled one record after another.
+_FILLED = """f AS (SELECT i, CASE WHEN i = 1 THEN 0 ELSE NULL END AS chunk, n AS held FROM u WHERE i = 1 UNION ALL
+ SELECT u.i, CASE WHEN n > 0 AND f.held + n > 30000 THEN f.chunk + 1 ELSE f.chunk END, CASE WHEN n > 0 AND f.held + n > 30000 THEN n ELSE f.held + n END FROM f JOIN u ON u.i = f.i + 1)"""
+
+
+@query("W17_chunk_by_bases", f"WITH RECURSIVE u AS (SELECT row_number() OVER (ORDER BY rec_no) AS i, rec_no, length(seq) AS n FROM br_fastq), {_FILLED} SELECT rec_no, {B('chunk')} AS chunk FROM f JOIN u USING (i)")
 def _(v: Views) -> DataFrame:
-    return sequences.chunk_by_bases(v("br_fastq"), 100_000).select("rec_no", "chunk")
+    return sequences.chunk_by_bases(v("br_fastq"), 30_000).select("rec_no", "chunk")
 
 
-@query("W17_chunks_of_pairs", f"WITH p AS (SELECT rec_no // 2 AS pair, min(rec_no) AS f, sum(length(seq)) AS n FROM br_fastq GROUP BY 1), r AS (SELECT pair, {B('floor(coalesce(sum(n) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100000.0)')} AS chunk FROM p) SELECT rec_no, chunk FROM br_fastq JOIN r ON pair = rec_no // 2")
+@query("W17_chunks_of_pairs", f"WITH RECURSIVE u AS (SELECT rec_no // 2 AS pair, row_number() OVER (ORDER BY min(rec_no)) AS i, sum(length(seq)) AS n FROM br_fastq GROUP BY 1), {_FILLED} SELECT rec_no, {B('chunk')} AS chunk FROM f JOIN u USING (i) JOIN br_fastq ON pair = rec_no // 2")
 def _(v: Views) -> DataFrame:
-    return sequences.chunk_by_bases(v("br_fastq").withColumn("pair", F.floor(F.col("rec_no") / 2)), 100_000, "pair").select("rec_no", "chunk")
+    return sequences.chunk_by_bases(v("br_fastq").withColumn("pair", F.floor(F.col("rec_no") / 2)), 30_000, "pair").select("rec_no", "chunk")
 
 
 @query("X8_reverse_complement", "SELECT rec_no, reverse(translate(seq, 'ACGTRYKMBVDHacgtrykmbvdh', 'TGCAYRMKVBHDtgcayrmkvbhd')) AS rc, round(100.0 * (length(seq) - length(translate(upper(seq), 'GC', ''))) / nullif(length(seq), 0), 6) AS gc FROM br_fastq")

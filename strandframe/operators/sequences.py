@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.greedy import filled_chunks
 from ..plans.prefix import running
 
 
@@ -103,15 +104,13 @@ def clip_point(fastq: DataFrame, share: float = 0.9) -> DataFrame:
 
 
 def chunk_by_bases(fastq: DataFrame, size: int, pair: str | None = None) -> DataFrame:
-    """A chunk number for consecutive records: bases before the record, divided by size. Bounds differ from filling chunks greedily by one
-    record at most. With `pair`, a column whose equal values are mates, bases are those before the pair, which stays together."""
+    """A chunk number for consecutive records (rec_no): a new chunk begins where a record would take it beyond `size` bases. With `pair`, a column whose equal values are
+    mates, these are taken together, where the first of them stands."""
     sized = fastq.withColumn("len", F.length("seq"))
     if pair is None:
-        run = running(sized, [], "rec_no", ["rec_no"], F.col("len"), "before", "sum", inclusive=False)
-        return run.withColumn("chunk", F.floor(F.coalesce("before", F.lit(0)) / size).cast("long")).drop("before")
+        return sized.join(filled_chunks(sized, "rec_no", "len", size).withColumnRenamed("place", "rec_no"), "rec_no")
     pairs = sized.groupBy(pair).agg(F.min("rec_no").alias("_first"), F.sum("len").alias("_len"))
-    run = running(pairs, [], "_first", ["_first", pair], F.col("_len"), "before", "sum", inclusive=False)
-    return sized.join(run.select(pair, F.floor(F.coalesce("before", F.lit(0)) / size).cast("long").alias("chunk")), pair)
+    return sized.join(pairs.join(filled_chunks(pairs, "_first", "_len", size).withColumnRenamed("place", "_first"), "_first").select(pair, "chunk"), pair)
 
 
 def reverse_complement(seq: Column) -> Column:
