@@ -335,3 +335,17 @@ def _(v: Views) -> DataFrame:
 @query("O3_gene_order", f"WITH {_ORDERED} SELECT c_custkey, id, {B('''row_number() OVER (ORDER BY split_part(id, '.', 1), coalesce(TRY_CAST(regexp_extract(substr(id, strpos(id || '.', '.') + 1), '^[0-9]+', 0) AS BIGINT), 0), id, c_custkey)''')} AS place FROM o ORDER BY place LIMIT 200")
 def _(v: Views) -> DataFrame:
     return reports.first_places(_ids(v), [*reports.gene_order(F.col("id")), "id", "c_custkey"], 200)
+
+
+_AXES = {"qual": range(0, 100, 10), "dp": range(1, 51, 5), "pos": range(1, 5001, 500)}
+
+
+@query(
+    "C8_parameter_grids",
+    f"""WITH t AS (SELECT CAST(q AS BIGINT) AS tq, CAST(d AS BIGINT) AS td, CAST(p AS BIGINT) AS tp FROM range(0, 100, 10) a(q) CROSS JOIN range(1, 51, 5) b(d) CROSS JOIN range(1, 5001, 500) c(p)),
+g AS (SELECT tq, td, tp, count(*) FILTER (ok) / CAST(count(*) AS DOUBLE) AS share, count(*) FILTER (ok AND NOT {_INDEL} AND {_TS}) / CAST(nullif(count(*) FILTER (ok AND NOT {_INDEL} AND NOT {_TS}), 0) AS DOUBLE) AS ratio
+ FROM (SELECT *, qual >= tq AND dp >= td AND pos >= tp AS ok FROM br_variants CROSS JOIN t) GROUP BY tq, td, tp)
+SELECT tq AS qual, td AS dp, tp AS pos, round(share, 6) AS share, round(ratio, 6) AS ratio, row_number() OVER (ORDER BY CASE WHEN share >= 0.05 AND abs(share - 0.2) <= 0.1 THEN 0 ELSE 1 END, ratio DESC NULLS LAST, tq, td, tp) = 1 AS best FROM g""",
+)
+def _(v: Views) -> DataFrame:
+    return variants.parameter_grids(v("br_variants"), {c: list(t) for c, t in _AXES.items()}, 0.05, 0.2)

@@ -394,6 +394,37 @@ def parameter_grid(df: DataFrame, column: str, thresholds: list[int], lowest_sha
     return x.withColumn("best", F.coalesce(-top["col2"] == F.col("threshold"), F.lit(False)))
 
 
+def parameter_grids(df: DataFrame, thresholds: dict[str, list[float]], lowest_share: float, target: float | None = None, band: float = 0.1) -> DataFrame:
+    """parameter_grid over several columns at once: a row for each combination of thresholds (a column of each name), of the rows that reach all of them the share and ts/tv, and
+    whether it is the best; on equal ts/tv the lowest thresholds, in the order given, are. Null reaches no threshold.
+
+    Each row falls into one cell of the grid, by how many of each column's thresholds it reaches; cells are counted in one pass, and counts of all cells at or beyond a point are running sums
+    along one axis after another. So the work on rows is the same for any number of thresholds.
+    """
+    levels = {c: sorted(set(t)) for c, t in thresholds.items()}
+    axes = {c: f"_at{k}" for k, c in enumerate(levels)}
+    reached = lambda c, t: sum((F.when(F.col(c) >= x, 1).otherwise(0) for x in t), F.lit(0))
+    plain = ~is_indel()
+    ts, tv = F.count_if(plain & is_transition()), F.count_if(plain & ~is_transition())
+    cells = df.select(*(reached(c, t).alias(axes[c]) for c, t in levels.items()), "ref", "alt").groupBy(*axes.values()).agg(F.count("*").alias("_n"), ts.alias("_ts"), tv.alias("_tv"))
+    size, place = 1, {}
+    for c, t in levels.items():
+        place[axes[c]] = (F.floor(F.col("id") / size) % (len(t) + 1)).cast("int")
+        size *= len(t) + 1
+    full = df.sparkSession.range(size, numPartitions=1).select(*(p.alias(a) for a, p in place.items()))
+    x = full.join(cells, list(axes.values()), "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in ("_n", "_ts", "_tv")})
+    for a in axes.values():
+        along = Window.partitionBy(*(o for o in axes.values() if o != a)).orderBy(F.desc(a)).rowsBetween(Window.unboundedPreceding, 0)
+        x = x.withColumns({n: F.sum(n).over(along) for n in ("_n", "_ts", "_tv")})
+    total = x.agg(F.max("_n").alias("_total"))  # no cell lies before the first point
+    x = x.join(F.broadcast(total)).where(" AND ".join(f"{a} > 0" for a in axes.values()))
+    x = x.select(*(F.get(F.array(*map(F.lit, t)), F.col(axes[c]) - 1).alias(c) for c, t in levels.items()), F.try_divide("_n", "_total").alias("share"), F.when(F.col("_tv") > 0, F.col("_ts") / F.col("_tv")).alias("ratio"))
+    allowed = (F.col("share") >= lowest_share) & ((F.abs(F.col("share") - target) <= band) if target is not None else F.lit(True))
+    order = F.struct(F.col("ratio").isNull(), -F.col("ratio"), *levels)
+    top = F.min(F.when(allowed, order)).over(Window.partitionBy())
+    return x.withColumn("best", F.coalesce(order == top, F.lit(False)))
+
+
 def top_rows(df: DataFrame, key: str, order: list, k: int) -> DataFrame:
     """The first k rows of each key in a total order; Spark limits each partition before it shuffles."""
     return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("place") <= k)
