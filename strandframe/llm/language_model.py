@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import input_partitions, write_table
+from .tables import noise, seat
 
 #: Levels of restaurants: the root; one for each class of words by their last two bytes (and one for the start of a text); and, within each class,
 #: SUBS ones for the word itself, by hash. A token is a customer of the restaurant of the word before it. The numbers bound what sweeps
@@ -31,8 +32,6 @@ BLOCK_TOKENS = 500_000
 #: Gibbs sweeps, and the first one whose seating is averaged.
 SWEEPS, BURN_IN = 3, 2
 STRENGTH = 1.0
-#: Customers of a dish up to which the number of tables is drawn from its exact conditional distribution.
-EXACT = 40
 #: Documents (their first characters) by which words are told that are too frequent for one bucket. That says where counts lie, not what they are.
 SAMPLE_TEXTS, SAMPLE_CHARS = 2_000, 20_000
 #: Logarithms are sent in whole numbers of this size.
@@ -161,41 +160,14 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "state": [_packed(data)], "questions": [_packed(questions)]})
 
 
-def stirling_logs(discount: float, most: int) -> list[np.ndarray]:
-    """Logarithms of the generalized Stirling numbers: item c has those for 1 to c tables of c customers."""
-    rows = [np.zeros(0), np.zeros(1)]
-    for c in range(1, most):
-        old = rows[-1]
-        stay = old + np.log(c - discount * np.arange(1, c + 1))
-        rows.append(np.logaddexp(np.r_[-np.inf, old], np.r_[stay, -np.inf]))
-    return rows
+def _keys(hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What draws for words in places are keyed by."""
+    return hashes ^ (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def seat(c: np.ndarray, weight: np.ndarray, base: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Numbers of tables for dishes with c customers each, in restaurants where a new table weighs `weight` besides what the dish's own
-    tables add, with base probability `base` of the dish: all customers of a dish leave and are seated anew, given everybody else.
-
-    Up to EXACT customers the number of tables is drawn from its conditional distribution (Stirling number times the weights of opening so
-    many tables). Beyond, customers are seated by the Chinese-restaurant rule, one by one at first and then in groups of a 32nd of those
-    seated, whose new tables are binomial."""
-    t = np.minimum(c, 1).astype(np.int64)
-    logs = stirling_logs(discount, EXACT)
-    for n in range(2, EXACT + 1):
-        rows = np.flatnonzero(c == n)
-        if len(rows):
-            opened = np.cumsum(np.log(weight[rows, None] + discount * np.arange(n)), axis=1) + np.log(base[rows, None]) * np.arange(1, n + 1)
-            t[rows] = 1 + np.argmax(logs[n] + opened + rng.gumbel(size=(len(rows), n)), axis=1)
-    rows = np.flatnonzero(c > EXACT)
-    if len(rows):
-        left, tables, w, p, seated = c[rows] - 1, np.ones(len(rows), np.int64), weight[rows], base[rows], 1
-        while (on := left > 0).any():
-            several = np.minimum(left, max(1, seated // 32))
-            new = (w + discount * tables) * p
-            tables += np.where(on, rng.binomial(several, np.clip(new / (new + seated - discount * tables), 0, 1)), 0)
-            left = left - several
-            seated += max(1, seated // 32)
-        t[rows] = tables
-    return t
+def _root_tables(customers: np.ndarray, tables: np.ndarray, total: int, settings: dict, hashes: np.ndarray, number: int) -> np.ndarray:
+    """Tables of words in the root, given how many they had and all had."""
+    return seat(customers, STRENGTH + settings["d0"] * (total - tables), np.full(len(customers), 1 / (settings["words"] + 1)), settings["d0"], noise(hashes, 3 * number + 2))
 
 
 class Seating:
@@ -237,15 +209,14 @@ class Seating:
         return (rest + (STRENGTH + d * totals["of_class"][kind]) * self.root(totals, settings)[word]) / (STRENGTH + customers[kind])
 
     def sweep(self, totals: dict, settings: dict, number: int) -> None:
-        rng = np.random.default_rng([self.bucket, number])
         above = self.in_class(totals, settings, self.g_word, self.g_class)
         weight = STRENGTH + settings["d2"] * (totals["of_context"][self.context] - self.t)
-        self.t = seat(self.c, weight, above[self.group], settings["d2"], rng)
+        self.t = seat(self.c, weight, above[self.group], settings["d2"], noise(_keys(self.hashes[self.word], self.context), 3 * number))
         self._count_up()
         weight = STRENGTH + settings["d1"] * (totals["of_class"][self.g_class] - self.t1)
-        self.t1 = seat(self.c1, weight, self.root(totals, settings)[self.g_word], settings["d1"], rng)
+        self.t1 = seat(self.c1, weight, self.root(totals, settings)[self.g_word], settings["d1"], noise(_keys(self.hashes[self.g_word], self.g_class), 3 * number + 1))
         self._count_up()
-        self.t0 = seat(self.c0, STRENGTH + settings["d0"] * (totals["tables"] - self.t0), np.full(self.n, 1 / (settings["words"] + 1)), settings["d0"], rng)
+        self.t0 = _root_tables(self.c0, self.t0, totals["tables"], settings, self.hashes, number)
 
     def predictive(self, totals: dict, settings: dict, pairs: np.ndarray) -> np.ndarray:
         """Probabilities of pairs (word times CONTEXTS plus context)."""
@@ -301,13 +272,12 @@ def _gathered(merged: DataFrame, model: dict) -> np.ndarray:
     return out
 
 
-def _totals(sums: np.ndarray, settings: dict, sweep: int) -> dict:
-    """What the next sweep needs. Root tables of split words are drawn here, once for all buckets."""
+def _totals(sums: np.ndarray, settings: dict, sweep: int, hot: np.ndarray | None = None, last: dict | None = None) -> dict:
+    """What the next sweep needs. Root tables of split words (`hot`, by hash) are drawn here, once for all buckets, as a bucket draws those of its own words."""
     hot_c0 = sums[NUMBERS + N_NUMBERS + 1 :: 2]
     hot_t0, tables = np.minimum(hot_c0, 1), int(sums[NUMBERS + 7])
-    if sweep and len(hot_c0):
-        rng = np.random.default_rng([1 << 40, sweep])
-        hot_t0 = np.where(hot_c0 > 0, seat(hot_c0, np.full(len(hot_c0), STRENGTH + settings["d0"] * tables), np.full(len(hot_c0), 1 / (settings["words"] + 1)), settings["d0"], rng), 0)
+    if last is not None and len(hot_c0):
+        hot_t0 = _root_tables(hot_c0, last["hot_t0"], last["tables"], settings, hot, sweep - 1)
     return {"of_context": sums[OF_CONTEXT:OF_CLASS], "of_class": sums[OF_CLASS:NUMBERS], "tables": tables + int(hot_t0.sum()), "hot_c0": hot_c0, "hot_t0": hot_t0}
 
 
@@ -358,7 +328,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     settings = {"words": words + int((hot_seen > 0).sum()), "in_context": sums[:CONTEXTS], "train": int(sums[:CONTEXTS].sum()), "hot_seen": hot_seen, "d2": _discount(c1, c2), "d1": _discount(g1, g2), "d0": _discount(w1, w2)}
     totals = [_totals(sums, settings, 0)]
     for sweep in range(1, SWEEPS + 1):
-        totals.append(_totals(_gathered(merged, {"hot": hot, "settings": settings, "totals": totals}), settings, sweep))
+        totals.append(_totals(_gathered(merged, {"hot": hot, "settings": settings, "totals": totals}), settings, sweep, hot, totals[-1]))
 
     answers = merged.mapInPandas(_answers({"hot": hot, "settings": settings, "totals": totals}), "block long, bucket int, data binary")
     own = blocks.where("bucket = -1").select("block", "data")

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strandframe.llm import bpe, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, url_filter
+from strandframe.llm import bpe, language_id, language_model, media, neighbours, packing, quality, sharding, simhash, tables, url_filter
 from strandframe.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -248,7 +248,7 @@ def test_gibbs_against_brute_force():
     lm, d2, d1, d0, words = language_model, 0.7, 0.6, 0.5, 3
     counts = {(0, 64): 3, (0, 65): 2, (1, 64): 2}
     # One class of contexts: tables of a dish in contexts are customers in the class, whose tables are customers of the root.
-    logs = {d: lm.stirling_logs(d, 10) for d in (d2, d1, d0)}
+    logs = {d: [r[1:] for r in tables.stirling_logs(d, 10)] for d in (d2, d1, d0)}
     rising = lambda d, tables: sum(np.log(1 + d * k) for k in range(1, tables))  # noqa: E731  opening tables, strength 1
     total = lambda n: sum(np.log(1 + k) for k in range(1, n))
     weights, ways = {}, 0.0
@@ -306,7 +306,7 @@ def test_wide_numbers():
 
 def test_stirling_numbers():
     """With discount 0 they are the unsigned Stirling numbers of the first kind."""
-    assert np.round(np.exp(language_model.stirling_logs(0.0, 5)[5])).tolist() == [24, 50, 35, 10, 1]
+    assert np.round(np.exp(tables.stirling_logs(0.0, 5)[5, 1:])).tolist() == [24, 50, 35, 10, 1]
 
 
 # 8
