@@ -14,8 +14,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Encoded pieces of text that a worker remembers; when there are more it starts anew.
-REMEMBERED = 500_000
+#: Encoded pieces of text that a worker remembers, and the letters up to which it does; when there are more it starts anew.
+REMEMBERED, SHORT = 500_000, 64
 #: Most parts: letters and marks that PATTERN takes as one word each.
 PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|]*)")
 #: White space, as a set's content: Unicode's property, which Python's own pattern \\s widens.
@@ -41,6 +41,8 @@ class Automaton:
     that u leads to; x gets an arc wherever u has one; and x leads to a copy of the state that v led to just before. A state is the last
     token read; `made`, `left` and `right` hold the gadgets in order. A state's row of transitions, one bit for each token, is
     compiled in whole when the state is first entered, and kept: there are no more rows than tokens. From then on, reading is by table.
+    The arcs are labelled with tokens, not with single bytes: as every beginning of a word is spelt by one path only, the transition at each byte is the one token
+    ending there whose arc the table has, and no arc has to be gone back on.
     """
 
     def __init__(self, path: str):
@@ -157,15 +159,17 @@ class Automaton:
 
 
 class Known(dict):
-    """What a function gives for pieces of text; a new piece is worked out and remembered, and a full memory starts anew."""
+    """What a function gives for pieces of text; a new piece is worked out and, if it is short, remembered, and a full memory starts anew."""
 
     def __init__(self, function, most: int):
         self.function, self.most = function, most
 
     def __missing__(self, piece: str) -> str:
-        if len(self) >= self.most:
-            self.clear()
-        found = self[piece] = self.function(piece)
+        found = self.function(piece)
+        if len(piece) <= SHORT:
+            if len(self) >= self.most:
+                self.clear()
+            self[piece] = found
         return found
 
 
@@ -243,8 +247,8 @@ def _coded(path: str, keep: bool):
 def encode_texts(docs: DataFrame, tokenizer_path: str | None = None, keep: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each whole text's ids by the automaton, decoded again: count and digests, and with `keep` the ids and the decoded text.
 
-    A null text counts as empty: no ids, and the digests of the empty text. Repeated rows stay, a null id stays null, other columns go.
-    One pass, no shuffle.
+    A null text counts as empty: no ids, and the digests of the empty text. Repeated rows stay, a null id stays null, other columns go, an empty table gives no
+    rows. Texts of any length are encoded whole; pieces of over SHORT letters aren't remembered. One pass, no shuffle.
     """
     path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
     schema = SCHEMA + (", ids array<int>, decoded string" if keep else "")

@@ -18,8 +18,6 @@ SAMPLE_CHARS = 32_768
 DICTIONARY_BYTES = 262_144
 #: Characters that are fetched for a dictionary, as a multiple of its bytes: marks and digits of texts don't go in.
 FILL = 1.5
-#: Most languages that are told apart: the most frequent ones.
-MAX_LANGUAGES = 256
 #: Below this margin a text is encoded again with each dictionary in so many parts, whose sizes are added: ties get rarer.
 NARROW, PARTS = 0.03, 8
 #: Longest piece of a text that is encoded in one go, in bytes: a dictionary helps with the first bytes only, so each piece gets it afresh.
@@ -42,14 +40,16 @@ def blocks_of(data: bytes) -> list[bytes]:
     return [data[k : k + size] for k in range(0, len(data), size)]
 
 
-def train_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
+def train_dictionaries(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_languages: int | None = None) -> dict[str, bytes]:
     """A dictionary for each language out of labelled rows: a sample of at most SAMPLE_TEXTS texts (the first SAMPLE_CHARS characters of
     each), chosen by the text's hash, and of these no more than fill DICTIONARY_BYTES: the driver gets a bounded number of characters.
+    All languages have one (with `max_languages`, only so many, the most frequent): DICTIONARY_BYTES each at most, which every task gets.
     Rows with null or empty text or null language are left out, repeated texts count once; without usable rows there are no languages."""
     text = F.substring(named(text_col), 1, SAMPLE_CHARS)
     rows = labelled.where(named(lang_col).isNotNull() & (F.length(named(text_col)) > 0)).select(named(lang_col).alias("lang"), text.alias("text"))
     keyed = rows.select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    most = {r["lang"]: r["count"] for r in keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    counts = keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    most = {r["lang"]: r["count"] for r in (counts if max_languages is None else counts.limit(max_languages)).collect()}
     langs = sorted(most)
     if not langs:
         return {}
@@ -120,7 +120,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     shrink as texts get longer; where it is below NARROW, it is told by encodings with parts of the dictionaries, averaged. rejected is
     true where it is narrower than MIN_MARGIN. Without dictionaries all are und, score 0, and none is rejected, as nothing was compared.
     Equal texts get equal results; repeated rows and null ids stay, other columns go, an empty table stays so. The dictionaries (at most
-    MAX_LANGUAGES, the most frequent ones, of DICTIONARY_BYTES) are broadcast; one pass, no shuffle.
+    one for each language, of DICTIONARY_BYTES at most) are broadcast; one pass, no shuffle.
     """
     model = docs.sparkSession.sparkContext.broadcast(dictionaries)
 

@@ -19,8 +19,8 @@ from .common import write_table
 
 WINDOW = 4096
 END_ID = 2
-#: Encoded pieces of text that a worker remembers; when there are more it starts anew.
-REMEMBERED = 500_000
+#: Encoded pieces of text that a worker remembers, and the letters up to which it does; when there are more it starts anew.
+REMEMBERED, SHORT = 500_000, 64
 #: Letters and marks that make up most parts.
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?*#$%&|]*)")
 #: Marks that normalising may join with the letter before, which tells capitals from small letters; it comes before lower-casing.
@@ -48,13 +48,15 @@ class TextEncoder(dict):
         self.runs = lambda run: self.tokenizer.model.tokenize(run.encode().decode("latin-1").translate(letters))
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         if plain := PLAIN.fullmatch(part.lower()):
             ids = [x.id for run in plain.groups() if run for x in self.runs(run)]
         else:
             ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-        found = self[part] = array("I", ids).tobytes()
+        found = array("I", ids).tobytes()
+        if len(part) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[part] = found
         return found
 
     def __call__(self, text: str | None) -> bytes:
@@ -92,7 +94,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
 
     Returns a row for each piece of a document in a sequence, with its ids: a document that crosses a boundary has a record on either
     side. A null text counts as empty and consists of end_id alone, so no document is lost; null ids stay, repeated rows are documents
-    of their own, other columns go, and an empty table has no pieces.
+    of their own, other columns go, and an empty table has no pieces. A text of any length is encoded whole, by one task, and cut into as
+    many pieces as it takes.
 
     Pass one writes ids and running counts to the shared folder. The driver then gets one total for each partition, and pass two cuts
     each document by its global offset. Nothing is shuffled, and lost executors can't change offsets that are on file.

@@ -23,8 +23,8 @@ SEED = 7
 TARGET_ROWS = 40_000
 #: Share of the target rows that may weigh less than what counts as target text.
 MISSED = 0.002
-#: Words that a worker remembers the hash of.
-REMEMBERED = 500_000
+#: Words that a worker remembers the hash of, and the letters up to which it does.
+REMEMBERED, SHORT = 500_000, 64
 #: Runs of letters and digits, and runs of marks.
 _tokens = re.compile(r"\w+|[^\w\s]+")
 
@@ -38,9 +38,11 @@ class Features(dict):
         self.mask = np.uint64(buckets - 1)
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh32_intdigest(word, SEED)
+        found = xxhash.xxh32_intdigest(word, SEED)
+        if len(word) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
     def __call__(self, text: str | None) -> np.ndarray:
