@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .catalog import Views, query
 from .functions.line_format import format_line
-from .operators import merging
+from .operators import hierarchy, merging
 
 # Three sets over br_calls with one, two and one or two alternatives, of which G is common; two samples each, one of them haploid.
 _NUMBERS = {"PL": "G", "AD": "R", "AF": "A"}
@@ -90,3 +90,29 @@ def _(v: Views) -> DataFrame:
     )
     text = "%CHROM:%POS\\t%ID %REF>%ALT DP=%INFO/DP DB=%INFO/DB \\% \\[%FILTER\\] [%SAMPLE=%GT(%GTR %*:; %PL)]\\n"
     return records.select("var_id", format_line(text, records.columns, roster, _PICK).alias("line"))
+
+
+_LEVELS = [("project", "project"), ("sample", "sample"), ("library", "library_id"), ("lane", "lane_id")]
+
+
+@query(
+    "M6_closure",
+    """WITH RECURSIVE e AS (SELECT DISTINCT concat('project:', project) AS parent, concat('sample:', sample) AS child FROM br_lanes UNION SELECT concat('sample:', sample), concat('library:', library_id) FROM br_lanes
+ UNION SELECT concat('library:', library_id), concat('lane:', lane_id) FROM br_lanes), d AS (SELECT child, 1 AS depth FROM e WHERE parent IN ('project:ASIA', 'sample:FRANCE') UNION SELECT e.child, d.depth + 1 FROM d JOIN e ON e.parent = d.child)
+SELECT split_part(child, ':', 1) AS level, split_part(child, ':', 2) AS id, CAST(min(depth) AS BIGINT) AS depth FROM d GROUP BY child""",
+)
+def _(v: Views) -> DataFrame:
+    roots = v("br_lanes").sparkSession.createDataFrame([("project", "ASIA"), ("sample", "FRANCE")], "level string, id string")
+    return hierarchy.descendants(hierarchy.edges_of(v("br_lanes"), _LEVELS), roots)
+
+
+@query(
+    "M9_path_by_template",
+    """SELECT lane_id, concat_ws('/', split_part(project, ' ', 1), CASE WHEN strpos(project, ' ') > 0 THEN regexp_replace(substr(project, strpos(project, ' ') + 1), '[^A-Za-z0-9]+', '_', 'g') ELSE '' END, 'TRACKING', sample, library_id, lane_id) AS path,
+ CASE WHEN lane_id % 3 > 0 THEN concat_ws('/', project, CASE lane_id % 3 WHEN 1 THEN 'SLX' ELSE '454' END, library_id) END AS library_path FROM br_lanes""",
+)
+def _(v: Views) -> DataFrame:
+    columns = {"genus": "project", "species-subspecies": "project", "project": "project", "sample": "sample", "technology": "tech", "library": "library_id", "lane": "lane_id"}
+    lanes = v("br_lanes").withColumn("tech", F.expr("CASE lane_id % 3 WHEN 1 THEN 'SLX' WHEN 2 THEN '454' END"))
+    long, short = "genus:species-subspecies:TRACKING:sample:library:lane", "project:technology:library:lane"
+    return lanes.select("lane_id", hierarchy.path_of(lanes, "lane", columns, long).alias("path"), hierarchy.path_of(lanes, "library", columns, short).alias("library_path"))

@@ -182,15 +182,20 @@ def reason_counts(calls: DataFrame) -> DataFrame:
 
 
 def pseudo_reference(calls: DataFrame, contigs: DataFrame, size: int) -> DataFrame:
-    """The called bases of contigs (chrom, length) as chunks, with N where nothing is called."""
+    """The called bases (one at a position) of contigs (chrom, length) as chunks, with N where nothing is called. A chunk's text is its bases in order, each behind as many
+    N as lie between it and the one before, so the work follows the chunk's length."""
     chunk = F.floor((F.col("pos") - 1) / size).cast("int")
-    got = calls.groupBy("chrom", chunk.alias("chunk_no")).agg(F.map_from_entries(F.collect_list(F.struct("pos", "base"))).alias("_m"))
+    got = calls.groupBy("chrom", chunk.alias("chunk_no")).agg(F.array_sort(F.collect_list(F.struct(F.col("pos").cast("long").alias("pos"), "base"))).alias("_b"))
     last = F.floor((F.col("length") - 1) / size).cast("int")
     asked = contigs.where("length > 0").withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last)))
-    spots = F.sequence((F.col("chunk_no") * size + 1).cast("long"), F.least(F.col("length"), (F.col("chunk_no") + 1) * size).cast("long"))
-    none = F.array_join(F.transform(spots, lambda _: F.lit("N")), "")
-    text = F.array_join(F.transform(spots, lambda p: F.coalesce(F.try_element_at("_m", p), F.lit("N"))), "")
-    return asked.join(got, ["chrom", "chunk_no"], "left").select("chrom", "chunk_no", F.when(F.col("_m").isNull(), none).otherwise(text).alias("seq"))
+    first = (F.col("chunk_no") * size).cast("long")
+    end = F.least(F.col("length").cast("long"), first + size)
+    inside = F.filter("_b", lambda b: b["pos"] <= end)
+    gap = lambda n: F.repeat(F.lit("N"), n.cast("int"))
+    pieces = F.transform("_in", lambda b, i: F.concat(gap(b["pos"] - F.coalesce(F.get("_in", i - 1)["pos"], F.col("_first")) - 1), b["base"]))
+    rest = gap(F.col("_end") - F.coalesce(F.get("_in", F.size("_in") - 1)["pos"], F.col("_first")))
+    placed = asked.join(got, ["chrom", "chunk_no"], "left").withColumns({"_in": F.coalesce(inside, F.array().cast("array<struct<pos:bigint,base:string>>")), "_first": first, "_end": end})
+    return placed.select("chrom", "chunk_no", F.concat(F.array_join(pieces, ""), rest).alias("seq"))
 
 
 def consensus_fastq(sites: DataFrame, gaps: DataFrame, contigs: DataFrame, size: int, min_depth: int, min_mq: int) -> tuple[DataFrame, DataFrame]:

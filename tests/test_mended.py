@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.operators import calls, history, intervals, variants
+from strandframe.operators import calls, hierarchy, history, intervals, reference, variants
 
 
 def test_two_updates_of_one_object(spark):
@@ -43,3 +43,22 @@ def test_first_segments_reach_back(spark):
     rows = spark.createDataFrame([("1", "a", 1, 10, 2), ("1", "a", 11, 20, 3), ("1", "b", 5, 20, 1)], "chrom string, sample string, start_pos long, end_pos long, copies int")
     found = sorted((r.sample, r.start_pos, r.end_pos, r.copies) for r in intervals.disjoin_samples(rows).collect())
     assert found == [("a", 1, 4, 2), ("a", 5, 10, 2), ("a", 11, 20, 3), ("b", 1, 4, 1), ("b", 5, 10, 1), ("b", 11, 20, 1)]
+
+
+def test_hierarchies(spark):
+    edges = spark.createDataFrame([("a", "1", "b", "1"), ("b", "1", "c", "1"), ("b", "1", "c", "2"), ("a", "1", "c", "2"), ("c", "2", "d", "9"), ("a", "2", "b", "5")], "parent_level string, parent string, level string, id string")
+    roots = spark.createDataFrame([("a", 1)], "level string, id int")
+    assert sorted(map(tuple, hierarchy.descendants(edges, roots).collect())) == [("b", "1", 1), ("c", "1", 2), ("c", "2", 1), ("d", "9", 2)]
+    assert hierarchy.descendants(edges, roots.limit(0)).count() == 0
+    loop = edges.union(spark.createDataFrame([("d", "9", "b", "1")], edges.schema))
+    with pytest.raises(Exception, match="below itself: (b 1|c 2|d 9)"):
+        hierarchy.descendants(loop, roots)
+
+
+def test_pseudo_reference_is_linear(spark):
+    calls = spark.createDataFrame([("1", 1, "A"), ("1", 4, "c"), ("1", 5, "N"), ("1", 9, "T"), ("1", 30, "G"), ("3", 2, "A")], "chrom string, pos long, base string")
+    contigs = spark.createDataFrame([("1", 10), ("2", 3), ("3", 1)], "chrom string, length long")
+    assert sorted(map(tuple, reference.pseudo_reference(calls, contigs, 4).collect())) == [("1", 0, "ANNc"), ("1", 1, "NNNN"), ("1", 2, "TN"), ("2", 0, "NNN"), ("3", 0, "N")]
+    big = spark.range(1, 200_001).select(F.lit("1").alias("chrom"), F.col("id").alias("pos"), F.lit("A").alias("base"))
+    seq = reference.pseudo_reference(big, spark.createDataFrame([("1", 200_003)], "chrom string, length long"), 1_000_000).first().seq
+    assert seq == "A" * 200_000 + "NNN"
