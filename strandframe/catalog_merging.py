@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .catalog import Views, query
 from .functions.line_format import format_line
-from .operators import hierarchy, merging
+from .operators import hierarchy, merging, phasing
 
 # Three sets over br_calls with one, two and one or two alternatives, of which G is common; two samples each, one of them haploid.
 _NUMBERS = {"PL": "G", "AD": "R", "AF": "A"}
@@ -116,3 +116,39 @@ def _(v: Views) -> DataFrame:
     lanes = v("br_lanes").withColumn("tech", F.expr("CASE lane_id % 3 WHEN 1 THEN 'SLX' WHEN 2 THEN '454' END"))
     long, short = "genus:species-subspecies:TRACKING:sample:library:lane", "project:technology:library:lane"
     return lanes.select("lane_id", hierarchy.path_of(lanes, "lane", columns, long).alias("path"), hierarchy.path_of(lanes, "library", columns, short).alias("library_path"))
+
+
+# Five chunks of 60 sites, 20 of which the next one has too; odd ones are turned, chunk 2 has some errors and chunk 4 is turned for one sample only by half of its sites.
+_PHASED = """ch AS (SELECT sample, site, c AS chunk_no, CASE WHEN turn THEN a2 ELSE a1 END AS a1, CASE WHEN c = 2 AND site % 5 = 0 AND sample < 'S4' THEN 1 WHEN turn THEN a1 ELSE a2 END AS a2, site % 4 > 0 AS phased, dp
+  FROM (SELECT *, (c % 2 = 1) <> (c = 4 AND sample = 'S7' AND site % 2 = 0) AS turn, CASE WHEN site % 3 = 0 THEN 1 - b1 ELSE b1 END AS a1, b2 AS a2 FROM (SELECT sample, site, a1 AS b1, a2 AS b2, dp, unnest(range(0, 5)) AS c FROM br_genotypes)) WHERE site BETWEEN c * 40 AND c * 40 + 59 AND NOT (c = 3 AND site < 140)),
+b AS (SELECT x.chunk_no, x.sample, x.site, x.phased AND y.phased AS ok, x.a1 <> x.a2 AS het, x.a1 IS NOT DISTINCT FROM y.a1 AND x.a2 IS NOT DISTINCT FROM y.a2 AS m, x.a1 IS NOT DISTINCT FROM y.a2 AND x.a2 IS NOT DISTINCT FROM y.a1 AS w
+  FROM ch x JOIN ch y ON y.chunk_no = x.chunk_no - 1 AND x.sample = y.sample AND x.site = y.site),
+q AS (SELECT chunk_no, site, count(*) AS n, count(*) FILTER (NOT m AND NOT w) AS e FROM b GROUP BY ALL), p AS (SELECT chunk_no, site, greatest(least(e / n, 1 - l), l) AS p FROM (SELECT *, CASE WHEN n = 1 THEN 0.25 ELSE 1.0 / n END::DOUBLE AS l FROM q)),
+t AS (SELECT chunk_no, sample, count(*) AS n_sites, sum(ln(CASE WHEN m THEN p * p + (1 - p) * (1 - p) ELSE 2 * p * (1 - p) END)) AS match, sum(ln(CASE WHEN m THEN 2 * p * (1 - p) ELSE p * p + (1 - p) * (1 - p) END)) AS swap FROM b JOIN p USING (chunk_no, site) WHERE ok AND het AND (m OR w) GROUP BY ALL),
+j AS (SELECT chunk_no, sample, coalesce(n_sites, 0) AS n_sites, match / ln(10) AS match, swap / ln(10) AS swap, abs(coalesce(round(swap - match, 9), 0)) / ln(10) AS quality, coalesce(round(swap - match, 9), 0) > 0 AS flip,
+  sum(CASE WHEN coalesce(round(swap - match, 9), 0) > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY sample ORDER BY chunk_no) % 2 = 1 AS swapped FROM (SELECT DISTINCT chunk_no, sample FROM ch) LEFT JOIN t USING (chunk_no, sample))"""
+
+
+def _phased(v: Views) -> DataFrame:
+    spread = v("br_genotypes").withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(4)))).where("site BETWEEN c * 40 AND c * 40 + 59 AND NOT (c = 3 AND site < 140)")
+    turned = spread.selectExpr("*", "(c % 2 = 1) <> (c = 4 AND sample = 'S7' AND site % 2 = 0) AS turn", "CASE WHEN site % 3 = 0 THEN 1 - a1 ELSE a1 END AS b1")
+    return turned.selectExpr("sample", "site", "bigint(c) AS chunk_no", "CASE WHEN turn THEN a2 ELSE b1 END AS a1", "CASE WHEN c = 2 AND site % 5 = 0 AND sample < 'S4' THEN 1 WHEN turn THEN b1 ELSE a2 END AS a2", "site % 4 > 0 AS phased", "dp")
+
+
+@query("C2_phase_joins", f"WITH {_PHASED} SELECT sample, CAST(chunk_no AS BIGINT) AS chunk_no, n_sites, round(match, 6) AS match, round(swap, 6) AS swap, round(quality, 6) AS quality, flip, swapped FROM j")
+def _(v: Views) -> DataFrame:
+    return phasing.phase_joins(_phased(v))
+
+
+@query(
+    "C2_phase_sets",
+    f"""WITH {_PHASED}, s AS (SELECT x.chunk_no, min(x.site) AS f, max(x.site) AS t FROM ch x JOIN (SELECT DISTINCT chunk_no, site FROM ch) y ON y.chunk_no = x.chunk_no - 1 AND x.site = y.site GROUP BY x.chunk_no),
+r AS (SELECT ch.*, s.f, s.t, n.f AS nf, n.t AS nt FROM ch LEFT JOIN s USING (chunk_no) LEFT JOIN s n ON n.chunk_no = ch.chunk_no + 1),
+k AS (SELECT *, f IS NULL AS alone, coalesce(site BETWEEN f AND t, false) OR coalesce(site BETWEEN nf AND nt, false) AS sharing FROM r
+  QUALIFY row_number() OVER (PARTITION BY sample, site ORDER BY CASE WHEN coalesce(site BETWEEN f AND t AND t - site > site - f, false) OR coalesce(site BETWEEN nf AND nt AND nt - site <= site - nf, false) THEN 1 ELSE 0 END, chunk_no) = 1),
+z AS (SELECT k.sample, site, k.chunk_no, CASE WHEN swapped THEN a2 ELSE a1 END AS a1, CASE WHEN swapped THEN a1 ELSE a2 END AS a2, (dp < 3 AND NOT sharing) OR ((alone OR quality < 0.5) AND site = min(site) OVER (PARTITION BY k.sample, k.chunk_no)) OR site = min(site) OVER (PARTITION BY k.sample) AS start FROM k JOIN j USING (chunk_no, sample))
+SELECT sample, site, CAST(chunk_no AS BIGINT) AS chunk_no, a1, a2, max(CASE WHEN start THEN site END) OVER (PARTITION BY sample ORDER BY site) AS ps FROM z""",
+)
+def _(v: Views) -> DataFrame:
+    gt = _phased(v)
+    return phasing.joined_phases(gt, phasing.phase_joins(gt), 0.5, F.col("dp") < 3)
