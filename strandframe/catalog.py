@@ -619,4 +619,4 @@ def _(v: Views) -> DataFrame:
     return reports.distinct_ids(v("br_history"), "obj_id")
 
 
-from . import catalog_genotypes, catalog_merging, catalog_reads, catalog_records, catalog_reference, catalog_reports, catalog_sources, catalog_variants  # noqa: E402, F401  (they add their queries)
+from . import catalog_forms, catalog_genotypes, catalog_merging, catalog_reads, catalog_records, catalog_reference, catalog_reports, catalog_sources, catalog_variants  # noqa: E402, F401  (they add their queries)

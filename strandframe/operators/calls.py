@@ -328,3 +328,22 @@ def genotype_status(identity: DataFrame, expected: DataFrame, min_ratio: float)
     nobody, near = F.col("expected").isNull(), F.coalesce(ratio < min_ratio, F.lit(False))
     status = F.when(F.coalesce(tie, F.lit(False)), "confirmed").when(near & nobody, "unknown").when(near, "unconfirmed").when(nobody, "candidate").when(F.col("expected") == F.col("best"), "confirmed").otherwise("wrong")
     return two.select("sample", "expected", "best", "best_share", "second_share", status.alias("status"))
+
+
+def matrix_rows(wide: DataFrame, key: list[str], samples: list[str]) -> DataFrame:
+    """A 0/1 matrix with a column for each sample as a row of each site and sample that has it, with `recurrence`, the number of samples that do. The number is a sum over the row's own
+    columns, so nothing is shuffled."""
+    has = [F.coalesce(F.col(f"`{s}`"), F.lit(0)) > 0 for s in samples]
+    n = sum((F.when(h, 1).otherwise(0) for h in has), F.lit(0))
+    mine = F.array_compact(F.array(*(F.when(h, F.lit(s)) for s, h in zip(samples, has, strict=True))))
+    return wide.select(*key, F.explode(mine).alias("sample"), n.alias("recurrence"))
+
+
+def tab_variants(rows: DataFrame, samples: list[str]) -> DataFrame:
+    """K6: tab rows of several samples (sample, chrom, pos, ref, snp) as one table: chrom, pos, ref, alts (sorted letters that aren't ref) and a column of each sample's genotype. snp is a
+    letter, two letters with a slash, or a single letter for both (A is A/A); NN stands for a sample without a row. Of several rows of a sample at a position the first in order of snp counts."""
+    pair = F.when(F.contains("snp", F.lit("/")), F.col("snp")).otherwise(F.concat_ws("/", "snp", "snp"))
+    cell = lambda s: F.coalesce(F.min(F.when(F.col("sample") == s, F.col("_gt"))), F.lit("NN")).alias(s)
+    letters = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split("_gt", "/")))))
+    made = rows.withColumn("_gt", F.upper(pair)).groupBy("chrom", "pos").agg(F.upper(F.min("ref")).alias("ref"), letters.alias("_all"), *(cell(s) for s in samples))
+    return made.select("chrom", "pos", "ref", F.filter("_all", lambda a: (a != F.col("ref")) & (a != "N")).alias("alts"), *(F.col(f"`{s}`") for s in samples))

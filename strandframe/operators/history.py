@@ -25,9 +25,26 @@ def as_of(hist: DataFrame, when: Column) -> DataFrame:
     return _newest(hist.where(F.col("changed") < when))
 
 
-def first_seen(hist: DataFrame) -> DataFrame:
-    """The first change of each object."""
-    return hist.groupBy("obj_id").agg(F.min("changed").alias("first_seen"))
+def by_row_id(hist: DataFrame, row_id: int) -> DataFrame:
+    """M2: the version that a row id names."""
+    return hist.where(F.col("row_id") == row_id)
+
+
+def most_recent(hist: DataFrame) -> DataFrame:
+    """M2: the newest row of each object of a table with `latest`, also where that isn't set any more (deleted objects)."""
+    return _newest(hist)
+
+
+def current(hist: DataFrame) -> DataFrame:
+    """M2: the rows of a table with `latest` for which it is set: no row of a deleted object."""
+    return hist.where("latest")
+
+
+def first_seen(hist: DataFrame, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """The first change of each object; with an interval, only of objects first seen in it (from since on, before until)."""
+    first = hist.groupBy("obj_id").agg(F.min("changed").alias("first_seen"))
+    first = first.where(F.col("first_seen") >= since) if since is not None else first
+    return first.where(F.col("first_seen") < until) if until is not None else first
 
 
 def versions(hist: DataFrame) -> DataFrame:

@@ -30,9 +30,10 @@ def flag_filter(reads: DataFrame, require: int = 0, exclude: int = 0) -> DataFra
     return reads.where(F.col("flag").bitwiseAND(F.lit(require | exclude)) == require)
 
 
-def unmapped_reads(reads: DataFrame) -> DataFrame:
-    """Unmapped rows."""
-    return reads.where(has(UNMAPPED))
+def unmapped_reads(reads: DataFrame, skip_mate_mapped: bool = False) -> DataFrame:
+    """Unmapped rows; with skip_mate_mapped, not those of pairs whose other mate is mapped."""
+    gone = has(UNMAPPED)
+    return reads.where(gone & (~has(PAIRED) | has(MATE_UNMAPPED)) if skip_mate_mapped else gone)
 
 
 def readgroup_filter(reads: DataFrame, groups: DataFrame, include: Column | None = None, exclude: Column | None = None) -> DataFrame:

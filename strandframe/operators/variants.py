@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from ..plans.prefix import running, with_halo
 from ..plans.ranges import overlap_join
+from .intervals import merge_intervals
 from .stats import running_by_value
 
 TRANSITIONS = ("AG", "GA", "CT", "TC")  # fixed: purine to purine, pyrimidine to pyrimidine
@@ -31,6 +32,16 @@ def region_filter(df: DataFrame, chrom: str, start: int | None = None, end: int
     return df.where(cond & (F.col("pos") <= end) if end is not None else cond)
 
 
+def region_filters(df: DataFrame, regions: list[tuple[str, int | None, int | None]]) -> DataFrame:
+    """Rows in any of some regions (chrom, from, to; None is open), each once; the predicates reach the scan. Many regions are better a table: subset_ranges."""
+    inside = F.lit(False)
+    for chrom, start, end in regions:
+        one = F.col("chrom") == chrom
+        one = one & (F.col("pos") >= start) if start is not None else one
+        inside = inside | (one & (F.col("pos") <= end) if end is not None else one)
+    return df.where(inside)
+
+
 def pass_filter(df: DataFrame, column: str = "filt") -> DataFrame:
     """Rows whose filter is PASS, '.' or null."""
     return df.where(F.col(column).isNull() | F.col(column).isin("PASS", "."))
@@ -85,6 +96,13 @@ def subset_positions(df: DataFrame, positions: DataFrame, complement: bool = Fal
     return df.join(positions.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_anti" if complement else "left_semi")
 
 
+def subset_ranges(df: DataFrame, ranges: DataFrame, complement: bool = False) -> DataFrame:
+    """Rows whose position lies in a range (chrom, start_pos, end_pos), or in none. Ranges are merged first, so a position meets one of them at most."""
+    merged = merge_intervals(ranges).select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"))
+    places = overlap_join(df.select("chrom", "pos").distinct(), merged, left_span=("pos", "pos")).select("chrom", "pos")
+    return df.join(places, ["chrom", "pos"], "left_anti" if complement else "left_semi")
+
+
 def evenly_spaced(df: DataFrame, order: str, wanted: int) -> DataFrame:
     """Every k-th row by a gapless number from 0, k = rows / wanted, at least 1."""
     step = max(1, df.count() // wanted)

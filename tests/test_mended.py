@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.operators import calls, hierarchy, history, intervals, reference, variants
+from strandframe.operators import calls, declarations, hierarchy, history, intervals, reference, variants
 
 
 def test_two_updates_of_one_object(spark):
@@ -62,3 +62,13 @@ def test_pseudo_reference_is_linear(spark):
     big = spark.range(1, 200_001).select(F.lit("1").alias("chrom"), F.col("id").alias("pos"), F.lit("A").alias("base"))
     seq = reference.pseudo_reference(big, spark.createDataFrame([("1", 200_003)], "chrom string, length long"), 1_000_000).first().seq
     assert seq == "A" * 200_000 + "NNN"
+
+
+def test_declarations_by_version(spark):
+    rows = [("FORMAT", "PL", "-1", "Integer"), ("INFO", "AC", ".", "Integer"), ("FORMAT", "XX", "R", "Float"), ("FORMAT", "DP", "1", "Integer"), ("FILTER", "AC", None, None)]
+    table = spark.createDataFrame(rows, "kind string, id string, number string, type string")
+    of = lambda version: [r.number for r in declarations.upgrade_declarations(table, version).collect()]
+    assert of(4.2) == ["G", "A", "R", "1", None] and of(4.1) == ["G", "A", ".", "1", None]
+    assert of(4.0) == [".", ".", ".", "1", None] and of(3.3) == ["-1", "-1", "-1", "1", None]
+    header = spark.createDataFrame([("f", "FORMAT", {"ID": "PL", "Number": "G", "Type": "Integer"}), ("f", "source", {"value": "x"})], "file string, key string, attributes map<string,string>")
+    assert [tuple(r) for r in declarations.declarations(header).collect()] == [("f", "FORMAT", "PL", "G", "Integer")]
