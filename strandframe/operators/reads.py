@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..plans.prefix import block_of, running
 from ..plans.ranges import overlap_join
+from ..plans.shared import written
 from .intervals import merge_intervals, reads_in_intervals
 from .stats import histogram_stats
 
@@ -61,14 +62,17 @@ def insert_histogram(reads: DataFrame, keys: list[str]) -> DataFrame:
 
 def readgroup_stats(reads: DataFrame) -> DataFrame:
     """A1: totals, mapped, proper and duplicate reads, mismatch percentage, mean base quality of mapped reads (qual_sum over seq_len), and
-    insert-size mean, sd, median and median absolute deviation of each read group. Medians come from histograms: no group is gathered."""
+    insert-size mean, sd, median and median absolute deviation of each read group. Medians come from histograms: no group is gathered. Reads are read once, summed by read group and insert
+    size, and the numbers are told from these sums, which are written."""
     mapped = ~has(UNMAPPED)
-    base = reads.groupBy("rg").agg(
-        F.count("*").alias("total_reads"), F.sum("seq_len").alias("total_bases"), total(mapped).alias("mapped_reads"), total(mapped, F.col("seq_len")).alias("mapped_bases"),
-        total(mapped & has(PAIRED)).alias("paired_reads"), total(mapped & has(PROPER)).alias("proper_reads"), total(has(DUPLICATE)).alias("dup_reads"),
-        F.try_divide(100 * total(mapped, F.col("nm")), total(mapped, F.col("seq_len"))).alias("pct_mismatch"), F.try_divide(total(mapped, F.col("qual_sum")), total(mapped, F.col("seq_len"))).alias("avg_quality"),
-    )
-    hist = insert_histogram(reads, ["rg"])
+    size = F.when(has(PROPER) & (F.col("mapq") > 0) & (F.col("isize") > 0), F.col("isize")).alias("bin")
+    sums = {
+        "total_reads": F.count("*"), "total_bases": F.sum("seq_len"), "mapped_reads": total(mapped), "mapped_bases": total(mapped, F.col("seq_len")), "paired_reads": total(mapped & has(PAIRED)),
+        "proper_reads": total(mapped & has(PROPER)), "dup_reads": total(has(DUPLICATE)), "_mismatches": total(mapped, F.col("nm")), "_quality": total(mapped, F.col("qual_sum")),
+    }
+    cells = written(reads.groupBy("rg", size).agg(*(c.alias(n) for n, c in sums.items())), "readgroups")
+    base = cells.groupBy("rg").agg(*(F.sum(n).alias(n) for n in sums)).withColumns({"pct_mismatch": F.try_divide(100 * F.col("_mismatches"), F.col("mapped_bases")), "avg_quality": F.try_divide("_quality", "mapped_bases")}).drop("_mismatches", "_quality")
+    hist = cells.where("bin IS NOT NULL").select("rg", "bin", F.col("total_reads").alias("freq"))
     stats = histogram_stats(hist, ["rg"])
     spread = hist.join(stats.select("rg", "median"), "rg").groupBy("rg", F.abs(F.col("bin") - F.col("median")).alias("bin")).agg(F.sum("freq").alias("freq"))
     mad = histogram_stats(spread, ["rg"]).select("rg", F.col("median").alias("isize_mad"))
@@ -77,12 +81,13 @@ def readgroup_stats(reads: DataFrame) -> DataFrame:
 
 
 def alignment_summary(reads: DataFrame, require: int = 0, exclude: int = 0, cap: int = 8000, bulk: float = 0.99) -> DataFrame:
-    """A2: the summary numbers of reads with all bits of `require` and none of `exclude`; `filtered` counts the others. One row. Reads are summed by flag first, of
-    which there are few, and the numbers are told from these sums; pairs have one more pass. Needs qual_sum, trimmed (bases), cigar_mapped (bases of M and I),
+    """A2: the summary numbers of reads with all bits of `require` and none of `exclude`; `filtered` counts the others. One row. Reads are read once, summed by flag and, if they are
+    of a pair, by its insert size and orientation; all numbers are told from these sums, which are written. Needs qual_sum, trimmed (bases), cigar_mapped (bases of M and I),
     mate_chrom and mate_pos."""
     keys = ["flag", (F.col("mapq") == 0).alias("mq0"), F.coalesce(F.col("chrom") != F.col("mate_chrom"), F.lit(False)).alias("apart")]
     sums = [F.sum(c).alias(c) for c in ("seq_len", "cigar_mapped", "trimmed", "nm", "qual_sum")]
-    by_flag = reads.groupBy(*keys).agg(F.count("*").alias("n"), F.max("seq_len").alias("longest"), *sums)
+    size, kind = _pair_cell(cap)
+    by_flag = written(reads.groupBy(*keys, F.when(kind.isNotNull(), size).alias("bin"), kind.alias("kind")).agg(F.count("*").alias("n"), F.max("seq_len").alias("longest"), *sums), "flags")
     mapped, kept = ~has(UNMAPPED), (F.col("flag").bitwiseAND(F.lit(require)) == require) & (F.col("flag").bitwiseAND(F.lit(exclude)) == 0)
     n = lambda c, value="n": F.sum(F.when(kept & c, F.col(value)).otherwise(0)).cast("long")
     one, last = F.lit(True), has(READ2)
@@ -93,7 +98,7 @@ def alignment_summary(reads: DataFrame, require: int = 0, exclude: int = 0, cap:
         "bases_duplicated": n(has(DUPLICATE), "seq_len"), "mismatches": n(mapped, "nm"), "maximum_length": F.max(F.when(kept, F.col("longest"))), "quality_sum": n(one, "qual_sum"),
         "different_chromosomes": F.floor(n(mapped & has(PAIRED) & F.col("apart")) / 2),
     }
-    pairs = bulk_stats(pair_histogram(flag_filter(reads, require, exclude), cap), bulk)
+    pairs = bulk_stats(_by_orientation(by_flag.where(kept).groupBy("bin", "kind").agg(F.sum("n").alias("n"))), bulk)
     out = by_flag.agg(*(c.alias(name) for name, c in numbers.items())).join(F.broadcast(pairs))
     ratio = lambda a, b: F.try_divide(F.col(a), F.col(b))
     return out.withColumns(
@@ -117,19 +122,28 @@ def flagstat(reads: DataFrame) -> DataFrame:
     )
 
 
-def pair_histogram(reads: DataFrame, cap: int) -> DataFrame:
-    """Pairs of each insert size (bin, up to cap - 1) by orientation. Both mates of a pair count, so counts are halved, downwards. Mates on the
-    same strand are `other`; else inward if the forward one comes first. Mates at the same place have no orientation."""
+def _pair_cell(cap: int) -> tuple[Column, Column]:
+    """A read's insert size up to cap - 1, and its pair's orientation: 0 other, 1 inward, 2 outward, 3 none; null if it is of no pair that counts."""
     side = (F.col("mate_pos") - F.col("pos")) * F.when(has(REVERSE), -1).otherwise(1)
     other = has(REVERSE) == has(MATE_REVERSE)
     used = (F.col("flag").bitwiseAND(F.lit(UNMAPPED | PAIRED)) == PAIRED) & ((F.col("isize") != 0) | (F.col("chrom") == F.col("mate_chrom")))
-    kind = F.when(used, F.when(other, 0).when(side > 0, 1).when(side < 0, 2).otherwise(3))
-    x = reads.select(F.least(F.abs("isize"), F.lit(cap - 1)).alias("bin"), kind.alias("kind")).groupBy("bin", "kind").agg(F.count("*").alias("n")).where("kind IS NOT NULL")
+    return F.least(F.abs("isize"), F.lit(cap - 1)), F.when(used, F.when(other, 0).when(side > 0, 1).when(side < 0, 2).otherwise(3))
+
+
+def _by_orientation(cells: DataFrame) -> DataFrame:
+    """Pairs of each insert size by orientation, of reads (n) by bin and kind."""
     half = lambda k: F.floor(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)) / 2)
-    out = x.groupBy("bin").agg(half(1).alias("inward"), half(2).alias("outward"), half(0).alias("other"))
+    out = cells.where("kind IS NOT NULL").groupBy("bin").agg(half(1).alias("inward"), half(2).alias("outward"), half(0).alias("other"))
     return out.withColumn("pairs", F.col("inward") + F.col("outward") + F.col("other"))
 
 
+def pair_histogram(reads: DataFrame, cap: int) -> DataFrame:
+    """Pairs of each insert size (bin, up to cap - 1) by orientation. Both mates of a pair count, so counts are halved, downwards. Mates on the
+    same strand are `other`; else inward if the forward one comes first. Mates at the same place have no orientation."""
+    size, kind = _pair_cell(cap)
+    return _by_orientation(reads.select(size.alias("bin"), kind.alias("kind")).groupBy("bin", "kind").agg(F.count("*").alias("n")))
+
+
 def bulk_stats(hist: DataFrame, bulk: float) -> DataFrame:
     """Pairs of each orientation, and mean_isize and isize_sd of the main bulk: the bins up to the first at which more than `bulk` of all pairs are reached (the sd
     from bin 1 on). One row, one pass."""
@@ -154,11 +168,11 @@ def insert_size_histogram(reads: DataFrame, cap: int = 8000, bulk: float = 0.99)
 
 def depth_segments(reads: DataFrame) -> DataFrame:
     """Stretches of equal depth (chrom, start_pos, end_pos, depth > 0) of mapped reads, by a running sum of starts and ends in blocks
-    of positions; blocks' sums and first positions, few, run along the chromosome."""
+    of positions; blocks' sums and first positions, few, run along the chromosome. Steps of the depth are written, as both need them."""
     mapped = reads.where(~has(UNMAPPED))
     ends = F.array(F.struct(F.col("pos").alias("p"), F.lit(1).alias("d")), F.struct((F.col("pos") + F.col("seq_len")).alias("p"), F.lit(-1).alias("d")))
     events = mapped.select("chrom", F.explode(ends).alias("e")).select("chrom", "e.p", "e.d")
-    steps = events.groupBy("chrom", "p").agg(F.sum("d").alias("d")).withColumn("_block", block_of(F.col("p")))
+    steps = written(events.groupBy("chrom", "p").agg(F.sum("d").alias("d")).withColumn("_block", block_of(F.col("p"))), "steps")
     along = Window.partitionBy("chrom").orderBy("_block")
     blocks = steps.groupBy("chrom", "_block").agg(F.sum("d").alias("_sum"), F.min("p").alias("_first"))
     blocks = blocks.select("chrom", "_block", F.coalesce(F.sum("_sum").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lead("_first").over(along).alias("_next"))
