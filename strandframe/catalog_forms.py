@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import _NOON, B, Views, _when, query
-from .operators import calls, declarations, history, reads, variants
+from .operators import calls, declarations, history, intervals, reads, records, reference, variants
 
 
 @query("P2_region_list", "SELECT * FROM br_variants WHERE chrom = 'chr1' OR (chrom = 'chr2' AND pos BETWEEN 1000 AND 3000) OR (chrom = 'chr2' AND pos >= 2500) OR (chrom = 'chr4' AND pos <= 700)")
@@ -89,3 +89,54 @@ def _(v: Views) -> DataFrame:
     rows = [("FORMAT", "GT", "1", "String"), ("FORMAT", "DP", "1", "Integer"), ("FORMAT", "PL", "G", "Integer"), ("FORMAT", "AF", "A", "Float"), ("INFO", "ZZ", "1", "Integer")]
     declared = cells.sparkSession.createDataFrame(rows, "kind string, id string, number string, type string")
     return declarations.format_problems(cells, declared).select("site", "sample", "tag", "problem")
+
+
+_FIRST = "CASE WHEN var_id % 4 = 0 THEN [alt, 'T'] WHEN var_id % 9 = 1 THEN ['<DEL>'] ELSE [alt] END"
+_KINDS = "length(ref) = 1 AND regexp_full_match(alts[1], '[ACGT]') AND ref <> alts[1]"
+
+
+@query(
+    "A17_first_alternative",
+    f"""WITH x AS (SELECT ref, {_FIRST} AS alts, qual // 25 AS bin FROM br_variants), k AS (SELECT *, {_KINDS} AS snp, concat(ref, alts[1]) IN ('AG', 'GA', 'CT', 'TC') AS ts FROM x)
+SELECT bin, {B('count(*)')} AS total, {B('count(*) FILTER (snp AND ts)')} AS ts, {B('count(*) FILTER (snp AND NOT ts)')} AS tv, {B('count(*) FILTER (NOT snp)')} AS skipped, {B('count(*) FILTER (len(alts) > 1)')} AS multiallelic, round(count(*) FILTER (snp AND ts) / CAST(nullif(count(*) FILTER (snp AND NOT ts), 0) AS DOUBLE), 6) AS ratio FROM k GROUP BY bin""",
+)
+def _(v: Views) -> DataFrame:
+    rows = v("br_variants").selectExpr("ref", "CASE WHEN var_id % 4 = 0 THEN array(alt, 'T') WHEN var_id % 9 = 1 THEN array('<DEL>') ELSE array(alt) END AS alts", "qual div 25 AS bin")
+    return variants.ts_tv_first(rows, "bin")
+
+
+@query("I3_exclude_around_indels", "WITH p AS (SELECT DISTINCT chrom, pos FROM br_variants WHERE length(ref) <> length(alt)), g AS (SELECT chrom, coalesce(lag(pos) OVER (PARTITION BY chrom ORDER BY pos) + 20, 1) AS start_pos, pos - 20 AS end_pos FROM p) SELECT * FROM g WHERE end_pos > start_pos")
+def _(v: Views) -> DataFrame:
+    return intervals.exclude_around_indels(v("br_variants").where("length(ref) <> length(alt)"))
+
+
+@query("W10_pileup", "SELECT chrom, pos, var_id, depth FROM (SELECT chrom, pos, var_id, dp % 4 AS depth, CASE WHEN var_id % 6 = 0 THEN '*' ELSE ref END AS r FROM br_variants) WHERE r <> '*' QUALIFY row_number() OVER (PARTITION BY chrom, pos ORDER BY depth DESC, var_id DESC) = 1")
+def _(v: Views) -> DataFrame:
+    rows = v("br_variants").selectExpr("chrom", "pos", "var_id", "dp % 4 AS depth", "CASE WHEN var_id % 6 = 0 THEN '*' ELSE ref END AS ref")
+    return variants.dedupe_pileup(rows, "var_id", last=True).select("chrom", "pos", "var_id", "depth")
+
+
+@query("W3_allele_score", "SELECT var_id, CASE WHEN dp % 3 = 0 THEN qual / 100.0 WHEN dp % 3 = 1 AND var_id % 2 = 0 THEN 0.5 WHEN dp % 3 = 1 THEN 7 ELSE 0 END::DOUBLE AS score FROM br_variants")
+def _(v: Views) -> DataFrame:
+    tags = "CASE WHEN dp % 3 = 0 THEN map('AF', concat(qual / 100D, ',0.9'), 'AC', '3') WHEN dp % 3 = 1 AND var_id % 2 = 0 THEN map('AF1', '0.5', 'AC', '9') WHEN dp % 3 = 1 THEN map('AC', '7,2') ELSE map('AF', '.') END"
+    return v("br_variants").select("var_id", variants.allele_score(F.expr(tags)).alias("score"))
+
+
+@query("P10_drop_format_tags", "SELECT site, sample, CASE WHEN dp % 2 = 0 THEN 'GT=x' ELSE concat('GQ=', dp, ';GT=x') END AS tags FROM br_genotypes")
+def _(v: Views) -> DataFrame:
+    cells = v("br_genotypes").selectExpr("site", "sample", "CASE WHEN dp % 2 = 0 THEN map('GT', 'x', 'DP', string(dp)) ELSE map('GT', 'x', 'PL', '1', 'GQ', string(dp)) END AS tags")
+    return records.drop_format_tags(cells, ["DP", "PL", "GT"]).select("site", "sample", records.info_text(F.col("tags")).alias("tags"))
+
+
+# One substitution on each long document, with two alternatives; sample S1's second haplotype is applied.
+@query(
+    "C4_haplotype",
+    """WITH g AS (SELECT site, CASE WHEN site % 3 = 0 THEN a2 * 2 ELSE a2 END AS a FROM br_genotypes WHERE sample = 'S1'), s AS (SELECT name, CASE a WHEN 1 THEN 'GG' WHEN 2 THEN 'T' END AS alt FROM br_fastq JOIN g ON rec_no = site WHERE length(seq) > 40 AND a > 0)
+SELECT b.name AS chrom, md5(CASE WHEN alt IS NULL THEN seq ELSE concat(substr(seq, 1, 19), alt, substr(seq, 22)) END) AS digest FROM br_fastq b LEFT JOIN s ON s.name = b.name""",
+)
+def _(v: Views) -> DataFrame:
+    sites = v("br_fastq").where("length(seq) > 40").selectExpr("rec_no AS site", "name AS chrom", "20L AS pos", "substr(seq, 20, 2) AS ref", "array('GG', 'T') AS alts")
+    gt = v("br_genotypes").withColumn("a2", F.expr("CASE WHEN site % 3 = 0 THEN a2 * 2 ELSE a2 END"))
+    chunks = reference.chunked(v("br_fastq").select(F.col("name").alias("chrom"), "seq"), 500)
+    made = reference.consensus_sequence(chunks, reference.haplotype_variants(sites, gt, "site", "S1", 2), 500, "site")
+    return made.groupBy("chrom").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "seq"))), lambda x: x["seq"]), "")).alias("digest"))

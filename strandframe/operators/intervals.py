@@ -35,6 +35,14 @@ def mask_from_sites(sites: DataFrame, size: int) -> DataFrame:
     return merge_intervals(sites.select("chrom", F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos")), size)
 
 
+def exclude_around_indels(sites: DataFrame, margin: int = 20) -> DataFrame:
+    """What lies between insertions and deletions (chrom, pos): from `margin` behind one (or the chromosome's start) to `margin` before the next, if that is more than a base."""
+    places = sites.select("chrom", "pos").distinct()
+    behind = neighbour(places, ["chrom"], "pos", ["pos"], F.col("pos"), "_last")
+    spans = behind.select("chrom", F.coalesce(F.col("_last") + margin, F.lit(1)).cast("long").alias("start_pos"), (F.col("pos") - margin).alias("end_pos"))
+    return spans.where("end_pos > start_pos")
+
+
 def disjoin(segments: DataFrame) -> DataFrame:
     """I4: all pieces between breakpoints of a chromosome that some segment covers, with how many cover each: a sweep that adds up starts less ends, in blocks; no
     piece is joined with the segments over it."""

@@ -69,6 +69,12 @@ def drop_tags(df: DataFrame, info: list[str] | None = None, columns: list[str] |
     return out.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in columns or []})
 
 
+def drop_format_tags(cells: DataFrame, tags: list[str]) -> DataFrame:
+    """P10: FORMAT tags (of the map column `tags`) removed from samples' cells; the genotype stays."""
+    gone = [t for t in tags if t != "GT"]
+    return cells.withColumn("tags", F.map_filter("tags", lambda k, _: ~k.isin(gone))) if gone else cells
+
+
 def info_text(info: Column) -> Column:
     """A map as KEY=VALUE;FLAG, keys in order; a dot if it is empty."""
     parts = F.transform(F.array_sort(F.map_keys(info)), lambda k: F.when(info[k] == "", k).otherwise(F.concat(k, F.lit("="), info[k])))

@@ -157,6 +157,13 @@ def consensus_sequence(chunks: DataFrame, variants: DataFrame, size: int, order:
     return chunks.join(edits, ["chrom", "chunk_no"], "left").select("chrom", "chunk_no", F.when(F.col("_e").isNull(), F.col("seq")).otherwise(changed).alias("seq"))
 
 
+def haplotype_variants(records: DataFrame, genotypes: DataFrame, key: str, sample: str, haplotype: int) -> DataFrame:
+    """C4: the variants (chrom, pos, ref, alt, key) of one haplotype (1 or 2) of a sample, for consensus_sequence: of records (key, chrom, pos, ref, alts array) the alternative that the
+    genotype (key, sample, a1, a2) has there. Where it has the reference or nothing, there is none."""
+    mine = genotypes.where(F.col("sample") == sample).select(key, F.col(f"a{haplotype}").cast("int").alias("_a")).where("_a > 0")
+    return records.join(mine, key).select(key, "chrom", "pos", "ref", F.get("alts", F.col("_a") - 1).alias("alt")).where("alt IS NOT NULL")
+
+
 # Default thresholds for accepting a site.
 SITE_RULES = {"quality": 50, "map_quality": 30, "af1": 0.95, "strand_bias": 0.001, "base_quality_bias": 0.0, "map_bias": 0.001, "tail_bias": 0.001, "depth": 4, "depth_strand": 2, "ratio": 0.75}
 

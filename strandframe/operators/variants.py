@@ -146,12 +146,23 @@ def snp_cluster_filter(df: DataFrame, n: int, w: int) -> DataFrame:
     return counted.withColumn("clustered", starts == 1).where("home").drop("_ahead", "block_no", "home")
 
 
-def dedupe_by_depth(df: DataFrame, depth: str, order: str) -> DataFrame:
-    """One row of each (chrom, pos): the deepest if any depth is positive, else the first by order."""
-    key = F.struct(F.when(F.col(depth) > 0, F.col(depth)).otherwise(F.lit(0)), -F.col(order))
+def dedupe_by_depth(df: DataFrame, depth: str, order: str, last: bool = False) -> DataFrame:
+    """One row of each (chrom, pos): the deepest if any depth is positive, else the first by order, or the last."""
+    key = F.struct(F.when(F.col(depth) > 0, F.col(depth)).otherwise(F.lit(0)), F.col(order) if last else -F.col(order))
     return df.groupBy("chrom", "pos").agg(F.max_by(F.struct(*(c for c in df.columns if c not in ("chrom", "pos"))), key).alias("r")).select("chrom", "pos", "r.*")
 
 
+def dedupe_pileup(pileup: DataFrame, order: str, last: bool = False) -> DataFrame:
+    """Pileup rows (chrom, pos, ref, depth): rows of insertions and deletions (ref *) go, and of the others one stays for each position, as dedupe_by_depth says."""
+    return dedupe_by_depth(pileup.where("ref <> '*'"), "depth", order, last)
+
+
+def allele_score(info: Column) -> Column:
+    """The score by which insertions and deletions compete: the first value of AF, else of AF1, else of AC, else 0."""
+    first = lambda tag: F.substring_index(F.try_element_at(info, F.lit(tag)), ",", 1).try_cast("double")
+    return F.coalesce(first("AF"), first("AF1"), first("AC"), F.lit(0.0))
+
+
 def consistency(df: DataFrame, order: str) -> DataFrame:
     """Positions that occur more than once (problem duplicate, how often) and positions of rows that stand, by the number in `order`, behind a larger one of their
     chromosome (problem unsorted, how many rows)."""
@@ -295,6 +306,15 @@ def ts_tv(df: DataFrame, *by: str) -> DataFrame:
     return x.withColumn("ratio", F.when(F.col("tv") > 0, F.col("ts") / F.col("tv")))
 
 
+def ts_tv_first(df: DataFrame, *by: str) -> DataFrame:
+    """As ts_tv, of records with alts (array): their first alternative counts; multiallelic are the records that have several."""
+    first = df.withColumns({"alt": F.coalesce(F.get("alts", F.lit(0)), F.lit(".")), "_several": (F.size("alts") > 1).cast("int")})
+    snp = (F.length("ref") == 1) & F.col("alt").rlike("^[ACGT]$") & (F.col("ref") != F.col("alt"))
+    counts = [F.count("*").alias("total"), F.count_if(snp & is_transition()).alias("ts"), F.count_if(snp & ~is_transition()).alias("tv"), F.count_if(~snp).alias("skipped"), F.sum("_several").alias("multiallelic")]
+    x = first.groupBy(*by).agg(*counts) if by else first.agg(*counts)
+    return x.withColumn("ratio", F.when(F.col("tv") > 0, F.col("ts") / F.col("tv")))
+
+
 def qual_tstv_curve(df: DataFrame, known: DataFrame, step: float = 0.02) -> DataFrame:
     """A row wherever another `step` of all sites that aren't insertions or deletions is reached from the highest quality down, and at the lowest: the
     quality, sites, substitutions, transitions and substitutions among known sites (chrom, pos) so far, their ts/tv, the shares of known sites and of
