@@ -40,11 +40,14 @@ def vcf_lines(variants: DataFrame, genotypes: DataFrame | None = None, samples:
 
 def write_vcf(variants: DataFrame, path: str, genotypes: DataFrame | None = None, samples: list[str] | None = None, header: list[str] | None = None) -> None:
     """K1: sorted text files, each in the order of chromosome and position and of a range of its own. With a header (## lines; that of the column names is added),
-    each file begins with it and so is whole by itself. Samples are those given, in that order."""
+    each file begins with it and so is whole by itself; without variants there is one file, of the header. Samples are those given, in that order."""
     ordered = vcf_lines(variants, genotypes, samples).repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos", "value")
     line = F.col("value")
     if header is not None:
         names = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", *(["FORMAT", *samples] if genotypes is not None else [])]
+        if variants.isEmpty():
+            variants.sparkSession.createDataFrame([("\n".join([*header, "\t".join(names)]),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+            return
         first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of a file
         line = F.when(first, F.concat(F.lit("\n".join([*header, "\t".join(names)]) + "\n"), line)).otherwise(line)
     ordered.select(line.alias("value")).write.mode("overwrite").text(path)

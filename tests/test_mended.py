@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandframe.operators import calls, declarations, hierarchy, history, intervals, reference, variants
+from strandframe.sources import sinks, text
 
 
 def test_two_updates_of_one_object(spark):
@@ -72,3 +73,11 @@ def test_declarations_by_version(spark):
     assert of(4.0) == [".", ".", ".", "1", None] and of(3.3) == ["-1", "-1", "-1", "1", None]
     header = spark.createDataFrame([("f", "FORMAT", {"ID": "PL", "Number": "G", "Type": "Integer"}), ("f", "source", {"value": "x"})], "file string, key string, attributes map<string,string>")
     assert [tuple(r) for r in declarations.declarations(header).collect()] == [("f", "FORMAT", "PL", "G", "Integer")]
+
+
+def test_vcf_without_variants(spark, tmp_path):
+    none = spark.createDataFrame([], "chrom string, pos long, id string, ref string, alt array<string>, qual double, filter array<string>, info map<string,string>")
+    sinks.write_vcf(none, str(tmp_path / "none"), header=["##fileformat=VCFv4.1"])
+    lines = [r.value for r in spark.read.text(str(tmp_path / "none")).collect()]
+    assert lines == ["##fileformat=VCFv4.1", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"])]
+    assert text.read_vcf(spark, str(tmp_path / "none"))[0].count() == 0
