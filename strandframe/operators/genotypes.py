@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,15 +23,16 @@ def likely_genotype(pl: Column, n_alleles: Column) -> Column:
 
 
 def hwe_p(hom1: int, het: int, hom2: int) -> float | None:
-    """The exact probability of heterozygote counts no likelier than this one, given the allele counts; null if there is no genotype."""
+    """The exact probability of heterozygote counts no likelier than this one, given the allele counts; null if there is no genotype. Logarithms of all counts' likelihoods are one
+    running sum: from h to h + 2 heterozygotes the likelihood grows by 4 x y / ((h + 1) (h + 2)), x and y homozygotes of either kind."""
     n, a = hom1 + het + hom2, 2 * hom1 + het
     if not n:
         return None
-    log_p = lambda h: h * math.log(2) - math.lgamma((a - h) // 2 + 1) - math.lgamma(h + 1) - math.lgamma((2 * n - a - h) // 2 + 1)
-    seen = log_p(het)
-    all_p = [log_p(h) - seen for h in range(a % 2, min(a, 2 * n - a) + 1, 2)]
-    top = max(all_p)
-    return sum(math.exp(x - top) for x in all_p if x <= 1e-9) / sum(math.exp(x - top) for x in all_p)
+    h = np.arange(a % 2, min(a, 2 * n - a) + 1, 2, dtype=np.float64)
+    steps = np.log(a - h[:-1]) + np.log(2 * n - a - h[:-1]) - np.log(h[:-1] + 1) - np.log(h[:-1] + 2)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    p = np.exp(logs - logs.max())
+    return float(p[logs - logs[(het - a % 2) // 2] <= 1e-9].sum() / p.sum())
 
 
 def hwe_exact(counts: DataFrame) -> DataFrame:
