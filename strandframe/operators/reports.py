@@ -208,10 +208,10 @@ def pending(requests: DataFrame, states: list[str], *by: str) -> DataFrame:
 
 def runtime_stats(logs: DataFrame, *by: str) -> DataFrame:
     """Of each job's last attempt (job, attempt, host, started, wall, cpu, memory): jobs, least, largest and mean memory, wall and CPU seconds and idle factor (CPU by
-    wall seconds, each at least 1), the span from the first start to the last end in seconds, and hosts; in all, or by columns."""
+    wall seconds, each at least 1), the span from the first start to the last end in seconds (starts rounded to whole ones, halves to even ones), and hosts; in all, or by columns."""
     rest = [c for c in logs.columns if c not in ("job", "attempt")]
     last = logs.groupBy("job").agg(F.max_by(F.struct(*rest), F.struct("attempt", "started")).alias("v")).select("v.*")
-    x = last.withColumns({"idle": F.greatest(F.col("cpu"), F.lit(1)) / F.greatest(F.col("wall"), F.lit(1)), "_begin": F.unix_seconds(F.col("started").cast("timestamp"))})
+    x = last.withColumns({"idle": F.greatest(F.col("cpu"), F.lit(1)) / F.greatest(F.col("wall"), F.lit(1)), "_begin": F.rint(F.unix_micros(F.col("started").cast("timestamp")) / 1e6).cast("long")})
     made = [F.count("*").alias("jobs"), (F.max(F.col("_begin") + F.col("wall")) - F.min("_begin")).alias("span"), F.count_distinct("host").alias("hosts")]
     for c in ("memory", "wall", "cpu", "idle"):
         made += [F.min(c).alias(f"least_{c}"), F.max(c).alias(f"most_{c}"), F.avg(c).alias(f"mean_{c}")]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.operators import calls, declarations, hierarchy, history, intervals, reference, variants
+from strandframe.operators import calls, declarations, hierarchy, history, intervals, reference, reports, variants
 from strandframe.sources import sinks, text
 
 
@@ -81,3 +81,8 @@ def test_vcf_without_variants(spark, tmp_path):
     lines = [r.value for r in spark.read.text(str(tmp_path / "none")).collect()]
     assert lines == ["##fileformat=VCFv4.1", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"])]
     assert text.read_vcf(spark, str(tmp_path / "none"))[0].count() == 0
+
+
+def test_span_of_starts_within_seconds(spark):
+    logs = spark.sql("SELECT * FROM VALUES (1, 0, 'h', timestamp_ntz'2024-01-01 00:00:10.6', 5, 1, 1), (2, 0, 'h', timestamp_ntz'2024-01-01 00:00:20.2', 5, 1, 1), (3, 0, 'h', timestamp_ntz'2024-01-01 00:00:11.5', 5, 1, 1) AS t(job, attempt, host, started, wall, cpu, memory)")
+    assert reports.runtime_stats(logs).head().span == 14  # from 11 to 20 + 5, not from 10
