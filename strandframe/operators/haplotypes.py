@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ GROUP = ["chrom", "grp"]
 NEAR, GROWTH = 64, 16
 
 
+def upper(c: Column) -> Column:
+    """Upper case of a-z only, so that a text keeps its length."""
+    return F.translate(c, ascii_lowercase, ascii_uppercase)
+
+
 def common_suffix(a: Column, b: Column) -> Column:
     """Letters that two texts end with alike: the number's bits are tried from the highest, as a longer common end has all shorter ones."""
     bits = F.array(*(F.lit(1 << k) for k in range(27, -1, -1)))
@@ -39,7 +46,7 @@ def leftmost(events: DataFrame, chunks: DataFrame, size: int, key: str, first: s
     todo = events.where("ref = '' OR alt = ''")
     while True:
         span = todo.withColumns({"start_pos": F.greatest(F.col("pos") - near, F.col(first), F.lit(1)), "end_pos": F.col("pos") - 1})
-        before = F.upper(F.coalesce("seq", F.lit("")))
+        before = upper(F.coalesce("seq", F.lit("")))
         own = F.concat("ref", "alt")
         step = slices(span, chunks, size, key).withColumn("_left", before).withColumn("_n", common_suffix(F.col("_left"), F.concat("_left", own)))
         step = written(step, "moved")
@@ -53,26 +60,26 @@ def leftmost(events: DataFrame, chunks: DataFrame, size: int, key: str, first: s
         near *= GROWTH
 
 
-def sequence_match(calls: DataFrame, chunks: DataFrame, size: int, win: int, near: int = NEAR) -> DataFrame:
+def sequence_match(calls: DataFrame, chunks: DataFrame, size: int, win: int, near: int = NEAR, literal: bool = False) -> DataFrame:
     """Groups (chrom, grp) of variants (src, chrom, pos, ref, alt) within `win` of one another in which two sets or more have an insertion, a deletion or a
     substitution of more than one base: `sets`, the sets that do, and `same`, whether any two of them share a sequence.
 
     Each variant by itself makes a sequence of the reference from `win` before the group to `win` behind it; two sets agree if any variant of one makes the same sequence as any of
     the other. Substitutions of one base count in such sets, but make no set one. Symbolic and missing alternatives
-    make none, nor does one that equals ref, but their positions count for groups.
+    make none, nor does one that equals ref, but their positions count for groups. With `literal`, alternatives are texts, also a dot and what begins with <.
 
     Sequences aren't spelt out: two variants make the same one if and only if they are the same variant once shared bases are cut off and insertions and deletions stand as far left as they
     can within the group's range. So what meets in a join is a group, a position and the bases changed, however far a group reaches.
     """
-    every = cluster_by_distance(calls.select("src", "chrom", "pos", F.upper("ref").alias("ref"), F.upper("alt").alias("alt")).distinct(), win)
-    grouped = every.where("alt <> '.' AND NOT startswith(alt, '<') AND ref <> alt")
+    every = cluster_by_distance(calls.select("src", "chrom", "pos", upper(F.col("ref")).alias("ref"), upper(F.col("alt")).alias("alt")).distinct(), win)
+    grouped = every.where("ref <> alt" if literal else "alt <> '.' AND NOT startswith(alt, '<') AND ref <> alt")
     unlike = F.size(F.filter(F.zip_with(F.split("ref", ""), F.split("alt", ""), lambda a, b: a != b), lambda x: x))
     big = F.when(F.length("ref") != F.length("alt"), True).otherwise(unlike > 1)
     sets = grouped.withColumn("_big", big).groupBy(*GROUP, "src").agg(F.bool_or("_big").alias("_big"))
     ranges = sets.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.when(F.col("_big"), F.col("src")))).alias("sets")).where(F.size("sets") > 1)
     ranges = ranges.join(every.groupBy(*GROUP).agg((F.min("pos") - win).alias("_from")), GROUP)
     some = grouped.join(ranges, GROUP).where(F.array_contains("sets", F.col("src")))
-    key = F.concat_ws(":", "chrom", "pos", "ref", "alt", "src")
+    key = F.concat_ws(":", "pos", F.length("ref"), F.length("alt"), "src", F.concat("ref", "alt", "chrom"))
     some = written(some.withColumn("_event", key).select("_event", *GROUP, "src", "pos", "ref", "alt", "_from", "sets"), "events")
     made = leftmost(written(trimmed(some.drop("sets")), "trimmed"), chunks, size, "_event", "_from", near).select(*GROUP, "src", "pos", "ref", "alt").distinct()
     shared = made.groupBy(*GROUP, "pos", "ref", "alt").agg(F.array_sort(F.collect_set("src")).alias("_in")).where(F.size("_in") > 1)
