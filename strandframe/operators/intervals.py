@@ -87,6 +87,9 @@ def reads_in_intervals(reads: DataFrame, iv: DataFrame) -> DataFrame:
 
 
 def positions_in_intervals(df: DataFrame, iv: DataFrame) -> DataFrame:
-    """Each position (chrom, pos) with each interval that holds it."""
+    """Each position (chrom, pos) with each interval that holds it. Positions are looked up once, however many rows are at one; rows then meet their position's
+    intervals by an equal join. Its number of partitions is fixed, as they would be merged by what they read, while pairs may be far more."""
     other = iv.select("chrom", *(c for c in iv.columns if c not in ("chrom", "start_pos", "end_pos")), F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"))
-    return overlap_join(df, other, left_span=("pos", "pos"))
+    pairs = overlap_join(df.select("chrom", "pos").distinct(), other, left_span=("pos", "pos"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(parts, "chrom", "pos").join(df.repartition(parts, "chrom", "pos"), ["chrom", "pos"]).select(*df.columns, *(c for c in other.columns if c != "chrom"))
