@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .catalog import _INDEL, _TS, B, Views, query
-from .operators import reports, variants
+from .operators import intervals, reports, variants
 
 # Variants with two alternatives in every fifth row, and with equal alleles in every ninth.
 _WIDE = """w AS (SELECT * REPLACE (CASE WHEN var_id % 9 = 0 THEN ref ELSE alt END AS alt), CASE WHEN var_id % 5 = 0 THEN [CASE WHEN var_id % 9 = 0 THEN ref ELSE alt END, 'ATG'] ELSE [CASE WHEN var_id % 9 = 0 THEN ref ELSE alt END] END AS alts FROM br_variants)"""
@@ -236,7 +236,8 @@ def _(v: Views) -> DataFrame:
 SELECT v.var_id, CASE WHEN v.var_id % 50 = 0 THEN 'good' WHEN i.var_id IS NOT NULL THEN 'unclassified' WHEN qual >= 70 AND dp >= 20 THEN 'good' WHEN qual < 20 THEN 'bad' ELSE 'unclassified' END AS label, NOT {_INDEL} AND {_TS} AS is_ts, {B("dp")} AS af_percent FROM br_variants v LEFT JOIN i ON v.var_id = i.var_id""",
 )
 def _(v: Views) -> DataFrame:
-    masked = variants.annotate(v("br_variants"), v("br_intervals").where("iv_id % 4 = 0").withColumn("line_no", F.col("iv_id")), "iv_id").withColumn("af", (F.col("dp") + 0.5) / 100)
+    mask = intervals.merge_intervals(v("br_intervals").where("iv_id % 4 = 0 AND start_pos <= end_pos")).withColumn("line_no", F.col("start_pos"))  # one at most holds a position
+    masked = variants.annotate(v("br_variants"), mask, "start_pos").withColumn("af", (F.col("dp") + 0.5) / 100)
     good, bad = (F.col("qual") >= 70) & (F.col("dp") >= 20), F.col("qual") < 20
     return variants.class_label(masked, good, bad, F.col("annotation").isNotNull(), F.when(F.col("var_id") % 50 == 0, "good")).select("var_id", "label", "is_ts", "af_percent")
 
