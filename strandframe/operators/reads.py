@@ -228,15 +228,22 @@ def library_insert_config(reads: DataFrame, least: int = 100, most_cv: float = 1
 def gene_expression(reads: DataFrame, features: DataFrame, exons: DataFrame, min_mapq: int = 0, mask: int | None = None, protocol: str = "standard") -> DataFrame:
     """Reads of each feature (iv_id, strand), sense and antisense, and RPKM by the length of its exons (iv_id, chrom, start_pos, end_pos) and
     all mapped reads. Used are mapped reads with mapping quality above min_mapq, a bit of `mask` if there is one, and a base in an exon; a
-    read counts once for a feature. Flags are read as the protocol has them (fix_flags). A window around the features is not needed: reads are
-    found by the exons' bins."""
+    read counts once for a feature. Flags are read as the protocol has them (fix_flags). A window around the features is not needed.
+
+    Reads are counted, not joined: those of a length that meet an exon and none before it begin within a range of positions, and how many do is
+    the difference of two running counts. So work follows reads and exons times distinct lengths of reads (which are broadcast), not hits."""
     mapped = fix_flags(reads.where(~has(UNMAPPED)), protocol)
     good = (F.col("mapq") > min_mapq) & (has(mask) if mask else F.lit(True))
-    kept = mapped.where(good).select("chrom", F.col("pos").alias("r_start"), (F.col("pos") + F.col("seq_len") - 1).alias("r_end"), F.when(has(REVERSE), -1).otherwise(1).alias("r_strand"))
+    key = ["chrom", "seq_len", "r_strand"]
+    kept = mapped.where(good & (F.col("seq_len") > 0) & F.col("pos").isNotNull()).groupBy("chrom", "seq_len", F.when(has(REVERSE), -1).otherwise(1).alias("r_strand"), F.col("pos").alias("at")).agg(F.count("*").alias("n"))
     before = Window.partitionBy("iv_id").orderBy("start_pos", "end_pos").rowsBetween(Window.unboundedPreceding, -1)  # over a feature's exons
-    own = exons.select("iv_id", "chrom", "start_pos", "end_pos").withColumn("_reached", F.max("end_pos").over(before))
-    hits = overlap_join(own, kept).where(F.coalesce(F.col("_reached") < F.col("r_start"), F.lit(True)))  # the first exon that the read meets
-    n = hits.select("iv_id", "r_strand").join(features.select("iv_id", "strand"), "iv_id").groupBy("iv_id").agg(total(F.col("r_strand") == F.col("strand")).alias("sense"), total(F.col("r_strand") != F.col("strand")).alias("antisense"))
+    own = exons.select("iv_id", "chrom", "start_pos", "end_pos").where("start_pos <= end_pos").withColumn("_reached", F.max("end_pos").over(before))
+    ranges = own.join(F.broadcast(kept.select(*key).distinct()), "chrom").withColumn("_low", F.greatest("_reached", F.col("start_pos") - F.col("seq_len"))).where("_low < end_pos")
+    ends = F.array(F.struct(F.col("end_pos").alias("at"), F.lit(1).alias("sign")), F.struct(F.col("_low").alias("at"), F.lit(-1).alias("sign")))
+    asked = ranges.select(*key, "iv_id", F.explode(ends).alias("p")).select(*key, "p.at", F.lit(0).cast("long").alias("n"), "iv_id", "p.sign")
+    begun = running(asked.unionByName(kept, allowMissingColumns=True), key, "at", ["at", F.col("sign").asc_nulls_first()], F.col("n"), "begun", "sum").where("sign IS NOT NULL")
+    hits = begun.groupBy("iv_id", "r_strand").agg(F.sum(F.col("sign") * F.col("begun")).alias("n"))
+    n = hits.join(features.select("iv_id", "strand"), "iv_id").groupBy("iv_id").agg(total(F.col("r_strand") == F.col("strand"), F.col("n")).alias("sense"), total(F.col("r_strand") != F.col("strand"), F.col("n")).alias("antisense"))
     sizes = exons.groupBy("iv_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("exon_length"))
     out = features.select("iv_id").join(sizes, "iv_id").join(n, "iv_id", "left").join(F.broadcast(mapped.agg(F.count("*").alias("all_mapped")))).fillna(0, ["sense", "antisense"])
     rpkm = lambda c: F.col(c) / F.col("exon_length") * 1e9 / F.col("all_mapped")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.operators import calls, declarations, hierarchy, history, intervals, reference, reports, variants
+from strandframe.operators import calls, declarations, hierarchy, history, intervals, reads, reference, reports, variants
 from strandframe.sources import sinks, text
 
 
@@ -140,3 +140,19 @@ def test_many_rows_at_one_position(spark):
     assert {(len(r.alt) == 1, r.near_indel) for r in moved.collect()} == {(True, True), (False, False)} and _most_rows(moved) <= 100
     assert intervals.positions_in_intervals(rows, iv.drop("q", "f")).count() == 2400
     assert intervals.positions_in_intervals(rows, iv.drop("q", "f")).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_expression_without_pairs(spark):
+    """Reads of several lengths over exons that overlap, nest or lie closer than a read is long; no step makes a row for each hit."""
+    reads_of = spark.range(4000).selectExpr("IF(id % 7 = 0, 'x', '1') AS chrom", "id % 290 + 1 AS pos", "50 + id % 3 * 40 AS seq_len", "IF(id % 2 = 0, 2, 18) AS flag", "IF(id % 11 = 0, 5, 30) AS mapq")
+    spans = {1: [(20, 60), (100, 120), (130, 140)], 2: [(50, 200), (60, 90), (150, 260)], 3: [(400, 500)], 4: [(5, 5), (9, 3), (1, 2)]}
+    exons = spark.createDataFrame([(k, "1", s, e) for k, v in spans.items() for s, e in v], "iv_id long, chrom string, start_pos long, end_pos long")
+    features = spark.createDataFrame([(k, "1", -1 if k % 2 else 1) for k in spans], "iv_id long, chrom string, strand long")
+    found = reads.gene_expression(reads_of, features, exons, 10, reads.PROPER)
+    want = {}
+    for k, v in spans.items():
+        hit = [r for r in reads_of.where("chrom = '1' AND mapq > 10").collect() if any(s <= e and r.pos <= e and r.pos + r.seq_len - 1 >= s for s, e in v)]
+        same = sum((r.flag == 18) == (k % 2 == 1) for r in hit)
+        want[k] = (same, len(hit) - same)
+    assert {r.iv_id: (r.sense, r.antisense) for r in found.collect()} == want and want[2][0] > 100
+    assert "r_start" not in found._jdf.queryExecution().toString()
