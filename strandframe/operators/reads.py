@@ -38,10 +38,11 @@ def unmapped_reads(reads: DataFrame, skip_mate_mapped: bool = False) -> DataFram
 
 
 def readgroup_filter(reads: DataFrame, groups: DataFrame, include: Column | None = None, exclude: Column | None = None) -> DataFrame:
-    """Rows whose read group (rg) has attributes that `include` allows and `exclude` doesn't."""
+    """Rows whose read group (rg) has attributes that `include` allows and `exclude` doesn't. The groups kept, as many as headers
+    list, are broadcast, so reads aren't shuffled by the few groups that they have."""
     kept = groups.where(include) if include is not None else groups
     kept = kept.where(~F.coalesce(exclude, F.lit(False))) if exclude is not None else kept
-    return reads.join(kept.select("rg").distinct(), "rg", "left_semi")
+    return reads.join(F.broadcast(kept.select("rg").distinct()), "rg", "left_semi")
 
 
 def fix_flags(reads: DataFrame, protocol: str = "strand_specific") -> DataFrame:

@@ -156,3 +156,11 @@ def test_expression_without_pairs(spark):
         want[k] = (same, len(hit) - same)
     assert {r.iv_id: (r.sense, r.antisense) for r in found.collect()} == want and want[2][0] > 100
     assert "r_start" not in found._jdf.queryExecution().toString()
+
+
+def test_reads_stay_where_they_are(spark):
+    rows = spark.range(100).selectExpr("concat('rg', id % 3) AS rg", "id AS read_id")
+    found = reads.readgroup_filter(rows, rows.select("rg").distinct(), F.col("rg") != "rg0", F.col("rg") == "rg2")
+    assert sorted(r.read_id for r in found.collect()) == list(range(1, 100, 3))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
