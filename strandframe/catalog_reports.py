@@ -365,7 +365,7 @@ def _(v: Views) -> DataFrame:
 @query("X9_trimmed_bases", "SELECT read_id, CAST(CASE WHEN seq_len < 35 THEN 0 ELSE least(greatest(0, mapq), seq_len - 35) END AS BIGINT) AS trimmed FROM br_reads")
 def _(v: Views) -> DataFrame:
     quals = F.transform(F.sequence(F.lit(1).cast("long"), F.col("seq_len")), lambda i: F.when(i > F.col("seq_len") - F.col("mapq"), 2).otherwise(40))
-    return v("br_reads").withColumn("quals", quals).repartition("read_id").select("read_id", sequences.trimmed_bases(F.col("quals"), 20).cast("long").alias("trimmed"))
+    return v("br_reads").select("read_id", "seq_len", "mapq").repartition("read_id").withColumn("quals", quals).select("read_id", sequences.trimmed_bases(F.col("quals"), 20).cast("long").alias("trimmed"))
 
 
 @query("X7_compose_flag", "SELECT read_id, CAST(CASE WHEN pos % 3 = 0 THEN 0 ELSE 1 + CASE WHEN flag & 6 = 2 THEN 2 ELSE 0 END + CASE WHEN pos % 5 = 0 THEN 32 ELSE 0 END + (flag & 192) END + (flag & 4) + (flag & 16) + (flag & 1024) AS BIGINT) AS flag FROM br_reads")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,6 +11,9 @@ from pyspark.sql.window import Window
 from ..plans.greedy import filled_chunks
 from ..plans.prefix import running
 
+#: Qualities of reads, padded to one length, that trimming sums at once.
+CELLS = 1 << 20
+
 
 def clean_base(seq: Column) -> Column:
     """Letters other than ACGT, and all other characters, as N."""
@@ -172,13 +177,25 @@ def merge_quality_maps(maps: list[DataFrame], keys: list[str]) -> DataFrame:
 
 def trimmed_bases(qual: Column, threshold: int, shortest: int = 35) -> Column:
     """Bases that running-sum trimming takes from the end of a read with an array of qualities: the cut with the largest sum of
-    threshold minus quality, summed from the end until it turns negative, leaving `shortest` bases; 0 for shorter reads."""
-    zero = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("best"), F.lit(0).alias("cut"), F.lit(0).alias("at"), F.lit(False).alias("over"))
-
-    def step(a: Column, q: Column) -> Column:
-        s, at = a["sum"] + threshold - q, a["at"] + 1
-        over = a["over"] | (s < 0) | (at > F.size(qual) - shortest)
-        better = ~over & (s > a["best"])
-        return F.struct(s.alias("sum"), F.when(better, s).otherwise(a["best"]).alias("best"), F.when(better, at).otherwise(a["cut"]).alias("cut"), at.alias("at"), over.alias("over"))
-
-    return F.when(F.size(qual) < shortest, 0).otherwise(F.aggregate(F.reverse(qual), zero, step, lambda a: a["cut"]))
+    threshold minus quality, summed from the end until it turns negative, leaving `shortest` bases; 0 for shorter reads. Reads of a batch are summed at once."""
+
+    @F.pandas_udf("int")
+    def cut(quals: pd.Series) -> pd.Series:
+        rows = [np.empty(0) if q is None else q for q in quals]
+        length, out = np.fromiter(map(len, rows), "int64", len(rows)), np.zeros(len(rows), "int32")
+        steps = np.maximum(length - shortest, 0)
+        at = 0
+        while at < len(rows):
+            most = int(steps[at : at + CELLS].max(initial=0))
+            n = max(1, CELLS // max(1, most))
+            width = int(steps[at : at + n].max())
+            if width:
+                flat, ends, k = np.concatenate(rows[at : at + n]), np.cumsum(length[at : at + n])[:, None], np.arange(width)
+                inside = k < steps[at : at + n, None]
+                sums = np.cumsum(threshold - np.where(inside, flat[np.maximum(ends - 1 - k, 0)], threshold), axis=1)
+                sums = np.where(inside & ~np.logical_or.accumulate(~(sums >= 0), axis=1), sums, 0)
+                out[at : at + n] = np.where(sums.max(axis=1) > 0, sums.argmax(axis=1) + 1, 0)
+            at += n
+        return pd.Series(out)
+
+    return F.when(F.size(qual) < shortest, 0).when(qual.isNotNull(), cut(qual))

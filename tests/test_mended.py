@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.operators import calls, declarations, hierarchy, history, intervals, reads, reference, reports, variants
+from strandframe.operators import calls, declarations, hierarchy, history, intervals, reads, reference, reports, sequences, variants
 from strandframe.sources import sinks, text
 
 
@@ -164,3 +164,12 @@ def test_reads_stay_where_they_are(spark):
     assert sorted(r.read_id for r in found.collect()) == list(range(1, 100, 3))
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_trimming_of_unlike_lengths(spark):
+    """Reads of very unlike lengths in blocks of few; the reads of a batch are summed at once, without a function for each quality."""
+    rows = [(1, [30] * 40 + [2] * 3), (2, None), (3, []), (4, [2] * 20_000), (5, [30] * 50), (6, [30] * 36 + [2, 3, 40, 2])]
+    df = spark.createDataFrame(rows, "id int, q array<int>").select("id", sequences.trimmed_bases(F.col("q"), 20).alias("n"))
+    assert {r.id: r.n for r in df.collect()} == {1: 3, 2: None, 3: 0, 4: 19_965, 5: 0, 6: 1}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
