@@ -17,11 +17,13 @@ from .common import named, write_table
 SHARD_ROWS = 65_536
 SHARD_BYTES = 1 << 26
 SPLIT_ROWS, FEW = 2048, 8
-#: Queries that a task answers about its shard; with more queries there are several tasks for a shard.
-TASK_QUERIES = 1 << 18
+#: Queries that a task answers about its shard at most, and tasks that there should be; with more queries, or fewer shards and queries enough, there are several tasks for a shard.
+TASK_QUERIES, TASKS = 1 << 18, 48
 #: Queries that go down a tree together, and vectors in a leaf.
 AT_ONCE = 4096
 LEAF = 64
+#: Vectors after which what queries have met is merged into what they hold, at most.
+STRETCH = 2048
 #: A subtree is skipped if its least possible distance times a factor is over the distance of the k-th found; 1 is exact. How much a factor
 #: loses depends on the vectors, so None takes the largest of FACTORS that keeps RECALL of the neighbours of a sample: at most
 #: SAMPLE_ROWS vectors (and SAMPLE_BYTES of components) of the most frequent length, and SAMPLE_QUERIES of these as queries.
@@ -80,77 +82,115 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray | None =
 
 
 class Search:
-    """The k best of a tree for some queries. They go down to the nearer half first, then to the other one, where that can't be skipped by
-    then. `compared` counts the pairs of query and vector that were compared."""
+    """The k best of a tree for some queries. Each goes down to the leaf on its side first, for a bound; then all go through the tree together, so that a node is
+    visited once with whoever can't skip it by then. What is found is merged where a stretch of the tree ends, wherever the queries come from, so that what one
+    finds doesn't depend on the others. `compared` counts the pairs of query and vector that were compared."""
 
     def __init__(self, tree: dict, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float):
         self.tree, self.qids, self.q, self.k, self.relax, self.compared = tree, query_ids, queries, k, relax, 0
         with np.errstate(over="ignore"):
             self.lengths = (queries**2).sum(axis=1)
         self.slack = SLACK * (1 + tree["top"] + self.lengths)
+        self.endless = ~np.isfinite(self.lengths)  # these have no distances and skip nothing
         self.scores = np.full((len(queries), k), -np.inf)
         self.ids = np.zeros((len(queries), k), np.int64)
         self.held = np.zeros((len(queries), k), bool)
+        self.met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def distance(self, rows: np.ndarray, at: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return np.sqrt(((self.q[rows] - self.tree["vectors"][at]) ** 2).sum(axis=1) + self.tree["last"][at] ** 2)
-
-    def bound(self, rows: np.ndarray) -> np.ndarray:
-        """Distance of the k-th found."""
+    def reach(self, rows: np.ndarray) -> np.ndarray:
+        """A subtree is skipped if its least possible distance is over this: the distance of the k-th found, by the factor."""
         with np.errstate(invalid="ignore"):
             square = self.lengths[rows] + self.tree["top"] - 2 * self.scores[rows, -1]
-        return np.where(np.isfinite(square), np.sqrt(np.maximum(square, 0) + self.slack[rows]), np.inf)
+        bound = np.sqrt(np.maximum(square, 0) + self.slack[rows]) / self.relax + np.sqrt(self.slack[rows])
+        return np.where(np.isfinite(square) & ~self.endless[rows], bound, np.inf)
 
-    def offer(self, rows: np.ndarray, begin: int, end: int) -> None:
-        """Compares queries with a stretch of vectors. Products that can't matter are left as the fast product has them; others are exact sums
-        taken alike, for each id of a vector. A query's own id and products that aren't numbers are left out."""
+    def offer(self, rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+        """Compares queries with a stretch of vectors and returns the products. Those that can't matter are left as the fast product has them; others are exact
+        sums taken alike, for each id of a vector. A query's own id and products that aren't numbers are left out."""
         self.compared += len(rows) * (end - begin)
         vectors = self.tree["vectors"][begin:end]
         with np.errstate(invalid="ignore", over="ignore"):
             least = self.scores[rows, -1] - self.slack[rows]
-            i, j = np.nonzero(self.q[rows] @ vectors.T >= np.where(np.isnan(least), -np.inf, least)[:, None])
+            products = (self.q if len(rows) == len(self.q) else self.q[rows]) @ vectors.T
+            i, j = np.divmod(np.flatnonzero(~(products < np.where(np.isnan(least), -np.inf, least)[:, None])), end - begin)
             exact = np.einsum("nd,nd->n", self.q[rows[i]], vectors[j])
-        sizes = self.tree["sizes"][begin + j]
-        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.tree["begins"][begin + j], sizes)
-        i, exact, ids = np.repeat(i, sizes), np.repeat(exact, sizes), self.tree["ids"][place]
-        real = ~np.isnan(exact) & (ids != self.qids[rows[i]])
-        if not real.any():
+        if len(i):
+            sizes = self.tree["sizes"][begin + j]
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.tree["begins"][begin + j], sizes)
+            i, exact, ids = rows[np.repeat(i, sizes)], np.repeat(exact, sizes), self.tree["ids"][place]
+            real = ~np.isnan(exact) & (ids != self.qids[i])
+            self.met.append((i[real], exact[real], ids[real]))
+        return products
+
+    def merge(self) -> None:
+        """Of a query's candidates met since the last time and those held so far, by score and id, the first k stay."""
+        if not self.met:
             return
-        i, exact, ids = i[real], exact[real], ids[real]
-        touched, row = np.unique(i, return_inverse=True)
-        r = rows[touched]
-        # One line for each candidate and each of those held so far, by query, score and id; the first k of a query stay.
+        (i, exact, ids), self.met = map(np.concatenate, zip(*self.met, strict=True)), []
+        r, row = np.unique(i, return_inverse=True)
         line, held = np.r_[row, np.repeat(np.arange(len(r)), self.k)], np.r_[np.ones(len(row), bool), self.held[r].ravel()]
         score, of = np.r_[exact, self.scores[r].ravel()], np.r_[ids, self.ids[r].ravel()]
         order = np.lexsort((of, -score, ~held, line))
         best = order[np.searchsorted(line[order], np.arange(len(r)))[:, None] + np.arange(self.k)]
         self.scores[r], self.ids[r], self.held[r] = score[best], of[best], held[best]
 
+    def distance(self, rows: np.ndarray, products: np.ndarray) -> np.ndarray:
+        """Of queries from the vector that they have these products with: all vectors are equally long by their last component."""
+        with np.errstate(invalid="ignore"):
+            return np.sqrt(np.maximum(self.lengths[rows] + self.tree["top"] - 2 * products, 0))
+
+    def leaves(self) -> np.ndarray:
+        """Has each query meet the leaf that it comes to by staying on its side of each node; returns these nodes."""
+        nodes, own = self.tree["nodes"], np.zeros(len(self.q), np.int64)
+        todo = [(0, np.arange(len(self.q)))]
+        while todo:
+            at, rows = todo.pop()
+            begin, end, near, far, *bounds = nodes[at]
+            if near < 0:
+                self.offer(rows, begin, end)
+                own[rows] = at
+                continue
+            with np.errstate(invalid="ignore", over="ignore"):
+                to_near = self.distance(rows, self.q[rows] @ self.tree["vectors"][begin]) <= (bounds[1] + bounds[2]) / 2
+            todo += [(child, rows[side]) for child, side in ((far, ~to_near), (near, to_near)) if side.any()]
+        self.merge()
+        return own
+
     def run(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query's place, vec_id, score) of what was found, nearest first for each query."""
-        nodes, everyone = self.tree["nodes"], np.arange(len(self.q))
-        todo = [(0, everyone, np.zeros(len(self.q)))]
+        nodes, own, marks = self.tree["nodes"], self.leaves(), stretches(len(self.tree["vectors"]))
+        todo, last = [(0, np.arange(len(self.q)), np.zeros(len(self.q)))], 0
         while todo:
             at, rows, least = todo.pop()
             begin, end, near, far, *bounds = nodes[at]
-            rows = rows[(least - np.sqrt(self.slack[rows])) * self.relax <= self.bound(rows)]
-            if not len(rows):
-                continue
+            if (stretch := np.searchsorted(marks, begin, "right")) != last:
+                self.merge()
+                last = stretch
+            rows = rows[least <= self.reach(rows)]
             if near < 0:
-                self.offer(rows, begin, end)
+                rows = rows[own[rows] != at]
+                if len(rows):
+                    self.offer(rows, begin, end)
                 continue
-            self.offer(rows, begin, begin + 1)
-            d = self.distance(rows, begin)
-            parts = [(child, np.maximum(np.maximum(low - d, d - high), 0)) for child, low, high in ((near, bounds[0], bounds[1]), (far, bounds[2], bounds[3]))]
-            to_near = d <= (bounds[1] + bounds[2]) / 2
-            for side in (~to_near, to_near):
-                order = parts if side is to_near else parts[::-1]
-                todo += [(child, rows[side], low[side]) for child, low in order[::-1] if side.any()]
+            if not len(rows):
+                continue
+            d = self.distance(rows, self.offer(rows, begin, begin + 1)[:, 0])
+            d[self.endless[rows]] = 0
+            todo += [(child, rows, np.maximum(low - d, d - high)) for child, low, high in ((far, *bounds[2:]), (near, *bounds[:2]))]
+        self.merge()
         i, j = np.nonzero(self.held)
         return i, self.ids[i, j], self.scores[i, j]
 
 
+def stretches(n: int) -> np.ndarray:
+    """Where what was met is merged: often at first, when bounds fall fast, and every STRETCH vectors at least."""
+    marks, at = [], LEAF
+    while at < n:
+        marks.append(at)
+        at += min(at // 4, STRETCH)
+    return np.array(marks, np.int64)
+
+
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id and vec of the rows whose vector is not null, empty or zero and has only finite components."""
     vec = df.select(named(id_col).cast("long").alias("vec_id"), named(vector_col).cast("array<double>").alias("vec"))
@@ -223,14 +263,14 @@ def nearest(
 
     Rows are dealt to shards by hash, equal ones as one row with a count, so that no shard outgrows a task. A task makes a tree of its shard's
     vectors and then answers queries as they stream by. All queries go to all shards (and shards to several tasks where queries are many);
-    trees are never sent. Only the best k of each shard are shuffled, and ranked with a limit taken before the shuffle.
+    trees are never sent. Each task has a partition of its own. Only the best k of each shard are shuffled, and ranked with a limit taken before the shuffle.
     """
     clean = usable(df, id_col, vector_col)
     rows = write_table(clean.groupBy("dim", "vec_id", "vec").agg(F.count("*").alias("copies")), "vectors")
     n, dim = rows.agg(F.count("*"), F.max("dim")).first()
     most = max(LEAF, min(shard_rows, SHARD_BYTES // (8 * (dim or 1))))
     shards = max(math.ceil(n / most), min(FEW, math.ceil(n / SPLIT_ROWS)), 1)
-    turns = max(1, math.ceil(n / every / TASK_QUERIES))
+    turns = max(1, math.ceil(n / every / TASK_QUERIES), min(math.ceil(n / every / AT_ONCE), math.ceil(TASKS / shards)))
     each = lambda name, count: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
     dealt = lambda seed, count: F.pmod(F.xxhash64("vec_id", "vec", F.lit(seed)), F.lit(count)).cast("int")
     vectors = rows.select("dim", dealt(1, shards).alias("shard"), each("turn", turns), F.lit(0).alias("is_query"), "vec_id", "vec", "copies")
@@ -239,7 +279,7 @@ def nearest(
     asked = asked.withColumn("place", F.row_number().over(first)).where("place = 1")
     asked = asked.select("dim", each("shard", shards), dealt(2, turns).alias("turn"), F.lit(1).alias("is_query"), "vec_id", "vec", F.lit(1).cast("long").alias("copies"))
     task = ["dim", "shard", "turn"]
-    together = vectors.union(asked).repartition(shards * turns, *task).sortWithinPartitions(*task, "is_query")
+    together = vectors.union(asked).repartitionById(shards * turns, F.col("shard") * turns + F.col("turn")).sortWithinPartitions(*task, "is_query")
     found = together.mapInArrow(_searched(k, _tuned(rows, k) if relax is None else relax), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
