@@ -22,10 +22,13 @@ def upper(c: Column) -> Column:
 
 
 def common_suffix(a: Column, b: Column) -> Column:
-    """Letters that two texts end with alike: the number's bits are tried from the highest, as a longer common end has all shorter ones."""
-    bits = F.array(*(F.lit(1 << k) for k in range(27, -1, -1)))
+    """Letters that two texts end with alike: the number's bits are tried from the highest that the shorter one's length may have, as a longer common end has all shorter ones."""
     most = F.least(F.length(a), F.length(b))
-    return F.aggregate(bits, F.lit(0), lambda n, bit: F.when((n + bit <= most) & (F.right(a, n + bit) == F.right(b, n + bit)), n + bit).otherwise(n))
+
+    def tried(bits: int) -> Column:
+        return F.aggregate(F.array(*(F.lit(1 << k) for k in range(bits - 1, -1, -1))), F.lit(0), lambda n, bit: F.when((n + bit <= most) & (F.right(a, n + bit) == F.right(b, n + bit)), n + bit).otherwise(n))
+
+    return F.when(most == 0, 0).when(most < 1 << 3, tried(3)).when(most < 1 << 7, tried(7)).otherwise(tried(28))
 
 
 def trimmed(events: DataFrame) -> DataFrame:
@@ -36,6 +39,12 @@ def trimmed(events: DataFrame) -> DataFrame:
     return cut.withColumn("_n", front).withColumns({"pos": F.col("pos") + F.col("_n"), **{c: F.substring(F.col(c), F.col("_n") + 1, F.length(c)) for c in ("ref", "alt")}}).drop("_n")
 
 
+def asked_for(chunks: DataFrame, spans: DataFrame, size: int) -> DataFrame:
+    """The chunks up to the last one that any span (end_pos) reaches, so that those beyond aren't shuffled. The bound is one row."""
+    last = spans.agg(F.floor((F.max("end_pos") - 1) / size).alias("_last"))
+    return chunks.join(F.broadcast(last), F.col("chunk_no") <= F.col("_last")).drop("_last")
+
+
 def leftmost(events: DataFrame, chunks: DataFrame, size: int, key: str, first: str, near: int) -> DataFrame:
     """Trimmed events moved left as far as the sequence that they make stays the same, but not before the position in column `first`.
 
@@ -48,7 +57,7 @@ def leftmost(events: DataFrame, chunks: DataFrame, size: int, key: str, first: s
         span = todo.withColumns({"start_pos": F.greatest(F.col("pos") - near, F.col(first), F.lit(1)), "end_pos": F.col("pos") - 1})
         before = upper(F.coalesce("seq", F.lit("")))
         own = F.concat("ref", "alt")
-        step = slices(span, chunks, size, key).withColumn("_left", before).withColumn("_n", common_suffix(F.col("_left"), F.concat("_left", own)))
+        step = slices(span, asked_for(chunks, span, size), size, key).withColumn("_left", before).withColumn("_n", common_suffix(F.col("_left"), F.concat("_left", own)))
         step = written(step, "moved")
         more = (F.col("_n") == F.length("_left")) & (F.col("start_pos") > F.greatest(F.col(first), F.lit(1)))
         text = F.substring(F.concat("_left", own), F.length("_left") - F.col("_n") + 1, F.length(own))
@@ -71,7 +80,8 @@ def sequence_match(calls: DataFrame, chunks: DataFrame, size: int, win: int, nea
     Sequences aren't spelt out: two variants make the same one if and only if they are the same variant once shared bases are cut off and insertions and deletions stand as far left as they
     can within the group's range. So what meets in a join is a group, a position and the bases changed, however far a group reaches.
     """
-    every = cluster_by_distance(calls.select("src", "chrom", "pos", upper(F.col("ref")).alias("ref"), upper(F.col("alt")).alias("alt")).distinct(), win)
+    events = written(calls.select("src", "chrom", "pos", upper(F.col("ref")).alias("ref"), upper(F.col("alt")).alias("alt")).distinct(), "calls")
+    every = written(cluster_by_distance(events, win), "grouped")
     grouped = every.where("ref <> alt" if literal else "alt <> '.' AND NOT startswith(alt, '<') AND ref <> alt")
     unlike = F.size(F.filter(F.zip_with(F.split("ref", ""), F.split("alt", ""), lambda a, b: a != b), lambda x: x))
     big = F.when(F.length("ref") != F.length("alt"), True).otherwise(unlike > 1)
