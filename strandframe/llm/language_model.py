@@ -27,8 +27,12 @@ CLASSES, SUBS = 1024, 64
 CONTEXTS = CLASSES * SUBS
 #: Held out: crc32 of the id as text modulo 10 is 0.
 FOLDS = 10
-#: Words and ends in a block of documents, which are counted, asked for and scored together.
-BLOCK_TOKENS = 500_000
+#: Bytes of text for each bucket: what a task holds of a bucket follows these, however the input is split; and buckets at least.
+BUCKET_BYTES, BUCKETS = 16_000_000, 24
+#: Words and ends in a block of documents, which are counted, asked for and scored together: so many for each bucket, that messages stay worth sending, within bounds.
+TOKENS_EACH, BLOCK_TOKENS, MOST_TOKENS = 2_500, 500_000, 2_000_000
+#: Bytes of answers that are handed on together.
+ANSWER_BYTES = 1 << 22
 #: Gibbs sweeps, and the first one whose seating is averaged.
 SWEEPS, BURN_IN = 3, 2
 STRENGTH = 1.0
@@ -117,7 +121,13 @@ def _block(docs: list[tuple[int | None, list[bytes]]], buckets: int, hot: np.nda
     return own, asked
 
 
+def block_tokens(buckets: int) -> int:
+    return min(MOST_TOKENS, max(BLOCK_TOKENS, TOKENS_EACH * buckets))
+
+
 def _blocks(buckets: int, hot: np.ndarray):
+    most = block_tokens(buckets)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
 
@@ -133,7 +143,7 @@ def _blocks(buckets: int, hot: np.ndarray):
                 words = tokens_of(text.as_py())
                 docs.append((doc_id, words))
                 size += len(words) + 1
-                if size >= BLOCK_TOKENS:
+                if size >= most:
                     yield out(docs)
                     docs, size, serial = [], 0, serial + 1
         if docs:
@@ -226,19 +236,17 @@ class Seating:
         above = self.in_class(totals, settings, word, context // SUBS)
         return (rest + (STRENGTH + d * totals["of_context"][context]) * above) / (STRENGTH + settings["in_context"][context])
 
-    def sums(self) -> dict[int, int]:
-        """What the bucket adds to the sums, by place."""
+    def add_to(self, sums: np.ndarray) -> None:
+        """Adds what the bucket has to the sums, by place."""
         whole = ~self.split & (self.c0 > 0)
         contexts, kinds = np.bincount(self.g_word[self.c1 > 0], minlength=self.n), np.bincount(self.group, minlength=len(self.groups))
         numbers = [whole.sum(), (self.c == 1).sum(), (self.c == 2).sum(), (kinds == 1).sum(), (kinds == 2).sum(), (whole & (contexts == 1)).sum(), (whole & (contexts == 2)).sum(), self.t0[whole].sum()]
         dense = np.concatenate([np.bincount(self.context, weights=self.c, minlength=CONTEXTS), np.bincount(self.context, weights=self.t, minlength=CONTEXTS), np.bincount(self.g_class, weights=self.t1, minlength=CLASSES), numbers]).astype(np.int64)
-        at = np.flatnonzero(dense)
-        out = dict(zip(at.tolist(), dense[at].tolist(), strict=True))
-        tokens = np.bincount(self.word, weights=self.c, minlength=self.n).astype(np.int64)
-        for i in np.flatnonzero(self.split):
-            place = NUMBERS + N_NUMBERS + 2 * int(self.hot[i])
-            out |= {place: int(tokens[i]), place + 1: int(self.c0[i])}
-        return out
+        sums[: len(dense)] += dense
+        tokens, at = np.bincount(self.word, weights=self.c, minlength=self.n).astype(np.int64), np.flatnonzero(self.split)
+        place = NUMBERS + N_NUMBERS + 2 * self.hot[at]
+        sums[place] += tokens[at]
+        sums[place + 1] += self.c0[at]
 
 
 def _swept(state: bytes, bucket: int, model: dict) -> Iterator[tuple[int, Seating]]:
@@ -253,13 +261,17 @@ def _swept(state: bytes, bucket: int, model: dict) -> Iterator[tuple[int, Seatin
 
 
 def _sums(model: dict):
+    """The sums of a task's buckets, as rows of (place, sum) where there is any."""
+
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(NUMBERS + N_NUMBERS + 2 * len(model["hot"]), np.int64)
         for frame in frames:
             for bucket, state in zip(frame["bucket"], frame["state"], strict=True):
                 for _, seating in _swept(state, bucket, model):
                     pass
-                found = seating.sums()
-                yield pd.DataFrame({"at": list(found.keys()), "x": list(found.values())})
+                seating.add_to(sums)
+        at = np.flatnonzero(sums)
+        yield pd.DataFrame({"at": at, "x": sums[at]})
 
     return rows
 
@@ -285,10 +297,15 @@ def _discount(ones: int, twos: int) -> float:
     return float(np.clip(ones / max(1, ones + 2 * twos), 0.05, 0.95))
 
 
-def frequent_words(source: DataFrame, share: float) -> np.ndarray:
+def buckets_for(n_bytes: int, partitions: int) -> int:
+    """Buckets for so many bytes of text: as many as keep each small, and one for each partition of the input at least."""
+    return max(BUCKETS, partitions, -(-n_bytes // BUCKET_BYTES))
+
+
+def frequent_words(source: DataFrame, share: float, n: int | None = None) -> np.ndarray:
     """Hashes of words that make up more than a share of the tokens of a sample of distinct texts, in order; their number is bounded by 1 / share. Texts are
-    chosen by a bound on their hashes, which spread evenly, so the driver gets about SAMPLE_TEXTS of them however many partitions there are."""
-    n = source.count()
+    chosen by a bound on their hashes, which spread evenly, so the driver gets about SAMPLE_TEXTS of them however many partitions there are. n: rows of source, if known."""
+    n = source.count() if n is None else n
     bound = min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, SAMPLE_TEXTS / max(1, n))))
     key = F.xxhash64("text").alias("key")
     some = source.where(F.col("text").isNotNull()).select(key, F.substring("text", 1, SAMPLE_CHARS).alias("text")).where(F.col("key") <= bound).groupBy("key").agg(F.min("text").alias("text")).collect()
@@ -310,13 +327,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     A null text counts as empty (one token, the end), a null id as the empty text when folds are told (so it is held out). Repeated rows
     are texts of their own, other columns go, an empty table gives an empty one.
 
-    Pass one cuts documents into blocks and writes them with what they ask of each bucket of words. Buckets (by word, so that a word's
+    Pass one cuts documents into blocks and writes them with what they ask of each bucket of words. Buckets, as many as the texts' bytes need (by word, so that a word's
     contexts meet and parents are local; words that would fill a bucket by themselves by word and class) merge the questions into counts, are
     swept with only the totals going through the driver, and answer; each block sums its answers.
     """
     source = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
-    buckets = buckets or max(24, input_partitions(docs))
-    hot = frequent_words(source, 1 / (4 * buckets))
+    n, n_bytes = source.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = buckets or buckets_for(n_bytes, input_partitions(docs))
+    hot = frequent_words(source, 1 / (4 * buckets), n)
     blocks = write_table(source.mapInArrow(_blocks(buckets, hot), "block long, bucket int, data binary"), "blocks")
     asked = blocks.where("bucket >= 0")
     merged = asked.groupBy("bucket").applyInPandas(_merged, "bucket int, state binary, questions binary")
@@ -352,9 +370,15 @@ def _answers(model: dict):
                     tokens = np.where(seating.split, settings["hot_seen"][seating.hot], tokens)
                 seen, logs = tokens[pairs // CONTEXTS], np.round(np.log10(mean) / -UNIT).astype(np.int64)
                 edges, steps = np.r_[0, np.cumsum(q["sizes"])], _from_planes(q["steps"])
+                blocks, data, size = [], [], 0
                 for k, block in enumerate(q["blocks"]):
                     pair = np.cumsum(steps[edges[k] : edges[k + 1]])
-                    yield pd.DataFrame({"block": [block], "bucket": [bucket], "data": [_packed({"seen": _planes(seen[pair], 8), "logs": _planes(logs[pair], 5)})]})
+                    blocks.append(block)
+                    data.append(_packed({"seen": _planes(seen[pair], 8), "logs": _planes(logs[pair], 5)}))
+                    size += len(data[-1])
+                    if size >= ANSWER_BYTES or k + 1 == len(q["blocks"]):
+                        yield pd.DataFrame({"block": blocks, "bucket": bucket, "data": data})
+                        blocks, data, size = [], [], 0
 
     return rows
 
